@@ -7,7 +7,7 @@ ANSI mode would otherwise fail the job on the first bad value.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,6 +53,15 @@ def strip(value: Column | str) -> Column:
     return F.btrim(as_col(value).cast("string"), F.lit(WHITESPACE))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times.
+
+    Array lambdas are interpreted and evaluate a captured expression anew for
+    every element; a bound value they only read.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 # -- blanks -----------------------------------------------------------------
 
 

@@ -180,9 +180,14 @@ def is_article_link(
     min_slug: int = 14,
 ) -> Column:
     """Own host, real title, no navigation, and a dated, blog or long-slug path."""
-    path = F.lower(ur.url_path(link))
-    slug = F.element_at(F.split(F.regexp_replace(path, r"/+$", ""), "/"), -1)
-    shaped = path.contains("/20") | path.contains("/blog") | (F.length(slug) > min_slug)
+
+    def page_like(path: Column, slug: Column) -> Column:
+        shaped = path.contains("/20") | path.contains("/blog") | (F.length(slug) > min_slug)
+        listed = (slug == "") | slug.isin(*LIST_SLUGS) | va.has_any(path, NAVIGATION_PATHS)
+        return shaped & ~listed
+
+    def last_part(path: Column) -> Column:
+        return F.element_at(F.split(F.regexp_replace(path, r"/+$", ""), "/"), -1)
 
     def bare(url: Column | str) -> Column:
         return F.regexp_replace(as_col(url), r"/+$", "")
@@ -190,10 +195,10 @@ def is_article_link(
     return F.coalesce(
         (F.length(va.strip(title)) >= min_title)
         & same_host(link, page)
-        & ~va.has_any(path, NAVIGATION_PATHS)
         & (bare(link) != bare(page))
-        & (slug != "")
-        & ~slug.isin(*LIST_SLUGS)
-        & shaped,
+        & va.let(
+            F.lower(ur.url_path(link)),
+            lambda path: va.let(last_part(path), lambda slug: page_like(path, slug)),
+        ),
         F.lit(False),
     )

@@ -160,8 +160,11 @@ def _nearest_octree(points, places, cols, order, lat, lng) -> DataFrame:
         return F.struct(cell.alias("c"), near.alias("near"), far.alias("far"))
 
     def pruned(cells: Column) -> Column:
-        limit = F.array_min(F.transform(cells, lambda b: b["far"])) + 1e-12
-        return F.filter(cells, lambda b: b["near"] <= limit)
+        def keep(c: Column) -> Column:
+            limit = F.array_min(F.transform(c, lambda b: b["far"])) + 1e-12
+            return va.let(limit, lambda m: F.filter(c, lambda b: b["near"] <= m))
+
+        return va.let(cells, keep)
 
     level = _ROOT_LEVEL
     # at most 64 root cells exist, whatever the number of places

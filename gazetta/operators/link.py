@@ -169,8 +169,9 @@ def _signatures(df: DataFrame, key: str, score: int, block: Sequence[str]) -> Da
     def prefix(size: int) -> Column:
         return F.slice(F.col("_tok"), F.lit(1), F.col("_len") - F.col("_c") + F.lit(size))
 
-    singles = F.transform(prefix(1), lambda t: F.xxhash64(t))
-    toks = prefix(depth)
+    base = base.withColumns({"_p1": prefix(1), "_pn": prefix(depth)})
+    singles = F.transform("_p1", lambda t: F.xxhash64(t))
+    toks = F.col("_pn")
     if depth == 2:
         combos = F.flatten(
             F.transform(

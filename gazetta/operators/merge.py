@@ -16,9 +16,9 @@ from gazetta.functions import values as va
 from gazetta.operators.dedupe import keep_first, keep_last, number_rows
 
 
-def _last_updates(updates: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
-    """One update row per key; with an order column the last one."""
-    return keep_last(updates, keys, [order]).drop(order) if order else updates
+def _last_updates(updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One update row per key; with order columns the last one."""
+    return keep_last(updates, keys, order).drop(*order) if order else updates
 
 
 def _prefixed(updates: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -41,7 +41,7 @@ def _merged(
 
 
 def upsert(
-    target: DataFrame, updates: DataFrame, keys: Sequence[str], order: str | None = None
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
     """Insert new keys, replace the given columns (also by NULL) of known ones."""
     upd = _last_updates(updates, keys, order)
@@ -69,7 +69,7 @@ def insert_report(target: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
 
 
 def patch_non_null(
-    target: DataFrame, updates: DataFrame, keys: Sequence[str], order: str | None = None
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
     """Only non-NULL update values apply; unknown keys are ignored."""
     upd = _last_updates(updates, keys, order)

@@ -20,7 +20,7 @@ from gazetta.operators.dedupe import top_k
 
 _ANCHOR = r"""(?is)(<a\b[^>]*?\bhref\s*=\s*["'][^"']*["'][^>]*>.*?</a>|<a\b[^>]*?\bhref\s*=\s*["'][^"']*["'][^>]*>)"""
 _HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
-_SILENT = r"(?is)<(script|style|noscript)\b.*?</\1\s*>"
+_SILENT = ("script", "style", "noscript")
 
 # Entities that occur in text.
 ENTITIES = {
@@ -60,7 +60,9 @@ def squash(value: Column | str) -> Column:
 
 def visible_text(html: Column | str, sep: str = " ") -> Column:
     """Text without script, style, noscript, comments and tags."""
-    out = F.regexp_replace(as_col(html), _SILENT, " ")
+    out = as_col(html)
+    for tag in _SILENT:
+        out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?</{tag}\s*>", " ")
     out = F.regexp_replace(out, r"(?s)<!--.*?-->", " ")
     out = F.regexp_replace(out, r"(?s)<[^>]*>", " ")
     return strip(F.regexp_replace(unescape(out), r"\s+", sep))
@@ -88,20 +90,25 @@ def link_array(html: Column | str, base: Column | str) -> Column:
 
     def parsed(a: Column, i: Column) -> Column:
         href = strip(unescape(F.regexp_extract(a, _HREF, 1)))
-        return F.struct(
-            i.alias("pos"),
-            href.alias("href"),
-            visible_text(a).alias("text"),
-            ur.resolve_link(base, href).alias("resolved"),
-        )
+        return F.struct(i.alias("pos"), href.alias("href"), visible_text(a).alias("text"))
 
-    return F.filter(F.transform(anchors, parsed), lambda x: x["href"] != "")
+    filled = F.filter(F.transform(anchors, parsed), lambda x: x["href"] != "")
+    return F.transform(
+        filled, lambda x: x.withField("resolved", ur.resolve_link(base, x["href"]))
+    )
 
 
 def first_per_url(links: Column) -> Column:
     """Keep the first link per resolved URL."""
-    urls = F.transform(links, lambda x: x["resolved"])
-    return F.filter(links, lambda x, i: F.array_position(urls, x["resolved"]) == i + 1)
+
+    def keyed(x: Column) -> Column:
+        return F.struct(x["resolved"].alias("u"), x["pos"].alias("p"), x.alias("x"))
+
+    def heads(s: Column) -> Column:
+        new = F.filter(s, lambda e, i: (i == 0) | (e["u"] != F.get(s, i - 1)["u"]))
+        return F.array_sort(F.transform(new, lambda e: e["x"]))
+
+    return va.let(F.array_sort(F.transform(links, keyed)), heads)
 
 
 def extract_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

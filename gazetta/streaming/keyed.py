@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gazetta.operators.dedupe import keep_first
 from gazetta.operators.merge import upsert
 from gazetta.sources import tables
 
+_BATCH = T.StructField("batch", T.LongType())
+
 
 def stream_insert_only(
     stream: DataFrame, keys: Sequence[str], period: str, watermark: str, path: str, checkpoint: str
@@ -44,9 +48,9 @@ def stream_insert_only_table(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = keep_first(batch, keys, order)
-        earlier = [f"{root}/batch={i}" for i in range(batch_id) if _is_written(spark, f"{root}/batch={i}")]
-        if earlier:
-            known = spark.read.parquet(*earlier).select(*keys)
+        if _is_written(spark, root):
+            table = spark.read.schema(T.StructType([*batch.schema, _BATCH])).parquet(root)
+            known = table.filter(F.col(_BATCH.name) < batch_id).select(*keys)
             new = new.join(known, list(keys), "left_anti")
         new.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
@@ -69,10 +73,10 @@ def stream_upsert(
         if tables.has_batch(spark, root, tag):
             return
         if tables.exists(spark, root):
-            merged = upsert(tables.read_table(spark, root), batch, keys, order)
+            merged = upsert(tables.read_table(spark, root), batch, keys, [order])
         else:
             empty = batch.drop(order).limit(0)
-            merged = upsert(empty, batch, keys, order)
+            merged = upsert(empty, batch, keys, [order])
         tables.write_table(merged, root, tag)
 
     return _for_each(stream, write, checkpoint)
