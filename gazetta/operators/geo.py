@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gazetta.functions import values as va
@@ -131,79 +131,64 @@ def _cell(level: int, xyz: Sequence[Column]) -> Column:
     return idx[0] * n * n + idx[1] * n + idx[2]
 
 
+def _with_bounds(df: DataFrame, cell: str, level: int) -> DataFrame:
+    """Squared distance from a point (``_x, _y, _z``) to the nearest and farthest corner of a cell."""
+    n = 1 << level
+    size = 2.0 / n
+    idx = [
+        F.floor(F.col(cell) / (n * n)),
+        F.pmod(F.floor(F.col(cell) / n), F.lit(n)),
+        F.pmod(F.col(cell), F.lit(n)),
+    ]
+    near, far = F.lit(0.0), F.lit(0.0)
+    for axis, i in zip(("_x", "_y", "_z"), idx):
+        here, low = F.col(axis), i * size - 1.0
+        gap = F.greatest(low - here, here - (low + size), F.lit(0.0))
+        reach = F.greatest(F.abs(here - low), F.abs(here - (low + size)))
+        near, far = near + gap * gap, far + reach * reach
+    return df.withColumns({"_near": near, "_far": far})
+
+
 def _nearest_octree(points, places, cols, order, lat, lng) -> DataFrame:
     """Branch and bound: keep, per distinct point, the cells that may hold its nearest place.
 
     A cell survives if its closest corner is no farther than the farthest corner
-    of the best cell.  Only the occupied children of surviving cells are looked
-    up on the next level, one row per cell, not per place.
+    of the best cell so far.  Only the occupied children of surviving cells are
+    looked up on the next level, one row per cell, not per place.
     """
     spots = places.groupBy(lat, lng).agg(F.min_by(F.struct(order, *cols), order).alias("_place"))
     spots = spots.withColumnsRenamed({lat: "_plat", lng: "_plng"})
     pxyz = _xyz("_plat", "_plng")
     here = points.select(lat, lng).filter(F.col(lat).isNotNull() & F.col(lng).isNotNull()).distinct()
-    axes = ["_x", "_y", "_z"]
-    frontier = here.withColumns(dict(zip(axes, _xyz(lat, lng))))
-
-    def bounds(cell: Column, level: int) -> Column:
-        n = 1 << level
-        size = 2.0 / n
-        idx = [F.floor(cell / (n * n)), F.pmod(F.floor(cell / n), F.lit(n)), F.pmod(cell, F.lit(n))]
-        near, far = F.lit(0.0), F.lit(0.0)
-        for axis, i in zip(axes, idx):
-            low = i * size - 1.0
-            high = low + size
-            here_v = F.col(axis)
-            gap = F.greatest(low - here_v, here_v - high, F.lit(0.0))
-            reach = F.greatest(F.abs(here_v - low), F.abs(here_v - high))
-            near, far = near + gap * gap, far + reach * reach
-        return F.struct(cell.alias("c"), near.alias("near"), far.alias("far"))
-
-    def pruned(cells: Column) -> Column:
-        def keep(c: Column) -> Column:
-            limit = F.array_min(F.transform(c, lambda b: b["far"])) + 1e-12
-            return va.let(limit, lambda m: F.filter(c, lambda b: b["near"] <= m))
-
-        return va.let(cells, keep)
+    here = here.withColumns(dict(zip(("_x", "_y", "_z"), _xyz(lat, lng))))
+    per_point = Window.partitionBy(lat, lng)
+
+    def pruned(rows: DataFrame) -> DataFrame:
+        best = F.least("_limit", F.min("_far").over(per_point) + 1e-12)
+        return rows.withColumn("_limit", best).filter("_near <= _limit").drop("_near", "_far")
 
     level = _ROOT_LEVEL
     # at most 64 root cells exist, whatever the number of places
-    roots = spots.select(_cell(level, pxyz).alias("c")).distinct().agg(F.collect_list("c").alias("_roots"))
-    root_ids = roots.first()["_roots"]
-    frontier = frontier.withColumn(
-        "_cells", pruned(F.transform(F.array(*[F.lit(c) for c in root_ids]), lambda c: bounds(c, level)))
+    roots = [r[0] for r in spots.select(_cell(level, pxyz)).distinct().collect()]
+    start = here.withColumns(
+        {"_c": F.explode(F.array(*[F.lit(c).cast("bigint") for c in roots])), "_limit": F.lit(12.0)}
     )
+    frontier = pruned(_with_bounds(start, "_c", level))
     while level < _LEAF_LEVEL:
         below = level + _STEP
-        children = (
-            spots.select(_cell(level, pxyz).alias("_c"), _cell(below, pxyz).alias("_child"))
-            .distinct()
-            .groupBy("_c")
-            .agg(F.collect_list("_child").alias("_children"))
-        )
-        open_cells = frontier.select(lat, lng, *axes, F.explode("_cells").alias("_e")).select(
-            lat, lng, *axes, F.col("_e.c").alias("_c")
-        )
-        opened = open_cells.join(children, "_c").select(
-            lat,
-            lng,
-            *axes,
-            pruned(F.transform("_children", lambda c, lv=below: bounds(c, lv))).alias("_cells"),
-        )
-        frontier = opened.groupBy(lat, lng, *axes).agg(
-            pruned(F.flatten(F.collect_list("_cells"))).alias("_cells")
-        )
+        children = spots.select(
+            _cell(level, pxyz).alias("_c"), _cell(below, pxyz).alias("_child")
+        ).distinct()
+        opened = frontier.join(children, "_c").drop("_c").withColumnRenamed("_child", "_c")
+        frontier = pruned(_with_bounds(opened, "_c", below).filter("_near <= _limit"))
         level = below
     leaves = spots.withColumn("_c", _cell(level, pxyz))
-    pairs = frontier.select(lat, lng, F.explode("_cells").alias("_e")).select(
-        lat, lng, F.col("_e.c").alias("_c")
-    )
-    scored = pairs.join(leaves, "_c").withColumn("_km", haversine_km(lat, lng, "_plat", "_plng"))
-    best = scored.groupBy(lat, lng).agg(
-        F.min(F.struct(F.col("_km").alias("km"), *[F.col(f"_place.{n}").alias(n) for n in (order, *cols)])).alias(
-            "_best"
-        )
+    scored = frontier.select(lat, lng, "_c").join(leaves, "_c")
+    scored = scored.withColumn("_km", haversine_km(lat, lng, "_plat", "_plng"))
+    found = F.struct(
+        F.col("_km").alias("km"), *[F.col(f"_place.{n}").alias(n) for n in (order, *cols)]
     )
+    best = scored.groupBy(lat, lng).agg(F.min(found).alias("_best"))
     return _finish(points.join(best, [lat, lng], "left"), points, "_best", cols, order)
 
 

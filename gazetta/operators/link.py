@@ -377,29 +377,26 @@ def contained_in(
     on = list(block)
     pats = patterns.select(*on, pattern).filter(F.length(pattern) > 0).distinct()
     txts = texts.select(*on, text).filter(F.length(text) > 0).distinct()
+    # texts may be long: the gram rows carry their digest, the candidates fetch the text
+    txts = txts.withColumn("_digest", F.unhex(F.sha2(text, 256)))
 
-    def grams(col: str, size: Column) -> Column:
-        last = F.length(col) - size + 1
-        return F.when(
-            last >= 1,
-            F.array_distinct(
-                F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(F.col(col), i, size))
-            ),
-        )
+    def grams(col: str, size: int) -> Column:
+        # a look-ahead matches at every position, so overlapping grams come out in one pass
+        return F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(rf"(?s)(?=(.{{{size}}}))"), 1))
 
     # patterns shorter than a gram are looked up whole, hence the shorter text grams
-    every = F.array_compact(F.array(*[grams(text, F.lit(n)) for n in range(1, _GRAM + 1)]))
-    text_grams = txts.select(*on, text, F.explode(F.flatten(every)).alias("_gram"))
+    every = F.concat(*[grams(text, n) for n in range(1, _GRAM + 1)])
+    text_grams = txts.select(*on, "_digest", F.explode(every).alias("_gram"))
     counts = text_grams.groupBy(*on, "_gram").agg(F.count("*").alias("_n"))
-    own = pats.select(
-        *on, pattern, F.explode(grams(pattern, F.least(F.length(pattern), F.lit(_GRAM)))).alias("_gram")
-    )
+    whole = F.when(F.length(pattern) < _GRAM, F.array(F.col(pattern))).otherwise(grams(pattern, _GRAM))
+    own = pats.select(*on, pattern, F.explode(whole).alias("_gram"))
     anchors = (
         own.join(counts, [*on, "_gram"], "inner")
         .groupBy(*on, pattern)
         .agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
     )
-    hits = anchors.join(text_grams, [*on, "_gram"], "inner")
+    found = anchors.join(text_grams, [*on, "_gram"], "inner").select(*on, pattern, "_digest")
+    hits = found.join(txts, [*on, "_digest"], "inner")
     return hits.filter(F.col(text).contains(F.col(pattern))).select(*on, pattern, text)
 
 

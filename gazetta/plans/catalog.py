@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from gazetta.plans import rows  # noqa: F401
+from gazetta.plans import links, rows  # noqa: F401
 from gazetta.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
