@@ -171,8 +171,14 @@ def _fenced(value: Column) -> Column:
 
 
 def _valid(json_text: Column) -> Column:
-    """The text itself where it parses as JSON, else NULL."""
-    return F.when(F.try_parse_json(json_text).isNotNull(), json_text)
+    """The text itself where it is exactly one JSON value, else NULL.
+
+    The parser stops after the first value.  Inside an array and inside an object
+    anything behind it is an error in at least one of the two.
+    """
+    in_array = F.try_parse_json(F.concat(F.lit("["), json_text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), json_text, F.lit("}")))
+    return F.when(in_array.isNotNull() & in_object.isNotNull(), json_text)
 
 
 def salvage_json(value: Column | str) -> Column:
@@ -196,18 +202,13 @@ def salvage_items(value: Column | str, item: T.StructType, under: str = "sources
 
     def as_list(candidate: Column) -> Column:
         return F.when(
-            strip(candidate).startswith("[") & F.try_parse_json(candidate).isNotNull(),
+            strip(candidate).startswith("[") & _valid(candidate).isNotNull(),
             F.from_json(candidate, T.ArrayType(item)),
         )
 
-    def as_object(candidate: Column) -> Column:
-        return F.when(
-            F.try_parse_json(candidate).isNotNull(), F.from_json(candidate, wrapper)[under]
-        )
-
     whole = F.when(
-        body.startswith("{") & F.try_parse_json(body).isNotNull(),
-        F.coalesce(as_object(body), F.array().cast(T.ArrayType(item))),
+        body.startswith("{") & _valid(body).isNotNull(),
+        F.coalesce(F.from_json(body, wrapper)[under], F.array().cast(T.ArrayType(item))),
     )
     items = F.coalesce(as_list(body), whole, as_list(embedded))
     return F.filter(items, lambda x: x.isNotNull())

@@ -166,7 +166,9 @@ def stamp_changes(
     return joined.select(
         *keys,
         *cols,
-        F.when(same, F.col(f"_o_{stamp}")).otherwise(now or F.current_timestamp()).alias(stamp),
+        F.when(same, F.col(f"_o_{stamp}"))
+        .otherwise(F.current_timestamp() if now is None else now)
+        .alias(stamp),
     )
 
 

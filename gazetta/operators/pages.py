@@ -299,7 +299,9 @@ def combine_docs(
     for by in ([*keys, "_part"], list(keys)):
         before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         used = F.coalesce(F.sum(F.length("_chunk") + len(sep)).over(before), F.lit(0))
-        rows = rows.withColumn("_used", used).filter(F.col("_used") < total_chars).drop("_used")
+        rows = rows.withColumn("_used", used)
+        # the separator before a document may still be part of the result
+        rows = rows.filter(F.col("_used") < total_chars + len(sep)).drop("_used")
     parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), "_chunk")))
     joined = F.array_join(F.transform(parts, lambda p: p["_chunk"]), sep)
     return rows.groupBy(*keys).agg(F.substring(joined, 1, total_chars).alias("combined"))

@@ -117,7 +117,7 @@ def scan_jdbc(
 
 def write_csv(df: DataFrame, columns: Sequence[str], path: str, mode: str = "append") -> None:
     """CSV with a fixed header; other fields are ignored."""
-    df.select(*columns).write.mode(mode).option("header", True).csv(path)
+    df.select(*columns).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def write_outcomes(df: DataFrame, outcome: str, path: str) -> None:
