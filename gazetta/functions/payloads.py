@@ -176,9 +176,13 @@ def _valid(json_text: Column) -> Column:
     The parser stops after the first value.  Inside an array and inside an object
     anything behind it is an error in at least one of the two.
     """
-    in_array = F.try_parse_json(F.concat(F.lit("["), json_text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), json_text, F.lit("}")))
-    return F.when(in_array.isNotNull() & in_object.isNotNull(), json_text)
+
+    def checked(t: Column) -> Column:
+        in_array = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
+        in_object = F.try_parse_json(F.concat(F.lit('{"x":'), t, F.lit("}")))
+        return F.when(in_array.isNotNull() & in_object.isNotNull(), t)
+
+    return va.let(json_text, checked)
 
 
 def salvage_json(value: Column | str) -> Column:
@@ -195,23 +199,20 @@ def fenced_json(value: Column | str) -> Column:
 
 def salvage_items(value: Column | str, item: T.StructType, under: str = "sources") -> Column:
     """Array of objects: the whole text, a fence, an embedded ``[...]`` or the list under a key."""
-    text = strip(value)
-    body = strip(F.coalesce(_fenced(text), text))
     wrapper = T.StructType([T.StructField(under, T.ArrayType(item))])
-    embedded = F.regexp_extract(body, r"(?s)(\[.*\])", 1)
+    kind = T.ArrayType(item)
 
-    def as_list(candidate: Column) -> Column:
-        return F.when(
-            strip(candidate).startswith("[") & _valid(candidate).isNotNull(),
-            F.from_json(candidate, T.ArrayType(item)),
-        )
+    def as_items(good: Column) -> Column:
+        listed = F.when(good.startswith("["), F.from_json(good, kind))
+        keyed = F.when(good.startswith("{"), F.coalesce(F.from_json(good, wrapper)[under], F.array().cast(kind)))
+        return F.coalesce(listed, keyed)
 
-    whole = F.when(
-        body.startswith("{") & _valid(body).isNotNull(),
-        F.coalesce(F.from_json(body, wrapper)[under], F.array().cast(T.ArrayType(item))),
-    )
-    items = F.coalesce(as_list(body), whole, as_list(embedded))
-    return F.filter(items, lambda x: x.isNotNull())
+    def pick(body: Column) -> Column:
+        embedded = F.nullif(F.regexp_extract(body, r"(?s)(\[.*\])", 1), F.lit(""))
+        return va.let(F.coalesce(_valid(body), _valid(embedded)), as_items)
+
+    text = strip(value)
+    return F.filter(va.let(strip(F.coalesce(_fenced(text), text)), pick), lambda x: x.isNotNull())
 
 
 def parse(value: Column | str, schema: T.DataType) -> Column:
@@ -339,44 +340,56 @@ def flatten_place(df: DataFrame, payload: str, fallback_id: str | None = None) -
 POLLEN_KINDS = ("GRASS", "TREE", "WEED")
 
 
-def pollen_columns(payload: Column | str) -> dict[str, Column]:
-    """Index 0-5 per pollen kind and the dominant kind (ties in list order)."""
-    day = F.get(parse(payload, POLLEN)["dailyInfo"], F.lit(0))
-    kinds = day["pollenTypeInfo"]
-    index = {
-        k: va.clamp(find_by_code(kinds, k)["indexInfo"]["value"], 0, 5) for k in POLLEN_KINDS
-    }
-    out = {f"pollen_{k.lower()}_index": index[k].cast("smallint") for k in POLLEN_KINDS}
-    out["dominant_pollen_type"] = arg_max([(k, index[k]) for k in POLLEN_KINDS])
-    return out
-
+def add_pollen(df: DataFrame, payload: str) -> DataFrame:
+    """Index 0-5 per pollen kind and the dominant kind (ties in list order).
 
-def air_columns(payload: Column | str) -> dict[str, Column]:
-    """The universal index if present, else the first index."""
-    pick = find_by_code(parse(payload, AIR)["indexes"], "uaqi", fallback_first=True)
-    return {
-        "air_quality_index": pick["aqi"],
-        "air_quality_category": pick["category"],
-        "dominant_pollutant": F.nullif(F.lower(pick["dominantPollutant"]), F.lit("")),
-    }
+    Each step is a projection of its own, so the payload is parsed once per row.
+    """
+    names = {k: f"pollen_{k.lower()}_index" for k in POLLEN_KINDS}
+    kinds = F.get(parse(payload, POLLEN)["dailyInfo"], F.lit(0))["pollenTypeInfo"]
+    found = df.withColumn("_kinds", kinds).withColumns(
+        {n: find_by_code("_kinds", k)["indexInfo"]["value"] for k, n in names.items()}
+    )
+    bounded = found.drop("_kinds").withColumns(
+        {n: va.clamp(n, 0, 5).cast("smallint") for n in names.values()}
+    )
+    return bounded.withColumn("dominant_pollen_type", arg_max(list(names.items())))
 
 
-def sentiment_columns(answer: Column | str, filled_reviews: Column | None = None) -> dict[str, Column]:
+def add_air(df: DataFrame, payload: str) -> DataFrame:
+    """The universal index if present, else the first index."""
+    pick = find_by_code("_indexes", "uaqi", fallback_first=True)
+    parsed = df.withColumn("_indexes", parse(payload, AIR)["indexes"]).withColumn("_air", pick)
+    return parsed.withColumns(
+        {
+            "air_quality_index": F.col("_air.aqi"),
+            "air_quality_category": F.col("_air.category"),
+            "dominant_pollutant": F.nullif(F.lower("_air.dominantPollutant"), F.lit("")),
+        }
+    ).drop("_indexes", "_air")
+
+
+def add_sentiment(df: DataFrame, answer: str, filled_reviews: Column | str | None = None) -> DataFrame:
     """Score within 0-1, at most three themes, flags as text; NULL below two reviews or without score."""
-    record = parse(salvage_json(answer), SENTIMENT)
-    score = va.clamp(va.to_float(record["sentiment_score"]), 0.0, 1.0)
-    valid = score.isNotNull()
+    parsed = df.withColumn("_rec", parse(salvage_json(answer), SENTIMENT)).withColumn(
+        "sentiment_score", va.clamp(va.to_float("_rec.sentiment_score"), 0.0, 1.0)
+    )
     if filled_reviews is not None:
-        valid = valid & (filled_reviews >= 2)
+        enough = as_col(filled_reviews) >= 2
+        parsed = parsed.withColumn("sentiment_score", F.when(enough, F.col("sentiment_score")))
     empty = F.array().cast("array<string>")
-    return {
-        "sentiment_score": F.when(valid, score),
-        "sentiment_themes": F.when(valid, F.slice(F.coalesce(record["top_themes"], empty), 1, 3)),
-        "red_flags": F.when(valid, F.coalesce(record["red_flags"], empty)),
-        "one_line_summary": F.when(
-            valid, F.nullif(strip(record["one_line_summary"]), F.lit(""))
-        ),
-    }
+    valid = F.col("sentiment_score").isNotNull()
+    return parsed.withColumns(
+        {
+            "sentiment_themes": F.when(
+                valid, F.slice(F.coalesce(F.col("_rec.top_themes"), empty), 1, 3)
+            ),
+            "red_flags": F.when(valid, F.coalesce(F.col("_rec.red_flags"), empty)),
+            "one_line_summary": F.when(
+                valid, F.nullif(strip("_rec.one_line_summary"), F.lit(""))
+            ),
+        }
+    ).drop("_rec")
 
 
 # -- typed records ----------------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gazetta.functions.values import as_col, nullify, strip, to_int
+from gazetta.functions.values import as_col, let, nullify, strip, to_int
 
 # Region codes and their long names, in matching order.
 REGION_CODES = ("NSW", "VIC", "QLD", "WA", "SA", "TAS", "NT", "ACT")
@@ -147,18 +147,16 @@ def price(value: Column | str) -> Column:
 
 def fee_amount(value: Column | str) -> Column:
     """Free-text fee to a number: a range gives its midpoint, else the mean of the first four numbers."""
-    text = F.lower(as_col(value))
+    text = as_col(value)
     dense = F.regexp_replace(text, r"[$,\s]", "")
-    numbers = F.transform(
-        F.slice(F.regexp_extract_all(dense, F.lit(r"(\d+(?:\.\d+)?)"), 1), 1, 4),
-        lambda x: x.try_cast("double"),
-    )
-    total = F.aggregate(numbers, F.lit(0.0), lambda a, x: a + x)
-    ranged = (F.size(numbers) >= 2) & text.contains("-")
-    middle = (F.get(numbers, F.lit(0)) + F.get(numbers, F.lit(1))) / 2
-    return F.when(
-        F.size(numbers) > 0, F.when(ranged, middle).otherwise(total / F.size(numbers))
-    )
+    found = F.slice(F.regexp_extract_all(dense, F.lit(r"(\d+(?:\.\d+)?)"), 1), 1, 4)
+
+    def amount(numbers: Column) -> Column:
+        used = F.when((F.size(numbers) >= 2) & text.contains("-"), F.slice(numbers, 1, 2)).otherwise(numbers)
+        total = F.aggregate(used, F.lit(0.0), lambda a, x: a + x.try_cast("double"))
+        return total / F.nullif(F.size(used), F.lit(0))
+
+    return let(found, amount)
 
 
 def counter(value: Column | str, word: str = "review") -> Column:
@@ -171,7 +169,9 @@ def counter(value: Column | str, word: str = "review") -> Column:
 
 def emails(value: Column | str) -> Column:
     """All e-mail addresses, in order, distinct."""
-    return F.array_distinct(F.regexp_extract_all(as_col(value), F.lit(f"({EMAIL})"), 1))
+    found = F.array_distinct(F.regexp_extract_all(as_col(value), F.lit(f"({EMAIL})"), 1))
+    # most texts have no '@' at all: the plain search spares them the pattern
+    return F.when(as_col(value).contains("@"), found).otherwise(F.array().cast("array<string>"))
 
 
 def mobiles(value: Column | str, pattern: str = MOBILE) -> Column:

@@ -88,10 +88,10 @@ _PHONE = r"\+1 \(\d{3}\) \d{3}-\d{4}"
 )
 def text_extract(spark: SparkSession, sf: str) -> DataFrame:
     """Contacts and codes in the whole text of every document."""
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents").withColumn("mails", tx.emails("text")).select(
         "doc_id",
-        F.size(tx.emails("text")).cast("bigint").alias("n_emails"),
-        F.get(tx.emails("text"), F.lit(0)).alias("first_email"),
+        F.size("mails").cast("bigint").alias("n_emails"),
+        F.get("mails", F.lit(0)).alias("first_email"),
         F.get(tx.mobiles("text", _PHONE), F.lit(0)).alias("first_phone"),
         tx.postcode("text").alias("postcode"),
         tx.postcode("text", "last").alias("last_postcode"),
@@ -445,15 +445,15 @@ def pollen_and_air(spark: SparkSession, sf: str) -> DataFrame:
     world = F.struct(F.lit("UAQI").alias("code"), (k + 1).alias("aqi"), F.lit("universal").alias("category"))
     indexes = F.when(kind == "view", F.array(local)).otherwise(F.array(local, world))
     air = F.to_json(F.struct(indexes.alias("indexes")))
-    made = {**pl.pollen_columns(day), **pl.air_columns(air)}
-    return table(spark, sf, "events").select(
+    raw = table(spark, sf, "events").select("event_id", day.alias("day"), air.alias("air"))
+    return pl.add_air(pl.add_pollen(raw, "day"), "air").select(
         "event_id",
-        made["pollen_grass_index"].cast("bigint").alias("grass"),
-        made["pollen_tree_index"].cast("bigint").alias("tree"),
-        made["pollen_weed_index"].cast("bigint").alias("weed"),
-        made["dominant_pollen_type"].alias("dominant"),
-        made["air_quality_index"].cast("bigint").alias("air_quality_index"),
-        made["air_quality_category"].alias("category"),
+        F.col("pollen_grass_index").cast("bigint").alias("grass"),
+        F.col("pollen_tree_index").cast("bigint").alias("tree"),
+        F.col("pollen_weed_index").cast("bigint").alias("weed"),
+        F.col("dominant_pollen_type").alias("dominant"),
+        F.col("air_quality_index").cast("bigint").alias("air_quality_index"),
+        F.col("air_quality_category").alias("category"),
     )
 
 
@@ -477,13 +477,13 @@ def sentiment(spark: SparkSession, sf: str) -> DataFrame:
             )
         ),
     )
-    made = pl.sentiment_columns(answer, k % 4)
-    return table(spark, sf, "events").select(
+    raw = table(spark, sf, "events").select("event_id", answer.alias("answer"), (k % 4).alias("n"))
+    return pl.add_sentiment(raw, "answer", "n").select(
         "event_id",
-        made["sentiment_score"].alias("score"),
-        F.array_join(made["sentiment_themes"], "|").alias("themes"),
-        F.array_join(made["red_flags"], "|").alias("flags"),
-        made["one_line_summary"].alias("summary"),
+        F.col("sentiment_score").alias("score"),
+        F.array_join("sentiment_themes", "|").alias("themes"),
+        F.array_join("red_flags", "|").alias("flags"),
+        F.col("one_line_summary").alias("summary"),
     )
 
 
