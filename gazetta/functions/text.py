@@ -100,10 +100,13 @@ def region_code(
     value: Column | str,
     codes: Sequence[str] = REGION_CODES,
     names: Sequence[tuple[str, str]] = REGION_NAMES,
+    any_case: bool = False,
 ) -> Column:
     """Short code as a word, else the first long name contained; NULL if neither."""
     text = as_col(value)
-    code = F.nullif(F.regexp_extract(text, rf"\b({'|'.join(codes)})\b", 1), F.lit(""))
+    flag = "(?i)" if any_case else ""
+    found = F.regexp_extract(text, rf"{flag}\b({'|'.join(codes)})\b", 1)
+    code = F.nullif(F.upper(found), F.lit(""))
     low = F.lower(text)
     by_name = F.lit(None).cast("string")
     for name, short in reversed(names):

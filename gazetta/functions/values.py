@@ -86,9 +86,10 @@ def fill_sentinel(
 
 
 def first_filled(*values: Column | str, zero_is_blank: bool = False) -> Column:
-    """First value that is not NULL, empty text or (optionally) zero."""
-    empty = F.lit(0) if zero_is_blank else F.lit("")
-    return F.coalesce(*[F.nullif(as_col(v), empty) for v in values])
+    """First value that is not NULL or empty text; with ``zero_is_blank`` not zero, unless it is the last."""
+    if zero_is_blank:
+        return F.coalesce(*[F.nullif(as_col(v), F.lit(0)) for v in values[:-1]], as_col(values[-1]))
+    return F.coalesce(*[F.nullif(as_col(v), F.lit("")) for v in values])
 
 
 def count_filled(*values: Column | str) -> Column:

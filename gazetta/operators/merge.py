@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazetta.functions import values as va
-from gazetta.operators.dedupe import keep_first, keep_last, number_rows
+from gazetta.operators.dedupe import BLOCK, keep_first, keep_last, number_rows
 
 
 def _last_updates(updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -83,9 +83,11 @@ def fill_gaps(
     blanks: Sequence[str] = va.BLANKS["gaps"],
     always: Sequence[str] = (),
     stamp: tuple[str, Column] | None = None,
+    null_is_gap: bool = True,
 ) -> DataFrame:
     """Updates apply where the target is blank; ``always`` columns take any filled update.
 
+    Without ``null_is_gap`` only the sentinels are gaps, a NULL stays NULL.
     ``stamp`` = (column, value) marks only rows that really changed.
     """
     named, cols = _prefixed(updates, keys)
@@ -95,7 +97,7 @@ def fill_gaps(
         if c in keys or c not in cols:
             continue
         filled = ~va.is_blank(f"_u_{c}", blanks)
-        gap = va.is_blank(c, blanks)
+        gap = va.is_blank(c, blanks) if null_is_gap else va.is_blank(c, blanks) & F.col(c).isNotNull()
         new[c] = F.when(filled if c in always else filled & gap, F.col(f"_u_{c}")).otherwise(F.col(c))
     out = {c: new.get(c, F.col(c)) for c in target.columns}
     if stamp:
@@ -130,7 +132,7 @@ def natural_key_upsert(
     top = target.agg(
         F.coalesce(F.max(F.regexp_extract(ident, r"(\d+)$", 1).try_cast("bigint")), F.lit(0)).alias("_top")
     )
-    numbered = number_rows(fresh, [], [order], "_n").join(F.broadcast(top))
+    numbered = number_rows(fresh, [], [order], "_n", block=BLOCK).join(F.broadcast(top))
     made = numbered.withColumn(
         ident, F.format_string(pattern, (F.col("_n") + F.col("_top")).cast("bigint"))
     ).withColumn(natural, F.col("_k"))
