@@ -61,8 +61,8 @@ def haversine_km(lat1: Column | str, lng1: Column | str, lat2: Column | str, lng
 def drive_minutes(km: Column | str, speed: float = 75.0) -> Column:
     """Minutes at the given speed, at least 5, 0 for no distance."""
     col = as_col(km)
-    return F.when(col <= 0, F.lit(0).cast("bigint")).otherwise(
-        F.greatest(F.lit(5).cast("bigint"), va.round_int(col / speed * 60))
+    return F.when(col <= 0, F.lit(0).cast("bigint")).when(
+        col > 0, F.greatest(F.lit(5).cast("bigint"), va.round_int(col / speed * 60))
     )
 
 
