@@ -233,5 +233,9 @@ def key_union(*frames: DataFrame) -> DataFrame:
 
 
 def not_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not known yet."""
-    return df.join(known.select(*keys), list(keys), "left_anti")
+    """Rows whose key is not known yet.
+
+    The known keys are made distinct first: copies combine on the map side, so a
+    key with very many copies is no hot spot, and the join reuses the exchange.
+    """
+    return df.join(known.select(*keys).distinct(), list(keys), "left_anti")

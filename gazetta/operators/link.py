@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gazetta.functions.similarity import key_ratio
 from gazetta.functions.text import token_key
-from gazetta.operators.dedupe import carry_forward
+from gazetta.operators.dedupe import carry_forward, not_known
 from gazetta.session import pin
 
 # -- keys -------------------------------------------------------------------
@@ -36,12 +36,12 @@ def overlay(base: DataFrame, top: DataFrame, key: str, order: str, filled) -> Da
 
 def members(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with a partner (FK survivors, cascade delete)."""
-    return df.join(other.select(*keys), list(keys), "left_semi")
+    return df.join(other.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def orphans(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows without a partner (FK violations, unmatched, not yet processed)."""
-    return df.join(other.select(*keys), list(keys), "left_anti")
+    return not_known(df, other, keys)
 
 
 def flag_members(df: DataFrame, other: DataFrame, key: Column, other_key: Column, out: str) -> DataFrame:
@@ -416,6 +416,34 @@ def containment_pairs(
     return pairs
 
 
+def _texts(df: DataFrame, block: Sequence[str], text: str) -> DataFrame:
+    """Lower-case text and NULL-safe block columns beside the frame's own."""
+    safe = {f"_{b}": F.coalesce(F.col(b), F.lit("")) for b in block}
+    return df.withColumns({**safe, "_text": F.lower(text)})
+
+
+def containment_links(
+    owners: DataFrame,
+    items: DataFrame,
+    block: Sequence[str],
+    owner_text: str,
+    item_text: str,
+    item_id: str,
+    both_ways: bool = True,
+) -> DataFrame:
+    """One row per distinct owner text and item it contains or is contained in.
+
+    Texts are compared in lower case, NULL block values match each other.  The
+    columns are the block columns with a leading '_', ``_text`` and ``item_id``.
+    """
+    on = [f"_{b}" for b in block]
+    own = _texts(owners, block, owner_text)
+    itm = _texts(items, block, item_text).filter(F.length("_text") > 0)
+    itm = itm.select(*on, F.col("_text").alias("_item"), item_id)
+    pairs = containment_pairs(own, itm, on, "_text", "_item", both_ways)
+    return pairs.join(itm, [*on, "_item"], "inner").select(*on, "_text", item_id).distinct()
+
+
 def containment_align(
     owners: DataFrame,
     items: DataFrame,
@@ -426,26 +454,15 @@ def containment_align(
     out: str = "aligned_ids",
     both_ways: bool = True,
 ) -> DataFrame:
-    """Owners with the sorted array of item ids their text contains or is contained in.
+    """Owners with the sorted array of the item ids of :func:`containment_links`.
 
-    Texts are compared in lower case, NULL block values match each other.  The
-    array is built once per distinct owner text, then joined to the owners.
+    The array is one value of the owner table and built once per distinct owner
+    text.  Where one owner may align with very many items, use the links.
     """
-    safe = {b: F.coalesce(F.col(b), F.lit("")) for b in block}
-    own = owners.withColumns({f"_{b}": c for b, c in safe.items()}).withColumn(
-        "_own", F.lower(owner_text)
-    )
-    itm = items.select(
-        *[c.alias(f"_{b}") for b, c in safe.items()],
-        F.lower(item_text).alias("_item"),
-        F.col(item_id).alias("_id"),
-    ).filter(F.length("_item") > 0)
     on = [f"_{b}" for b in block]
-    pairs = containment_pairs(own, itm, on, "_own", "_item", both_ways)
-    ids = pairs.join(itm, [*on, "_item"], "inner").groupBy(*on, "_own").agg(
-        F.array_sort(F.collect_set("_id")).alias(out)
-    )
+    links = containment_links(owners, items, block, owner_text, item_text, item_id, both_ways)
+    ids = links.groupBy(*on, "_text").agg(F.array_sort(F.collect_list(item_id)).alias(out))
     empty = F.array().cast(ids.schema[out].dataType)
-    joined = own.join(ids, [*on, "_own"], "left")
+    joined = _texts(owners, block, owner_text).join(ids, [*on, "_text"], "left")
     return joined.select(*owners.columns, F.coalesce(out, empty).alias(out))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazetta.functions import values as va
-from gazetta.operators.dedupe import BLOCK, keep_first, keep_last, number_rows
+from gazetta.operators.dedupe import BLOCK, keep_first, keep_last, not_known, number_rows
 
 
 def _last_updates(updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -54,7 +54,7 @@ def insert_only(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Rows to append: first update row per key that the target does not have yet."""
-    return keep_first(updates, keys, order).join(target.select(*keys), list(keys), "left_anti")
+    return not_known(keep_first(updates, keys, order), target, keys)
 
 
 def insert_report(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -128,13 +128,11 @@ def natural_key_upsert(
     cols = [c for c in updates.columns if c not in (ident, natural, order)]
     patched = patch_non_null(tgt, upd.select("_k", *cols), ["_k"]).drop("_k")
     fresh = upd.join(tgt.select("_k"), "_k", "left_anti")
-    # the target's highest number is one row, joined to every new row
-    top = target.agg(
-        F.coalesce(F.max(F.regexp_extract(ident, r"(\d+)$", 1).try_cast("bigint")), F.lit(0)).alias("_top")
-    )
-    numbered = number_rows(fresh, [], [order], "_n", block=BLOCK).join(F.broadcast(top))
+    highest = F.max(F.regexp_extract(ident, r"(\d+)$", 1).try_cast("bigint"))
+    top = target.agg(F.coalesce(highest, F.lit(0))).scalar()
+    numbered = number_rows(fresh, [], [order], "_n", block=BLOCK)
     made = numbered.withColumn(
-        ident, F.format_string(pattern, (F.col("_n") + F.col("_top")).cast("bigint"))
+        ident, F.format_string(pattern, (F.col("_n") + top).cast("bigint"))
     ).withColumn(natural, F.col("_k"))
     return patched.unionByName(made.select(*[c for c in target.columns if c in made.columns]), allowMissingColumns=True)
 
@@ -198,4 +196,5 @@ def period_key(ts: Column | str, zone: str = "Australia/Sydney", unit: str = "MM
 
 def cascade_delete(parents: DataFrame, children: Mapping[str, DataFrame], keys: Sequence[str]) -> dict[str, DataFrame]:
     """Child tables without the rows whose parent is gone."""
-    return {n: c.join(parents.select(*keys), list(keys), "left_semi") for n, c in children.items()}
+    kept = parents.select(*keys).distinct()
+    return {n: c.join(kept, list(keys), "left_semi") for n, c in children.items()}

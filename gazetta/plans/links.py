@@ -70,9 +70,11 @@ def members(spark: SparkSession, sf: str) -> DataFrame:
 )
 def foreign_keys(spark: SparkSession, sf: str) -> DataFrame:
     def both(name: str, child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-        bad = link.orphans(child, parent, [key]).agg(F.count("*").alias("violations"))
-        good = link.members(child, parent, [key]).agg(F.count("*").alias("survivors"))
-        return bad.join(F.broadcast(good)).select(F.lit(name).alias("child"), "violations", "survivors")
+        bad = link.orphans(child, parent, [key]).select(F.lit(True).alias("bad"))
+        good = link.members(child, parent, [key]).select(F.lit(False).alias("bad"))
+        return bad.unionByName(good).agg(
+            F.lit(name).alias("child"), F.count_if("bad").alias("violations"), F.count_if(~F.col("bad")).alias("survivors")
+        )
 
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
     lines = both("lineitem", table(spark, sf, "lineitem").select("l_orderkey"), orders, "l_orderkey")
@@ -98,16 +100,15 @@ def fan_out(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "array_fk_owner",
-    """SELECT l_suppkey AS member_id, MIN(l_orderkey) AS owner_id FROM lineitem GROUP BY 1""",
+    """SELECT word AS member_id, MIN(doc_id) AS owner_id, arg_min(lang, doc_id) AS lang
+       FROM (SELECT doc_id, lang, unnest(string_split(lower(text), ' ')) AS word FROM documents) GROUP BY 1""",
 )
 def array_fk_owner(spark: SparkSession, sf: str) -> DataFrame:
-    """An order's suppliers as an array (a handful per order), then the first order per supplier."""
-    owners = (
-        table(spark, sf, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("owner_id"))
-        .agg(F.array_sort(F.collect_set("l_suppkey")).alias("ids"))
+    """Every document lists its words; a word belongs to the first document that has it."""
+    owners = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("owner_id"), "lang", F.array_distinct(F.split(F.lower("text"), " ")).alias("ids")
     )
-    return link.array_owner(owners, "ids", "owner_id", [])
+    return link.array_owner(owners, "ids", "owner_id", ["lang"])
 
 
 @query(
@@ -324,6 +325,18 @@ def containment_align(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "containment_links",
+    """SELECT DISTINCT o.p_brand, lower(o.p_type) AS kind, i.p_partkey
+       FROM part o JOIN part i ON i.p_brand = o.p_brand
+            AND (contains(lower(i.p_name), lower(o.p_type)) OR contains(lower(o.p_type), lower(i.p_name)))""",
+)
+def containment_links(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part")
+    out = link.containment_links(part, part, ["p_brand"], "p_type", "p_name", "p_partkey")
+    return out.select(F.col("_p_brand").alias("p_brand"), F.col("_text").alias("kind"), "p_partkey")
+
+
 @query(
     "containment_pairs",
     """SELECT DISTINCT d.lang, b.word, d.text_id FROM

@@ -363,7 +363,7 @@ def stream_insert_only_table(spark: SparkSession, sf: str) -> DataFrame:
     stream = _event_stream(spark, sf).select("user_id", F.to_date("ts").alias("day"), "event_id")
     root = work_path(spark, "stream-table")
     run = keyed.stream_insert_only_table(
-        stream, ["user_id", "day"], ["event_id"], root, work_path(spark, "stream-state")
+        stream, ["user_id"], "day", ["event_id"], root, work_path(spark, "stream-state")
     )
     run.awaitTermination()
     return spark.read.parquet(root).select("user_id", va.date_text("day").alias("day"), "event_id")
@@ -379,4 +379,5 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     root = work_path(spark, "stream-upsert")
     run = keyed.stream_upsert(stream, ["user_id"], "event_id", root, work_path(spark, "stream-state"))
     run.awaitTermination()
-    return tables.read_table(spark, root)
+    keyed.compact(spark, root, ["user_id"])
+    return keyed.read_upserted(spark, root, ["user_id"])

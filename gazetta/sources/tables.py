@@ -22,13 +22,13 @@ _VERSIONS = T.StructType(
 )
 
 
-def _folder(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
 def exists(spark: SparkSession, root: str) -> bool:
-    fs, path = _folder(spark, f"{root}/versions")
+    fs, path = file_system(spark, f"{root}/versions")
     return fs.exists(path)
 
 
@@ -36,16 +36,17 @@ def versions(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(_VERSIONS).parquet(f"{root}/versions")
 
 
-def current(spark: SparkSession, root: str) -> tuple[int, str | None]:
-    """Latest version and its folder; (0, None) for a new table."""
+def current(spark: SparkSession, root: str) -> tuple[int, str | None, str | None]:
+    """Latest version, its folder and batch; (0, None, None) for a new table."""
     if not exists(spark, root):
-        return 0, None
-    row = versions(spark, root).agg(F.max(F.struct("version", "path")).alias("v")).first()["v"]
-    return (row["version"], row["path"]) if row else (0, None)
+        return 0, None, None
+    latest = F.max(F.struct("version", "path", "batch")).alias("v")
+    row = versions(spark, root).agg(latest).first()["v"]
+    return (row["version"], row["path"], row["batch"]) if row else (0, None, None)
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame:
-    _, path = current(spark, root)
+    _, path, _ = current(spark, root)
     if path is None:
         raise FileNotFoundError(root)
     return spark.read.parquet(path)
@@ -54,16 +55,10 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
 def write_table(df: DataFrame, root: str, batch: str | None = None, partition_by: tuple[str, ...] = ()) -> int:
     """Write a new version and publish it; returns its number."""
     spark = df.sparkSession
-    number, _ = current(spark, root)
+    number, _, _ = current(spark, root)
     path = f"{root}/data/{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     entry = spark.createDataFrame([(number + 1, path, batch)], _VERSIONS)
     entry.coalesce(1).write.mode("append").parquet(f"{root}/versions")
     return number + 1
 
-
-def has_batch(spark: SparkSession, root: str, batch: str) -> bool:
-    """Was this batch already published?"""
-    if not exists(spark, root):
-        return False
-    return not versions(spark, root).filter(F.col("batch") == batch).isEmpty()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gazetta.operators.dedupe import keep_first
+from gazetta.operators.dedupe import keep_first, keep_last, not_known
 from gazetta.operators.merge import upsert
 from gazetta.sources import tables
 
@@ -38,50 +38,70 @@ def stream_insert_only(
 
 
 def stream_insert_only_table(
-    stream: DataFrame, keys: Sequence[str], order: Sequence[str], root: str, checkpoint: str
+    stream: DataFrame, keys: Sequence[str], period: str, order: Sequence[str], root: str, checkpoint: str
 ) -> StreamingQuery:
     """The same against the table itself: no late rows, and a crowded key is cut down before the shuffle.
 
-    Every micro-batch writes its own folder, replacing it on a replay.
+    Every micro-batch writes its own folder, replacing it on a replay.  Only
+    the periods a batch touches are looked up in the earlier folders.
     """
+    by = [*keys, period]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = keep_first(batch, keys, order)
+        new = keep_first(batch, by, order)
         if _is_written(spark, root):
             table = spark.read.schema(T.StructType([*batch.schema, _BATCH])).parquet(root)
-            known = table.filter(F.col(_BATCH.name) < batch_id).select(*keys)
-            new = new.join(known, list(keys), "left_anti")
-        new.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+            span = batch.agg(F.min(period).alias("low"), F.max(period).alias("high")).first()
+            known = table.filter(
+                (F.col(_BATCH.name) < batch_id) & F.col(period).between(span["low"], span["high"])
+            )
+            new = not_known(new, known, by)
+        new.write.mode("overwrite").parquet(f"{root}/{_BATCH.name}={batch_id}")
 
     return _for_each(stream, write, checkpoint)
 
 
 def _is_written(spark: SparkSession, path: str) -> bool:
-    fs, folder = tables._folder(spark, path)
+    fs, folder = tables.file_system(spark, path)
     return fs.exists(folder)
 
 
 def stream_upsert(
     stream: DataFrame, keys: Sequence[str], order: str, root: str, checkpoint: str
 ) -> StreamingQuery:
-    """Upsert every micro-batch into a versioned table; a replayed batch is a no-op."""
+    """Upsert every micro-batch: the last row per key goes to the batch's own folder.
+
+    The work of a batch grows with the batch, not with the table; a replayed
+    batch replaces its folder.  :func:`read_upserted` gives the table,
+    :func:`compact` folds the batches into a new version of it.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        tag = f"{checkpoint}#{batch_id}"
-        if tables.has_batch(spark, root, tag):
-            return
-        if tables.exists(spark, root):
-            merged = upsert(tables.read_table(spark, root), batch, keys, [order])
-        else:
-            empty = batch.drop(order).limit(0)
-            merged = upsert(empty, batch, keys, [order])
-        tables.write_table(merged, root, tag)
+        last = keep_last(batch, keys, [order]).drop(order)
+        last.write.mode("overwrite").parquet(f"{root}/log/{_BATCH.name}={batch_id}")
 
     return _for_each(stream, write, checkpoint)
 
 
+def read_upserted(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """Latest version of the table with all later batches applied in order."""
+    done, base = -1, None
+    if tables.exists(spark, root):
+        done, base = int(tables.current(spark, root)[2]), tables.read_table(spark, root)
+    if not _is_written(spark, f"{root}/log"):
+        return base
+    log = spark.read.parquet(f"{root}/log").filter(F.col(_BATCH.name) > done)
+    last = keep_last(log, keys, [_BATCH.name]).drop(_BATCH.name)
+    return last if base is None else upsert(base, last, keys)
+
+
+def compact(spark: SparkSession, root: str, keys: Sequence[str]) -> int:
+    """Publish the current state as a new version; returns its number."""
+    last = spark.read.parquet(f"{root}/log").agg(F.max(_BATCH.name)).first()[0]
+    return tables.write_table(read_upserted(spark, root, keys), root, str(last))
+
+
 def _for_each(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
@@ -103,6 +123,6 @@ def process_pending(
     spark = work.sparkSession
     todo = work
     if _is_written(spark, done_path):
-        todo = work.join(spark.read.parquet(done_path).select(*keys), list(keys), "left_anti")
+        todo = not_known(work, spark.read.parquet(done_path), keys)
     step(todo).write.mode("append").parquet(done_path)
     return spark.read.parquet(done_path)

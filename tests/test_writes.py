@@ -208,14 +208,14 @@ def test_outcome_log(spark, tmp_path):
 
 def test_versioned_table(spark):
     root = work_path(spark, "table")
-    assert tables.current(spark, root) == (0, None)
+    assert tables.current(spark, root) == (0, None, None)
     with pytest.raises(FileNotFoundError):
         tables.read_table(spark, root)
     assert tables.write_table(spark.range(3), root, "b1") == 1
     first = tables.read_table(spark, root)
     assert tables.write_table(first.filter("id > 0"), root) == 2
     assert tables.read_table(spark, root).count() == 2 and first.count() == 3
-    assert tables.has_batch(spark, root, "b1") and not tables.has_batch(spark, root, "b2")
+    assert [r["batch"] for r in tables.versions(spark, root).orderBy("version").collect()] == ["b1", None]
 
 
 def test_shared_dir_is_the_named_one(spark):
@@ -257,7 +257,7 @@ def test_stream_insert_only(spark, folder, tmp_path):
 
 def test_stream_insert_only_table_and_resume(spark, folder, tmp_path):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    run = lambda: keyed.stream_insert_only_table(source(spark, folder), ["k", "day"], ["seq"], out, state).awaitTermination()
+    run = lambda: keyed.stream_insert_only_table(source(spark, folder), ["k"], "day", ["seq"], out, state).awaitTermination()
     run()
     feed(spark, folder, "f3", [("b", D[0], 9, "late copy"), ("b", D[1], 10, "new")])
     run()
@@ -270,11 +270,19 @@ def test_stream_upsert_equals_batch_and_replay_is_a_no_op(spark, folder, tmp_pat
     root, state = str(tmp_path / "table"), str(tmp_path / "state")
     stream = source(spark, folder).select("k", "v", "seq")
     keyed.stream_upsert(stream, ["k"], "seq", root, state).awaitTermination()
-    assert as_set(tables.read_table(spark, root)) == {("a", "p"), ("b", "z"), ("c", "q")}
-    number, _ = tables.current(spark, root)
-    assert tables.has_batch(spark, root, f"{state}#0")
+    want = {("a", "p"), ("b", "z"), ("c", "q")}
+    assert as_set(keyed.read_upserted(spark, root, ["k"])) == want
+    assert keyed.compact(spark, root, ["k"]) == 1
+    assert as_set(keyed.read_upserted(spark, root, ["k"])) == want == as_set(tables.read_table(spark, root))
+    keyed.stream_upsert(stream, ["k"], "seq", root, state).awaitTermination()  # nothing new
+    feed(spark, folder, "f3", [("b", D[2], 7, "late"), ("d", D[2], 8, "new")])
     keyed.stream_upsert(stream, ["k"], "seq", root, state).awaitTermination()
-    assert tables.current(spark, root)[0] == number
+    # a replay of a compacted batch changes nothing
+    spark.createDataFrame([("a", "replayed")], "k string, v string").write.mode("overwrite").parquet(f"{root}/log/batch=0")
+    want = {("a", "p"), ("b", "late"), ("c", "q"), ("d", "new")}
+    assert as_set(keyed.read_upserted(spark, root, ["k"])) == want
+    assert keyed.compact(spark, root, ["k"]) == 2
+    assert as_set(tables.read_table(spark, root)) == want
 
 
 def test_process_pending(spark, tmp_path):
