@@ -261,6 +261,8 @@ def best_keys(
             best = pin(best)
             rest = pin(rest.join(best, [*on, "lkey"], "left_anti"))
         done.append(best)
+        if score != threshold and rest.isEmpty():
+            break
     return reduce(lambda x, y: x.unionByName(y), done)
 
 

@@ -7,10 +7,19 @@ from pyspark.sql import functions as F
 
 from gazetta.functions import urls as ur
 from gazetta.functions import values as va
-from gazetta.operators import pages as pg
 from gazetta.plans import celebrants, councils, destinations, influencers, venues
-from gazetta.plans.links import EDITED, PAIR_SCORES, edited_name
+from gazetta.plans.links import (
+    CUSTOMER_POINTS,
+    EDITED,
+    LCS,
+    PAIR_SCORES,
+    SUPPLIER_POINTS,
+    edited_name,
+    km_sql,
+    sorted_key,
+)
 from gazetta.plans.registry import query, table
+from gazetta.plans.webpages import LINK_HOST, LINKS, PAGE_HOST
 
 V = va.VERIFY_REQUIRED
 
@@ -301,7 +310,20 @@ def council_directory(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "article_content",
-    None,
+    f"""WITH {LINKS},
+    shaped AS (SELECT *, lower(regexp_extract(link, '(?i)^https?://[^/?#]*([^?#]*)', 1)) AS path FROM resolved),
+    slugged AS (SELECT *, regexp_extract(regexp_replace(path, '/+$', ''), '([^/]*)$', 1) AS slug FROM shaped),
+    good AS (SELECT * FROM slugged WHERE length(text) >= 12 AND {LINK_HOST} = {PAGE_HOST}
+             AND NOT regexp_matches(path, '/about|/contact|/privacy|/tag/|/page/|/author/|/login')
+             AND regexp_replace(link, '/+$', '') <> regexp_replace(url, '/+$', '') AND slug NOT IN ('', 'blog', 'category', 'archives')
+             AND (contains(path, '/20') OR contains(path, '/blog') OR length(slug) > 14)),
+    firsts AS (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY page_id, link ORDER BY pos) = 1),
+    ranked AS (SELECT *, 'INF-' || page_id AS source_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS place FROM firsts QUALIFY place <= 10),
+    fresh AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY link ORDER BY source_id, place) = 1)
+    SELECT printf('CONT-%s-%03d', source_id, 1 + row_number() OVER (PARTITION BY source_id ORDER BY place)) AS content_id, source_id,
+           substr(text, 1, 500) AS title, link AS url,
+           regexp_matches(lower(text), 'cancel|weather|risk|permit|vendor|supplier|fail|rain|backup|insurance|cost|outdoor|policy|disaster|emergency') AS insurance_relevant
+    FROM fresh WHERE link NOT IN (SELECT url FROM pages)""",
 )
 def article_content(spark: SparkSession, sf: str) -> DataFrame:
     """Article rows of every page's site, none known yet."""
@@ -381,7 +403,19 @@ def register_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "service_rows",
-    None,
+    f"""WITH {CUSTOMER_POINTS}, {SUPPLIER_POINTS},
+    near AS (SELECT p.c_custkey, arg_min(s.s_suppkey, (round({km_sql('p', 's')}, 6), s.s_suppkey)) AS k,
+                    CAST(round_even(MIN({km_sql('p', 's')}), 0) AS BIGINT) AS km FROM pts p, sup s GROUP BY 1),
+    pairs AS (SELECT l.lk, r.rk FROM (SELECT DISTINCT lower(c_mktsegment) AS lk FROM customer) l,
+                                     (SELECT DISTINCT {sorted_key('p_name')} AS rk FROM part) r),{LCS},
+    firsts AS (SELECT p_brand, {sorted_key('p_name')} AS rk, MIN(p_partkey) AS rid FROM part GROUP BY ALL),
+    best AS (SELECT f.p_brand, s.lk, arg_max(f.rid, (s.score, -f.rid)) AS rid FROM scores s JOIN firsts f USING (rk) WHERE s.score >= 55 GROUP BY ALL)
+    SELECT c.c_custkey AS destination_id, 'Brand#' || (c.c_nationkey + 1) AS state_code, s.s_name AS nearest_airport_name,
+           'A' || n.k AS nearest_airport_iata, CASE WHEN c.c_custkey % 2 = 0 THEN n.km ELSE 12 END AS nearest_airport_distance_km,
+           CASE WHEN n.km <= 0 THEN 0 ELSE greatest(5, CAST(round_even(n.km / 75.0 * 60, 0) AS BIGINT)) END AS nearest_airport_drive_mins,
+           TRUE AS rideshare_available, COALESCE(p.p_partkey || '|' || p.p_name, '') AS celebrant_crossref, 'medium' AS data_confidence
+    FROM customer c JOIN near n USING (c_custkey) JOIN supplier s ON s.s_suppkey = n.k
+    LEFT JOIN best b ON b.p_brand = 'Brand#' || (c.c_nationkey + 1) AND b.lk = lower(c.c_mktsegment) LEFT JOIN part p ON p.p_partkey = b.rid""",
 )
 def service_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as destinations, suppliers as airports, parts as celebrants of the same region."""
@@ -418,11 +452,3 @@ def service_rows(spark: SparkSession, sf: str) -> DataFrame:
     return destinations.service_rows(dest, air, answers, cel)
 
 
-@query(
-    "page_documents",
-    None,
-)
-def page_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Scraped-document records of every page."""
-    pages = pg.page_text(table(spark, sf, "pages"))
-    return pages.select(F.col("url").alias("source_url"), "title", "body_text")

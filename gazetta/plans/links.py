@@ -187,10 +187,7 @@ def sorted_key(sql: str) -> str:
 
 
 # Longest common subsequence row by row: the table row is a list, folded over the left string.
-PAIR_SCORES = f"""
-named AS (SELECT *, {sorted_key(EDITED)} AS lk, {sorted_key('p_name')} AS rk FROM part),
-pairs AS (SELECT l.lk, r.rk FROM (SELECT DISTINCT lk FROM named) l, (SELECT DISTINCT rk FROM named) r
-          WHERE l.lk <> '' AND r.rk <> ''),
+LCS = """
 lcs AS (SELECT lk, rk, list_reduce(
             string_split(lk, ''),
             lambda row, ch: list_reduce(
@@ -199,6 +196,10 @@ lcs AS (SELECT lk, rk, list_reduce(
                 [CAST(0 AS BIGINT)]),
             list_transform(range(0, length(rk) + 1), lambda i: CAST(0 AS BIGINT))) AS last FROM pairs),
 scores AS (SELECT lk, rk, CAST(round_even(200.0 * last[len(last)] / (length(lk) + length(rk)), 0) AS BIGINT) AS score FROM lcs)"""
+PAIR_SCORES = f"""
+named AS (SELECT *, {sorted_key(EDITED)} AS lk, {sorted_key('p_name')} AS rk FROM part),
+pairs AS (SELECT l.lk, r.rk FROM (SELECT DISTINCT lk FROM named) l, (SELECT DISTINCT rk FROM named) r
+          WHERE l.lk <> '' AND r.rk <> ''),{LCS}"""
 
 
 @query(
