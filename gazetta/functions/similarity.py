@@ -9,10 +9,12 @@ Python integers beyond.
 
 from __future__ import annotations
 
+import sys
 from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,9 @@ from pyspark.sql import types as T
 from gazetta.functions.text import token_key
 from gazetta.functions.values import as_col
 
+# The kernels travel with their tasks: workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _WORD = 62
 
 

@@ -124,19 +124,11 @@ _OTHER_SHARE = 0.3
 _NAME_LENGTH = 12.0
 
 
-def _signatures(df: DataFrame, key: str, score: int, block: Sequence[str]) -> DataFrame:
-    """Hashes of character combinations that two names scoring ``score`` must share.
-
-    A score needs a common subsequence of at least ``c`` characters, hence ``c``
-    shared character occurrences.  With occurrences in one global order (rarest
-    first), the first ``len - c + depth`` of both names share ``depth`` of them
-    (prefix filter).  Each combination of that size becomes one hash.  Names too
-    short to guarantee ``depth`` shared characters are matched on single ones,
-    in classes of their own (short-short, short-long, long-short).
-    """
-    depth = 3 if score >= 80 else 2
-    limit = score - 0.5
-    share = limit / (200.0 - limit)
+_LOOSE_BELOW = 40
+
+
+def _rarest_first(key: Column) -> Column:
+    """Character occurrences ('e1', 'e2', 'q1' ...) of a key in one global order, the most telling first."""
     rarity = F.create_map(
         *[
             F.lit(x)
@@ -145,10 +137,9 @@ def _signatures(df: DataFrame, key: str, score: int, block: Sequence[str]) -> Da
         ]
     )
     other = 1.0 - (1.0 - _OTHER_SHARE / 100.0) ** _NAME_LENGTH
-    k = F.col(key)
 
     def occurrences(ch: Column) -> Column:
-        n = F.length(k) - F.length(F.replace(k, ch, F.lit("")))
+        n = F.length(key) - F.length(F.replace(key, ch, F.lit("")))
         return F.transform(
             F.sequence(F.lit(1), n),
             lambda i: F.struct(
@@ -157,59 +148,70 @@ def _signatures(df: DataFrame, key: str, score: int, block: Sequence[str]) -> Da
             ),
         )
 
-    tokens = F.transform(
-        F.array_sort(F.flatten(F.transform(F.array_distinct(F.split(k, "")), occurrences))),
-        lambda x: x["t"],
+    every = F.flatten(F.transform(F.array_distinct(F.split(key, "")), occurrences))
+    return F.transform(F.array_sort(every), lambda x: x["t"])
+
+
+def _combinations(tokens: Column, depth: Column, *salt: Column) -> Column:
+    """Hashes of all combinations of ``depth`` (1 to 3) tokens."""
+
+    def tail(i: Column) -> Column:
+        return F.slice(tokens, i + 2, F.size(tokens))
+
+    one = F.transform(tokens, lambda a: F.xxhash64(*salt, a))
+    two = F.flatten(
+        F.transform(tokens, lambda a, i: F.transform(tail(i), lambda b: F.xxhash64(*salt, a, b)))
     )
-    common = F.ceil(F.length(k) * F.lit(share) - F.lit(1e-9)).cast("int")
-    base = df.select(
-        *block, key, tokens.alias("_tok"), common.alias("_c"), F.length(k).alias("_len")
-    ).withColumn("_short", F.col("_c") < depth)
-
-    def prefix(size: int) -> Column:
-        return F.slice(F.col("_tok"), F.lit(1), F.col("_len") - F.col("_c") + F.lit(size))
-
-    base = base.withColumns({"_p1": prefix(1), "_pn": prefix(depth)})
-    singles = F.transform("_p1", lambda t: F.xxhash64(t))
-    toks = F.col("_pn")
-    if depth == 2:
-        combos = F.flatten(
+    three = F.flatten(
+        F.flatten(
             F.transform(
-                toks,
+                tokens,
                 lambda a, i: F.transform(
-                    F.slice(toks, i + 2, F.size(toks)), lambda b: F.xxhash64(a, b)
+                    tail(i),
+                    lambda b, j: F.transform(tail(i + j + 1), lambda c: F.xxhash64(*salt, a, b, c)),
                 ),
             )
         )
-    else:
-        combos = F.flatten(
-            F.flatten(
-                F.transform(
-                    toks,
-                    lambda a, i: F.transform(
-                        F.slice(toks, i + 2, F.size(toks)),
-                        lambda b, j: F.transform(
-                            F.slice(toks, i + j + 3, F.size(toks)), lambda c: F.xxhash64(a, b, c)
-                        ),
-                    ),
-                )
-            )
-        )
-    return base.select(*block, key, "_short", singles.alias("_one"), combos.alias("_many"))
+    )
+    return F.when(depth == 1, one).when(depth == 2, two).otherwise(three)
 
 
 def _signature_rows(df: DataFrame, key: str, score: int, block: Sequence[str], right: bool) -> DataFrame:
-    sig = _signatures(df, key, score, block)
-    # class of a pair: left size, then right size
-    with_short = F.when(F.col("_short"), "SS").otherwise("SL" if right else "LS")
-    with_long = F.when(F.col("_short"), "LS" if right else "SL")
-    rows = F.concat(
-        F.transform("_one", lambda h: F.struct(with_short.alias("cls"), h.alias("h"))),
-        F.when(
-            F.col("_short"), F.transform("_one", lambda h: F.struct(with_long.alias("cls"), h.alias("h")))
-        ).otherwise(F.transform("_many", lambda h: F.struct(F.lit("LL").alias("cls"), h.alias("h")))),
-    )
-    return sig.select(*block, key, F.explode(rows).alias("_s")).select(*block, key, "_s.cls", "_s.h")
+    """Hashes that two names scoring at least ``score`` must have in common.
+
+    For two lengths the score needs a common subsequence of at least ``c``
+    characters, hence ``c`` shared character occurrences.  With occurrences in
+    one global order the first ``len - c + depth`` of both names then share at
+    least ``depth`` (prefix filter).  A name emits, for every partner length the
+    score allows, the combinations of that size together with both lengths: the
+    exact ``c`` keeps the prefixes short and the combinations make them rare.
+    Below ``_LOOSE_BELOW`` nearly every length is allowed; there single
+    occurrences under the weakest ``c`` are used, without lengths.
+    """
+    limit = score - 0.5
+    share = limit / (200.0 - limit)
+    size = F.length(key)
+    base = df.select(*block, key, size.alias("_len"), _rarest_first(F.col(key)).alias("_tok"))
+    if score < _LOOSE_BELOW:
+        weakest = F.ceil(F.col("_len") * F.lit(share) - F.lit(1e-9)).cast("int")
+        ready = base.withColumn("_pre", F.slice("_tok", F.lit(1), F.col("_len") - weakest + 1))
+        hashes = F.transform("_pre", lambda t: F.xxhash64(t))
+    else:
+        shortest = F.ceil(F.col("_len") * F.lit(share) - F.lit(1e-9)).cast("int")
+        longest = F.floor(F.col("_len") / F.lit(share) + F.lit(1e-9)).cast("int")
+        per_length = base.withColumn("_other", F.explode(F.sequence(shortest, longest)))
+        both = F.col("_len") + F.col("_other")
+        common = F.ceil(F.lit(limit) * both / 200 - F.lit(1e-9)).cast("int")
+        gap = F.greatest("_len", "_other") - F.col("_c")
+        deep = F.when(gap <= 8, 3).when(gap <= 20, 2).otherwise(1)
+        ready = (
+            per_length.withColumn("_c", common)
+            .withColumn("_d", F.least(deep, F.col("_c")))
+            .withColumn("_pre", F.slice("_tok", F.lit(1), F.col("_len") - F.col("_c") + F.col("_d")))
+        )
+        lengths = ("_other", "_len") if right else ("_len", "_other")
+        hashes = _combinations(F.col("_pre"), F.col("_d"), *[F.col(c) for c in lengths])
+    return ready.select(*block, key, F.explode(hashes).alias("h"))
 
 
 def similar_keys(left: DataFrame, right: DataFrame, score: int, block: Sequence[str] = ()) -> DataFrame:
@@ -222,7 +224,7 @@ def similar_keys(left: DataFrame, right: DataFrame, score: int, block: Sequence[
     b = _signature_rows(right, "rkey", score, block, right=True)
     la, lb = F.length("lkey"), F.length("rkey")
     near = F.lit(200.0) * F.least(la, lb) >= F.lit(limit) * (la + lb)
-    pairs = a.join(b, [*block, "cls", "h"], "inner").filter(near)
+    pairs = a.join(b, [*block, "h"], "inner").filter(near)
     pairs = pairs.select(*block, "lkey", "rkey").distinct()
     return pairs.withColumn("score", key_ratio("lkey", "rkey")).filter(F.col("score") >= score)
 
