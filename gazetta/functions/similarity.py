@@ -80,6 +80,10 @@ def _lcs(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(lcs_lengths(left, right).astype(np.int32))
 
 
+# A filter on the score would otherwise be pushed below and run the kernel a second time.
+_lcs = _lcs.asNondeterministic()
+
+
 def key_ratio(left: Column | str, right: Column | str) -> Column:
     """Score 0-100 of two token keys: 200 * LCS / (len + len), rounded half to even."""
     a, b = as_col(left), as_col(right)

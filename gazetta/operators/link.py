@@ -225,8 +225,9 @@ def similar_keys(left: DataFrame, right: DataFrame, score: int, block: Sequence[
     la, lb = F.length("lkey"), F.length("rkey")
     near = F.lit(200.0) * F.least(la, lb) >= F.lit(limit) * (la + lb)
     pairs = a.join(b, [*block, "h"], "inner").filter(near)
-    pairs = pairs.select(*block, "lkey", "rkey").distinct()
-    return pairs.withColumn("score", key_ratio("lkey", "rkey")).filter(F.col("score") >= score)
+    # scored where they meet: only the few pairs that pass are shuffled to become distinct
+    scored = pairs.select(*block, "lkey", "rkey", key_ratio("lkey", "rkey").alias("score"))
+    return scored.filter(F.col("score") >= score).distinct()
 
 
 def best_keys(
