@@ -79,8 +79,9 @@ def with_blocks(
 ) -> DataFrame:
     """Add ``_block``: consecutive pieces of each group in order.
 
-    With ``block`` the (single, whole-number) order column is cut arithmetically.
-    Otherwise rows are range-partitioned on keys and order; that assignment
+    With ``block`` the (single, whole-number) order column is cut arithmetically:
+    right for positions, running ids and times, not for hashed numbers, which
+    would give every row a block of its own.  Otherwise rows are range-partitioned on keys and order; that assignment
     depends on sampled bounds, so it is pinned before anything is derived from it.
     """
     if block:
@@ -110,15 +111,16 @@ def with_previous(
     order: str,
     columns: Sequence[str],
     prefix: str = "prev_",
+    bounded: bool = True,
     block: int | None = None,
 ) -> DataFrame:
     """Add the previous row's columns within each key.
 
-    Without ``block`` a plain ``lag`` is used: right for snapshot tables, where
-    a key has one row per period.  With ``block`` a key may be of any size; the
-    order column must then be a whole number.
+    ``bounded`` keys, as in snapshot tables with one row per key and period, use
+    a plain ``lag``.  Otherwise a key may be of any size and is worked in blocks
+    (see :func:`with_blocks`).
     """
-    if not block:
+    if bounded:
         w = Window.partitionBy(*keys).orderBy(order)
         return df.withColumns({prefix + c: F.lag(c).over(w) for c in columns})
     blocked = _grouped(with_blocks(df, keys, [order], block), keys)
@@ -150,9 +152,9 @@ def carry_forward(
     order: str,
     value: str,
     out: str,
-    block: int = BLOCK,
+    block: int | None = BLOCK,
 ) -> DataFrame:
-    """Last non-NULL ``value`` up to each row within its group (``order`` a whole number)."""
+    """Last non-NULL ``value`` up to each row within its group, worked in blocks (see :func:`with_blocks`)."""
     blocked = _grouped(with_blocks(df, keys, [order], block), keys)
     seen = F.when(F.col(value).isNotNull(), F.col(order))
     ends = blocked.groupBy("_g").agg(F.max_by(value, seen).alias("_end"))

@@ -76,7 +76,7 @@ def nearest(
     order: str,
     lat: str = "lat",
     lng: str = "lng",
-    small: int = 256,
+    small: int = 64,
 ) -> DataFrame:
     """Adds ``near_<col>`` of the closest place and ``near_km``; ties go to the lowest ``order``.
 

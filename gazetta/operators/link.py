@@ -114,38 +114,26 @@ def asof(
 
 # -- similar names ----------------------------------------------------------
 
-# Share of each character in English text (percent), for ranking how telling it is.
-LETTER_SHARE = {
-    " ": 15.0, "e": 10.7, "t": 7.7, "a": 6.9, "o": 6.4, "i": 5.9, "n": 5.7, "s": 5.4, "h": 5.2,
-    "r": 5.1, "d": 3.6, "l": 3.4, "c": 2.4, "u": 2.3, "m": 2.0, "w": 2.0, "f": 1.9, "g": 1.7,
-    "y": 1.7, "p": 1.6, "b": 1.3, "v": 0.8, "k": 0.7, "j": 0.2, "x": 0.2, "q": 0.1, "z": 0.1,
-}
-_OTHER_SHARE = 0.3
-_NAME_LENGTH = 12.0
-
-
+# Characters from the most to the least common in English text.
+COMMON_FIRST = " etaoinshrdlcumwfgypbvkjxqz"
 _LOOSE_BELOW = 40
 
 
 def _rarest_first(key: Column) -> Column:
-    """Character occurrences ('e1', 'e2', 'q1' ...) of a key in one global order, the most telling first."""
-    rarity = F.create_map(
-        *[
-            F.lit(x)
-            for ch, pct in LETTER_SHARE.items()
-            for x in (ch, 1.0 - (1.0 - pct / 100.0) ** _NAME_LENGTH)
-        ]
-    )
-    other = 1.0 - (1.0 - _OTHER_SHARE / 100.0) ** _NAME_LENGTH
+    """Character occurrences ('e1', 'e2', 'q1' ...) of a key in one global order, the most telling first.
+
+    Any fixed order is correct; this one estimates how likely a name is to have
+    the occurrence at all, so that the rare ones come first.
+    """
+    place = len(COMMON_FIRST)
 
     def occurrences(ch: Column) -> Column:
         n = F.length(key) - F.length(F.replace(key, ch, F.lit("")))
+        rank = F.instr(F.lit(COMMON_FIRST), ch)
+        likely = F.when(rank > 0, 0.9 - 0.85 * (rank - 1) / place).otherwise(0.04)
         return F.transform(
             F.sequence(F.lit(1), n),
-            lambda i: F.struct(
-                F.pow(F.coalesce(F.try_element_at(rarity, ch), F.lit(other)), i).alias("p"),
-                F.concat(ch, i.cast("string")).alias("t"),
-            ),
+            lambda i: F.struct(F.pow(likely, i).alias("p"), F.concat(ch, i.cast("string")).alias("t")),
         )
 
     every = F.flatten(F.transform(F.array_distinct(F.split(key, "")), occurrences))

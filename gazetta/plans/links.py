@@ -402,7 +402,7 @@ def _nearest(spark: SparkSession, sf: str, small: int) -> DataFrame:
 
 @query("nearest", NEAREST)
 def nearest(spark: SparkSession, sf: str) -> DataFrame:
-    return _nearest(spark, sf, 256)
+    return _nearest(spark, sf, 128)
 
 
 @query("nearest_octree", NEAREST)

@@ -82,7 +82,9 @@ def month_period(spark: SparkSession, sf: str) -> DataFrame:
 def previous_event(spark: SparkSession, sf: str) -> DataFrame:
     """Unbounded groups: previous row per user, worked out block by block."""
     ev = table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    out = dd.with_previous(ev, ["user_id"], "event_id", ["event_id", "event_type"], block=1 << 16)
+    out = dd.with_previous(
+        ev, ["user_id"], "event_id", ["event_id", "event_type"], bounded=False, block=1 << 16
+    )
     return out.select("event_id", "prev_event_id", "prev_event_type")
 
 

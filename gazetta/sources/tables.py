@@ -2,13 +2,14 @@
 
 A write goes to a new folder and becomes visible by one appended row in the
 table's version list.  Nothing is ever read and overwritten in the same job, and
-a job that dies half-way leaves the table as it was.
+a job that dies half-way leaves the table as it was.  One writer at a time.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,14 +23,19 @@ _VERSIONS = T.StructType(
 )
 
 
-def file_system(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder?  Only lists names, reads nothing."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def exists(spark: SparkSession, root: str) -> bool:
-    fs, path = file_system(spark, f"{root}/versions")
-    return fs.exists(path)
+    return path_exists(spark, f"{root}/versions")
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:

@@ -50,7 +50,7 @@ def stream_insert_only_table(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = keep_first(batch, by, order)
-        if _is_written(spark, root):
+        if tables.path_exists(spark, root):
             table = spark.read.schema(T.StructType([*batch.schema, _BATCH])).parquet(root)
             span = batch.agg(F.min(period).alias("low"), F.max(period).alias("high")).first()
             known = table.filter(
@@ -62,11 +62,6 @@ def stream_insert_only_table(
     return _for_each(stream, write, checkpoint)
 
 
-def _is_written(spark: SparkSession, path: str) -> bool:
-    fs, folder = tables.file_system(spark, path)
-    return fs.exists(folder)
-
-
 def stream_upsert(
     stream: DataFrame, keys: Sequence[str], order: str, root: str, checkpoint: str
 ) -> StreamingQuery:
@@ -89,7 +84,7 @@ def read_upserted(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFr
     done, base = -1, None
     if tables.exists(spark, root):
         done, base = int(tables.current(spark, root)[2]), tables.read_table(spark, root)
-    if not _is_written(spark, f"{root}/log"):
+    if not tables.path_exists(spark, f"{root}/log"):
         return base
     log = spark.read.parquet(f"{root}/log").filter(F.col(_BATCH.name) > done)
     last = keep_last(log, keys, [_BATCH.name]).drop(_BATCH.name)
@@ -122,7 +117,7 @@ def process_pending(
     """
     spark = work.sparkSession
     todo = work
-    if _is_written(spark, done_path):
+    if tables.path_exists(spark, done_path):
         todo = not_known(work, spark.read.parquet(done_path), keys)
     step(todo).write.mode("append").parquet(done_path)
     return spark.read.parquet(done_path)

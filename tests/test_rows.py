@@ -53,12 +53,12 @@ def test_blocks_give_the_same_as_whole_groups(spark):
     df = skewed(spark)
     w = Window.partitionBy("g").orderBy("pos")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    for block in (1, 50, 1 << 17):
+    for block in (1, 50, 1 << 17, None):
         assert same(
             dd.carry_forward(df, ["g"], "pos", "v", "c", block), df.withColumn("c", F.last("v", True).over(upto))
         )
         assert same(
-            dd.with_previous(df, ["g"], "pos", ["pos", "v"], block=block),
+            dd.with_previous(df, ["g"], "pos", ["pos", "v"], bounded=False, block=block),
             df.withColumns({"prev_pos": F.lag("pos").over(w), "prev_v": F.lag("v").over(w)}),
         )
         assert same(
