@@ -331,7 +331,7 @@ def json_extract(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "json_salvage",
     """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
-              CAST(json_extract(props, '$.k') AS BIGINT) AS fenced, n AS item_no, CAST(json_extract(props, '$.k') AS BIGINT) + n AS item
+              CAST(json_extract(props, '$.k') AS BIGINT) AS fenced, CAST(n AS BIGINT) AS item_no, CAST(json_extract(props, '$.k') AS BIGINT) + n AS item
        FROM events, (SELECT unnest([0, 1]) AS n)""",
 )
 def json_salvage(spark: SparkSession, sf: str) -> DataFrame:
@@ -389,11 +389,11 @@ def _place_json():
               CASE WHEN s_suppkey % 3 = 0 THEN 'OPERATIONAL' ELSE 'CLOSED_PERMANENTLY' END AS business_status,
               CASE WHEN s_suppkey + 2000 <= 9999 THEN CAST(s_suppkey + 2000 AS VARCHAR) END AS postcode,
               s_suppkey / 8 AS lat, s_suppkey / 4 AS lng, s_suppkey % 50 / 10 AS google_rating,
-              CAST(s_suppkey * 3 AS BIGINT) AS google_review_count, 'ph' || s_suppkey AS photo_ref_1, NULL AS photo_ref_2,
+              CAST(s_suppkey * 3 AS BIGINT) AS google_review_count, 'ph' || s_suppkey AS photo_ref_1, CAST(NULL AS VARCHAR) AS photo_ref_2,
               CAST(1 AS BIGINT) AS total_photo_count, CASE WHEN s_suppkey % 2 = 0 THEN 2 END AS price_level,
               s_suppkey % 2 = 1 AS wheelchair_accessible_entrance,
               CASE WHEN s_suppkey % 4 >= 1 THEN s_name END AS review_text_1, CASE WHEN s_suppkey % 4 >= 3 THEN s_name END AS review_text_3,
-              CASE WHEN s_suppkey % 4 >= 2 THEN s_suppkey % 5 + 1 END AS review_rating_2, NULL AS review_text_5
+              CASE WHEN s_suppkey % 4 >= 2 THEN s_suppkey % 5 + 1 END AS review_rating_2, CAST(NULL AS VARCHAR) AS review_text_5
        FROM supplier""",
 )
 def place_payload(spark: SparkSession, sf: str) -> DataFrame:
@@ -417,7 +417,7 @@ def place_payload(spark: SparkSession, sf: str) -> DataFrame:
         "wheelchair_accessible_entrance",
         "review_text_1",
         "review_text_3",
-        "review_rating_2",
+        F.col("review_rating_2").cast("bigint").alias("review_rating_2"),
         "review_text_5",
     )
 

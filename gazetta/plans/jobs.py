@@ -126,7 +126,7 @@ def cross_reference(spark: SparkSession, sf: str) -> DataFrame:
     prev AS (SELECT s_suppkey AS k, CAST(s_nationkey AS DOUBLE) / 4 AS rating, CAST(s_nationkey * 2 AS BIGINT) AS n FROM supplier WHERE s_nationkey % 3 > 0)
     SELECT CAST(s.k AS VARCHAR) AS venue_id, '2024-02-01' AS captured_date, s.bal AS google_rating, CAST(s.k % 900 AS BIGINT) AS review_count,
            CAST(s.k % 900 AS BIGINT) - prev.n AS review_delta, s.bal - prev.rating AS rating_delta,
-           CASE WHEN s.s_nationkey % 4 >= 2 THEN 1.0 END AS sentiment_score, 5 AS pollen_tree_index, 'TREE' AS dominant_pollen_type,
+           CASE WHEN s.s_nationkey % 4 >= 2 THEN CAST(1 AS DOUBLE) END AS sentiment_score, CAST(5 AS BIGINT) AS pollen_tree_index, 'TREE' AS dominant_pollen_type,
            CAST(s.k % 50 AS BIGINT) AS air_quality_index
     FROM s LEFT JOIN prev USING (k) WHERE s.s_nationkey <> 7""",
 )

@@ -361,7 +361,7 @@ def scored_top_n(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "tier_order",
-    """SELECT p_partkey, tier, row_number() OVER (ORDER BY tier, p_retailprice DESC NULLS LAST, p_partkey) AS place
+    """SELECT p_partkey, CAST(tier AS BIGINT) AS tier, row_number() OVER (ORDER BY tier, p_retailprice DESC NULLS LAST, p_partkey) AS place
        FROM (SELECT *, CASE lower(p_type) WHEN 'premium' THEN 1 WHEN 'standard' THEN 2 ELSE 50 END AS tier FROM part)
        QUALIFY place <= 100""",
 )
