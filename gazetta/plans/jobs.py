@@ -73,11 +73,11 @@ _TAG = "CASE WHEN p_type IN ('ECONOMY', 'LARGE') THEN 'EW' WHEN p_type = 'SMALL'
     f"""WITH {PAIR_SCORES},
     firsts AS (SELECT rk, MIN(p_partkey) AS rid FROM named GROUP BY 1),
     best AS (SELECT lk, arg_max(rid, (score, -rid)) AS rid FROM scores JOIN firsts USING (rk) WHERE score >= 70 GROUP BY 1),
-    rows AS (SELECT n.p_partkey, b.rid, {_TAG} AS tag FROM named n LEFT JOIN best b USING (lk)),
-    hits AS (SELECT * FROM rows WHERE rid IS NOT NULL AND (tag <> 'AFCC' OR p_partkey % 3 > 0)),
+    rows AS (SELECT n.p_partkey, n.p_size, b.rid, {_TAG} AS tag FROM named n LEFT JOIN best b USING (lk)),
+    hits AS (SELECT * FROM rows WHERE rid IS NOT NULL AND (tag <> 'AFCC' OR p_size > 10)),
     agg AS (SELECT rid, COUNT(DISTINCT tag) AS n, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags,
-                   MAX(p_partkey) FILTER (WHERE tag = 'EW') AS last_ew, MIN(p_partkey) FILTER (WHERE tag = 'EW' AND p_partkey % 2 = 0) AS first_price,
-                   bool_or(tag = 'EW' AND p_partkey % 5 = 0) AS special, bool_or(tag = 'AFCC') AS afcc FROM hits GROUP BY 1)
+                   MAX(p_partkey) FILTER (WHERE tag = 'EW') AS last_ew, MIN(p_partkey) FILTER (WHERE tag = 'EW' AND p_size > 25) AS first_price,
+                   bool_or(tag = 'EW' AND p_size > 45) AS special, bool_or(tag = 'AFCC') AS afcc FROM hits GROUP BY 1)
     SELECT 'CEL-' || p.p_partkey AS celebrant_id, p.p_name AS full_name, COALESCE('https://ew.example/' || a.last_ew, '') AS ew_url,
            COALESCE('$' || a.first_price, '') AS price, COALESCE(CAST(a.n AS VARCHAR), '0') AS listings, COALESCE(a.tags, '') AS sources,
            CASE WHEN a.n > 0 THEN 'true' ELSE 'false' END AS active, CASE WHEN a.special THEN 'true' ELSE 'false' END AS special,
@@ -100,9 +100,9 @@ def cross_reference(spark: SparkSession, sf: str) -> DataFrame:
         edited_name().alias("brand_name"),
         edited_name().alias("full_name"),
         F.concat(F.lit("https://ew.example/"), key).alias("easy_weddings_profile_url"),
-        F.when(key % 2 == 0, F.concat(F.lit("$"), key)).otherwise("").alias("easy_weddings_price_from"),
-        (key % 5 == 0).alias("is_destination_specialist"),
-        F.when(key % 3 > 0, F.concat(key, F.lit("@a.example"))).alias("email"),
+        F.when(F.col("p_size") > 25, F.concat(F.lit("$"), key)).otherwise("").alias("easy_weddings_price_from"),
+        (F.col("p_size") > 45).alias("is_destination_specialist"),
+        F.when(F.col("p_size") > 10, F.concat(key, F.lit("@a.example"))).alias("email"),
         F.lit("VIC").alias("state"),
     )
     lists = {tag: rows.filter(F.col("p_type").isin(*kinds)) for tag, kinds in KINDS.items()}
@@ -182,7 +182,7 @@ def venue_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     "publish_venues",
     """SELECT 'P' || o_custkey AS place_id, o_orderpriority AS name, CAST(o_orderkey AS VARCHAR) AS postcode,
               CAST(floor(o_totalprice) AS BIGINT) AS capacity_max, o_orderpriority = '1-URGENT' AS parking_paid
-       FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderstatus <> 'F' AND o_custkey % 10 > 0
+       FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderstatus <> 'F' AND o_totalprice >= 50000
        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1""",
 )
 def publish_venues(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,7 +191,7 @@ def publish_venues(spark: SparkSession, sf: str) -> DataFrame:
     sheet = o.select(
         F.col("o_orderkey").alias("row_index"),
         F.col("o_orderpriority").alias("NAME"),
-        F.when(F.col("o_custkey") % 10 == 0, F.lit("nan")).otherwise(F.concat(F.lit("P"), "o_custkey")).alias("place_id"),
+        F.when(F.col("o_totalprice") < 50000, F.lit("nan")).otherwise(F.concat(F.lit("P"), "o_custkey")).alias("place_id"),
         F.when(F.col("o_orderpriority") == "5-LOW", "LOW").otherwise("HIGH").alias("places_match_confidence"),
         F.when(F.col("o_orderstatus") == "F", "CLOSED_PERMANENTLY").otherwise("OPERATIONAL").alias("business_status"),
         F.format_string("%.2f", "o_totalprice").alias("CAPACITY MAX"),
@@ -207,8 +207,8 @@ _HOST = "regexp_replace(lower(regexp_extract(url, '(?i)^https?://([^/?#]*)', 1))
 
 @query(
     "discover_sources",
-    f"""WITH p AS (SELECT page_id, {_HOST} AS host, url LIKE 'https:%' AS secure FROM pages),
-    fresh AS (SELECT host, MIN(page_id) AS first_page FROM p WHERE NOT secure AND page_id % 4 <> 3 GROUP BY 1)
+    f"""WITH p AS (SELECT page_id, {_HOST} AS host, url, url LIKE 'https:%' AS secure FROM pages),
+    fresh AS (SELECT host, MIN(page_id) AS first_page FROM p WHERE NOT secure AND NOT contains(url, '?') GROUP BY 1)
     SELECT printf('INF-DISC-%03d', row_number() OVER (ORDER BY first_page) + 7) AS source_id, 'https://' || host AS url,
            'Site ' || first_page AS name, 'medium' AS trust_level, 'NSW|VIC' AS states
     FROM fresh WHERE host NOT IN (SELECT host FROM p WHERE secure)""",
@@ -217,7 +217,7 @@ def discover_sources(spark: SparkSession, sf: str) -> DataFrame:
     """One answer per page that names its host; hosts of secure pages are known already."""
     pages = table(spark, sf, "pages").select("page_id", "url", ur.host_key("url").alias("host"))
     secure = F.col("url").startswith("https:")
-    kind = F.when(F.col("page_id") % 4 == 3, "advert").otherwise("blog")
+    kind = F.when(F.col("url").contains("?"), "advert").otherwise("blog")
     item = F.struct(
         F.concat(F.lit("Site "), "page_id").alias("name"),
         F.concat(F.lit("www."), "host", F.lit("/")).alias("url"),

@@ -144,15 +144,15 @@ _KEYED = "regexp_replace(lower(regexp_extract(url, '(?i)^https?://([^/?#]*)', 1)
 
 @query(
     "natural_key_upsert",
-    f"""WITH p AS (SELECT page_id, {_KEYED} AS host, url LIKE 'https:%' AS secure FROM pages),
+    f"""WITH p AS (SELECT page_id, url, {_KEYED} AS host, url LIKE 'https:%' AS secure FROM pages),
     tgt AS (SELECT host, MIN(page_id) AS first_page FROM p WHERE secure GROUP BY 1),
-    upd AS (SELECT host, MIN(page_id) AS first_page FROM p WHERE NOT secure GROUP BY 1),
+    upd AS (SELECT host, MIN(page_id) AS first_page, contains(arg_min(url, page_id), '/en/') AS english FROM p WHERE NOT secure GROUP BY 1),
     top AS (SELECT MAX(first_page) AS m FROM tgt)
     SELECT printf('SITE-%05d', t.first_page) AS site_id, t.host AS site,
-           COALESCE(CASE WHEN u.first_page % 2 = 0 THEN u.first_page END, t.first_page) AS page FROM tgt t LEFT JOIN upd u USING (host)
+           COALESCE(CASE WHEN u.english THEN u.first_page END, t.first_page) AS page FROM tgt t LEFT JOIN upd u USING (host)
     UNION ALL
     SELECT printf('SITE-%05d', row_number() OVER (ORDER BY u.first_page) + (SELECT m FROM top)), u.host,
-           CASE WHEN u.first_page % 2 = 0 THEN u.first_page END FROM upd u WHERE u.host NOT IN (SELECT host FROM tgt)""",
+           CASE WHEN u.english THEN u.first_page END FROM upd u WHERE u.host NOT IN (SELECT host FROM tgt)""",
 )
 def natural_key_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Sites known from secure pages, updated by the others; the host is the natural key."""
@@ -163,7 +163,7 @@ def natural_key_upsert(spark: SparkSession, sf: str) -> DataFrame:
         F.format_string("SITE-%05d", "page_id").alias("site_id"), "site", F.col("page_id").alias("page")
     )
     updates = pages.filter(~secure).select(
-        "site", F.when(F.col("page_id") % 2 == 0, F.col("page_id")).alias("page"), F.col("page_id").alias("seen")
+        "site", F.when(F.col("url").contains("/en/"), F.col("page_id")).alias("page"), F.col("page_id").alias("seen")
     )
     return merge.natural_key_upsert(
         target, updates, "site_id", "site", lambda c: F.col(c), "seen", "SITE-%05d"
