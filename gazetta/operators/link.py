@@ -233,6 +233,8 @@ def best_keys(
     settles its keys with a much sharper filter and only the rest moves on.
     """
     on = list(block)
+    if stages:
+        left, right = pin(left), pin(right)  # every stage reads the distinct names again
     # near misses of very long keys can round to 100 as well, so those go the long way
     same = left.join(right.withColumn("lkey", F.col("rkey")), [*on, "lkey"], "inner").filter(
         F.length("lkey") < 150
@@ -296,6 +298,9 @@ def fuzzy_link(
     best = best_keys(
         lkeys, firsts.drop("_rid"), floor, on, sorted(steps, reverse=True)
     ).join(firsts.drop("first"), [*on, "rkey"], "inner")
+    if one_to_one:
+        # used twice below: one row per distinct name is kept instead of matching again
+        best = pin(best)
     out = named.join(best.select(*on, "lkey", "_rid", "score"), [*on, "lkey"], "left").drop("lkey")
     hit = F.col("score") >= threshold
     if one_to_one:

@@ -14,6 +14,7 @@ from gazetta.functions import values as va
 from gazetta.operators import aggregate as ag
 from gazetta.operators import dedupe as dd
 from gazetta.operators import link, merge, score
+from gazetta.session import pin
 from gazetta.sources.files import conform
 
 # The 53 columns of the register, in order.
@@ -77,6 +78,7 @@ def merge_awards(
         named, reg, "row_no", "full_name", "reg_no", "full_name", threshold,
         one_to_one=True, stages=(70, 50, 30), report_from=report_from,
     )
+    linked = pin(linked)  # matched and unmatched rows are both taken from it
     won = linked.filter(F.col("right_id").isNotNull()).select(
         F.col("right_id").alias("row_no"), F.col("score").alias("_score"), *[va.nullify(c).alias(f"_a_{c}") for c in shared]
     )
@@ -173,6 +175,7 @@ def cross_reference(
     linked = link.multi_source_link(
         rows, master, "celebrant_id", "full_name", threshold, master_order="row_no", stages=stages
     )
+    linked = pin(linked)  # updates, source counts and new rows are all taken from it
     contactable = F.lower("afcc_profile_url").startswith("http") | F.col("_email").isNotNull()
     hits = linked.filter(
         F.col("right_id").isNotNull() & ((F.col("source") != "AFCC") | F.coalesce(contactable, F.lit(False)))
