@@ -123,17 +123,30 @@ def rank_links(
     pages: DataFrame,
     hints: Sequence[str],
     k: int = 8,
+    own_host: bool = True,
+    by_score: bool = True,
     page_id: str = "page_id",
     url: str = "url",
     html: str = "html",
 ) -> DataFrame:
-    """The ``k`` links of the own host that contain most hints, in page order on ties."""
+    """The ``k`` links that contain most hints, in page order on ties.
+
+    Without ``by_score`` any hint is as good as several and page order decides;
+    ``own_host`` keeps links of the page's own host only.
+    """
     links = first_per_url(link_array(html, url))
-    own = F.filter(links, lambda x: gates.same_host(x["resolved"], url))
+    if own_host:
+        links = F.filter(links, lambda x: gates.same_host(x["resolved"], url))
+    else:
+        links = F.filter(links, lambda x: ur.is_real_href(x["resolved"]))
+
+    def points(link: Column) -> Column:
+        return va.count_hits(link, hints) if by_score else va.has_any(link, hints).cast("int")
+
     scored = F.transform(
-        own,
+        links,
         lambda x: F.struct(
-            (-va.count_hits(x["resolved"], hints)).alias("neg"),
+            (-points(x["resolved"])).alias("neg"),
             x["pos"].alias("pos"),
             x["resolved"].alias("link"),
         ),

@@ -148,6 +148,8 @@ def test_rank_links(spark, rows):
     df = spark.createDataFrame([(1, "https://s.org/", html)], "page_id int, url string, html string")
     out = rows(pg.rank_links(df, ("permit", "fee"), 2), "link_rank")
     assert [(r["link"], r["score"]) for r in out] == [("https://s.org/permit-fees", 2), ("https://s.org/permit", 1)]
+    any_host = rows(pg.rank_links(df, ("permit", "fee"), 3, own_host=False, by_score=False), "link_rank")
+    assert [r["link"] for r in any_host] == ["https://s.org/permit-fees", "https://s.org/permit", "https://o.org/permit"]
 
 
 def test_article_links(spark, rows):
