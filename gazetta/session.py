@@ -32,14 +32,17 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder of its own: on a
     cluster a machine-local path would be lost with the machine.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        # set earlier on the context, by the user or by this function
+        named = context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="gazetta-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named
 
 
