@@ -189,16 +189,29 @@ def labelled_phone(value: Column | str) -> Column:
 
 
 def address_line(value: Column | str, skip_words: Sequence[str] = ("cerem",)) -> Column:
-    """Lines that are neither phone, e-mail nor a skipped heading, distinct, joined by blanks."""
-    lines = F.transform(F.split(as_col(value), r"\r?\n"), strip)
+    """Lines that are neither phone, e-mail nor a skipped heading, distinct, joined by blanks.
 
-    def wanted(line: Column) -> Column:
-        keep = (line != "") & ~line.rlike(r"(?i)^(m:|p\(|p:)") & ~line.contains("@")
+    If no line is left, the first three lines of what remains once a leading
+    phone number and all e-mail addresses are taken out of the text.
+    """
+
+    def lines_of(text: Column) -> Column:
+        return F.transform(F.split(text, r"\r?\n"), strip)
+
+    def is_text(line: Column) -> Column:
+        keep = line != ""
         for word in skip_words:
             keep = keep & ~F.lower(line).contains(word)
         return keep
 
-    return F.nullif(F.array_join(F.array_distinct(F.filter(lines, wanted)), " "), F.lit(""))
+    def is_address(line: Column) -> Column:
+        return is_text(line) & ~line.rlike(r"(?i)^(m:|p\(|p:)") & ~line.contains("@")
+
+    whole = F.array_join(F.array_distinct(F.filter(lines_of(as_col(value)), is_address)), " ")
+    bare = F.regexp_replace(as_col(value), r"(?i)^\s*m:\s*[\d+()\s]+", "")
+    bare = F.regexp_replace(bare, EMAIL, "")
+    rest = F.array_join(F.slice(F.filter(lines_of(bare), is_text), 1, 3), " ")
+    return F.coalesce(F.nullif(whole, F.lit("")), F.nullif(rest, F.lit("")))
 
 
 def whole_number(value: Column | str) -> Column:

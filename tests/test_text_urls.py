@@ -124,6 +124,8 @@ def test_contacts(one):
     assert one(cell, tx.labelled_phone) == "0412 345 678"
     assert one(cell, tx.emails) == ["jane@x.org"]
     assert one(cell, tx.address_line) == "Jane Doe 1 High St Town NSW 2650"
+    assert one("m: 0412 345 678 High St\njane@x.org 5 Low Rd\nCeremonies", tx.address_line) == "High St 5 Low Rd"
+    assert one("m: 0412 345 678\njane@x.org", tx.address_line) is None
     assert one("call 0412.345.678 or 0412 345 678", tx.mobiles) == ["0412.345.678", "0412 345 678"]
     assert one("nothing", tx.emails) == []
 
