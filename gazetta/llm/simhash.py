@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from gazetta.llm.common import pin_table, slices, utf8
 
 BITS = 64
+#: Fingerprints of one variant that are compared pair by pair; more are visited breadth first.
+_SHORT = 32
 
 
 def fingerprint(text: bytes, words: int = 4) -> int:
@@ -63,13 +65,15 @@ def _fingerprints(texts: list[bytes], words: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """(doc_id, fp): the fingerprint's 64 bits as a long."""
+    """(doc_id, text_key, fp): xxhash64 of the text and the fingerprint's 64 bits as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_fingerprints(utf8(batch.column("text")), words).view(np.int64))], names=["doc_id", "fp"])
+            fps = pa.array(_fingerprints(utf8(batch.column("text")), words).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), fps], names=["doc_id", "text_key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, fp long")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").alias("text"))
+    return own.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -119,13 +123,22 @@ def _joiner(distance: int):
     def links(bit: np.ndarray, rest: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         change = np.flatnonzero(np.concatenate([[True], (bit[1:] != bit[:-1]) | (rest[1:] != rest[:-1])]))
         size = np.diff(np.append(change, len(bit)))
-        two = change[size == 2]
-        near = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= distance]
-        a, b = [fp[near]], [fp[near + 1]]
-        for start, n in zip(change[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+        a, b = [], []
+        # short runs side by side, every pair at once; long ones breadth first
+        place, length = np.arange(len(bit)) - np.repeat(change, size), np.repeat(size, size)
+        for gap in range(1, _SHORT):
+            first = np.flatnonzero((length <= _SHORT) & (place + gap < length))
+            if not len(first):
+                break
+            near = first[np.bitwise_count(fp[first] ^ fp[first + gap]) <= distance]
+            a.append(fp[near])
+            b.append(fp[near + gap])
+        for start, n in zip(change[size > _SHORT].tolist(), size[size > _SHORT].tolist(), strict=True):
             x, y = in_run(fp[start : start + n])
             a.append(x)
             b.append(y)
+        if not a:
+            return fp[:0], fp[:0]
         return np.concatenate(a), np.concatenate(b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,15 +195,15 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def with_components(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links."""
+    """(doc_id, text_key, fp, root, component_id): component_id is the smallest doc_id reachable over links, root the component's fingerprint."""
     marked = pin_table(fingerprints(docs, words), "fingerprints")
     # one row per distinct fingerprint before any join, so copies never meet in one task
     lowest = marked.groupBy("fp").agg(F.min("doc_id").alias("lowest"))
     roots = pin_table(components(links(lowest, distance)), "roots").withColumnRenamed("node", "fp")
     rooted = lowest.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def fingerprint_rows(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
@@ -199,10 +212,11 @@ def fingerprint_rows(docs: DataFrame, words: int = 4, distance: int = 4) -> Data
 
 
 def drop_near_copies(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """The table with the row of the smallest id of each component; rows that repeat an id count as one document."""
+    """The table with one row of each component: that of its smallest id (NULL ids last), and one of rows that repeat it."""
     found = with_components(docs, words, distance)
-    keep = found.where("doc_id = component_id").select(F.col("component_id").alias("_keep")).distinct()
-    kept = docs.join(keep, F.col("doc_id").cast("long") == F.col("_keep"), "left_semi")
-    # repeated ids are no key: one row of each stays
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return kept.withColumn("_first", first).where("_first = 1").drop("_first")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key"))
+    chosen = found.groupBy("root").agg(first.alias("c")).select(F.col("c.doc_id").alias("chosen_id"), F.col("c.text_key").alias("chosen_key"))
+    held = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    kept = held.join(chosen, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("key") == F.col("chosen_key")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.xxhash64("row")))
+    return kept.withColumn("nth", nth).where("nth = 1").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
