@@ -2,15 +2,17 @@
 
 Words are spelled by character 5-gram models, one for toxic and one for ordinary documents. Each backs off to the 5-grams of both
 classes together and from there to shared continuation counts (in how many contexts an ending occurs), so an expression that is
-rare in one class is smoothed by what both have. A document's features compare the two log-likelihoods: the mean per
-character over the whole text, the largest of a word, and the mean of its three largest words. A logistic regression turns them into a score; it
-is fitted on documents that the counts used for it have not seen.
+rare in one class is smoothed by what both have; a class's own estimate counts the more the more often it saw the context.
+A word's evidence is its log-likelihood ratio less the median over the text's words, which takes out what only tells the language. A
+document's features are normalised by its words: the mean evidence, the logarithms of the mean excess over 2 and of the share of words over 3, and
+the mean of the three largest. A logistic regression turns them into a score; it is fitted on documents that the counts
+used for it have not seen.
 
 Counts cover every labelled training row. They are summed per 5-gram and kept in 2^``bits`` slots by hash, so the table that
 reaches the scoring tasks has a fixed size limit; 5-grams that share a slot share their counts. Only the logistic regression uses a bounded sample
 (``sample`` rows with the smallest hashed ids).
 
-Nulls: a NULL text is empty; rows without a label or an id teach nothing. An empty text has all features 0 and gets the score of that point.
+Nulls: a NULL text is empty; rows without a label or an id teach nothing. An empty text has the features of no words and gets the score of that point.
 Rows that repeat an id in the labels count once, toxic if one of them is. Without training rows of both classes every score is 0. Ties at the threshold are
 toxic. Empty tables give empty results; extra columns are ignored or passed on.
 """
@@ -62,10 +64,10 @@ def _hash(grams: np.ndarray, first: int, last: int) -> np.ndarray:
 class Model:
     """Log-likelihood ratios of words out of the counts per 5-gram."""
 
-    def __init__(self, grams: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray, bits: int, discount: float = 0.75):
+    def __init__(self, grams: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray, bits: int, discount: float = 0.75, trust: float = 50.0):
         seen = (ordinary + toxic) > 0
         grams, counts = grams[seen], np.stack([ordinary[seen], toxic[seen], ordinary[seen] + toxic[seen]]).astype(np.float64)
-        self.mask, self.discount = np.uint64((1 << bits) - 1), discount
+        self.mask, self.discount, self.trust = np.uint64((1 << bits) - 1), discount, trust
         slots = 1 << bits
         gram, context = self._slots(grams, 0, ORDER), self._slots(grams, 0, ORDER - 1)
         self.count = np.stack([np.bincount(gram, c, slots) for c in counts]).astype(np.float32)
@@ -102,9 +104,16 @@ class Model:
             shared = self._mixed(count[ending], total[inner], types[inner], shared)
         gram, context = self._slots(grams, 0, ORDER), self._slots(grams, 0, ORDER - 1)
         both = self._mixed(self.count[2][gram], self.total[2][context], self.types[2][context], shared)
-        ordinary, toxic = (np.maximum(self._mixed(self.count[y][gram], self.total[y][context], self.types[y][context], both), 1e-30) for y in (0, 1))
+        ordinary, toxic = (self._of_class(y, gram, context, both) for y in (0, 1))
         return np.bincount(owner, np.log(toxic) - np.log(ordinary), len(words))
 
+    def _of_class(self, y: int, gram: np.ndarray, context: np.ndarray, both: np.ndarray) -> np.ndarray:
+        """The class's own estimate, trusted as far as it knows the context, and that of both classes."""
+        total = self.total[y][context]
+        own = self._mixed(self.count[y][gram], total, self.types[y][context], both)
+        weight = total / (total + self.trust)
+        return np.maximum(weight * own + (1 - weight) * both, 1e-30)
+
 
 _loaded: dict[str, tuple[Model, dict[str, float]]] = {}
 
@@ -118,8 +127,11 @@ def _model(name: str, broadcast) -> tuple[Model, dict[str, float]]:
     return _loaded[name]
 
 
+FEATURES = ("f1", "f2", "f3", "f4")
+
+
 def _features(batch_texts: list[str], model: Model, known: dict[str, float]) -> np.ndarray:
-    """Rows of (mean per character, largest word, mean of the three largest words)."""
+    """Rows of (mean evidence, mean of the three largest, log mean excess over 2, log share over 3) per word."""
     found = [words_of(t) for t in batch_texts]
     new = list({w for words in found for w in words if w not in known})
     if len(known) + len(new) > REMEMBERED:
@@ -128,12 +140,17 @@ def _features(batch_texts: list[str], model: Model, known: dict[str, float]) ->
     for at in range(0, len(new), 50_000):
         part = new[at : at + 50_000]
         known.update(zip(part, model.ratios(part).tolist(), strict=True))
-    rows = np.zeros((len(found), 3))
+    rows = np.zeros((len(found), len(FEATURES)))
     for i, words in enumerate(found):
-        if words:
-            values = np.fromiter(map(known.__getitem__, words), float, len(words))
-            top = np.sort(np.partition(values, len(values) - 3)[-3:] if len(values) > 3 else values)
-            rows[i] = values.sum() / (sum(map(len, words)) + len(words)), top[-1], top.mean()
+        n = len(words)
+        values = np.fromiter(map(known.__getitem__, words), float, n)
+        if n:
+            values -= np.median(values)
+            top = np.partition(values, n - 3)[-3:] if n > 3 else values
+            rows[i, :2] = values.mean(), top.mean()
+        # the constants stand for a short text's missing words
+        rows[i, 2] = np.log((np.maximum(values - 2, 0).sum() + 0.1) / (n + 20))
+        rows[i, 3] = np.log(((values > 3).sum() + 0.05) / (n + 20))
     return rows
 
 
@@ -220,24 +237,24 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, bits: int = 20, sampl
     else:
         first = Fitted({"grams": grams, "ordinary": counts["n0"], "toxic": counts["n1"], "bits": bits}, ())
     measured = _measured(second, first, ["doc_id"]).join(known, "doc_id")
-    picked = measured.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", "f1", "f2", "f3").limit(sample).toPandas()
+    picked = measured.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", *FEATURES).limit(sample).toPandas()
     y = picked["toxic"].to_numpy(float)
     if not len(y) or y.min() == y.max():
-        return Fitted(whole, (-2.0, 0.0, 0.5, 0.0))  # nothing to fit the scale on
-    return Fitted(whole, tuple(fit_logistic(picked[["f1", "f2", "f3"]].to_numpy(float), y)))
+        return Fitted(whole, (-4.0, 0.0, 0.5, 0.0, 0.0))  # nothing to fit the scale on
+    return Fitted(whole, tuple(fit_logistic(picked[list(FEATURES)].to_numpy(float), y)))
 
 
 def _measured(docs: DataFrame, fitted: Fitted, keep: list[str]) -> DataFrame:
-    """Columns to keep and the three features of ``text``."""
+    """Columns to keep and the features of ``text``."""
     counts, name = docs.sparkSession.sparkContext.broadcast(fitted.counts), fitted.name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = _features(texts(batch.column("text")), *_model(name, counts))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(rows[:, k]) for k in range(3))], names=[*keep, "f1", "f2", "f3"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *map(pa.array, rows.T.copy())], names=[*keep, *FEATURES])
 
     fields = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, "text").mapInArrow(run, f"{fields}, f1 double, f2 double, f3 double")
+    return docs.select(*keep, "text").mapInArrow(run, ", ".join([fields, *(f"{f} double" for f in FEATURES)]))
 
 
 def score_rows(docs: DataFrame, fitted: Fitted, threshold: float = 0.7) -> DataFrame:
@@ -245,8 +262,9 @@ def score_rows(docs: DataFrame, fitted: Fitted, threshold: float = 0.7) -> DataF
     held = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
     if fitted.counts is None:
         return held.select("row", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    bias, a, b, c = fitted.weights
-    z = F.lit(float(bias)) + F.lit(float(a)) * F.col("f1") + F.lit(float(b)) * F.col("f2") + F.lit(float(c)) * F.col("f3")
+    z = F.lit(float(fitted.weights[0]))
+    for weight, feature in zip(fitted.weights[1:], FEATURES, strict=True):
+        z = z + F.lit(float(weight)) * F.col(feature)
     scored = _measured(held, fitted, ["row"]).select("row", (1 / (1 + F.exp(-z))).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
