@@ -40,6 +40,8 @@ class Encoder:
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
         self.letters = _byte_letters()
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.parts: dict[str, bytes] = {}
         # a Latin word is one pre-token: with its blank where the tokenizer keeps blanks, else without it and in lower case
         probe = self.tokenizer.encode(" a", add_special_tokens=False).ids
         self.keeps_blank = probe == self._direct(" a")
@@ -51,17 +53,19 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         """Remember words: those of several parts by their parts, Latin words by the model, others by the whole chain."""
         parts = {w: _PARTS(w if w[:1] == "\n" else f" {w}") for w in words}
-        found: dict[str, bytes] = {}
-        rest = []
-        for part in {p for own in parts.values() for p in own}:
+        known, packed, rest = self.parts, self.packed, []
+        if len(known) > REMEMBERED // 2:
+            known.clear()
+        for part in {p for own in parts.values() for p in own if p not in known}:
             if self.plain and _WORD(part):
                 word = part if self.keeps_blank else part.lstrip(" ").lower()
-                found[part] = np.array(self._direct(word), "<u4").tobytes()
+                spelled = word.encode().decode("latin-1").translate(self.letters)
+                known[part] = b"".join([packed[t.id] for t in self.model.tokenize(spelled)])
             else:
                 rest.append(part)
-        found.update(zip(rest, self._whole(rest), strict=True))
+        known.update(zip(rest, self._whole(rest), strict=True))
         for word, own in parts.items():
-            self.known[word] = b"".join([found[p] for p in own])
+            self.known[word] = known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own])
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
