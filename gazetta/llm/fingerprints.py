@@ -45,8 +45,10 @@ def digests(text: str) -> np.ndarray:
     for part in paragraphs(text):
         nth = seen.get(part, 0)
         seen[part] = nth + 1
-        out.append(xxhash.xxh3_64_intdigest(part, nth))
-    return np.array(out, np.uint64)
+        digest = xxhash.xxh3_64_digest(part)
+        out.append(xxhash.xxh3_64_intdigest(digest + nth.to_bytes(8, "little")) if nth else int.from_bytes(digest, "big"))
+    # a digest must be in a sketch once: equal ones would cancel each other
+    return np.unique(np.array(out, np.uint64))
 
 
 def _places(values: np.ndarray, cells: int) -> list[np.ndarray]:
@@ -108,7 +110,7 @@ def differences(first: list[np.ndarray], second: list[np.ndarray], cells: int =
     while len(rest):
         # one retry's sketches take no more memory than this many digests need, whatever the texts' lengths
         late = []
-        for part in np.array_split(rest, max(1, -(-len(rest) * cells // 2_000_000))):
+        for part in np.array_split(rest, min(len(rest), max(1, -(-len(rest) * cells // 2_000_000)))):
             a, b = ([x[i] for i in part.tolist()] for x in (first, second))
             sides = [sketch(np.concatenate(x), np.repeat(np.arange(len(part)), [len(y) for y in x]), len(part), cells) for x in (a, b)]
             cut = [sides[0][0] - sides[1][0], sides[0][1] ^ sides[1][1], sides[0][2] ^ sides[1][2]]
