@@ -221,7 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, bits: int = 20, sampl
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), learn.alias("learn"))
     own = own.where("learn AND doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(8)).alias("fold"))
-    training = own.join(known, "doc_id").select("text", (F.col("toxic") + F.when(F.col("fold") == 0, 2).otherwise(0)).alias("kind"))
+    # the same join at every size: labels grow with the documents and have no size to broadcast by
+    training = own.join(known.hint("merge"), "doc_id").select("text", (F.col("toxic") + F.when(F.col("fold") == 0, 2).otherwise(0)).alias("kind"))
     table = _gram_counts(training, bits).toPandas()  # at most 2^bits rows
     if not len(table):
         return Fitted(None, ())
@@ -236,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, bits: int = 20, sampl
         second = own
     else:
         first = Fitted({"grams": grams, "ordinary": counts["n0"], "toxic": counts["n1"], "bits": bits}, ())
-    measured = _measured(second, first, ["doc_id"]).join(known, "doc_id")
+    measured = _measured(second, first, ["doc_id"]).join(known.hint("merge"), "doc_id")
     picked = measured.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", *FEATURES).limit(sample).toPandas()
     y = picked["toxic"].to_numpy(float)
     if not len(y) or y.min() == y.max():
