@@ -285,8 +285,10 @@ def review_columns(reviews: Column, n: int = 5, typed_date: bool = False) -> dic
     return out
 
 
-def place_columns(place: Column, fallback_id: Column | str | None = None) -> dict[str, Column]:
-    """One column per attribute of a place payload."""
+def place_columns(
+    place: Column, fallback_id: Column | str | None = None, photo_columns: int = 4, reviews: int = 5
+) -> dict[str, Column]:
+    """One column per attribute of a place payload; the number of photo and review columns is the caller's."""
     place_id = F.nullif(tx.strip_prefix(place["name"]), F.lit(""))
     if fallback_id is not None:
         place_id = F.coalesce(place_id, as_col(fallback_id))
@@ -306,7 +308,7 @@ def place_columns(place: Column, fallback_id: Column | str | None = None) -> dic
         "google_review_count": place["userRatingCount"],
         **{
             f"photo_ref_{i + 1}": F.nullif(F.get(photos, F.lit(i))["name"], F.lit(""))
-            for i in range(4)
+            for i in range(photo_columns)
         },
         "total_photo_count": F.coalesce(F.size(photos), F.lit(0)),
         "opening_hours": place["regularOpeningHours"],
@@ -317,7 +319,7 @@ def place_columns(place: Column, fallback_id: Column | str | None = None) -> dic
         **{c: place[f] for f, c in PLACE_FLAGS.items()},
         **{c: place["parkingOptions"][f] for f, c in PARKING_FLAGS.items()},
     }
-    out.update(review_columns(place["reviews"]))
+    out.update(review_columns(place["reviews"], reviews))
     return out
 
 
@@ -369,8 +371,13 @@ def add_air(df: DataFrame, payload: str) -> DataFrame:
     ).drop("_indexes", "_air")
 
 
-def add_sentiment(df: DataFrame, answer: str, filled_reviews: Column | str | None = None) -> DataFrame:
-    """Score within 0-1, at most three themes, flags as text; NULL below two reviews or without score."""
+def add_sentiment(
+    df: DataFrame, answer: str, filled_reviews: Column | str | None = None, themes: int | None = None
+) -> DataFrame:
+    """Score within 0-1, themes, flags as text; NULL below two reviews or without score.
+
+    ``themes`` takes that many themes at most.
+    """
     parsed = df.withColumn("_rec", parse(salvage_json(answer), SENTIMENT)).withColumn(
         "sentiment_score", va.clamp(va.to_float("_rec.sentiment_score"), 0.0, 1.0)
     )
@@ -379,11 +386,10 @@ def add_sentiment(df: DataFrame, answer: str, filled_reviews: Column | str | Non
         parsed = parsed.withColumn("sentiment_score", F.when(enough, F.col("sentiment_score")))
     empty = F.array().cast("array<string>")
     valid = F.col("sentiment_score").isNotNull()
+    named = F.coalesce(F.col("_rec.top_themes"), empty)
     return parsed.withColumns(
         {
-            "sentiment_themes": F.when(
-                valid, F.slice(F.coalesce(F.col("_rec.top_themes"), empty), 1, 3)
-            ),
+            "sentiment_themes": F.when(valid, named if themes is None else F.slice(named, 1, themes)),
             "red_flags": F.when(valid, F.coalesce(F.col("_rec.red_flags"), empty)),
             "one_line_summary": F.when(
                 valid, F.nullif(strip("_rec.one_line_summary"), F.lit(""))

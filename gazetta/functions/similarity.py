@@ -10,7 +10,6 @@ Python integers beyond.
 from __future__ import annotations
 
 import sys
-from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -97,15 +96,42 @@ def token_sort_ratio(left: Column | str, right: Column | str) -> Column:
     return key_ratio(token_key(left), token_key(right))
 
 
-@F.pandas_udf(T.DoubleType())
-def _matcher_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series(
-        [SequenceMatcher(None, a, b).ratio() if a and b else 0.0 for a, b in zip(left, right)]
-    )
+def _longest_block(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+    """Start in both and length of the longest common block; the first in ``a``, then in ``b``, of equal ones."""
+    run = np.zeros(len(b), dtype=np.int64)
+    best = (0, 0, 0)
+    for i, char in enumerate(a):
+        run = np.where(b == char, np.concatenate(([1], run[:-1] + 1)), 0)
+        j = int(run.argmax())
+        if run[j] > best[2]:
+            best = (i - int(run[j]) + 1, j - int(run[j]) + 1, int(run[j]))
+    return best
+
+
+def block_length(left: str, right: str) -> int:
+    """Characters in common blocks: the longest one, then the same on both sides of it."""
+    total, open_pairs = 0, [tuple(np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (left, right))]
+    while open_pairs:
+        a, b = open_pairs.pop()
+        if len(a) and len(b):
+            i, j, n = _longest_block(a, b)
+            if n:
+                total += n
+                open_pairs += [(a[:i], b[:j]), (a[i + n :], b[j + n :])]
+    return total
+
+
+@F.pandas_udf(T.IntegerType())
+def _blocks(left: pd.Series, right: pd.Series) -> pd.Series:
+    pairs = pd.DataFrame({"a": left.to_numpy(), "b": right.to_numpy()})
+    code, distinct = pd.factorize(pd.MultiIndex.from_frame(pairs))
+    lengths = np.array([block_length(a, b) for a, b in distinct], dtype=np.int32)
+    return pd.Series(lengths[code] if len(code) else np.zeros(0, np.int32))
 
 
 def sequence_ratio(left: Column | str, right: Column | str) -> Column:
     """Ratcliff-Obershelp ratio 0-1, for pairs that are already matched; blank -> 0."""
-    return _matcher_ratio(
-        F.coalesce(as_col(left), F.lit("")), F.coalesce(as_col(right), F.lit(""))
-    )
+    a, b = F.coalesce(as_col(left), F.lit("")), F.coalesce(as_col(right), F.lit(""))
+    total = F.length(a) + F.length(b)
+    filled = (F.length(a) > 0) & (F.length(b) > 0)
+    return F.when(filled, F.lit(2.0) * _blocks(a, b) / total).otherwise(F.lit(0.0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -148,11 +149,15 @@ def price(value: Column | str) -> Column:
     return F.regexp_replace(raw, ",", "").try_cast("bigint")
 
 
-def fee_amount(value: Column | str) -> Column:
-    """Free-text fee to a number: a range gives its midpoint, else the mean of the first four numbers."""
+def fee_amount(value: Column | str, first: int | None = None) -> Column:
+    """Free-text fee to a number: a range gives its midpoint, else the mean of the numbers.
+
+    ``first`` takes that many numbers at most.
+    """
     text = as_col(value)
     dense = F.regexp_replace(text, r"[$,\s]", "")
-    found = F.slice(F.regexp_extract_all(dense, F.lit(r"(\d+(?:\.\d+)?)"), 1), 1, 4)
+    found = F.regexp_extract_all(dense, F.lit(r"(\d+(?:\.\d+)?)"), 1)
+    found = found if first is None else F.slice(found, 1, first)
 
     def amount(numbers: Column) -> Column:
         used = F.when((F.size(numbers) >= 2) & text.contains("-"), F.slice(numbers, 1, 2)).otherwise(numbers)
@@ -188,30 +193,24 @@ def labelled_phone(value: Column | str) -> Column:
     return F.nullif(strip(F.regexp_replace(raw, r"\s+", " ")), F.lit(""))
 
 
-def address_line(value: Column | str, skip_words: Sequence[str] = ("cerem",)) -> Column:
-    """Lines that are neither phone, e-mail nor a skipped heading, distinct, joined by blanks.
+def address_line(value: Column | str, skip_words: Sequence[str] = ("cerem",), lines: int | None = None) -> Column:
+    """Postal part of a contact cell: its text lines, each once, joined by blanks.
 
-    If no line is left, the first three lines of what remains once a leading
-    phone number and all e-mail addresses are taken out of the text.
+    Text lines have none of ``skip_words``.  Those that are contact details (an
+    ``m:``, ``p:`` or ``p(`` label, or an ``@``) count only where nothing else is
+    left, and then without the addresses and a number in front; ``lines`` limits
+    how many of them are taken.
     """
-
-    def lines_of(text: Column) -> Column:
-        return F.transform(F.split(text, r"\r?\n"), strip)
-
-    def is_text(line: Column) -> Column:
-        keep = line != ""
-        for word in skip_words:
-            keep = keep & ~F.lower(line).contains(word)
-        return keep
-
-    def is_address(line: Column) -> Column:
-        return is_text(line) & ~line.rlike(r"(?i)^(m:|p\(|p:)") & ~line.contains("@")
-
-    whole = F.array_join(F.array_distinct(F.filter(lines_of(as_col(value)), is_address)), " ")
-    bare = F.regexp_replace(as_col(value), r"(?i)^\s*m:\s*[\d+()\s]+", "")
-    bare = F.regexp_replace(bare, EMAIL, "")
-    rest = F.array_join(F.slice(F.filter(lines_of(bare), is_text), 1, 3), " ")
-    return F.coalesce(F.nullif(whole, F.lit("")), F.nullif(rest, F.lit("")))
+    skipped = "|".join(["^$", *(f"(?i){re.escape(w)}" for w in skip_words)])
+    text_lines = F.filter(F.transform(F.split(as_col(value), r"\r?\n"), strip), lambda x: ~x.rlike(skipped))
+    postal = F.array_distinct(F.filter(text_lines, lambda x: ~x.rlike(r"(?i)^(?:m:|p[:(])|@")))
+    stripped = F.transform(
+        text_lines, lambda x, i: strip(F.regexp_replace(F.when(i == 0, F.regexp_replace(x, r"(?i)^m:[\d+()\s]+", "")).otherwise(x), EMAIL, ""))
+    )
+    contact = F.filter(stripped, lambda x: x != "")
+    contact = contact if lines is None else F.slice(contact, 1, lines)
+    chosen = F.when(F.size(postal) > 0, postal).otherwise(contact)
+    return F.nullif(F.array_join(chosen, " "), F.lit(""))
 
 
 def whole_number(value: Column | str) -> Column:

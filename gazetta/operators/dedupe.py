@@ -214,7 +214,7 @@ def stable_id(prefix: str, *parts: Column | str) -> Column:
     """Id from the row's own key: adding a row never renumbers the others."""
     cols = [F.col(p) if isinstance(p, str) else p for p in parts]
     digest = F.sha2(F.concat_ws("|", *[F.lower(F.coalesce(c, F.lit(""))) for c in cols]), 256)
-    return F.concat(F.lit(prefix), F.substring(digest, 1, 16))
+    return F.concat(F.lit(prefix), digest)
 
 
 # -- set operations ---------------------------------------------------------

@@ -152,10 +152,11 @@ def in_region(
     )
 
 
-def is_blocked_page(html: Column | str) -> Column:
-    """Challenge page instead of content."""
+def is_blocked_page(html: Column | str, head: int | None = None) -> Column:
+    """Challenge page instead of content; ``head`` looks for the request to verify at the beginning only."""
     low = F.lower(F.coalesce(as_col(html), F.lit("")))
-    return va.has_any(low, CHALLENGE_WORDS) | F.substring(low, 1, 2000).contains("please verify")
+    start = low if head is None else F.substring(low, 1, head)
+    return va.has_any(low, CHALLENGE_WORDS) | start.contains("please verify")
 
 
 def is_thin_page(

@@ -55,7 +55,8 @@ def haversine_km(lat1: Column | str, lng1: Column | str, lat2: Column | str, lng
     a1, o1, a2, o2 = (as_col(c) for c in (lat1, lng1, lat2, lng2))
     dlat, dlng = F.radians(a2 - a1) / 2, F.radians(o2 - o1) / 2
     h = F.pow(F.sin(dlat), 2) + F.cos(F.radians(a1)) * F.cos(F.radians(a2)) * F.pow(F.sin(dlng), 2)
-    return F.lit(2 * EARTH_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    # least() skips NULL: an unknown coordinate must not become the farthest point
+    return F.when(h.isNotNull(), F.lit(2 * EARTH_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(h))))
 
 
 def drive_minutes(km: Column | str, speed: float = 75.0) -> Column:
@@ -76,19 +77,16 @@ def nearest(
     order: str,
     lat: str = "lat",
     lng: str = "lng",
-    small: int = 64,
 ) -> DataFrame:
     """Adds ``near_<col>`` of the closest place and ``near_km``; ties go to the lowest ``order``.
 
-    Up to ``small`` places (checked) travel as a literal array and every point
-    scans them in its own row.  More places are searched through an octree, so
-    that a point is compared only with places in cells that can still win.
+    Places are searched through an octree, so that a point is compared only with
+    places in cells that can still win.  Points without coordinates get NULL,
+    places without are no candidates, and without places everything is NULL.
     """
     cols = [c for c in place_cols if c != order]
-    head = places.select(lat, lng, order, *cols).limit(small + 1).collect()
-    if len(head) <= small:
-        return _nearest_literal(points, places, head, cols, order, lat, lng)
-    return _nearest_octree(points, places, cols, order, lat, lng)
+    usable = places.filter(F.col(lat).isNotNull() & F.col(lng).isNotNull())
+    return _nearest_octree(points, usable, cols, order, lat, lng)
 
 
 def _finish(found: DataFrame, points: DataFrame, best: str, cols: Sequence[str], order: str) -> DataFrame:
@@ -100,23 +98,7 @@ def _finish(found: DataFrame, points: DataFrame, best: str, cols: Sequence[str],
     )
 
 
-def _nearest_literal(points, places, head, cols, order, lat, lng) -> DataFrame:
-    kinds = {f.name: f.dataType for f in places.schema.fields}
-    table = F.array(
-        *[F.struct(*[F.lit(r[n]).cast(kinds[n]).alias(n) for n in (lat, lng, order, *cols)]) for r in head]
-    )
-    here_lat, here_lng = F.col(lat).cast("double"), F.col(lng).cast("double")
-
-    def scored(p: Column) -> Column:
-        km = haversine_km(here_lat, here_lng, p[lat].cast("double"), p[lng].cast("double"))
-        return F.struct(km.alias("km"), *[p[n].alias(n) for n in (order, *cols)])
-
-    return _finish(
-        points.withColumn("_best", F.array_min(F.transform(table, scored))), points, "_best", cols, order
-    )
-
-
-_ROOT_LEVEL, _STEP, _LEAF_LEVEL = 2, 3, 17
+_ROOT_LEVEL, _STEP, _LEAF_LEVEL = 2, 4, 14
 
 
 def _xyz(lat: str, lng: str) -> list[Column]:
@@ -168,11 +150,10 @@ def _nearest_octree(points, places, cols, order, lat, lng) -> DataFrame:
         return rows.withColumn("_limit", best).filter("_near <= _limit").drop("_near", "_far")
 
     level = _ROOT_LEVEL
-    # at most 64 root cells exist, whatever the number of places
-    roots = [r[0] for r in spots.select(_cell(level, pxyz)).distinct().collect()]
-    start = here.withColumns(
-        {"_c": F.explode(F.array(*[F.lit(c).cast("bigint") for c in roots])), "_limit": F.lit(12.0)}
-    )
+    # at most 64 root cells exist, whatever the number of places: one row, joined by a constant
+    roots = spots.agg(F.collect_set(_cell(level, pxyz)).alias("_roots")).withColumn("_one", F.lit(1))
+    start = here.withColumn("_one", F.lit(1)).join(F.broadcast(roots), "_one").drop("_one")
+    start = start.withColumns({"_c": F.explode("_roots"), "_limit": F.lit(12.0)}).drop("_roots")
     frontier = pruned(_with_bounds(start, "_c", level))
     while level < _LEAF_LEVEL:
         below = level + _STEP

@@ -84,13 +84,15 @@ def asof(
     left_time: str,
     right_time: str,
     take: Sequence[str],
-    block: int = 86_400_000_000,
+    block: int | None = None,
 ) -> DataFrame:
     """For every left row the latest right row of the key strictly before it.
 
     Both sides are merged in time order (left first on equal times, which makes
-    the comparison strict) and the right values carried forward block by block;
-    ``block`` is in microseconds.  No row pairs are formed.
+    the comparison strict) and the right values carried forward block by block.
+    Blocks hold about equally many rows, so a busy key or day is spread over
+    tasks; ``block`` (in microseconds) cuts by time instead, which needs no
+    sampling but suits even times only.  No row pairs are formed.
     """
     payload = F.struct(F.col(right_time).alias("matched_time"), *take)
     tick = F.unix_micros
@@ -108,7 +110,7 @@ def asof(
             payload.alias("_r"),
         )
     )
-    done = carry_forward(both, keys, "_t", "_r", "_m", block * 2).filter(F.col("_l").isNotNull())
+    done = carry_forward(both, keys, "_t", "_r", "_m", block and block * 2).filter(F.col("_l").isNotNull())
     return done.select("_l.*", "_m.*")
 
 
@@ -164,6 +166,14 @@ def _combinations(tokens: Column, depth: Column, *salt: Column) -> Column:
     return F.when(depth == 1, one).when(depth == 2, two).otherwise(three)
 
 
+def _common_and_depth(size: Column, other: Column, limit: float) -> tuple[Column, Column]:
+    """Common characters that two lengths need for the score, and how many of them make a signature."""
+    common = F.ceil(F.lit(limit) * (size + other) / 200 - F.lit(1e-9)).cast("int")
+    gap = F.greatest(size, other) - common
+    deep = F.when(gap <= 8, 3).when(gap <= 20, 2).otherwise(1)
+    return common, F.least(deep, common)
+
+
 def _signature_rows(df: DataFrame, key: str, score: int, block: Sequence[str], right: bool) -> DataFrame:
     """Hashes that two names scoring at least ``score`` must have in common.
 
@@ -174,12 +184,13 @@ def _signature_rows(df: DataFrame, key: str, score: int, block: Sequence[str], r
     score allows, the combinations of that size together with both lengths: the
     exact ``c`` keeps the prefixes short and the combinations make them rare.
     Below ``_LOOSE_BELOW`` nearly every length is allowed; there single
-    occurrences under the weakest ``c`` are used, without lengths.
+    occurrences under the weakest ``c`` are used, without lengths.  The
+    occurrences travel along as one text, so that a pair is judged where it meets.
     """
     limit = score - 0.5
     share = limit / (200.0 - limit)
-    size = F.length(key)
-    base = df.select(*block, key, size.alias("_len"), _rarest_first(F.col(key)).alias("_tok"))
+    more = [c for c in df.columns if c not in (*block, key)]
+    base = df.select(*block, key, *more, F.length(key).alias("_len"), _rarest_first(F.col(key)).alias("_tok"))
     if score < _LOOSE_BELOW:
         weakest = F.ceil(F.col("_len") * F.lit(share) - F.lit(1e-9)).cast("int")
         ready = base.withColumn("_pre", F.slice("_tok", F.lit(1), F.col("_len") - weakest + 1))
@@ -188,34 +199,45 @@ def _signature_rows(df: DataFrame, key: str, score: int, block: Sequence[str], r
         shortest = F.ceil(F.col("_len") * F.lit(share) - F.lit(1e-9)).cast("int")
         longest = F.floor(F.col("_len") / F.lit(share) + F.lit(1e-9)).cast("int")
         per_length = base.withColumn("_other", F.explode(F.sequence(shortest, longest)))
-        both = F.col("_len") + F.col("_other")
-        common = F.ceil(F.lit(limit) * both / 200 - F.lit(1e-9)).cast("int")
-        gap = F.greatest("_len", "_other") - F.col("_c")
-        deep = F.when(gap <= 8, 3).when(gap <= 20, 2).otherwise(1)
+        common, depth = _common_and_depth(F.col("_len"), F.col("_other"), limit)
         ready = (
             per_length.withColumn("_c", common)
-            .withColumn("_d", F.least(deep, F.col("_c")))
+            .withColumn("_d", depth)
             .withColumn("_pre", F.slice("_tok", F.lit(1), F.col("_len") - F.col("_c") + F.col("_d")))
         )
         lengths = ("_other", "_len") if right else ("_len", "_other")
         hashes = _combinations(F.col("_pre"), F.col("_d"), *[F.col(c) for c in lengths])
-    return ready.select(*block, key, F.explode(hashes).alias("h"))
+    tokens = F.array_join("_tok", "\t").alias("_rtok" if right else "_ltok")
+    return ready.select(*block, key, *more, tokens, F.explode(hashes).alias("h"))
 
 
 def similar_keys(left: DataFrame, right: DataFrame, score: int, block: Sequence[str] = ()) -> DataFrame:
     """All pairs of distinct keys (``lkey``, ``rkey``) scoring at least ``score``, with the score.
 
-    Exact: the candidate filters never lose a pair.
+    Exact: the candidate filters never lose a pair.  A pair that shares several
+    signatures counts only at the one of its first shared occurrences, and only
+    where its shared occurrences are enough for the score, so the kernel sees
+    each pair once at most.  Other columns of ``right`` come along.
     """
     limit = score - 0.5
     a = _signature_rows(left, "lkey", score, block, right=False)
     b = _signature_rows(right, "rkey", score, block, right=True)
     la, lb = F.length("lkey"), F.length("rkey")
     near = F.lit(200.0) * F.least(la, lb) >= F.lit(limit) * (la + lb)
-    pairs = a.join(b, [*block, "h"], "inner").filter(near)
-    # scored where they meet: only the few pairs that pass are shuffled to become distinct
-    scored = pairs.select(*block, "lkey", "rkey", key_ratio("lkey", "rkey").alias("score"))
-    return scored.filter(F.col("score") >= score).distinct()
+    shared = F.array_intersect(F.split("_ltok", "\t"), F.split("_rtok", "\t"))
+    pairs = a.join(b, [*block, "h"], "inner").filter(near).withColumn("_s", shared)
+    pairs = pairs.filter(F.lit(200.0) * F.size("_s") >= F.lit(limit) * (la + lb))
+    s = [F.get("_s", F.lit(i)) for i in range(3)]
+    if score < _LOOSE_BELOW:
+        first = F.xxhash64(s[0])
+    else:
+        _, depth = _common_and_depth(la, lb, limit)
+        first = F.when(depth == 1, F.xxhash64(la, lb, s[0])).when(depth == 2, F.xxhash64(la, lb, s[0], s[1]))
+        first = first.otherwise(F.xxhash64(la, lb, s[0], s[1], s[2]))
+    once = pairs.filter(F.col("h") == first)
+    more = [c for c in right.columns if c not in (*block, "rkey")]
+    scored = once.select(*block, "lkey", "rkey", *more, key_ratio("lkey", "rkey").alias("score"))
+    return scored.filter(F.col("score") >= score)
 
 
 def best_keys(
@@ -242,8 +264,7 @@ def best_keys(
     done = [same.select(*on, "lkey", "rkey", F.lit(100).alias("score"))]
     rest = left.join(same.select(*on, "lkey"), [*on, "lkey"], "left_anti")
     for score in [*stages, threshold]:
-        scored = similar_keys(rest, right.drop("first"), score, on)
-        scored = scored.join(right, [*on, "rkey"], "inner")
+        scored = similar_keys(rest, right, score, on)
         rank = F.struct("score", (-F.col("first")).alias("o"))
         best = (
             scored.groupBy(*on, "lkey")
@@ -382,12 +403,16 @@ def contained_in(
         # a look-ahead matches at every position, so overlapping grams come out in one pass
         return F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(rf"(?s)(?=(.{{{size}}}))"), 1))
 
-    # patterns shorter than a gram are looked up whole, hence the shorter text grams
-    every = F.concat(*[grams(text, n) for n in range(1, _GRAM + 1)])
-    text_grams = txts.select(*on, "_digest", F.explode(every).alias("_gram"))
-    counts = text_grams.groupBy(*on, "_gram").agg(F.count("*").alias("_n"))
+    # patterns shorter than a gram are looked up whole; only where there are some, texts emit such short grams
+    shortest = pats.agg(F.min(F.length(pattern))).first()[0] or _GRAM
+    sizes = range(min(shortest, _GRAM), _GRAM + 1)
     whole = F.when(F.length(pattern) < _GRAM, F.array(F.col(pattern))).otherwise(grams(pattern, _GRAM))
     own = pats.select(*on, pattern, F.explode(whole).alias("_gram"))
+    # of the texts' grams only those of some pattern are counted and looked up
+    every = F.concat(*[grams(text, n) for n in sizes])
+    text_grams = txts.select(*on, "_digest", F.explode(every).alias("_gram"))
+    text_grams = text_grams.join(own.select(*on, "_gram").distinct(), [*on, "_gram"], "left_semi")
+    counts = text_grams.groupBy(*on, "_gram").agg(F.count("*").alias("_n"))
     anchors = (
         own.join(counts, [*on, "_gram"], "inner")
         .groupBy(*on, pattern)

@@ -17,8 +17,19 @@ from gazetta.operators.dedupe import BLOCK, keep_first, keep_last, not_known, nu
 
 
 def _last_updates(updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One update row per key; with order columns the last one."""
-    return keep_last(updates, keys, order).drop(*order) if order else updates
+    """One update row per key: the last by ``order``, without order columns the greatest by its own values.
+
+    A keyed write must not turn one row into several, whatever the updates hold.
+    """
+    if order:
+        return keep_last(updates, keys, order).drop(*order)
+    return keep_last(updates, keys, [c for c in updates.columns if c not in keys]) if len(updates.columns) > len(keys) else updates.distinct()
+
+
+def _known_columns(target: DataFrame, updates: DataFrame) -> None:
+    surplus = [c for c in updates.columns if c not in target.columns]
+    if surplus:
+        raise ValueError(f"the target has no columns {', '.join(surplus)}")
 
 
 def _prefixed(updates: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -30,6 +41,7 @@ def _prefixed(updates: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[
 def _merged(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], how: str, rule: Callable[[str], Column]
 ) -> DataFrame:
+    _known_columns(target, updates)
     named, cols = _prefixed(updates, keys)
     joined = target.join(named, list(keys), how)
     return joined.select(
@@ -43,7 +55,7 @@ def _merged(
 def upsert(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
-    """Insert new keys, replace the given columns (also by NULL) of known ones."""
+    """Insert new keys, replace the given columns (also by NULL) of known ones; one row per key."""
     upd = _last_updates(updates, keys, order)
     return _merged(
         target, upd, keys, "full_outer", lambda c: F.when(F.col("_u"), F.col(f"_u_{c}")).otherwise(F.col(c))
@@ -71,7 +83,7 @@ def insert_report(target: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
 def patch_non_null(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
-    """Only non-NULL update values apply; unknown keys are ignored."""
+    """Only non-NULL update values apply; unknown keys are ignored; one row per key."""
     upd = _last_updates(updates, keys, order)
     return _merged(target, upd, keys, "left", lambda c: F.coalesce(f"_u_{c}", c))
 
@@ -84,13 +96,17 @@ def fill_gaps(
     always: Sequence[str] = (),
     stamp: tuple[str, Column] | None = None,
     null_is_gap: bool = True,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Updates apply where the target is blank; ``always`` columns take any filled update.
 
     Without ``null_is_gap`` only the sentinels are gaps, a NULL stays NULL.
-    ``stamp`` = (column, value) marks only rows that really changed.
+    ``stamp`` = (column, value) marks only rows that really changed.  Of several
+    updates of a key the last by ``order`` counts.
     """
-    named, cols = _prefixed(updates, keys)
+    last = _last_updates(updates, keys, order)
+    _known_columns(target, last)
+    named, cols = _prefixed(last, keys)
     joined = target.join(named, list(keys), "left")
     new: dict[str, Column] = {}
     for c in target.columns:
@@ -126,7 +142,8 @@ def natural_key_upsert(
     upd = keep_first(upd, ["_k"], [order])
     tgt = target.withColumn("_k", key_of(natural))
     cols = [c for c in updates.columns if c not in (ident, natural, order)]
-    patched = patch_non_null(tgt, upd.select("_k", *cols), ["_k"]).drop("_k")
+    shared = [c for c in cols if c in target.columns]
+    patched = patch_non_null(tgt, upd.select("_k", *shared), ["_k"]).drop("_k")
     fresh = upd.join(tgt.select("_k"), "_k", "left_anti")
     highest = F.max(F.regexp_extract(ident, r"(\d+)$", 1).try_cast("bigint"))
     top = target.agg(F.coalesce(highest, F.lit(0))).scalar()

@@ -7,6 +7,7 @@ no shuffle, and a page with very many links stays one row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,19 +19,16 @@ from gazetta.functions.values import as_col, strip
 from gazetta.operators import gates
 from gazetta.operators.dedupe import top_k
 
-_ANCHOR = r"""(?is)(<a\b[^>]*?\bhref\s*=\s*["'][^"']*["'][^>]*>.*?</a>|<a\b[^>]*?\bhref\s*=\s*["'][^"']*["'][^>]*>)"""
-_HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
-_SILENT = ("script", "style", "noscript")
-
-# Entities that occur in text.
-ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&amp;": "&",
-}
+# Parts of a page that hold no text or links: comments, and elements whose content is not shown.
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|noscript)\b.*?(?:</\1\s*>|\z)"
+# Start tags only: attributes with their quotes, or whatever stands before the next '>'.
+_INSIDE = r"""(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>|[^>]*+>)"""
+_START = rf"(?is)<a\s{_INSIDE}"
+_TAG = rf"(?s)<{_INSIDE}"
+# The label runs to the next end or start tag of a link.
+_LINK = rf"({_START}.*?)(?=</a\s*>|<a\s|\z)"
+_HREF = r"""(?is)[\s"']href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 # Words that make a link worth following.
 WEEKEND_HINTS = (
     "things-to-do",
@@ -46,32 +44,64 @@ WEEKEND_HINTS = (
 )
 
 
+def _decoded(entity: Column) -> Column:
+    """Character of one entity; unknown ones stay as they are."""
+    body = F.substring(entity, 2, 40)
+    number = F.when(
+        F.lower(body).startswith("#x"), F.conv(F.regexp_extract(body, r"([0-9a-fA-F]+);$", 1), 16, 10)
+    ).when(body.startswith("#"), F.regexp_extract(body, r"([0-9]+);$", 1))
+    code = number.try_cast("int")
+    known = F.create_map(*[F.lit(x) for pair in name2codepoint.items() for x in (f"{pair[0]};", pair[1])])
+    code = F.coalesce(code, F.try_element_at(known, body), F.when(body == "apos;", F.lit(39)))
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    # a blank that does not break is a blank
+    return F.when(code == 160, F.lit(" ")).otherwise(F.coalesce(F.when(valid, char), entity))
+
+
 def unescape(value: Column | str) -> Column:
-    """Common entities to characters; the ampersand last, so nothing is decoded twice."""
-    out = as_col(value)
-    for entity, char in ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Named and numeric entities to characters, in one pass, so nothing is decoded twice."""
+    text = as_col(value)
+    found = F.regexp_extract_all(text, F.lit(f"({_ENTITY})"), 1)
+    between = F.split(text, _ENTITY, -1)
+    whole = F.array_join(
+        F.transform(between, lambda part, i: F.concat(part, F.coalesce(_decoded(F.get(found, i)), F.lit("")))), ""
+    )
+    # most texts hold none: the plain search spares them the pattern
+    return F.when(text.contains("&"), whole).otherwise(text)
 
 
 def squash(value: Column | str) -> Column:
     return strip(F.regexp_replace(as_col(value), r"\s+", " "))
 
 
+def shown(html: Column | str) -> Column:
+    """The page without comments and hidden elements."""
+    return F.regexp_replace(as_col(html), _HIDDEN, " ")
+
+
 def visible_text(html: Column | str, sep: str = " ") -> Column:
     """Text without script, style, noscript, comments and tags."""
-    out = as_col(html)
-    for tag in _SILENT:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?</{tag}\s*>", " ")
-    out = F.regexp_replace(out, r"(?s)<!--.*?-->", " ")
-    out = F.regexp_replace(out, r"(?s)<[^>]*>", " ")
+    out = F.regexp_replace(shown(html), _TAG, " ")
     return strip(F.regexp_replace(unescape(out), r"\s+", sep))
 
 
-def page_title(html: Column | str, limit: int = 300) -> Column:
-    """Title text; cut to the width of the title column."""
+def page_title(html: Column | str, limit: int | None = None) -> Column:
+    """Title text; ``limit`` cuts it to the width of a title column."""
     raw = F.regexp_extract(as_col(html), r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return F.substring(squash(unescape(raw)), 1, limit)
+    title = squash(unescape(raw))
+    return title if limit is None else F.substring(title, 1, limit)
+
+
+def anchors(html: Column | str) -> Column:
+    """Link start tags of the shown page, each with its label."""
+    return F.regexp_extract_all(shown(html), F.lit(_LINK), 1)
+
+
+def _href(anchor: Column) -> Column:
+    """Quoted or bare address of a link; '' without one."""
+    tag = F.regexp_extract(anchor, f"({_START})", 1)
+    return F.concat(*[F.regexp_extract(tag, _HREF, i) for i in (1, 2, 3)])
 
 
 def page_text(pages: DataFrame, html: str = "html", limit: int | None = None) -> DataFrame:
@@ -86,13 +116,12 @@ def page_text(pages: DataFrame, html: str = "html", limit: int | None = None) ->
 
 def link_array(html: Column | str, base: Column | str) -> Column:
     """Links of one page in order: position, href, text and resolved URL; first per URL."""
-    anchors = F.regexp_extract_all(as_col(html), F.lit(_ANCHOR), 1)
 
     def parsed(a: Column, i: Column) -> Column:
-        href = strip(unescape(F.regexp_extract(a, _HREF, 1)))
+        href = strip(unescape(_href(a)))
         return F.struct(i.alias("pos"), href.alias("href"), visible_text(a).alias("text"))
 
-    filled = F.filter(F.transform(anchors, parsed), lambda x: x["href"] != "")
+    filled = F.filter(F.transform(anchors(html), parsed), lambda x: x["href"] != "")
     return F.transform(
         filled, lambda x: x.withField("resolved", ur.resolve_link(base, x["href"]))
     )
@@ -242,9 +271,7 @@ def contacts(
     html: str = "html",
 ) -> DataFrame:
     """First foreign e-mail and the best phone: linked mobile, mobile in the text, other linked number."""
-    hrefs = F.transform(
-        F.regexp_extract_all(as_col(html), F.lit(_ANCHOR), 1), lambda a: F.regexp_extract(a, _HREF, 1)
-    )
+    hrefs = F.transform(anchors(html), _href)
     mails = F.transform(
         F.filter(hrefs, lambda h: F.lower(h).startswith("mailto:")),
         lambda h: strip(F.replace(F.regexp_extract(h, r"^[^:]*:([^&?#]*)", 1), F.lit("%20"), F.lit(" "))),
@@ -289,27 +316,28 @@ def combine_docs(
     order: str,
     url: str,
     body: str,
-    page_chars: int = 12_000,
-    total_chars: int = 70_000,
+    page_chars: int | None = None,
+    total_chars: int | None = None,
     sep: str = "\n\n-----\n\n",
     spread: int = 1024,
 ) -> DataFrame:
-    """One text per group: documents in order, each and the whole cut to their size.
+    """One text per group: documents in order.
 
-    The size is what the operator promises, and it also bounds the work: within
-    ``spread`` parts of a group a document is dropped once the documents before
+    ``page_chars`` cuts each document and ``total_chars`` the whole; both are off
+    by default.  A total also bounds the work: within ``spread`` parts of a group a document is dropped once the documents before
     it in its own part already fill the result, so a group of any size reaches
     the final task with little more than ``spread * total_chars`` characters.
     """
+    content = squash(F.coalesce(F.col(body), F.lit("")))
     chunk = F.concat(
         F.lit("URL: "),
         F.coalesce(F.col(url), F.lit("")),
         F.lit("\nCONTENT:\n"),
-        F.substring(squash(F.coalesce(F.col(body), F.lit(""))), 1, page_chars),
+        content if page_chars is None else F.substring(content, 1, page_chars),
     )
     part = F.pmod(F.xxhash64(order, url), F.lit(spread))
     rows = docs.select(*keys, order, chunk.alias("_chunk"), part.alias("_part"))
-    for by in ([*keys, "_part"], list(keys)):
+    for by in ([*keys, "_part"], list(keys)) if total_chars is not None else ():
         before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         used = F.coalesce(F.sum(F.length("_chunk") + len(sep)).over(before), F.lit(0))
         rows = rows.withColumn("_used", used)
@@ -317,4 +345,5 @@ def combine_docs(
         rows = rows.filter(F.col("_used") < total_chars + len(sep)).drop("_used")
     parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), "_chunk")))
     joined = F.array_join(F.transform(parts, lambda p: p["_chunk"]), sep)
-    return rows.groupBy(*keys).agg(F.substring(joined, 1, total_chars).alias("combined"))
+    cut = joined if total_chars is None else F.substring(joined, 1, total_chars)
+    return rows.groupBy(*keys).agg(cut.alias("combined"))

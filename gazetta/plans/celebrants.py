@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gazetta.functions import payloads as pl
 from gazetta.functions import similarity as sim
 from gazetta.functions import text as tx
+from gazetta.functions import urls as ur
 from gazetta.functions import values as va
 from gazetta.operators import aggregate as ag
 from gazetta.operators import dedupe as dd
@@ -19,15 +20,60 @@ from gazetta.sources.files import conform
 
 # The 53 columns of the register, in order.
 COLUMNS = (
-    "celebrant_id brand_id full_name ag_display_name title email phone state address_text suburb postcode "
-    "website registration_date register_class status unavailability_text ceremony_type data_source abia_winner "
-    "abia_awards_text vibe style_description service_area_notes min_price_aud max_price_aud years_experience "
-    "estimated_ceremonies languages_non_english instagram_handle_or_url facebook_url phone_from_website "
-    "celebrant_institute_member joshua_withers_mentioned data_quality_score merge_fuzzy_score "
-    "is_standalone_award_entry google_place_id google_rating google_review_count website_from_places "
-    "phone_from_places last_website_enrich_at last_places_enrich_at ag_scrape_page ag_scrape_index import_notes "
-    "pds_ack insurance_notes public_profile_url linkedin_url raw_address_cell last_updated_source content_tier"
-).split()
+    "celebrant_id",
+    "brand_id",
+    "full_name",
+    "ag_display_name",
+    "title",
+    "email",
+    "phone",
+    "state",
+    "address_text",
+    "suburb",
+    "postcode",
+    "website",
+    "registration_date",
+    "register_class",
+    "status",
+    "unavailability_text",
+    "ceremony_type",
+    "data_source",
+    "abia_winner",
+    "abia_awards_text",
+    "vibe",
+    "style_description",
+    "service_area_notes",
+    "min_price_aud",
+    "max_price_aud",
+    "years_experience",
+    "estimated_ceremonies",
+    "languages_non_english",
+    "instagram_handle_or_url",
+    "facebook_url",
+    "phone_from_website",
+    "celebrant_institute_member",
+    "joshua_withers_mentioned",
+    "data_quality_score",
+    "merge_fuzzy_score",
+    "is_standalone_award_entry",
+    "google_place_id",
+    "google_rating",
+    "google_review_count",
+    "website_from_places",
+    "phone_from_places",
+    "last_website_enrich_at",
+    "last_places_enrich_at",
+    "ag_scrape_page",
+    "ag_scrape_index",
+    "import_notes",
+    "pds_ack",
+    "insurance_notes",
+    "public_profile_url",
+    "linkedin_url",
+    "raw_address_cell",
+    "last_updated_source",
+    "content_tier",
+)
 
 # Ordered words of a register status.
 STATUS_RULES = ((("inactive",), "Inactive"), (("unavailable",), "Unavailable"), (("active",), "Active"))
@@ -220,11 +266,13 @@ def cross_reference(
     first = next(iter(DIRECTORIES))
     if first not in rows:
         return merged
-    url = F.regexp_replace(F.coalesce("easy_weddings_profile_url", F.lit("")), r"/+$", "")
-    slug = F.substring(F.element_at(F.split(url, "/"), -1), 1, 24)
+    # the id is the whole address: two profiles whose slugs begin alike stay two rows, and rows without one stay apart
+    url = F.regexp_replace(F.lower(ur.norm_url("easy_weddings_profile_url")), r"/+$", "")
+    key = F.when(F.coalesce(url, F.lit("")) != "", url).otherwise(F.concat(F.lit("row "), F.col("row_id").cast("string")))
+    slug = F.regexp_replace(F.element_at(F.split(key, "/"), -1), r"[^a-z0-9]+", "-")
     fresh = (
         linked.filter((F.col("source") == first) & F.col("right_id").isNull())
-        .withColumn("celebrant_id", tx.slug_id(slug, "CEL-EWDIR-", 40))
+        .withColumn("celebrant_id", F.concat(F.lit("CEL-EWDIR-"), slug, F.lit("-"), F.sha2(key, 256)))
         .join(master.select("celebrant_id"), "celebrant_id", "left_anti")
     )
     fresh = dd.keep_first(fresh, ["celebrant_id"], ["row_id"])

@@ -478,7 +478,7 @@ def sentiment(spark: SparkSession, sf: str) -> DataFrame:
         ),
     )
     raw = table(spark, sf, "events").select("event_id", answer.alias("answer"), (k % 4).alias("n"))
-    return pl.add_sentiment(raw, "answer", "n").select(
+    return pl.add_sentiment(raw, "answer", "n", themes=3).select(
         "event_id",
         F.col("sentiment_score").alias("score"),
         F.array_join("sentiment_themes", "|").alias("themes"),
@@ -505,10 +505,22 @@ def typed_records(spark: SparkSession, sf: str) -> DataFrame:
         "notes": F.when(status == "P", "N/A").otherwise(F.col("o_orderpriority")),
     }
     others = (
-        "council_name state_code permit_page_url permit_fee_aud restricted_times insurance_min_cover_aud "
-        "contact_name contact_email contact_phone application_url application_form_url insurance_required "
-        "alcohol_permitted caterers_approved_list max_guests_outdoor"
-    ).split()
+        "council_name",
+        "state_code",
+        "permit_page_url",
+        "permit_fee_aud",
+        "restricted_times",
+        "insurance_min_cover_aud",
+        "contact_name",
+        "contact_email",
+        "contact_phone",
+        "application_url",
+        "application_form_url",
+        "insurance_required",
+        "alcohol_permitted",
+        "caterers_approved_list",
+        "max_guests_outdoor",
+    )
     rec = F.struct(
         *[c.alias(n) for n, c in fields.items()], *[F.lit(None).cast("string").alias(n) for n in others]
     )

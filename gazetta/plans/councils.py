@@ -103,11 +103,27 @@ def permit_rows(members: DataFrame, groups: DataFrame, answers: DataFrame, salts
     from pyspark.sql import types as T
 
     fields = (
-        "council_name state_code permit_page_url permit_fee_aud restricted_times insurance_min_cover_aud "
-        "contact_name contact_email contact_phone application_url application_form_url notes permit_required "
-        "insurance_required alcohol_permitted caterers_approved_list permit_lead_time_days max_guests_outdoor "
-        "approved_locations data_confidence"
-    ).split()
+        "council_name",
+        "state_code",
+        "permit_page_url",
+        "permit_fee_aud",
+        "restricted_times",
+        "insurance_min_cover_aud",
+        "contact_name",
+        "contact_email",
+        "contact_phone",
+        "application_url",
+        "application_form_url",
+        "notes",
+        "permit_required",
+        "insurance_required",
+        "alcohol_permitted",
+        "caterers_approved_list",
+        "permit_lead_time_days",
+        "max_guests_outdoor",
+        "approved_locations",
+        "data_confidence",
+    )
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     raw = answers.withColumn("_rec", pl.parse(pl.salvage_json("answer"), schema))
     typed = raw.select("group_key", *[c.alias(n) for n, c in pl.permit_record(F.col("_rec")).items()])

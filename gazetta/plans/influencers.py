@@ -38,12 +38,40 @@ ALIASES = {
 DEFAULTS = {"country": "Australia", "is_international": False, "data_confidence": "medium"}
 # Specialisms of a source and title words that touch insurance.
 SPECIALISMS = (
-    "planning photography styling venue_discovery fashion_dress honeymoon_travel cultural elopement lgbtq "
-    "budget luxury real_weddings suppliers entertainment food_cake flowers"
-).split()
+    "planning",
+    "photography",
+    "styling",
+    "venue_discovery",
+    "fashion_dress",
+    "honeymoon_travel",
+    "cultural",
+    "elopement",
+    "lgbtq",
+    "budget",
+    "luxury",
+    "real_weddings",
+    "suppliers",
+    "entertainment",
+    "food_cake",
+    "flowers",
+)
 INSURANCE_WORDS = (
-    "cancel weather risk permit vendor supplier fail rain backup insurance cost outdoor policy disaster emergency"
-).split()
+    "cancel",
+    "weather",
+    "risk",
+    "permit",
+    "vendor",
+    "supplier",
+    "fail",
+    "rain",
+    "backup",
+    "insurance",
+    "cost",
+    "outdoor",
+    "policy",
+    "disaster",
+    "emergency",
+)
 
 
 def source_rows(master: DataFrame, curated: DataFrame | None, order: str) -> DataFrame:
@@ -83,8 +111,17 @@ ITEM = T.StructType(
     [
         T.StructField(n, T.StringType())
         for n in (
-            "name url source_type states specialism instagram trust_level key_locations data_confidence last_verified"
-        ).split()
+            "name",
+            "url",
+            "source_type",
+            "states",
+            "specialism",
+            "instagram",
+            "trust_level",
+            "key_locations",
+            "data_confidence",
+            "last_verified",
+        )
     ]
 )
 
@@ -101,7 +138,8 @@ def discover(
     )
     made = pl.source_record(F.col("_rec"))
     typed = items.select(
-        (F.col("answer_no") * 100_000 + F.col("item_no")).alias("seen"),
+        "answer_no",
+        "item_no",
         F.col("query").alias("discovery_query"),
         F.col("_rec.specialism").alias("specialism"),
         *[c.alias(n) for n, c in made.items()],
@@ -109,20 +147,30 @@ def discover(
     good = typed.filter(
         F.col("name").isNotNull() & F.col("url").isNotNull() & F.col("source_type").isin(*source_types)
     )
-    first = dd.keep_first(good, ["url"], ["seen"])
+    first = dd.keep_first(good, ["url"], ["answer_no", "item_no"])
     fresh = dd.not_known(first, known.select(F.col("url_key").alias("url")), ["url"])
+    # answers in order, and the items of an answer within it
     return dd.sequence_ids(
-        fresh, [], ["seen"], "INF-DISC-%03d", "source_id", block=100_000 * 1000, offset=last_number
+        fresh, [], ["answer_no", "item_no"], "INF-DISC-%03d", "source_id", offset=last_number
     )
 
 
 def enrich(sources: DataFrame, answers: DataFrame) -> DataFrame:
     """Pending sources patched by their answer (source_id, answer); the hook reason goes to the notes."""
     names = (
-        "specialism_primary specialism_tags founder_gender audience_size_estimate audience_type "
-        "partnership_potential has_advertising has_affiliate insurance_hook insurance_hook_reason "
-        "avg_posts_per_month relevance_score"
-    ).split()
+        "specialism_primary",
+        "specialism_tags",
+        "founder_gender",
+        "audience_size_estimate",
+        "audience_type",
+        "partnership_potential",
+        "has_advertising",
+        "has_affiliate",
+        "insurance_hook",
+        "insurance_hook_reason",
+        "avg_posts_per_month",
+        "relevance_score",
+    )
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = answers.withColumn("_rec", pl.parse(pl.salvage_json("answer"), schema))
     typed = raw.select(
@@ -130,7 +178,7 @@ def enrich(sources: DataFrame, answers: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in pl.enrichment_record(F.col("_rec"), SPECIALISMS).items()],
         F.concat(
             F.lit("Insurance hook (enrichment): "),
-            F.substring(va.nullify("_rec.insurance_hook_reason", ("",)), 1, 500),
+            va.nullify("_rec.insurance_hook_reason", ("",)),
         ).alias("_note"),
     )
     pending = sources.select("source_id", "notes").join(typed, "source_id")
@@ -157,7 +205,7 @@ def content_rows(blogs: DataFrame, known: DataFrame, k: int = 10) -> DataFrame:
     return ranked.select(
         F.format_string("CONT-%s-%03d", "source_id", number.cast("bigint")).alias("content_id"),
         "source_id",
-        F.substring("title", 1, 500).alias("title"),
+        "title",
         "url",
         va.has_any("title", INSURANCE_WORDS).alias("insurance_relevant"),
     )

@@ -84,7 +84,7 @@ _TAG = "CASE WHEN p_type IN ('ECONOMY', 'LARGE') THEN 'EW' WHEN p_type = 'SMALL'
            CASE WHEN a.afcc THEN 'true' ELSE 'false' END AS afcc
     FROM part p LEFT JOIN agg a ON a.rid = p.p_partkey
     UNION ALL
-    SELECT 'CEL-EWDIR-' || r.p_partkey, {EDITED}, 'https://ew.example/' || r.p_partkey, 'VERIFY_REQUIRED', '1', 'EW', 'true',
+    SELECT 'CEL-EWDIR-' || r.p_partkey || '-' || sha256('https://ew.example/' || r.p_partkey), {EDITED}, 'https://ew.example/' || r.p_partkey, 'VERIFY_REQUIRED', '1', 'EW', 'true',
            'VERIFY_REQUIRED', 'VERIFY_REQUIRED' FROM rows r JOIN part USING (p_partkey) WHERE r.tag = 'EW' AND r.rid IS NULL""",
 )
 def cross_reference(spark: SparkSession, sf: str) -> DataFrame:
@@ -296,14 +296,14 @@ def permit_groups(spark: SparkSession, sf: str) -> DataFrame:
            state_code, name AS council_name, website FROM firsts""",
 )
 def council_directory(spark: SparkSession, sf: str) -> DataFrame:
-    """Every page as a list page with one council link made from its title."""
+    """Every page as a list page: its own links and one council link made from its title."""
     region = F.upper(F.regexp_extract("url", r"https?://[^/]*/([a-z]+)", 1))
     name = F.btrim(F.regexp_replace(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), "[^A-Za-z]+", " "))
     link = F.concat(
         F.lit('<a href="https://c'), "page_id", F.lit(".gov.au/"), region, F.lit('">Council of '), name,
         F.lit(' (list)</a><a href="/council-jobs">Council jobs</a>'),
     )
-    pages = table(spark, sf, "pages").select("page_id", "url", region.alias("state_code"), link.alias("html"))
+    pages = table(spark, sf, "pages").select("page_id", "url", region.alias("state_code"), F.concat("html", link).alias("html"))
     good, _ = councils.build_councils(pages, ids="sequence")
     return good.select("council_id", "state_code", "council_name", "website")
 
@@ -321,7 +321,7 @@ def council_directory(spark: SparkSession, sf: str) -> DataFrame:
     ranked AS (SELECT *, 'INF-' || page_id AS source_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS place FROM firsts QUALIFY place <= 10),
     fresh AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY link ORDER BY source_id, place) = 1)
     SELECT printf('CONT-%s-%03d', source_id, 1 + row_number() OVER (PARTITION BY source_id ORDER BY place)) AS content_id, source_id,
-           substr(text, 1, 500) AS title, link AS url,
+           text AS title, link AS url,
            regexp_matches(lower(text), 'cancel|weather|risk|permit|vendor|supplier|fail|rain|backup|insurance|cost|outdoor|policy|disaster|emergency') AS insurance_relevant
     FROM fresh WHERE link NOT IN (SELECT url FROM pages)""",
 )

@@ -223,19 +223,19 @@ def fuzzy_link(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {PAIR_SCORES},
     firsts AS (SELECT rk, MIN(p_partkey) AS rid FROM named GROUP BY 1),
     best AS (SELECT lk, arg_max(rid, (score, -rid)) AS rid, MAX(score) AS score
-             FROM scores JOIN firsts USING (rk) WHERE score >= 50 GROUP BY 1),
+             FROM scores JOIN firsts USING (rk) WHERE score >= 1 GROUP BY 1),
     found AS (SELECT n.p_partkey, b.rid, b.score FROM named n LEFT JOIN best b USING (lk)),
     winners AS (SELECT rid, MIN(p_partkey) AS winner FROM found WHERE score >= 85 GROUP BY 1)
     SELECT f.p_partkey, CASE WHEN f.score >= 85 AND f.p_partkey = w.winner THEN f.rid END AS right_id, f.score
     FROM found f LEFT JOIN winners w USING (rid)""",
 )
 def fuzzy_one_to_one(spark: SparkSession, sf: str) -> DataFrame:
-    """Each master row once; failing best scores are reported from 50."""
+    """Each master row once; failing best scores are reported, too."""
     part = table(spark, sf, "part")
     left = part.select("p_partkey", edited_name().alias("edited"))
     right = part.select(F.col("p_partkey").alias("right_key"), "p_name")
     out = link.fuzzy_link(
-        left, right, "p_partkey", "edited", "right_key", "p_name", 85, one_to_one=True, report_from=50
+        left, right, "p_partkey", "edited", "right_key", "p_name", 85, one_to_one=True, report_from=1, stages=(70, 50)
     )
     return out.select("p_partkey", "right_id", F.col("score").cast("bigint").alias("score"))
 
@@ -387,10 +387,10 @@ NEAREST = f"""WITH {CUSTOMER_POINTS}, {SUPPLIER_POINTS},
     FROM best b JOIN supplier s ON s.s_suppkey = b.k"""
 
 
-def _nearest(spark: SparkSession, sf: str, small: int) -> DataFrame:
+def _nearest(spark: SparkSession, sf: str) -> DataFrame:
     points = _spread(table(spark, sf, "customer"), "c_custkey", ["c_custkey"])
     places = _spread(table(spark, sf, "supplier"), "s_suppkey", ["s_suppkey", "s_name"])
-    out = geo.nearest(points, places, ["s_suppkey", "s_name"], "s_suppkey", small=small)
+    out = geo.nearest(points, places, ["s_suppkey", "s_name"], "s_suppkey")
     return out.select(
         "c_custkey",
         "near_s_suppkey",
@@ -402,13 +402,23 @@ def _nearest(spark: SparkSession, sf: str, small: int) -> DataFrame:
 
 @query("nearest", NEAREST)
 def nearest(spark: SparkSession, sf: str) -> DataFrame:
-    return _nearest(spark, sf, 128)
+    return _nearest(spark, sf)
 
 
 @query("nearest_octree", NEAREST)
 def nearest_octree(spark: SparkSession, sf: str) -> DataFrame:
-    """The search used beyond the size limit of the literal table."""
-    return _nearest(spark, sf, 0)
+    """Places without coordinates are no candidates, points without get none."""
+    points = _spread(table(spark, sf, "customer"), "c_custkey", ["c_custkey"])
+    places = _spread(table(spark, sf, "supplier"), "s_suppkey", ["s_suppkey", "s_name"])
+    nowhere = places.withColumns({"lat": F.lit(None).cast("double"), "s_suppkey": F.col("s_suppkey") - 1_000_000})
+    out = geo.nearest(points, places.unionByName(nowhere), ["s_suppkey", "s_name"], "s_suppkey")
+    return out.select(
+        "c_custkey",
+        "near_s_suppkey",
+        "near_s_name",
+        F.round("near_km", 6).alias("km"),
+        geo.drive_minutes("near_km").alias("minutes"),
+    )
 
 
 @query(

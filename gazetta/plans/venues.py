@@ -62,7 +62,7 @@ def enrich_places(venues: DataFrame, payloads: DataFrame) -> DataFrame:
     flat = pl.flatten_place(payloads, "payload")
     named = flat.withColumn(
         "google_name",
-        va.first_filled(va.strip("google_name"), F.substring("formatted_address", 1, 240)),
+        va.first_filled(va.strip("google_name"), F.col("formatted_address")),
     )
     own = venues.drop(*[c for c in named.columns if c != "row_index"])
     joined = own.join(named, "row_index", "left")

@@ -10,30 +10,35 @@ from gazetta.operators import gates
 from gazetta.operators import pages as pg
 from gazetta.plans.registry import query, table
 
-ANCHOR = r"""(?is)(<a\b[^>]*?\bhref\s*=\s*["''][^"'']*["''][^>]*>.*?</a>|<a\b[^>]*?\bhref\s*=\s*["''][^"'']*["''][^>]*>)"""
-HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']"""
-
-
 def unescape_sql(x: str) -> str:
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    plain = (("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&"))
+    for entity, char in plain:
         x = f"replace({x}, '{entity}', '{char}')"
     return x
 
 
-def visible_sql(x: str) -> str:
+def hidden_sql(x: str) -> str:
     for tag in ("script", "style", "noscript"):
         x = rf"regexp_replace({x}, '(?is)<{tag}\b.*?</{tag}\s*>', ' ', 'g')"
-    x = f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
-    x = f"regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g')"
+    return f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
+
+
+def visible_sql(x: str) -> str:
+    x = f"regexp_replace({hidden_sql(x)}, '(?s)<[^>]*>', ' ', 'g')"
     return rf"trim(regexp_replace({unescape_sql(x)}, '\s+', ' ', 'g'))"
 
 
 ORIGIN = "regexp_extract(url, '(?i)^([a-z][a-z0-9+.\\-]*://[^/?#]*)', 1)"
 FOLDER = "regexp_extract(regexp_extract(url, '(?i)^[a-z][a-z0-9+.\\-]*://[^/?#]*([^?#]*)', 1), '^(.*/)', 1)"
 LINKS = f"""
-anchors AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{ANCHOR}', 1)) AS a,
-                   unnest(range(0, len(regexp_extract_all(html, '{ANCHOR}', 1)))) AS pos FROM pages),
-hrefs AS (SELECT page_id, url, pos, trim({unescape_sql(f"regexp_extract(a, '{HREF}', 1)")}) AS href, {visible_sql('a')} AS text FROM anchors),
+cut AS (SELECT page_id, url, string_split_regex({hidden_sql('html')}, '(?i)<a\\s')[2:] AS parts FROM pages),
+anchors AS (SELECT page_id, url, unnest(parts) AS a, unnest(range(0, len(parts))) AS pos FROM cut),
+tags AS (SELECT page_id, url, pos, ' ' || split_part(a, '>', 1) AS tag,
+                string_split_regex(substr(a, length(split_part(a, '>', 1)) + 2), '(?i)</a')[1] AS label FROM anchors),
+addresses AS (SELECT *, string_split_regex(tag, '(?i)\\shref\\s*=\\s*')[2] AS rest FROM tags),
+hrefs AS (SELECT page_id, url, pos, {visible_sql('label')} AS text,
+                 trim({unescape_sql("""CASE WHEN rest IS NULL THEN '' WHEN left(rest, 1) = '"' THEN split_part(rest, '"', 2)
+                      WHEN left(rest, 1) = chr(39) THEN split_part(rest, chr(39), 2) ELSE string_split_regex(rest, '\\s')[1] END""")}) AS href FROM addresses),
 resolved AS (SELECT *, CASE WHEN href SIMILAR TO '[A-Za-z][A-Za-z0-9+.\\-]*:.*' THEN href
                  WHEN href LIKE '//%' THEN regexp_extract(url, '^([a-z]+):', 1) || ':' || href
                  WHEN href LIKE '/%' THEN {ORIGIN} || href
@@ -113,7 +118,7 @@ def entity_links(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("pos", F.col("pos").cast("bigint"))
 
 
-TITLE = rf"""substr(trim(regexp_replace({unescape_sql("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}, '\s+', ' ', 'g')), 1, 300)"""
+TITLE = rf"""trim(regexp_replace({unescape_sql("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}, '\s+', ' ', 'g'))"""
 
 
 @query(
@@ -126,7 +131,7 @@ def page_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "thin_pages",
-    r"""SELECT page_id, contains(lower(html), 'sgcaptcha') OR contains(substr(lower(html), 1, 2000), 'please verify') AS is_blocked,
+    r"""SELECT page_id, contains(lower(html), 'sgcaptcha') OR contains(lower(html), 'please verify') AS is_blocked,
               length(html) < 2500 OR n < 5 OR (regexp_matches(lower(html), '__next|_nuxt|reactroot') AND n < 20) AS is_thin
        FROM (SELECT *, len(regexp_extract_all(html, '(?i)<a\b')) AS n FROM pages)""",
 )
@@ -158,7 +163,7 @@ def slug_harvest(spark: SparkSession, sf: str) -> DataFrame:
     return pg.slugs(table(spark, sf, "pages"), [r'href="/([^"/?#]+)"', r"<h1>([A-Za-z]+)"])
 
 
-def combined_sql(source: str, keys: str, order: str, url: str, body: str, page: int, total: int) -> str:
+def combined_sql(source: str, keys: str, order: str, url: str, body: str, page: int = 2**31 - 1, total: int = 2**31 - 1) -> str:
     chunk = rf"'URL: ' || {url} || chr(10) || 'CONTENT:' || chr(10) || substr(trim(regexp_replace({body}, '\s+', ' ', 'g')), 1, {page})"
     sep = "chr(10) || chr(10) || '-----' || chr(10) || chr(10)"
     return f"""SELECT {keys}, md5(substr(string_agg({chunk}, {sep} ORDER BY {order}), 1, {total})) AS digest,
@@ -182,7 +187,7 @@ def combine_turns(spark: SparkSession, sf: str) -> DataFrame:
     "combine_docs",
     combined_sql(
         f"(SELECT page_id, url, {visible_sql('html')} AS body, regexp_replace({PAGE_HOST}, '^www\\.', '') AS host FROM pages)",
-        "host", "page_id", "url", "body", 12_000, 70_000,
+        "host", "page_id", "url", "body",
     ),
 )
 def combine_docs(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gazetta.functions import urls as ur
 from gazetta.functions import values as va
 from gazetta.operators import dedupe as dd
 from gazetta.operators import merge, quality
+from gazetta.plans.columns import NORM
 from gazetta.plans.registry import cents, query, table
 from gazetta.session import work_path
 from gazetta.sources import files, tables
@@ -276,6 +278,49 @@ def csv_strings(spark: SparkSession, sf: str) -> DataFrame:
     return files.conform(files.read_csv_strings(spark, path), ["c_custkey", "label", "status"])
 
 
+@query(
+    "json_arrays",
+    """SELECT c_custkey, c_name, c_mktsegment FROM customer
+       UNION ALL SELECT -s_suppkey, s_name, NULL FROM supplier WHERE s_suppkey % 2 = 0""",
+)
+def json_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of one JSON array each, read back, with seed rows of which the incomplete ones are left out."""
+    path = work_path(spark, "arrays")
+    row = F.struct("c_custkey", "c_name", "c_mktsegment")
+    dealt = table(spark, sf, "customer").withColumn("file", F.col("c_custkey") % 16)
+    # one array per file: a file is as large as its writer makes it
+    arrays = dealt.groupBy("file").agg(F.to_json(F.collect_list(row)).alias("value"))
+    arrays.repartition(16, "file").write.partitionBy("file").text(path)
+    schema = T.StructType.fromDDL("c_custkey bigint, c_name string, c_mktsegment string")
+    read = files.read_json_array(spark, path, schema).select("c_custkey", "c_name", "c_mktsegment")
+    name = F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).otherwise(" ")
+    seed = table(spark, sf, "supplier").select((-F.col("s_suppkey")).cast("bigint").alias("c_custkey"), name.alias("c_name"))
+    return files.with_seed(read, seed, ["c_name"])
+
+
+@query(
+    "key_list_file",
+    f"SELECT DISTINCT {NORM} AS url_key FROM pages ORDER BY url_key",
+)
+def key_list_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Page addresses written as a key list and read back."""
+    path = work_path(spark, "keys")
+    pages = table(spark, sf, "pages").select("url")
+    files.write_keys(pages.unionByName(spark.createDataFrame([("# comment",), (" ",)], "url string")), "url", path)
+    return files.read_keys(spark, path)
+
+
+@query(
+    "headers",
+    """SELECT c_custkey AS "KEY", c_name AS "FULL NAME", c_acctbal AS "BALANCE" FROM customer""",
+)
+def headers(spark: SparkSession, sf: str) -> DataFrame:
+    messy = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias(" key "), F.col("c_name").alias("Full Name"), F.col("c_acctbal").alias("\tbalance ")
+    )
+    return va.tidy_headers(messy)
+
+
 @query(
     "jsonl_append",
     """SELECT doc_id, lang, source FROM documents UNION ALL SELECT doc_id, NULL, 'labels' FROM labels""",

@@ -12,18 +12,35 @@ from gazetta.functions.urls import norm_url
 from gazetta.functions.values import VERIFY_REQUIRED, strip
 
 
-def read_csv_strings(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """CSV with every column as text; lines with surplus fields are dropped, empty stays ''."""
-    df = (
+def read_csv_strings(
+    spark: SparkSession, path: str, multi_line: bool = False, sep: str = ",", **options: str
+) -> DataFrame:
+    """CSV with every column as text; lines with surplus fields are dropped.
+
+    Empty fields, and those a short line lacks, are ``''``.  ``multi_line`` allows
+    line feeds in quoted fields; a file is then read by one task.
+    """
+    reader = (
         spark.read.option("header", True)
-        .option("mode", "DROPMALFORMED")
         .option("encoding", "UTF-8")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
+        .option("sep", sep)
+        # which lines have too many fields must not depend on the columns that are asked for
+        .option("columnPruning", False)
         .options(**options)
-        .csv(path)
     )
-    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+    names = reader.csv(path).columns
+    odd = "_odd_line"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, odd]])
+    df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", odd).schema(schema).csv(path)
+    # the reader marks lines with too few fields, too: count the separators outside quotes
+    bare = F.regexp_replace(F.col(odd), r'"(?:[^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+    # the reader refuses to give the marked lines alone, so a value is always read along
+    read_along = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
+    kept = df.filter(F.col(odd).isNull() | ((fields <= len(names)) & read_along))
+    return kept.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names])
 
 
 def conform(df: DataFrame, columns: Sequence[str], default: str = VERIFY_REQUIRED) -> DataFrame:

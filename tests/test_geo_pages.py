@@ -17,8 +17,7 @@ def km(a, b, c, d):
     return 12742.0 * math.asin(min(1.0, math.sqrt(h)))
 
 
-@pytest.mark.parametrize("small", [0, 500])
-def test_nearest_equals_brute_force(spark, small):
+def test_nearest_equals_brute_force(spark):
     rnd = random.Random(1)
     spots = [(i, rnd.uniform(-80, 80), rnd.uniform(-180, 180)) for i in range(80)]
     # a crowded corner, two places at the same spot, and points across the date line
@@ -28,7 +27,7 @@ def test_nearest_equals_brute_force(spark, small):
     df = geo.nearest(
         spark.createDataFrame(points, "pid int, lat double, lng double"),
         spark.createDataFrame(spots, "sid int, lat double, lng double"),
-        ["sid"], "sid", small=small,
+        ["sid"], "sid",
     )
     got = {r["pid"]: (r["near_sid"], r["near_km"]) for r in df.collect()}
     for pid, la, lo in points:
@@ -196,7 +195,7 @@ def test_page_gates(spark):
     df = spark.createDataFrame(cases, "h string, want boolean")
     assert all(r["want"] == r["g"] for r in df.withColumn("g", gates.is_thin_page("h")).collect())
     blocked = spark.createDataFrame([("<p>Please Verify",), ("fine",), ("x" * 2100 + "please verify",), ("/.well-known/sgcaptcha/",)], "h string")
-    assert [r["b"] for r in blocked.select(gates.is_blocked_page("h").alias("b")).collect()] == [True, False, False, True]
+    assert [r["b"] for r in blocked.select(gates.is_blocked_page("h").alias("b")).collect()] == [True, False, True, True]
 
 
 def test_combine_docs_cuts_exactly(spark):
@@ -282,7 +281,7 @@ def test_sentiment(spark):
     good = 'x {"sentiment_score": 1.7, "top_themes": ["a","b","c","d"], "one_line_summary": " s "} y'
     data = [(1, good, 2), (2, good, 1), (3, '{"sentiment_score": "x"}', 5), (4, "no", 5)]
     df = spark.createDataFrame(data, "id int, answer string, n int")
-    out = {r["id"]: r for r in pl.add_sentiment(df, "answer", "n").collect()}
+    out = {r["id"]: r for r in pl.add_sentiment(df, "answer", "n", themes=3).collect()}
     assert (out[1]["sentiment_score"], out[1]["sentiment_themes"], out[1]["red_flags"], out[1]["one_line_summary"]) == (
         1.0, ["a", "b", "c"], [], "s",
     )
