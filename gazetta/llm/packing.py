@@ -2,10 +2,11 @@
 
 Documents are cut at every ``capacity`` tokens; a full piece is a sequence of its own. The remainders are counted by length in
 units of capacity/128 (rounded up). Over this histogram, of at most 128 classes whatever the table's size, a linear program
-chooses patterns (how many remainders of each length share a sequence), and a knapsack recursion prices new patterns until
-none is worth its sequence. Whole multiples of the patterns become sequences; what rounding leaves over is packed longest
-first, cutting one remainder to fill a sequence up, so only the last sequence is short. Documents are ranked within their
-length by counts per partition (no sort), and a rank says which sequence and place a remainder gets.
+chooses patterns (how many pieces of each length share a sequence) and which lengths to cut in two, at a small cost; a knapsack
+recursion prices new patterns until none is worth its sequence. Whole multiples of patterns and cuts are laid out; what rounding
+leaves over is packed longest first, cutting one piece to fill a sequence up, so only the last sequence is short.
+Documents are ranked within their length by counts per partition (no sort), and a rank says which sequences and
+places its pieces get. Checksums at every unit let any piece's checksum be derived without its ids.
 
 Nulls: a NULL text is empty, its piece is the end id. Repeated rows are packed one by one. Ties need no order: any
 document of a length class may take any of its places. An empty table gives no pieces; extra columns are ignored.
@@ -16,6 +17,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -62,14 +64,18 @@ def price(values: np.ndarray, sizes: np.ndarray, units: int) -> tuple[float, lis
     return float(best[units]), [filled(int(k)) for k in np.argsort(-worth, kind="stable")[:24]]
 
 
-def column_generation(sizes: np.ndarray, demand: np.ndarray, units: int = UNITS, gap: float = 2e-3, rounds: int = 20_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Patterns (one per column), how often each is used, fractional, and its cost: 1, or 0 for a place too many of a size.
+def column_generation(
+    demand: np.ndarray, cut_cost: float = 0.002, gap: float = 1e-3, rounds: int = 5_000
+) -> tuple[list[tuple[float, np.ndarray]], list[tuple[float, int, int]]]:
+    """Fractional uses of patterns (counts per size 1, 2 ...) and of cuts (size, size of the first part).
 
-    Revised simplex on the restricted master program; it ends at the optimum or where the bound ``used / price`` shows that
-    no more than the share ``gap`` of the sequences can be saved.
+    Revised simplex on the restricted master program over all sizes; a cut meets the demand for its size and makes demand
+    for both parts. It ends at the optimum or where the bound ``used / price`` shows that no more than the share ``gap`` can be saved.
     """
-    patterns, cost = np.diag(units // sizes).astype(float), np.ones(len(sizes))
-    inverse = np.diag(1.0 / np.diag(patterns))
+    units = len(demand)
+    sizes = np.arange(1, units + 1)
+    columns, cost = np.diag(units // sizes).astype(float), np.ones(units)
+    inverse = np.diag(1.0 / np.diag(columns))
     used = inverse @ demand
 
     def enter(new: np.ndarray, price_of: float) -> None:
@@ -83,32 +89,79 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, units: int = UNITS,
         row = inverse[out] / step[out]
         inverse -= np.outer(step, row)
         inverse[out] = row
-        patterns[:, out], cost[out] = new, price_of
+        columns[:, out], cost[out] = new, price_of
 
+    whole, first = np.array([(s, t) for s in sizes for t in range(1, s // 2 + 1)]).T
     for _ in range(rounds):
         duals = cost @ inverse
         worst = int(np.argmin(duals))
         if duals[worst] < -1e-9:  # a place too many of this size costs nothing
-            enter(-np.eye(len(sizes))[worst], 0.0)
+            enter(-np.eye(units)[worst], 0.0)
+            continue
+        gain = duals[whole - 1] - duals[first - 1] - duals[whole - first - 1]
+        cuts = np.argsort(-gain, kind="stable")[:8]
+        for k in cuts[gain[cuts] > cut_cost + 1e-6]:
+            column = np.zeros(units)
+            column[whole[k] - 1] = 1
+            np.subtract.at(column, [first[k] - 1, whole[k] - first[k] - 1], 1)
+            if column @ (cost @ inverse) > cut_cost + 1e-6:  # the prices have moved since
+                enter(column, cut_cost)
+        if gain[cuts[0]] > cut_cost + 1e-6:
             continue
         worth, found = price(duals, sizes, units)
         if worth <= 1 + gap:
             break
         for new in found:
-            if new @ (cost @ inverse) > 1 + gap / 2:  # the prices have moved since
-                enter(new, 1.0)
-    return np.rint(patterns).astype(np.int64), used, cost
+            if new @ (cost @ inverse) > 1 + gap / 2:
+                enter(new.astype(float), 1.0)
+    patterns = [(float(used[k]), np.rint(columns[:, k]).astype(np.int64)) for k in range(units) if cost[k] == 1.0 and used[k] > 0]
+    halved = []
+    for k in range(units):
+        if cost[k] == cut_cost and used[k] > 0:
+            parts = np.flatnonzero(columns[:, k] < 0) + 1
+            halved.append((float(used[k]), int(np.flatnonzero(columns[:, k] > 0)[0]) + 1, int(parts[0])))
+    return patterns, halved
+
+
+class _Pieces:
+    """Pieces of each size, as runs of documents: (their remainder's size, first rank, documents, first unit)."""
+
+    def __init__(self, counts: dict[int, int]):
+        self.runs: dict[int, list[tuple[int, int, int, int]]] = {s: [(s, 0, n, 0)] for s, n in counts.items() if n > 0}
+
+    def count(self, size: int) -> int:
+        return sum(r[2] for r in self.runs.get(size, []))
+
+    def take(self, size: int, n: int) -> list[tuple[int, int, int, int]]:
+        """Up to n pieces of a size."""
+        out, runs = [], self.runs.get(size, [])
+        while n > 0 and runs:
+            own, rank, number, start = runs.pop()
+            if number > n:
+                runs.append((own, rank + n, number - n, start))
+                number = n
+            out.append((own, rank, number, start))
+            n -= number
+        return out
+
+    def cut(self, size: int, first: int, n: int) -> None:
+        for own, rank, number, start in self.take(size, n):
+            self.runs.setdefault(first, []).append((own, rank, number, start))
+            self.runs.setdefault(size - first, []).append((own, rank, number, start + first))
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the places of each length class are. ``key`` = size * 2^40 + first rank; a cut place has several rows."""
+    """Where pieces go. ``key`` = size * 2^40 + first rank of an interval of documents whose pieces lie in the same ``rows``."""
 
     key: np.ndarray
     first_row: np.ndarray
     n_rows: np.ndarray
+    rows: np.ndarray
+    rank: np.ndarray
     seq: np.ndarray
     per_seq: np.ndarray
+    slot: np.ndarray
     order: np.ndarray
     unit_from: np.ndarray
     unit_len: np.ndarray
@@ -117,158 +170,185 @@ class Layout:
 
 def lay_out(counts: dict[int, int], units: int = UNITS) -> Layout:
     """Sequences for ``counts`` remainders of each size. Its rows are bounded by the classes, not by the documents."""
-    sizes = np.array(sorted(k for k, v in counts.items() if v > 0), np.int64)
-    left = {int(s): int(counts[int(s)]) for s in sizes}
-    given = dict.fromkeys(left, 0)
-    rows: list[tuple[int, int, int, int, int, int, int]] = []  # size, rank, seq, per_seq, order, unit_from, unit_len
+    pieces = _Pieces(counts)
+    rows: list[tuple[int, ...]] = []  # size, rank, documents, seq, per_seq, slot, order, unit_from, unit_len
     seq = 0
-    if len(sizes):
-        patterns, used, cost = column_generation(sizes, np.array([left[int(s)] for s in sizes], float), units)
-        for p in range(patterns.shape[1]):
-            times = int(np.floor(used[p] + 1e-9))
-            inside = [(int(s), int(a)) for s, a in zip(sizes, patterns[:, p], strict=True) if a > 0]
-            if times <= 0 or not cost[p]:
+    if pieces.runs:
+        patterns, cuts = column_generation(np.array([counts.get(s, 0) for s in range(1, units + 1)], float))
+        for amount, size, first in sorted(cuts, key=lambda c: -c[1]):  # parts are smaller, so they are there when their turn comes
+            pieces.cut(size, first, int(amount + 1e-9))
+        for amount, pattern in patterns:
+            times, order = int(amount + 1e-9), 0
+            if not times:
                 continue
-            order = 0
-            for s, a in inside:
-                rows.append((s, given[s], seq, a, order, 0, s))
-                given[s] += a * times
-                left[s] = max(0, left[s] - a * times)  # a place too many stays empty
-                order += a
+            for size in (np.flatnonzero(pattern) + 1).tolist():
+                per_seq, slot = int(pattern[size - 1]), 0
+                for own, rank, number, start in pieces.take(size, per_seq * times):  # a place too many stays empty
+                    rows.append((own, rank, number, seq, per_seq, slot, order, start, size))
+                    slot += number
+                order += per_seq
             seq += times
-    # the rest: longest first; where nothing fits any more, one remainder is cut
-    cut: tuple[int, int, int] | None = None  # size, rank, units taken so far
-    while any(left.values()) or cut:
+    # the rest: longest first; where nothing fits any more, one piece is cut
+    while any(pieces.runs.values()):
         room, order = units, 0
-        while room:
-            if cut:
-                size, rank, start = cut
-                length = min(room, size - start)
-                cut = (size, rank, start + length) if start + length < size else None
-            else:
-                fitting = [s for s, n in left.items() if n and s <= room] or [s for s, n in left.items() if n]
-                if not fitting:
-                    break
-                size = max(fitting)
-                rank, start = given[size], 0
-                given[size] += 1
-                left[size] -= 1
-                length = min(room, size)
-                if length < size:
-                    cut = (size, rank, length)
-            rows.append((size, rank, seq, 1, order, start, length))
-            room -= length
+        while room and (left := [s for s, runs in pieces.runs.items() if runs]):
+            size = max([s for s in left if s <= room], default=0)
+            if not size:
+                size = room
+                pieces.cut(max(left), room, 1)
+            ((own, rank, _, start),) = pieces.take(size, 1)
+            rows.append((own, rank, 1, seq, 1, 0, order, start, size))
+            room -= size
             order += 1
         seq += 1
-    rows.sort(key=lambda r: (r[0], r[1], r[5]))
-    table = np.array(rows, np.int64).reshape(-1, 7)
-    keys, first, n = np.unique((table[:, 0] << 40) + table[:, 1], return_index=True, return_counts=True)
-    return Layout(keys, first, n, table[:, 2], table[:, 3], table[:, 4], table[:, 5], table[:, 6], seq)
+    return _indexed(np.array(rows, np.int64).reshape(-1, 9), seq)
+
+
+def _indexed(table: np.ndarray, sequences: int) -> Layout:
+    """Intervals of ranks within each size between which the covering rows change."""
+    key, first, number, flat = [], [], [], []
+    for size in np.unique(table[:, 0]).tolist():
+        own = np.flatnonzero(table[:, 0] == size)
+        begin, end = table[own, 1], table[own, 1] + table[own, 2]
+        edges = np.unique(np.concatenate([begin, end]))[:-1]
+        for edge in edges.tolist():
+            cover = own[(begin <= edge) & (edge < end)]
+            key.append((size << 40) + edge)
+            first.append(len(flat))
+            number.append(len(cover))
+            flat.extend(cover.tolist())
+    index = [np.array(x, np.int64) for x in (key, first, number, flat)]
+    return Layout(*index, *(table[:, k] for k in (1, 3, 4, 5, 6, 7, 8)), sequences)
+
+
+# --- checksums of parts ---------------------------------------------------------------------------------------------------
+
+
+@lru_cache(maxsize=2)
+def _zero_operators(tokens: int) -> np.ndarray:
+    """For n = 0 ... tokens the crc32 after n zero tokens of each single bit: the map is linear over the bits."""
+    table = np.array([zlib.crc32(bytes([b])) ^ zlib.crc32(b"\0") for b in range(256)], np.uint32)
+    out = np.zeros((tokens + 1, 32), np.uint32)
+    out[0] = np.uint32(1) << np.arange(32, dtype=np.uint32)
+    for n in range(tokens):
+        state = out[n]
+        for _ in range(4):
+            state = (state >> np.uint32(8)) ^ table[state & np.uint32(0xFF)]
+        out[n + 1] = state
+    return out
+
+
+def part_crc32(before: np.ndarray, through: np.ndarray, tokens: np.ndarray, most: int) -> np.ndarray:
+    """Checksums of parts from those of the text before them and of the text through them, and their lengths."""
+    operators, moved = _zero_operators(most), np.zeros(len(before), np.uint32)
+    before = before.astype(np.uint32)
+    for bit in range(32):
+        moved ^= np.where(before >> np.uint32(bit) & np.uint32(1), operators[tokens, bit], np.uint32(0))
+    return moved ^ through.astype(np.uint32)
 
 
 # --- the tables ---------------------------------------------------------------------------------------------------------
 
-_COUNTED = "doc_id long, part int, size int, rank long, full_rank long, doc_tokens long, doc_crc32 long, full_crc32 array<long>, rest_crc32 long"
-
-
-def _crc(data: bytes) -> int:
-    return zlib.crc32(data)
+_COUNTED = "doc_id long, part int, size int, rank long, full_rank long, doc_tokens long, full_crc32 array<long>, rest_crc32 binary"
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, end_id: int | None, capacity: int) -> DataFrame:
-    """One row per document: its tokens, the checksums of its pieces, and its rank within its partition and length."""
+    """One row per document: its tokens, its rank within its partition and length, and checksums.
+
+    ``full_crc32`` are those of the full pieces, ``rest_crc32`` of the remainder up to every unit and its end, as little-endian 32-bit integers.
+    """
 
     unit = capacity // UNITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen, full = TaskContext.get().partitionId(), [0] * (UNITS + 1), 0
+        step, small = 4 * capacity, 4 * unit
         for batch in slices(batches):
-            out: dict[str, list] = {k: [] for k in ("size", "rank", "full_rank", "doc_tokens", "doc_crc32", "full_crc32", "rest_crc32")}
+            out: dict[str, list] = {k: [] for k in ("size", "rank", "full_rank", "doc_tokens", "full_crc32", "rest_crc32")}
             for data in encoder(tokenizer).encode(texts(batch.column("text")), end_id):
-                n = len(data) // 4
-                whole = n // capacity
-                size = -(-(n - whole * capacity) // unit)
-                step = 4 * capacity
-                out["size"].append(size)
-                out["rank"].append(seen[size])
+                whole = len(data) // step
+                rest, crc, sums = data[whole * step :], 0, []
+                for at in range(0, len(rest), small):
+                    crc = zlib.crc32(rest[at : at + small], crc)
+                    sums.append(crc)
+                out["size"].append(len(sums))
+                out["rank"].append(seen[len(sums)])
                 out["full_rank"].append(full)
-                out["doc_tokens"].append(n)
-                out["doc_crc32"].append(_crc(data))
-                out["full_crc32"].append([_crc(data[i * step : (i + 1) * step]) for i in range(whole)])
-                out["rest_crc32"].append(_crc(data[whole * step :]))
-                seen[size] += 1
+                out["doc_tokens"].append(len(data) // 4)
+                out["full_crc32"].append([zlib.crc32(data[i * step : (i + 1) * step]) for i in range(whole)])
+                out["rest_crc32"].append(np.array(sums, "<u4").tobytes())
+                seen[len(sums)] += 1
                 full += whole
-            n_rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([part] * n_rows, pa.int32()),
+                    pa.array([part] * batch.num_rows, pa.int32()),
                     pa.array(out["size"], pa.int32()),
-                    *(pa.array(out[k], pa.int64()) for k in ("rank", "full_rank", "doc_tokens", "doc_crc32")),
+                    *(pa.array(out[k], pa.int64()) for k in ("rank", "full_rank", "doc_tokens")),
                     pa.array(out["full_crc32"], pa.list_(pa.int64())),
-                    pa.array(out["rest_crc32"], pa.int64()),
+                    pa.array(out["rest_crc32"], pa.binary()),
                 ],
-                names=["doc_id", "part", "size", "rank", "full_rank", "doc_tokens", "doc_crc32", "full_crc32", "rest_crc32"],
+                names=["doc_id", "part", "size", "rank", "full_rank", "doc_tokens", "full_crc32", "rest_crc32"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _COUNTED)
 
 
-_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, doc_crc32 long, sequence_id long, place int"
+_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, place int"
+_NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "place"]
 
 
 def _assign(counted: DataFrame, layout: Layout, capacity: int) -> DataFrame:
-    """Pieces with their sequence and place; a piece of a cut remainder has no checksum yet."""
+    """Pieces with their sequence and place in it; full pieces have place -1."""
 
     unit = capacity // UNITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
-            get = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("size", "rank", "doc_tokens", "doc_crc32", "rest_crc32", "base", "full_at")}
-            ids = batch.column("doc_id")
-            rest = np.flatnonzero(get["size"] > 0)
-            at = np.searchsorted(layout.key, (get["size"][rest].astype(np.int64) << 40) + get["rank"][rest] + get["base"][rest], "right") - 1
-            doc = np.repeat(rest, layout.n_rows[at])
-            start_of = np.repeat(np.cumsum(layout.n_rows[at]) - layout.n_rows[at], layout.n_rows[at])
-            row = np.repeat(layout.first_row[at], layout.n_rows[at]) + np.arange(len(doc)) - start_of
-            slot = np.repeat(get["rank"][rest] + get["base"][rest] - (layout.key[at] & ((1 << 40) - 1)), layout.n_rows[at])
-            tokens = get["doc_tokens"][doc]
+            size, rank, tokens, full_at = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("size", "rank", "doc_tokens", "full_at"))
+            rank, ids = rank + batch.column("base").to_numpy(zero_copy_only=False), batch.column("doc_id")
+            rest = np.flatnonzero(size > 0)
+            at = np.searchsorted(layout.key, (size[rest].astype(np.int64) << 40) + rank[rest], "right") - 1
+            n = layout.n_rows[at]
+            doc, nth = np.repeat(rest, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            row = layout.rows[np.repeat(layout.first_row[at], n) + nth]
+            slot = layout.slot[row] + rank[doc] - layout.rank[row]
             whole = tokens // capacity * capacity
-            remainder = tokens - whole
             lo = layout.unit_from[row] * unit
-            hi = np.minimum(lo + layout.unit_len[row] * unit, remainder)
-            entire = (lo == 0) & (hi == remainder)
+            last = layout.unit_from[row] + layout.unit_len[row]
+            hi = np.minimum(last * unit, (tokens - whole)[doc])
+            sums = np.frombuffer(b"".join(batch.column("rest_crc32").to_pylist()), "<u4")
+            begin = (np.cumsum(size) - size)[doc]
+            before = np.where(lo > 0, sums[begin + np.maximum(layout.unit_from[row] - 1, 0)], 0) if len(doc) else lo
+            through = sums[begin + last - 1] if len(doc) else lo
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(pa.array(doc)),
-                    pa.array(whole + lo),
+                    pa.array(whole[doc] + lo),
                     pa.array(hi - lo),
-                    pa.array(get["rest_crc32"][doc], mask=~entire),
-                    pa.array(tokens),
-                    pa.array(get["doc_crc32"][doc]),
+                    pa.array(part_crc32(before, through, hi - lo, capacity).astype(np.int64)),
+                    pa.array(tokens[doc]),
                     pa.array(layout.seq[row] + slot // layout.per_seq[row]),
                     pa.array((layout.order[row] + slot % layout.per_seq[row]).astype(np.int32)),
                 ],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "doc_crc32", "sequence_id", "place"],
+                names=_NAMES,
             )
             full = batch.column("full_crc32")
             flat, sizes = full.flatten().to_numpy(zero_copy_only=False), np.diff(full.offsets.to_numpy())
             doc = np.repeat(np.arange(batch.num_rows), sizes)
             nth = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            if len(doc):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.take(pa.array(doc)),
-                        pa.array(nth * capacity),
-                        pa.array(np.full(len(doc), capacity, np.int64)),
-                        pa.array(flat),
-                        pa.array(get["doc_tokens"][doc]),
-                        pa.array(get["doc_crc32"][doc]),
-                        pa.array(layout.sequences + get["full_at"][doc] + nth),
-                        pa.array(np.full(len(doc), -1, np.int32)),
-                    ],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "doc_crc32", "sequence_id", "place"],
-                )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    ids.take(pa.array(doc)),
+                    pa.array(nth * capacity),
+                    pa.array(np.full(len(doc), capacity, np.int64)),
+                    pa.array(flat.astype(np.int64)),
+                    pa.array(tokens[doc]),
+                    pa.array(layout.sequences + full_at[doc] + nth),
+                    pa.array(np.full(len(doc), -1, np.int32)),
+                ],
+                names=_NAMES,
+            )
 
     return counted.mapInArrow(run, _PIECES)
 
@@ -291,33 +371,12 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int | No
         "*", F.coalesce(F.col("bases")[F.col("size")], F.lit(0)).alias("base"), (F.col("full_rank") + F.col("bases")[F.lit(-1)]).alias("full_at")
     )
     pieces = pin_table(_assign(ranked.drop("bases"), layout, capacity), "pack-pieces")
-    pieces = _cut_checksums(docs, pieces, tokenizer, end_id)
     before = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"]
+    columns = _NAMES[:-1]
     shared = pieces.where("place >= 0").select(*columns, F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
     return pieces.where("place < 0").select(*columns, F.lit(0).cast("long").alias("offset")).unionByName(shared)
 
 
-def _cut_checksums(docs: DataFrame, pieces: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
-    """Encode the few documents with a cut remainder again: at most one for each sequence of the rounded rest."""
-    cut = pieces.where("ids_crc32 IS NULL")
-    owners = cut.select("doc_id").distinct()  # at most 128 or so, whatever the table's size: a proven bound
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            coded = encoder(tokenizer).encode(texts(batch.column("text")), end_id)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([_crc(x) for x in coded], pa.int64()), pa.array(coded, pa.binary())], names=["doc_id", "doc_crc32", "ids"])
-
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_owner"))
-    again = keyed.join(F.broadcast(owners.withColumnRenamed("doc_id", "_owner")), same, "left_semi").mapInArrow(run, "doc_id long, doc_crc32 long, ids binary")
-    again = again.dropDuplicates(["doc_id", "doc_crc32"]).select(F.col("doc_id").alias("_id"), F.col("doc_crc32").alias("_crc"), "ids")
-    mended = cut.join(again, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_crc32") == F.col("_crc")))
-    part = F.substring(F.col("ids"), F.col("start").cast("int") * 4 + 1, F.col("length").cast("int") * 4)
-    mended = mended.withColumn("ids_crc32", F.crc32(part)).select(pieces.columns)
-    return pieces.where("ids_crc32 IS NOT NULL").unionByName(mended)
-
-
 def packed_ids(docs: DataFrame, pieces: DataFrame, tokenizer: str, end_id: int | None = 1) -> DataFrame:
     """The sequences themselves: (sequence_id, doc_ids, ids), pieces in the order of their offsets."""
 
