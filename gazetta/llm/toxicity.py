@@ -36,7 +36,7 @@ ORDER = 5
 _START, _END = "\x02", "\x03"
 _WORDS = re.compile(r"[^\W\d_]+").findall
 #: Words remembered per worker and model; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def words_of(text: str) -> list[str]:
@@ -121,8 +121,7 @@ _loaded: dict[str, tuple[Model, dict[str, float]]] = {}
 def _model(name: str, broadcast) -> tuple[Model, dict[str, float]]:
     """Built once per worker from the broadcast counts, with the words it has spelled so far."""
     if name not in _loaded:
-        if len(_loaded) > 1:
-            _loaded.pop(next(iter(_loaded)))
+        _loaded.clear()
         _loaded[name] = Model(**broadcast.value), {}
     return _loaded[name]
 
@@ -137,8 +136,8 @@ def _features(batch_texts: list[str], model: Model, known: dict[str, float]) ->
     if len(known) + len(new) > REMEMBERED:
         known.clear()
         new = list({w for words in found for w in words})
-    for at in range(0, len(new), 50_000):
-        part = new[at : at + 50_000]
+    for at in range(0, len(new), 8_000):
+        part = new[at : at + 8_000]
         known.update(zip(part, model.ratios(part).tolist(), strict=True))
     rows = np.zeros((len(found), len(FEATURES)))
     for i, words in enumerate(found):
