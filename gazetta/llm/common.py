@@ -23,7 +23,7 @@ def pin_table(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder as Parquet and read back: cuts lineage, keeps column pruning."""
     spark = df.sparkSession
     path = work_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
