@@ -148,7 +148,7 @@ class Normalizer:
         """Normalised text, and the original byte place of each of its bytes and of its end."""
         data, places = self.map.apply(text.encode())
         if self.remove_extra:
-            data, places = _squeezed(data, places)
+            data, places = _squeezed(data, places, self.escape)
         if not data:
             return b"", places
         if self.dummy_prefix:
@@ -162,8 +162,12 @@ class Normalizer:
         return data, places
 
 
-def _squeezed(data: bytes, places: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """Without blanks at both ends and after another blank."""
+def _squeezed(data: bytes, places: np.ndarray, escape: bool) -> tuple[bytes, np.ndarray]:
+    """Without blanks at both ends and after another blank; at the end a written sign for a blank goes, too."""
+    whole = len(data)
+    while data.endswith((b" ", SPACE.encode()) if escape else b" "):
+        data = data[: -1 if data.endswith(b" ") else -len(SPACE.encode())]
+    places = np.append(places[: len(data)], places[len(data) if len(data) < whole else whole])
     blank = np.frombuffer(data, np.uint8) == 0x20
     keep = ~blank
     keep[1:] |= ~blank[:-1]
