@@ -13,7 +13,6 @@ NULL ids come first. A table of one document compares it with itself. Empty tabl
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 from collections.abc import Iterator
@@ -139,17 +138,17 @@ def likeness(first: list[np.ndarray], second: list[np.ndarray]) -> list[float]:
     return out
 
 
-def encoded(values: list[np.ndarray], cells: int = CELLS) -> list[str]:
-    """Fingerprints: the sketches of all digests as Base64."""
+def encoded(values: list[np.ndarray], cells: int = CELLS) -> list[bytes]:
+    """Fingerprints: the sketches of all digests as bytes."""
     if not values:
         return []
     count, keys, checks = sketch(np.concatenate(values), np.repeat(np.arange(len(values)), [len(x) for x in values]), len(values), cells)
     packed = np.zeros(len(count), _CELL)
     packed["count"], packed["digests"], packed["checks"] = count, keys, checks
-    return [base64.b64encode(x.tobytes()).decode() for x in packed.reshape(len(values), cells)]
+    return [x.tobytes() for x in packed.reshape(len(values), cells)]
 
 
-_ROWS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_ROWS = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 _NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
@@ -165,9 +164,9 @@ def _compared(ids: list, own: list[str], following: list[str], marks: list[np.nd
     return [
         pa.array(ids, pa.int64()),
         pa.array([len(x) for x in own], pa.int64()),
-        pa.array([hashlib.sha256(x.encode()).hexdigest() for x in changed], pa.string()),
-        pa.array(encoded(marks), pa.string()),
-        pa.array(encoded(other), pa.string()),
+        pa.array([hashlib.sha256(x.encode()).digest() for x in changed], pa.binary()),
+        pa.array(encoded(marks), pa.binary()),
+        pa.array(encoded(other), pa.binary()),
         pa.array(likeness(marks, other), pa.float64()),
         pa.array(likeness(marks, next_marks), pa.float64()),
     ]
@@ -182,7 +181,7 @@ def compare_versions(docs: DataFrame) -> DataFrame:
         part, carried = TaskContext.get().partitionId(), None
 
         def edge(kind: str, doc_id, text: str) -> pa.RecordBatch:
-            nothing = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
+            nothing = [pa.nulls(1, t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
             return pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), *nothing, pa.array([kind]), pa.array([part], pa.int32()), pa.array([text])], names=[*_NAMES, "kind", "part", "text"])
 
         for batch in slices(batches, 256, 4 << 20):
@@ -216,4 +215,7 @@ def compare_versions(docs: DataFrame) -> DataFrame:
             rows = _compared(batch.column("doc_id").to_pylist(), own, following, [digests(t) for t in own], [digests(t) for t in following])
             yield pa.RecordBatch.from_arrays(rows, names=_NAMES)
 
-    return found.where("kind = 'row'").select(*_NAMES).unionByName(joined.mapInArrow(close, _ROWS))
+    rows = found.where("kind = 'row'").select(*_NAMES).unionByName(joined.mapInArrow(close, _ROWS))
+    # bytes are pinned, text comes out
+    texts_of = {"edited_sha256": F.lower(F.hex("edited_sha256")), "fingerprint": F.base64("fingerprint"), "edited_fingerprint": F.base64("edited_fingerprint")}
+    return rows.withColumns(texts_of)
