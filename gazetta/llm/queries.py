@@ -71,13 +71,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+            SELECT vec_id, [CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT) for x in embedding] AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-                   CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+                   CAST(list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)]) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id
             WHERE q.vec_id % 100 = 0
         )
@@ -86,20 +86,20 @@ ORACLES: dict[str, str] = {
     """,
     "op9_lines": r"""
         WITH l AS (
-            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_no
             FROM documents
         ), k AS (
-            SELECT doc_id, at, line,
+            SELECT doc_id, line_no, line,
                    translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
             FROM l
         ), d AS (
             SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
         ), m AS (
-            SELECT k.doc_id, k.at, k.line, d.key IS NOT NULL AND k.doc_id <> d.keeper AS gone FROM k LEFT JOIN d ON k.key = d.key
+            SELECT k.doc_id, k.line_no, k.line, d.key IS NOT NULL AND k.doc_id <> d.keeper AS gone FROM k LEFT JOIN d ON k.key = d.key
         )
         SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM m GROUP BY doc_id
     """,
     "op10_urls": """
