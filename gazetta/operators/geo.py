@@ -198,7 +198,7 @@ def points_in_polygons(
     lng: str = "lng",
     cell: float = 1.0,
     margin: float = 0.02,
-    salts: int = 1,
+    salts: int = 8,
 ) -> DataFrame:
     """Pairs of point and containing polygon.
 

@@ -501,5 +501,5 @@ def point_in_polygon(spark: SparkSession, sf: str) -> DataFrame:
 def worst_severity(spark: SparkSession, sf: str) -> DataFrame:
     points = _spread(table(spark, sf, "customer"), "c_custkey", ["c_custkey"])
     zones = _zones(table(spark, sf, "nation"))
-    out = geo.worst_severity(points, zones, "c_custkey", "ring", ["label"])
+    out = geo.worst_severity(points, zones, "c_custkey", "ring", ["label"], salts=16)
     return out.select("c_custkey", "category")

@@ -143,12 +143,15 @@ def monthly_snapshot(
 FLOOD_SOURCE = "Geoscience Australia National Flood Hazard"
 
 
-def flood_risk(venues: DataFrame, polygons: DataFrame | None, attributes: list[str]) -> DataFrame:
-    """Worst flood category per venue; Unknown where there are no polygon data at all."""
+def flood_risk(venues: DataFrame, polygons: DataFrame | None, attributes: list[str], **search) -> DataFrame:
+    """Worst flood category per venue; Unknown where there are no polygon data at all.
+
+    ``search`` goes to :func:`gazetta.operators.geo.points_in_polygons` (cell, margin, salts).
+    """
     if polygons is None:
         rated = venues.withColumn("category", F.lit("Unknown"))
     else:
-        rated = geo.worst_severity(venues, polygons, "id", "ring", attributes)
+        rated = geo.worst_severity(venues, polygons, "id", "ring", attributes, **search)
     return rated.withColumnRenamed("category", "flood_risk_category").withColumn(
         "flood_data_source", F.lit(FLOOD_SOURCE)
     )
