@@ -38,16 +38,12 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, max_bytes: int =
         start = 0
         while start < batch.num_rows:
             size = min(rows, batch.num_rows - start)
-            while size > 1 and batch.slice(start, size).get_total_buffer_size() and _bytes(batch, start, size) > max_bytes:
+            while size > 1 and batch.slice(start, size).nbytes > max_bytes:
                 size = (size + 1) // 2
             yield batch.slice(start, size)
             start += size
 
 
-def _bytes(batch: pa.RecordBatch, start: int, size: int) -> int:
-    return batch.slice(start, size).nbytes
-
-
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8; NULL counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -188,9 +188,9 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("low"))
         near = large.join(low, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         small = pin_table(near.unionByName(low.withColumnRenamed("low", "v")).distinct(), "links")
-        changed = small.join(edges, ["u", "v"], "left_anti").limit(1).count()
+        settled = small.count() == edges.count() and small.join(edges, ["u", "v"], "left_anti").isEmpty()
         edges = small
-        if not changed:
+        if settled:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
