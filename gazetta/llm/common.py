@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 
 from gazetta.session import work_path
 
+T = TypeVar("T")
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -44,6 +48,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, max_bytes: int =
             start += size
 
 
+_resident: dict[object, object] = {}
+
+
+def resident(name: object, build: Callable[[], T]) -> T:
+    """What a worker keeps between tasks, built once. One thing at a time: another operator's takes its place."""
+    if name not in _resident:
+        _resident.clear()
+        gc.collect()
+        _resident[name] = build()
+    return _resident[name]
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8; NULL counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

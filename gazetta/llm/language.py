@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import id_remainder, slices, texts
+from gazetta.llm.common import id_remainder, resident, slices, texts
 
 BLOCK = 512
 _NOT_LETTERS = re.compile(r"[\W\d_]+").sub
@@ -89,7 +89,7 @@ class Parser:
         table = np.tile(2 * start + 1, (len(step), 1))
         table[:, 0] = 0
         table[state, self.classes[byte]] = 2 * target * width
-        return table.reshape(-1)
+        return table.reshape(-1).astype(np.int32)  # a sample's states are far below 2^31 / (2 * classes)
 
     def phrases(self, found: list[bytes]) -> np.ndarray:
         """Phrases per text (row) and language (column)."""
@@ -100,13 +100,13 @@ class Parser:
         for lo in range(0, len(owner), 4096):
             part = owner[lo : lo + 4096]
             nth = np.arange(lo, lo + len(part)) - (np.cumsum(blocks) - blocks)[part]
-            grid = np.zeros((len(part), BLOCK), np.int64)
+            grid = np.zeros((len(part), BLOCK), np.int32)
             for row, (i, k) in enumerate(zip(part.tolist(), nth.tolist(), strict=True)):
                 piece = np.frombuffer(found[i], np.uint8, min(BLOCK, len(found[i]) - k * BLOCK), k * BLOCK)
                 grid[row, : len(piece)] = self.classes[piece]
             steps = np.ascontiguousarray(grid.T[: int(min(BLOCK, sizes[part].max()))])
             for language, table in enumerate(self.tables):
-                at = np.zeros(len(part), np.int64)
+                at = np.zeros(len(part), np.int32)
                 ended = np.ones(len(part), np.int64)
                 for column in steps:
                     at += column
@@ -154,16 +154,9 @@ def learn_samples(docs: DataFrame, learn: Column, documents: int = 64, chars: in
     return {x: b"\0".join(parts)[:size] for x, parts in samples.items() if parts}
 
 
-_parsers: dict[int, Parser] = {}
-
-
 def _parser(samples: dict[str, bytes]) -> Parser:
     """Built once per worker."""
-    key = hash(tuple(sorted(samples.items())))
-    if key not in _parsers:
-        _parsers.clear()
-        _parsers[key] = Parser(samples)
-    return _parsers[key]
+    return resident(("language", hash(tuple(sorted(samples.items())))), lambda: Parser(samples))
 
 
 def identify_rows(docs: DataFrame, samples: dict[str, bytes]) -> DataFrame:

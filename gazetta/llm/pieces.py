@@ -15,13 +15,12 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gazetta.llm.common import slices, texts
+from gazetta.llm.common import resident, slices, texts
 
 SPACE = "▁"
 
@@ -222,10 +221,9 @@ class PieceEncoder:
         return edges
 
 
-@lru_cache(maxsize=4)
 def piece_encoder(path: str) -> PieceEncoder:
     """One per worker and file."""
-    return PieceEncoder(path)
+    return resident(("pieces", path), lambda: PieceEncoder(path))
 
 
 def encode_pieces(docs: DataFrame, model: str) -> DataFrame:

@@ -9,17 +9,18 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 
+from gazetta.llm.common import resident
+
 #: Latin letters whose lower case and composed form are one letter again (so not the dotted capital I).
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PARTS = re.compile(rf"[ \n]*[^\W_]+(?<=[0-9{_LATIN}])(?=[.,;:!?\s]|$)|[ \n]*[^ \n]+|[ \n]+").findall
 _OTHER_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]").search
 _WORD = re.compile(rf" ?[{_LATIN}]+").fullmatch
 #: Words remembered per worker; beyond it the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -85,7 +86,6 @@ class Encoder:
         return [b"".join([next(heads), *([] if words is None else map(known.__getitem__, words[1:])), tail]) for words in cut]
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     """One per worker and file."""
-    return Encoder(path)
+    return resident(("tokens", path), lambda: Encoder(path))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import id_remainder, mix64, slices, texts
+from gazetta.llm.common import id_remainder, mix64, resident, slices, texts
 
 ORDER = 5
 _START, _END = "\x02", "\x03"
@@ -115,15 +115,9 @@ class Model:
         return np.maximum(weight * own + (1 - weight) * both, 1e-30)
 
 
-_loaded: dict[str, tuple[Model, dict[str, float]]] = {}
-
-
 def _model(name: str, broadcast) -> tuple[Model, dict[str, float]]:
     """Built once per worker from the broadcast counts, with the words it has spelled so far."""
-    if name not in _loaded:
-        _loaded.clear()
-        _loaded[name] = Model(**broadcast.value), {}
-    return _loaded[name]
+    return resident(("toxicity", name), lambda: (Model(**broadcast.value), {}))
 
 
 FEATURES = ("f1", "f2", "f3", "f4")
@@ -202,7 +196,7 @@ def _gram_counts(training: DataFrame, bits: int) -> DataFrame:
         for batch in slices(batches):
             for text, kind in zip(texts(batch.column("text")), batch.column("kind").to_pylist(), strict=True):
                 words.update((w, kind) for w in set(words_of(text)))
-            if len(words) > 300_000:
+            if len(words) > 60_000:
                 yield flush()
         yield flush()
 
