@@ -42,7 +42,6 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.letters = _byte_letters()
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.parts: dict[str, bytes] = {}
         # a Latin word is one pre-token: with its blank where the tokenizer keeps blanks, else without it and in lower case
         probe = self.tokenizer.encode(" a", add_special_tokens=False).ids
         self.keeps_blank = probe == self._direct(" a")
@@ -52,21 +51,29 @@ class Encoder:
         return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
 
     def _learn(self, words: set[str]) -> None:
-        """Remember words: those of several parts by their parts, Latin words by the model, others by the whole chain."""
-        parts = {w: _PARTS(w if w[:1] == "\n" else f" {w}") for w in words}
-        known, packed, rest = self.parts, self.packed, []
-        if len(known) > REMEMBERED // 2:
-            known.clear()
-        for part in {p for own in parts.values() for p in own if p not in known}:
-            if self.plain and _WORD(part):
-                word = part if self.keeps_blank else part.lstrip(" ").lower()
-                spelled = word.encode().decode("latin-1").translate(self.letters)
-                known[part] = b"".join([packed[t.id] for t in self.model.tokenize(spelled)])
-            else:
-                rest.append(part)
-        known.update(zip(rest, self._whole(rest), strict=True))
-        for word, own in parts.items():
-            self.known[word] = known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own])
+        """Remember words: those of several parts by their parts, Latin words by the model, others by the whole chain.
+
+        A part that is a word of its own is remembered as that word, one without a blank before it behind a blank, which no word has.
+        """
+        known, packed, rest = self.known, self.packed, {}
+        several = []
+        for word in words:
+            own = _PARTS(word if word[:1] == "\n" else f" {word}")
+            keys = [p[1:] if p[0] == " " else p if p[0] == "\n" else f" {p}" for p in own]
+            if len(own) > 1:
+                several.append((word, keys))
+            for key, part in zip(keys, own, strict=True):
+                if key in known or key in rest:
+                    continue
+                if self.plain and _WORD(part):
+                    plain = part if self.keeps_blank else part.lstrip(" ").lower()
+                    spelled = plain.encode().decode("latin-1").translate(self.letters)
+                    known[key] = b"".join([packed[t.id] for t in self.model.tokenize(spelled)])
+                else:
+                    rest[key] = part
+        known.update(zip(rest, self._whole(list(rest.values())), strict=True))
+        for word, keys in several:
+            known[word] = b"".join([known[k] for k in keys])
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
