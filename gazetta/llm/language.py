@@ -31,7 +31,9 @@ UNDETERMINED = "und"
 
 def normalised(text: str) -> bytes:
     """Lower case, everything but letters as one blank; empty where there is no letter."""
-    return _NOT_LETTERS(" ", text.lower()).strip().encode("utf-8", "replace")
+    found = _NOT_LETTERS(" ", text.lower()).strip()
+    # the pattern's letters include a few signs for numbers
+    return found.encode("utf-8", "replace") if any(map(str.isalpha, found)) else b""
 
 
 def suffix_automaton(data: bytes) -> list[dict[int, int]]:

@@ -350,6 +350,10 @@ def test_language(spark, docs, none):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, t in TEXTS} - {2, 3, 6, 7}
 
 
+def test_a_text_without_letters_is_empty():
+    assert [language.normalised(t) for t in ("", " 12 !?", "² ½", "A²", "中 1 É")] == [b"", b"", b"", "a²".encode(), "中 é".encode()]
+
+
 def test_parser_counts_the_phrases_of_a_greedy_parse():
     rng = random.Random(2)
     samples = {x: "".join(rng.choice("ab cd") for _ in range(300)).encode() for x in ("one", "two")}
