@@ -8,9 +8,10 @@ document's features are normalised by its words: the mean evidence, the logarith
 the mean of the three largest. A logistic regression turns them into a score; it is fitted on documents that the counts
 used for it have not seen.
 
-Counts cover every labelled training row. They are summed per 5-gram and kept in 2^``bits`` slots by hash, so the table that
-reaches the scoring tasks has a fixed size limit; 5-grams that share a slot share their counts. Only the logistic regression uses a bounded sample
-(``sample`` rows with the smallest hashed ids).
+Counts cover every labelled training row, one row per 5-gram, and grow with the corpus. Neither they nor the model are ever held by one process: totals,
+continuation counts and probabilities are columns of DataFrames, and a 5-gram of the texts gets its ratio there. Documents are dealt to chunks
+by hashed id; a task receives the ratios of its chunk's own 5-grams, then the chunk's documents. Only the logistic regression uses a bounded
+sample (``sample`` rows with the smallest hashed ids).
 
 Nulls: a NULL text is empty; rows without a label or an id teach nothing. An empty text has the features of no words and gets the score of that point.
 Rows that repeat an id in the labels count once, toxic if one of them is. Without training rows of both classes every score is 0. Ties at the threshold are
@@ -20,22 +21,21 @@ toxic. Empty tables give empty results; extra columns are ignored or passed on.
 from __future__ import annotations
 
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import id_remainder, mix64, resident, slices, texts
+from gazetta.llm.common import id_remainder, mix64, pin_table, slices, texts
 
 ORDER = 5
 _START, _END = "\x02", "\x03"
 _WORDS = re.compile(r"[^\W\d_]+").findall
-#: Words remembered per worker and model; beyond it the memory starts anew.
+#: Words remembered per chunk; beyond it the memory starts anew.
 REMEMBERED = 200_000
 
 
@@ -62,7 +62,7 @@ def _hash(grams: np.ndarray, first: int, last: int) -> np.ndarray:
 
 
 class Model:
-    """Log-likelihood ratios of words out of the counts per 5-gram."""
+    """Log-likelihood ratios of words out of few counts per 5-gram, in memory; ``_gram_ratios`` gives the same for any number."""
 
     def __init__(self, grams: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray, bits: int, discount: float = 0.75, trust: float = 50.0):
         seen = (ordinary + toxic) > 0
@@ -115,17 +115,30 @@ class Model:
         return np.maximum(weight * own + (1 - weight) * both, 1e-30)
 
 
-def _model(name: str, broadcast) -> tuple[Model, dict[str, float]]:
-    """Built once per worker from the broadcast counts, with the words it has spelled so far."""
-    return resident(("toxicity", name), lambda: (Model(**broadcast.value), {}))
+FEATURES = ("f1", "f2", "f3", "f4")
 
 
-FEATURES = ("f1", "f2", "f3", "f4")
+class _Ratios:
+    """Ratios of words out of those of a chunk's 5-grams, with the words spelled so far."""
+
+    def __init__(self, grams: list[str], ratios: list[float]):
+        keys = _hash(np.frombuffer("".join(grams).encode("utf-32-le"), "<u4").reshape(-1, ORDER), 0, ORDER)
+        self.keys, one = np.unique(keys, return_index=True)
+        self.values = np.array(ratios, float)[one]
+        self.known: dict[str, float] = {}
 
+    def ratios(self, words: list[str]) -> np.ndarray:
+        grams, owner = _spelled(words)
+        keys = _hash(grams, 0, ORDER)
+        at = np.searchsorted(self.keys, keys)
+        if len(keys) and (not len(self.keys) or (self.keys[np.minimum(at, len(self.keys) - 1)] != keys).any()):
+            raise ValueError("a 5-gram of the chunk has no ratio")
+        return np.bincount(owner, self.values[at], len(words))
 
-def _features(batch_texts: list[str], model: Model, known: dict[str, float]) -> np.ndarray:
+
+def _features(batch_texts: list[str], model: _Ratios) -> np.ndarray:
     """Rows of (mean evidence, mean of the three largest, log mean excess over 2, log share over 3) per word."""
-    found = [words_of(t) for t in batch_texts]
+    found, known = [words_of(t) for t in batch_texts], model.known
     new = list({w for words in found for w in words if w not in known})
     if len(known) + len(new) > REMEMBERED:
         known.clear()
@@ -164,102 +177,196 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarra
 
 @dataclass(frozen=True)
 class Fitted:
-    """What scoring needs: the counts (of a bounded size) and the weights."""
+    """What scoring needs: (chunk, gram, ratio) of the documents' 5-grams, the number of chunks, and the weights."""
 
-    counts: dict | None
+    ratios: DataFrame | None
+    chunks: int
     weights: tuple[float, ...]
-    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
-_COUNTS = "slot long, gram string, n0 long, n1 long, m0 long, m1 long"
+_KINDS = ("n0", "n1", "m0", "m1")
+
 
+def _chunk(chunks: int) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))), F.lit(chunks)).cast("int").alias("chunk")
 
-def _gram_counts(training: DataFrame, bits: int) -> DataFrame:
-    """Documents per 5-gram occurrence (each word once per document): (n0, n1) of the first fold, (m0, m1) of the second."""
+
+def _gram_rows(docs: DataFrame, known: DataFrame | None, chunks: int) -> DataFrame:
+    """(chunk, gram, n0, n1, m0, m1) of every 5-gram of the documents (doc_id, text, part).
+
+    The counts are documents per occurrence (each word once per document): ordinary and toxic ones of the first fold (``part`` 1) and of
+    the second (2). Other documents only name their 5-grams. A 5-gram may have several rows in a chunk.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter[tuple[str, int]] = Counter()
+        wanted: set[str] = set()
+        labels: dict[int, int] = {}
+        chunk = 0
 
         def flush() -> pa.RecordBatch:
-            names = sorted({w for w, _ in words})
-            grams, owner = _spelled(names) if names else (np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64))
+            names = sorted(wanted.union(w for w, _ in words))
+            grams, owner = _spelled(names)
             weight = np.array([[words.get((w, k), 0) for k in range(4)] for w in names], np.int64).reshape(-1, 4)
-            keys = _hash(grams, 0, ORDER)
-            _, one, group = np.unique(keys, return_index=True, return_inverse=True)
+            _, one, group = np.unique(_hash(grams, 0, ORDER), return_index=True, return_inverse=True)
             sums = [np.bincount(group, weight[owner, k], len(one)).astype(np.int64) for k in range(4)]
-            text = grams[one].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            text = grams[one].astype("<u4").tobytes().decode("utf-32-le")
             strings = [text[ORDER * i : ORDER * (i + 1)] for i in range(len(one))]
             words.clear()
-            slots = (keys[one] & np.uint64((1 << bits) - 1)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(slots), pa.array(strings, pa.string()), *map(pa.array, sums)], names=["slot", "gram", "n0", "n1", "m0", "m1"])
+            wanted.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(one), chunk, np.int32)), pa.array(strings, pa.string()), *map(pa.array, sums)], names=["chunk", "gram", *_KINDS])
 
         for batch in slices(batches):
-            for text, kind in zip(texts(batch.column("text")), batch.column("kind").to_pylist(), strict=True):
-                words.update((w, kind) for w in set(words_of(text)))
-            if len(words) > 60_000:
+            columns = [batch.column(c).to_pylist() for c in ("chunk", "doc_id", "part", "toxic")]
+            for own, doc_id, part, toxic, text in zip(*columns, texts(batch.column("text")), strict=True):
+                if own != chunk:
+                    if words or wanted:
+                        yield flush()
+                    chunk = own
+                    labels.clear()
+                if part < 0:
+                    labels[doc_id] = toxic
+                    continue
+                found = set(words_of(text))
+                if part and doc_id in labels:
+                    kind = labels[doc_id] + 2 * (part - 1)
+                    words.update((w, kind) for w in found)
+                else:
+                    wanted |= found
+            if len(words) + len(wanted) > 200_000:
                 yield flush()
-        yield flush()
+        if words or wanted:
+            yield flush()
+
+    rows = docs.select(_chunk(chunks), F.col("doc_id").cast("long").alias("doc_id"), "part", F.lit(None).cast("int").alias("toxic"), "text")
+    if known is not None:
+        held = known.select("doc_id", F.lit(-1).alias("part"), "toxic", F.lit(None).cast("string").alias("text"))
+        rows = rows.unionByName(held.select(_chunk(chunks), "*"))
+    # a chunk's labels stand before its documents
+    dealt = rows.repartition("chunk").sortWithinPartitions("chunk", F.col("part") >= 0)
+    return dealt.mapInArrow(run, "chunk int, gram string, " + ", ".join(f"{k} long" for k in _KINDS))
+
+
+def _mixed(count: Column, total: Column, types: Column, backoff: Column, discount: float = 0.75) -> Column:
+    return F.when(total > 0, (F.greatest(count - discount, F.lit(0.0)) + discount * types * backoff) / total).otherwise(backoff)
 
-    sums = [F.sum(c).alias(c) for c in ("n0", "n1", "m0", "m1")]
-    rows = training.select("text", "kind").mapInArrow(run, _COUNTS)
-    # at most 2^bits rows come out of the second sum; the first keeps what reaches one slot small
-    return rows.groupBy("slot", "gram").agg(*sums).groupBy("slot").agg(F.min("gram").alias("gram"), *sums)
 
+def _gram_ratios(counts: DataFrame, trust: float = 50.0) -> DataFrame:
+    """(gram, ratio): log p(last character | toxic) - log p(last character | ordinary) of every row of (gram, ordinary, toxic).
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, bits: int = 20, sample: int = 20_000) -> Fitted:
+    5-grams without counts are smoothed by what was counted. A string of n characters has at most as many rows beside it as there are letters, in
+    each window and under each join key.
+    """
+    seen = lambda c: (F.col(c) > 0).cast("long")
+    counts = counts.withColumn("both", F.col("ordinary") + F.col("toxic"))
+    # in how many contexts (one character to the left) an ending occurs; those of unseen 5-grams stay with 0
+    endings = [counts.select("gram", F.col("both").alias("n"))]
+    for _ in range(1, ORDER):
+        endings.insert(0, endings[0].groupBy(F.substring("gram", 2, ORDER).alias("gram")).agg(F.sum(seen("n")).alias("n")))
+    shared = None
+    for size, level in enumerate(endings[:-1], 1):
+        inner = Window.partitionBy(F.substring("gram", 1, size - 1))
+        level = level.select("gram", "n", F.sum("n").over(inner).alias("total"), F.sum(seen("n")).over(inner).alias("types"))
+        if shared is None:
+            backoff = 1 / F.greatest(F.lit(2), F.col("types"))
+        else:
+            level, backoff = level.withColumn("rest", F.substring("gram", 2, ORDER)).join(shared, "rest"), F.col("shared")
+        shared = level.select(F.col("gram").alias("rest"), _mixed(F.col("n"), F.col("total"), F.col("types"), backoff).alias("shared"))
+    context = Window.partitionBy(F.substring("gram", 1, ORDER - 1))
+    kinds = ("ordinary", "toxic", "both")
+    own = counts.select("*", *[F.sum(k).over(context).alias(f"{k}_total") for k in kinds], *[F.sum(seen(k)).over(context).alias(f"{k}_types") for k in kinds])
+    of = lambda k, backoff: _mixed(F.col(k), F.col(f"{k}_total"), F.col(f"{k}_types"), F.col(backoff))
+    mixed = own.withColumn("rest", F.substring("gram", 2, ORDER)).join(shared, "rest").withColumn("backed", of("both", "shared"))
+
+    def log_of(k: str) -> Column:
+        # the class's own estimate, trusted as far as it knows the context, and that of both classes
+        weight = F.col(f"{k}_total") / (F.col(f"{k}_total") + trust)
+        return F.log(F.greatest(weight * of(k, "backed") + (1 - weight) * F.col("backed"), F.lit(1e-30)))
+
+    return mixed.select("gram", (log_of("toxic") - log_of("ordinary")).alias("ratio"))
+
+
+def _chunks(docs: DataFrame) -> int:
+    return max(64, docs.count() // 8192)
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 20_000) -> Fitted:
     """Learn from the rows of ``docs`` where ``learn`` holds and ``labels`` has ``toxic``.
 
     Every eighth training row (by hashed id) is the second fold: the logistic regression is fitted on it, with the counts of the others.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), learn.alias("learn"))
-    own = own.where("learn AND doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(8)).alias("fold"))
-    # the same join at every size: labels grow with the documents and have no size to broadcast by
-    training = own.join(known.hint("merge"), "doc_id").select("text", (F.col("toxic") + F.when(F.col("fold") == 0, 2).otherwise(0)).alias("kind"))
-    table = _gram_counts(training, bits).toPandas()  # at most 2^bits rows
-    if not len(table):
-        return Fitted(None, ())
-    counts = {c: table[c].to_numpy(np.int64) for c in ("n0", "n1", "m0", "m1")}
-    if not (counts["n0"] + counts["m0"]).any() or not (counts["n1"] + counts["m1"]).any():
-        return Fitted(None, ())
-    grams = np.frombuffer("".join(table["gram"]).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, ORDER)
-    whole = {"grams": grams, "ordinary": counts["n0"] + counts["m0"], "toxic": counts["n1"] + counts["m1"], "bits": bits}
-    second = own.where("fold = 0")
-    if not counts["n1"].any() or not counts["n0"].any():
-        first = Fitted(whole, ())
-        second = own
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(8))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    own = own.select("doc_id", "text", F.when(~F.col("learn") | F.col("doc_id").isNull(), 0).when(fold == 0, 2).otherwise(1).alias("part"))
+    chunks = _chunks(docs)
+    rows = pin_table(_gram_rows(own, known, chunks), "gram-rows")
+    counts = pin_table(rows.groupBy("gram").agg(*[F.sum(k).alias(k) for k in _KINDS]), "gram-counts")
+    any_of = counts.agg(*[F.coalesce(F.max(k), F.lit(0)).alias(k) for k in _KINDS]).first()
+    if not any_of["n0"] + any_of["m0"] or not any_of["n1"] + any_of["m1"]:
+        return Fitted(None, chunks, ())
+    whole = counts.select("gram", (F.col("n0") + F.col("m0")).alias("ordinary"), (F.col("n1") + F.col("m1")).alias("toxic"))
+    ratios = rows.select("chunk", "gram").join(_gram_ratios(whole), "gram")
+    if not any_of["n1"] or not any_of["n0"]:
+        first, second = whole, own.where("part > 0")
     else:
-        first = Fitted({"grams": grams, "ordinary": counts["n0"], "toxic": counts["n1"], "bits": bits}, ())
-    measured = _measured(second, first, ["doc_id"]).join(known.hint("merge"), "doc_id")
-    picked = measured.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", *FEATURES).limit(sample).toPandas()
-    y = picked["toxic"].to_numpy(float)
+        first, second = counts.select("gram", F.col("n0").alias("ordinary"), F.col("n1").alias("toxic")), own.where("part = 2")
+    keyed = second.withColumn("key", F.xxhash64("text"))
+    # ids alone meet the labels; labels grow with the documents and have no size to broadcast by
+    named = keyed.select("doc_id", "key").join(known.hint("merge"), "doc_id")
+    picked = named.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", "key").limit(sample).distinct()
+    sampled = pin_table(keyed.join(F.broadcast(picked), ["doc_id", "key"]), "sample")
+    few = 32
+    grams = _gram_rows(sampled.withColumn("part", F.lit(0)), None, few).select("chunk", "gram")
+    measured = _measured(sampled, grams.join(_gram_ratios(first), "gram"), few, ["doc_id", "key", "toxic"])
+    table = measured.dropDuplicates(["doc_id", "key"]).orderBy("doc_id", "key").toPandas()  # at most ``sample`` rows
+    y = table["toxic"].to_numpy(float)
     if not len(y) or y.min() == y.max():
-        return Fitted(whole, (-4.0, 0.0, 0.5, 0.0, 0.0))  # nothing to fit the scale on
-    return Fitted(whole, tuple(fit_logistic(picked[list(FEATURES)].to_numpy(float), y)))
+        return Fitted(ratios, chunks, (-4.0, 0.0, 0.5, 0.0, 0.0))  # nothing to fit the scale on
+    return Fitted(ratios, chunks, tuple(fit_logistic(table[list(FEATURES)].to_numpy(float), y)))
 
 
-def _measured(docs: DataFrame, fitted: Fitted, keep: list[str]) -> DataFrame:
-    """Columns to keep and the features of ``text``."""
-    counts, name = docs.sparkSession.sparkContext.broadcast(fitted.counts), fitted.name
+def _measured(docs: DataFrame, ratios: DataFrame, chunks: int, keep: list[str]) -> DataFrame:
+    """Columns to keep and the features of ``text``, by the ratios of the chunks' 5-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, grams, values, model = None, [], [], None
         for batch in slices(batches):
-            rows = _features(texts(batch.column("text")), *_model(name, counts))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *map(pa.array, rows.T.copy())], names=[*keep, *FEATURES])
-
+            own, is_doc = batch.column("chunk").to_numpy(), batch.column("is_doc").to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero((own[1:] != own[:-1]) | (is_doc[1:] != is_doc[:-1])) + 1).tolist(), len(own)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                part = batch.slice(a, b - a)
+                if own[a] != chunk:
+                    chunk, grams, values, model = own[a], [], [], None
+                if not is_doc[a]:
+                    grams += part.column("gram").to_pylist()
+                    values += part.column("ratio").to_pylist()
+                    continue
+                if model is None:
+                    model = _Ratios(grams, values)
+                    grams, values = [], []
+                rows = _features(texts(part.column("text")), model)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *map(pa.array, rows.T.copy())], names=[*keep, *FEATURES])
+
+    dealt = docs.select(_chunk(chunks), F.lit(True).alias("is_doc"), *keep, *({"text"} - {*keep}))
+    dealt = dealt.unionByName(ratios.select("chunk", F.lit(False).alias("is_doc"), "gram", "ratio"), allowMissingColumns=True)
+    dealt = dealt.repartition("chunk").sortWithinPartitions("chunk", "is_doc")
     fields = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, "text").mapInArrow(run, ", ".join([fields, *(f"{f} double" for f in FEATURES)]))
+    return dealt.mapInArrow(run, ", ".join([fields, *(f"{f} double" for f in FEATURES)]))
 
 
 def score_rows(docs: DataFrame, fitted: Fitted, threshold: float = 0.7) -> DataFrame:
-    """(row, score, predicted): every row as a struct, its score between 0 and 1, and 1 where that reaches the threshold."""
-    held = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
-    if fitted.counts is None:
+    """(row, score, predicted): every row as a struct, its score between 0 and 1, and 1 where that reaches the threshold.
+
+    ``docs`` are those ``fitted`` has seen: others may hold 5-grams without a ratio, which fails.
+    """
+    held = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    if fitted.ratios is None:
         return held.select("row", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     z = F.lit(float(fitted.weights[0]))
     for weight, feature in zip(fitted.weights[1:], FEATURES, strict=True):
         z = z + F.lit(float(weight)) * F.col(feature)
-    scored = _measured(held, fitted, ["row"]).select("row", (1 / (1 + F.exp(-z))).alias("score"))
+    scored = _measured(held, fitted.ratios, fitted.chunks, ["row"]).select("row", (1 / (1 + F.exp(-z))).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -268,14 +375,14 @@ def training_rows(docs_id: str = "doc_id") -> Column:
     return id_remainder(docs_id, 3) != 1
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, bits: int = 20) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
-    scored = score_rows(docs.select("doc_id", "text"), fit(docs, labels, training_rows(), bits), threshold)
+    scored = score_rows(docs.select("doc_id", "text"), fit(docs, labels, training_rows()), threshold)
     held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
     return scored.select(F.col("row.doc_id").alias("doc_id"), "score", "predicted").select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, bits: int = 20) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """The table without the rows whose score reaches the threshold."""
-    scored = score_rows(docs, fit(docs, labels, training_rows(), bits), threshold)
+    scored = score_rows(docs, fit(docs, labels, training_rows()), threshold)
     return scored.where("predicted = 0").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

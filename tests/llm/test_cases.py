@@ -185,6 +185,46 @@ def test_toxicity_model_is_a_distribution_and_knows_rare_expressions():
     assert (model.count[0][gram] / model.total[0][context]).sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_toxicity_counts_no_gram_for_another(spark):
+    """All ratios by DataFrames equal the model in memory with far more slots than 5-grams; every 5-gram has its own counts."""
+    rng = random.Random(11)
+    words = sorted({"".join(rng.choice("abcdefgàé中") for _ in range(rng.randint(1, 9))) for _ in range(300)})
+    known = words[: len(words) // 2]
+    grams, owner = toxicity._spelled(words)
+    names = ["".join(map(chr, g)) for g in grams.tolist()]
+    table = {}
+    for name, i in zip(names, owner.tolist(), strict=True):
+        n = (0, 0) if words[i] not in known else (1 + i % 5, i % 3)
+        a, b = table.get(name, (0, 0))
+        table[name] = (a + n[0], b + n[1])
+    counted = np.array([[ord(c) for c in g] for g in table], np.uint32)
+    ordinary, toxic = (np.array([v[k] for v in table.values()], np.int64) for k in (0, 1))
+    model = toxicity.Model(counted, ordinary, toxic, 24)
+    rows = spark.createDataFrame([(g, *v) for g, v in table.items()], "gram string, ordinary long, toxic long")
+    got = {r["gram"]: r["ratio"] for r in toxicity._gram_ratios(rows).collect()}
+    assert set(got) == set(table)
+    chunk = toxicity._Ratios(list(got), list(got.values()))
+    assert np.allclose(chunk.ratios(words), model.ratios(words), atol=1e-4)
+    with pytest.raises(ValueError):
+        chunk.ratios(["unseen"])
+
+
+def test_toxicity_keeps_more_grams_than_slots(spark):
+    """The table of counts grows with the corpus: every 5-gram of every text is in it, with its own counts."""
+    docs = spark.createDataFrame([(i, f"w{chr(0x4E00 + i)}{chr(0x5E00 + 7 * i % 5000)}", 1) for i in range(1, 400)], "doc_id long, text string, part int")
+    known = spark.createDataFrame([(i, i % 2) for i in range(1, 400)], "doc_id long, toxic int")
+    rows = toxicity._gram_rows(docs, known, 5).groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).collect()
+    got = {r["gram"]: (r["n0"], r["n1"]) for r in rows}
+    want = {}
+    for i in range(1, 400):
+        grams, _ = toxicity._spelled(toxicity.words_of(f"w{chr(0x4E00 + i)}{chr(0x5E00 + 7 * i % 5000)}"))
+        for g in grams.tolist():
+            name = "".join(map(chr, g))
+            a, b = want.get(name, (0, 0))
+            want[name] = (a + (i % 2 == 0), b + (i % 2 == 1))
+    assert got == want
+
+
 def test_top_k(spark):
     rng = random.Random(3)
     rows = [(i, [rng.uniform(-2, 2) for _ in range(6)], "x") for i in range(0, 400)]
