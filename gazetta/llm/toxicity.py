@@ -3,8 +3,9 @@
 Words are spelled by character 5-gram models, one for toxic and one for ordinary documents. Each backs off to the 5-grams of both
 classes together and from there to shared continuation counts (in how many contexts an ending occurs), so an expression that is
 rare in one class is smoothed by what both have; a class's own estimate counts the more the more often it saw the context.
-A word's evidence is its log-likelihood ratio less the median over the text's words, which takes out what only tells the language. A
-document's features are normalised by its words: the mean evidence, the logarithms of the mean excess over 2 and of the share of words over 3, and
+A word's evidence is its log-likelihood ratio less one baseline for the whole corpus (the median, over the ordinary documents of the sample, of their mean
+ratio); nothing is centred on the text itself, so short, repeated and wholly toxic texts keep their evidence. A document's features are
+normalised by its words: the mean evidence (the log-likelihood ratio per word), the logarithms of the mean excess over 2 and of the share of words over 3, and
 the mean of the three largest. A logistic regression turns them into a score; it is fitted on documents that the counts
 used for it have not seen.
 
@@ -136,7 +137,7 @@ class _Ratios:
         return np.bincount(owner, self.values[at], len(words))
 
 
-def _features(batch_texts: list[str], model: _Ratios) -> np.ndarray:
+def _features(batch_texts: list[str], model: _Ratios, baseline: float = 0.0) -> np.ndarray:
     """Rows of (mean evidence, mean of the three largest, log mean excess over 2, log share over 3) per word."""
     found, known = [words_of(t) for t in batch_texts], model.known
     new = list({w for words in found for w in words if w not in known})
@@ -149,9 +150,8 @@ def _features(batch_texts: list[str], model: _Ratios) -> np.ndarray:
     rows = np.zeros((len(found), len(FEATURES)))
     for i, words in enumerate(found):
         n = len(words)
-        values = np.fromiter(map(known.__getitem__, words), float, n)
+        values = np.fromiter(map(known.__getitem__, words), float, n) - baseline
         if n:
-            values -= np.median(values)
             top = np.partition(values, n - 3)[-3:] if n > 3 else values
             rows[i, :2] = values.mean(), top.mean()
         # the constants stand for a short text's missing words
@@ -177,11 +177,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarra
 
 @dataclass(frozen=True)
 class Fitted:
-    """What scoring needs: (chunk, gram, ratio) of the documents' 5-grams, the number of chunks, and the weights."""
+    """What scoring needs: (chunk, gram, ratio) of the documents' 5-grams, the number of chunks, the weights and the baseline."""
 
     ratios: DataFrame | None
     chunks: int
     weights: tuple[float, ...]
+    baseline: float = 0.0
 
 
 _KINDS = ("n0", "n1", "m0", "m1")
@@ -318,15 +319,22 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 20_000)
     sampled = pin_table(keyed.join(F.broadcast(picked), ["doc_id", "key"]), "sample")
     few = 32
     grams = _gram_rows(sampled.withColumn("part", F.lit(0)), None, few).select("chunk", "gram")
-    measured = _measured(sampled, grams.join(_gram_ratios(first), "gram"), few, ["doc_id", "key", "toxic"])
-    table = measured.dropDuplicates(["doc_id", "key"]).orderBy("doc_id", "key").toPandas()  # at most ``sample`` rows
+    sampled_ratios = pin_table(grams.join(_gram_ratios(first), "gram"), "sample-ratios")
+
+    def measured(baseline: float):
+        rows = _measured(sampled, sampled_ratios, few, ["doc_id", "key", "toxic"], baseline)
+        return rows.dropDuplicates(["doc_id", "key"]).orderBy("doc_id", "key").toPandas()  # at most ``sample`` rows
+
+    table = measured(0.0)
+    ordinary = table.loc[table["toxic"] == 0, "f1"]
+    baseline = float(ordinary.median()) if len(ordinary) else 0.0
     y = table["toxic"].to_numpy(float)
     if not len(y) or y.min() == y.max():
-        return Fitted(ratios, chunks, (-4.0, 0.0, 0.5, 0.0, 0.0))  # nothing to fit the scale on
-    return Fitted(ratios, chunks, tuple(fit_logistic(table[list(FEATURES)].to_numpy(float), y)))
+        return Fitted(ratios, chunks, (-4.0, 0.0, 0.5, 0.0, 0.0), baseline)  # nothing to fit the scale on
+    return Fitted(ratios, chunks, tuple(fit_logistic(measured(baseline)[list(FEATURES)].to_numpy(float), y)), baseline)
 
 
-def _measured(docs: DataFrame, ratios: DataFrame, chunks: int, keep: list[str]) -> DataFrame:
+def _measured(docs: DataFrame, ratios: DataFrame, chunks: int, keep: list[str], baseline: float) -> DataFrame:
     """Columns to keep and the features of ``text``, by the ratios of the chunks' 5-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +353,7 @@ def _measured(docs: DataFrame, ratios: DataFrame, chunks: int, keep: list[str])
                 if model is None:
                     model = _Ratios(grams, values)
                     grams, values = [], []
-                rows = _features(texts(part.column("text")), model)
+                rows = _features(texts(part.column("text")), model, baseline)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *map(pa.array, rows.T.copy())], names=[*keep, *FEATURES])
 
     dealt = docs.select(_chunk(chunks), F.lit(True).alias("is_doc"), *keep, *({"text"} - {*keep}))
@@ -366,7 +374,7 @@ def score_rows(docs: DataFrame, fitted: Fitted, threshold: float = 0.7) -> DataF
     z = F.lit(float(fitted.weights[0]))
     for weight, feature in zip(fitted.weights[1:], FEATURES, strict=True):
         z = z + F.lit(float(weight)) * F.col(feature)
-    scored = _measured(held, fitted.ratios, fitted.chunks, ["row"]).select("row", (1 / (1 + F.exp(-z))).alias("score"))
+    scored = _measured(held, fitted.ratios, fitted.chunks, ["row"], fitted.baseline).select("row", (1 / (1 + F.exp(-z))).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 

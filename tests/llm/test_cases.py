@@ -225,6 +225,27 @@ def test_toxicity_keeps_more_grams_than_slots(spark):
     assert got == want
 
 
+def test_toxicity_of_short_repeated_and_mostly_toxic_texts(spark):
+    rng = random.Random(5)
+    plain = ["table", "window", "garden", "river", "music", "paper", "letter", "winter", "summer", "bread"]
+    slurs = ["zorkhead", "grublik", "vexnard"]
+    rows, marks = [], []
+    for i in range(1, 1201):
+        toxic = i % 4 == 0
+        words = [rng.choice(plain) for _ in range(rng.randint(5, 60))]
+        for _ in range(rng.randint(1, 4) if toxic else 0):
+            words[rng.randrange(len(words))] = rng.choice(slurs)
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    cases = {
+        10001: " ".join(slurs * 17), 10002: "zorkhead " * 50, 10003: "zorkhead", 10004: "zorkhead grublik", 10005: " ".join(slurs * 10 + plain * 2),
+        10011: " ".join(plain * 5), 10012: "garden " * 50, 10013: "garden", 10014: "", 10015: "river music",
+    }
+    docs = spark.createDataFrame([*rows, *cases.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, spark.createDataFrame(marks, "doc_id long, toxic int")).collect()}
+    assert {i: got[i] >= 0.7 for i in cases} == {i: i < 10010 for i in cases}
+
+
 def test_top_k(spark):
     rng = random.Random(3)
     rows = [(i, [rng.uniform(-2, 2) for _ in range(6)], "x") for i in range(0, 400)]
