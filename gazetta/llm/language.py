@@ -5,8 +5,9 @@ phrases that occur in the sample; phrases times the logarithm of the sample's si
 the language with the least wins. Texts are parsed whole, in blocks of ``BLOCK`` bytes side by side (a phrase ends
 with its block), so a very long text costs no more per byte than short ones.
 
-The sample is bounded: at most ``documents`` passages of at most ``chars`` characters and ``size`` bytes per language, and the ``languages``
-most frequent ones. Texts are compared in lower case with everything but letters as one blank.
+The sample of a language is bounded: at most ``documents`` passages with a letter, of at most ``chars`` characters each, and ``size`` bytes. The number of
+languages is not: every one that has a labelled text with a letter is learnt. A worker holds the automata of at most ``TOGETHER`` languages; where there are
+more, each group of them reads the texts by itself, and the least and second least estimate per distinct text are reduced over the groups. Texts are compared in lower case with everything but letters as one blank.
 
 Nulls: a NULL text, or one without a letter, is ``und`` with score 0; rows without id or language teach nothing. Ties go to the language whose name
 is smaller. With no language learnt every row is ``und``. Repeated rows, empty tables and extra columns need nothing.
@@ -22,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import id_remainder, resident, slices, texts
+from gazetta.llm.common import id_remainder, pin_table, resident, slices, texts
 
 BLOCK = 512
 _NOT_LETTERS = re.compile(r"[\W\d_]+").sub
 UNDETERMINED = "und"
+#: Languages whose automata a worker holds at a time (some 30 MB each).
+TOGETHER = 8
 
 
 def normalised(text: str) -> bytes:
@@ -118,42 +121,59 @@ class Parser:
                 counts[:, language] += np.bincount(part, ended, len(found))
         return counts
 
-    def predict(self, batch: list[str]) -> tuple[list[str], np.ndarray]:
-        """Language and score: by how much the best estimate is below the second, as a share of it."""
+    def estimates(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: its size in bytes, the position of the best language, its entropy, and that of the second (infinite without one)."""
         found = [normalised(t) for t in batch]
-        sizes = np.array([len(x) for x in found])
-        if not self.languages:
-            return [UNDETERMINED] * len(batch), np.zeros(len(batch))
+        sizes = np.array([len(x) for x in found], np.int64)
         entropy = self.phrases(found) * self.bits / np.maximum(sizes, 1)[:, None]
         best = entropy.argmin(axis=1)
         rows = np.arange(len(batch))
         least = entropy[rows, best]
-        if len(self.languages) == 1:
-            score = np.ones(len(batch))
-        else:
-            rest = entropy.copy()
-            rest[rows, best] = np.inf
-            score = 1 - least / np.maximum(rest.min(axis=1), 1e-12)
+        rest = entropy.copy()
+        rest[rows, best] = np.inf
+        return sizes, best, least, rest.min(axis=1)
+
+    def predict(self, batch: list[str]) -> tuple[list[str], np.ndarray]:
+        """Language and score: by how much the best estimate is below the second, as a share of it."""
+        if not self.languages:
+            return [UNDETERMINED] * len(batch), np.zeros(len(batch))
+        sizes, best, least, second = self.estimates(batch)
+        score = np.ones(len(batch)) if len(self.languages) == 1 else 1 - least / np.maximum(second, 1e-12)
         names = [self.languages[k] if n else UNDETERMINED for k, n in zip(best.tolist(), sizes.tolist(), strict=True)]
         return names, np.where(sizes > 0, np.clip(score, 0, 1), 0.0)
 
 
-def learn_samples(docs: DataFrame, learn: Column, documents: int = 64, chars: int = 4000, size: int = 40_000, languages: int = 100) -> dict[str, bytes]:
-    """A bounded sample per language: the passages with the smallest hashed ids, whole documents before cut ones."""
+def learn_samples(docs: DataFrame, learn: Column, documents: int = 64, chars: int = 4000, size: int = 40_000) -> DataFrame:
+    """(lang, sample) of every language, each bounded: the passages with the smallest hashed ids, whole documents before cut ones."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").alias("lang"), F.col("text").alias("text"), learn.alias("learn"))
-    own = own.where("learn AND doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    cut = own.select("lang", "doc_id", (F.length("text") > chars).alias("is_cut"), (F.length("text") < 200).alias("short"), F.substring("text", 1, chars).alias("text"))
+    # letterless texts take no place of a passage, nor do the signs before the first letter
+    own = own.where("learn AND doc_id IS NOT NULL AND lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+    passage = F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, chars)
+    cut = own.select("lang", "doc_id", (F.length("text") > chars).alias("is_cut"), (F.length("text") < 200).alias("short"), passage.alias("text"))
     order = Window.partitionBy("lang").orderBy("is_cut", "short", F.xxhash64("doc_id"), "doc_id", "text")
     picked = cut.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= documents)
-    counted = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
-    wanted = [r["lang"] for r in counted]
-    samples: dict[str, list[bytes]] = {x: [] for x in wanted}
-    for row in sorted(picked.where(F.col("lang").isin(wanted)).collect(), key=lambda r: (r["lang"], r["nth"])):
-        data = normalised(row["text"])
-        if data and sum(map(len, samples[row["lang"]])) < size:
-            samples[row["lang"]].append(data)
-    # a zero byte between passages: no phrase runs over it
-    return {x: b"\0".join(parts)[:size] for x, parts in samples.items() if parts}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, parts = None, []
+
+        def sample() -> pa.RecordBatch:
+            # a zero byte between passages: no phrase runs over it
+            return pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([b"\0".join(parts)[:size]], pa.binary())], names=["lang", "sample"])
+
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), texts(batch.column("text")), strict=True):
+                if lang != name:
+                    if parts:
+                        yield sample()
+                    name, parts = lang, []
+                data = normalised(text)
+                if data and sum(map(len, parts)) < size:
+                    parts.append(data)
+        if parts:
+            yield sample()
+
+    dealt = picked.select("lang", "nth", "text").repartition("lang").sortWithinPartitions("lang", "nth")
+    return pin_table(dealt.mapInArrow(run, "lang string, sample binary"), "samples")
 
 
 def _parser(samples: dict[str, bytes]) -> Parser:
@@ -161,16 +181,54 @@ def _parser(samples: dict[str, bytes]) -> Parser:
     return resident(("language", hash(tuple(sorted(samples.items())))), lambda: Parser(samples))
 
 
-def identify_rows(docs: DataFrame, samples: dict[str, bytes]) -> DataFrame:
+def identify_rows(docs: DataFrame, samples: DataFrame, together: int = TOGETHER) -> DataFrame:
     """(row, lang_pred, score): every row as a struct with the language of its ``text``."""
+    names = sorted(r["lang"] for r in samples.select("lang").collect())
+    groups = [names[at : at + together] for at in range(0, len(names), together)]
     held = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    row = f"row {held.schema['row'].dataType.simpleString()}"
+    if len(groups) > 1:
+        return _identify_by_groups(held, samples, groups)
+    own = _collected(samples, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024, 4 << 20):
-            names, score = _parser(samples).predict(texts(batch.column("text")))
+            names, score = _parser(own).predict(texts(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(names, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
 
-    return held.mapInArrow(run, f"row {held.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return held.mapInArrow(run, f"{row}, lang_pred string, score double")
+
+
+def _collected(samples: DataFrame, names: list[str]) -> dict[str, bytes]:
+    return {r["lang"]: bytes(r["sample"]) for r in samples.where(F.col("lang").isin(names)).collect()} if names else {}
+
+
+def _identify_by_groups(held: DataFrame, samples: DataFrame, groups: list[list[str]]) -> DataFrame:
+    """As ``identify_rows`` for more languages than a worker holds: one reading per group, written before the next one."""
+    key = F.sha2(F.col("text").cast("binary"), 256)
+    read = None
+    for nth, names in enumerate(groups):
+        own = _collected(samples, names)
+
+        def run(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 1024, 4 << 20):
+                parser = _parser(own)
+                sizes, best, least, second = parser.estimates(texts(batch.column("text")))
+                found = pa.array([parser.languages[k] for k in best.tolist()], pa.string())
+                whole = pa.RecordBatch.from_arrays([batch.column("key"), found, pa.array(least), pa.array(second)], names=["key", "lang", "least", "second"])
+                yield whole.filter(pa.array(sizes > 0))
+
+        # equal texts have equal estimates and are one row from here on
+        part = held.where("text IS NOT NULL").select(key.alias("key"), "text").mapInArrow(run, "key string, lang string, least double, second double")
+        part = part.groupBy("key").agg(F.min(F.struct("least", "lang", "second")).alias("best"))
+        part = pin_table(part, f"languages-{nth}")
+        read = part if read is None else read.unionByName(part)
+    values = F.array_sort(F.flatten(F.collect_list(F.array("best.least", "best.second"))))
+    told = read.groupBy("key").agg(F.min("best").alias("best"), F.get(values, F.lit(1)).alias("second"))
+    score = 1 - F.col("best.least") / F.greatest("second", F.lit(1e-12))
+    told = told.select("key", F.col("best.lang").alias("lang"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("told"))
+    rows = held.withColumn("key", key).join(told, "key", "left")
+    return rows.select("row", F.coalesce("lang", F.lit(UNDETERMINED)).alias("lang_pred"), F.coalesce("told", F.lit(0.0)).alias("score"))
 
 
 def training_rows() -> Column:

@@ -485,3 +485,32 @@ def test_urls(spark):
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == cases[rows[r["page_id"]][1]]
     assert urls.judge_urls(pages.limit(0), rules).count() == 0
     assert {r["verdict"] for r in urls.judge_urls(pages, [], default="block").collect()} == {"block"}
+
+
+def _tongue(rng, n):
+    letters = [chr(0x0400 + 16 * (n % 6) + rng.randrange(16)) if n % 3 else chr(97 + rng.randrange(26)) for _ in range(7)]
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(3, 7))) for _ in range(12)]
+
+
+def test_every_language_is_learnt(spark):
+    """More than a hundred languages, also those whose first texts have no letter."""
+    rng = random.Random(9)
+    words = {f"l{n:03}": _tongue(rng, n) for n in range(110)}
+    rows, at = [], 0
+    for lang, own in words.items():
+        for _ in range(4):
+            rows.append((at, lang, " ".join(rng.choice(own) for _ in range(40))))
+            at += 1
+    rare = _tongue(rng, 2)
+    rows += [(at + i, "rare", f"{i} 12 !? " * 40) for i in range(400)]
+    rows += [(at + 400 + i, "rare", "0 " * 3000 + " ".join(rng.choice(rare) for _ in range(80))) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    samples = language.learn_samples(docs, F.lit(True))
+    assert {r["lang"] for r in samples.collect()} == {*words, "rare"}
+    some = docs.where("lang < 'l012'")
+    few = language.learn_samples(some, F.lit(True))
+    whole, parts = ({(r["row"]["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in language.identify_rows(some, few, n).collect()} for n in (12, 5))
+    assert whole == parts
+    test = docs.where("lang IN ('l000', 'l104', 'l109', 'rare')")
+    found = [(r["row"]["lang"], r["lang_pred"]) for r in language.identify_rows(test, samples, 60).collect()]
+    assert len(found) == 416 and all(p == lang for lang, p in found if p != "und") and sum(p == "und" for _, p in found) == 400
