@@ -286,11 +286,7 @@ def csv_strings(spark: SparkSession, sf: str) -> DataFrame:
 def json_arrays(spark: SparkSession, sf: str) -> DataFrame:
     """Files of one JSON array each, read back, with seed rows of which the incomplete ones are left out."""
     path = work_path(spark, "arrays")
-    row = F.struct("c_custkey", "c_name", "c_mktsegment")
-    dealt = table(spark, sf, "customer").withColumn("file", F.col("c_custkey") % 16)
-    # one array per file: a file is as large as its writer makes it
-    arrays = dealt.groupBy("file").agg(F.to_json(F.collect_list(row)).alias("value"))
-    arrays.repartition(16, "file").write.partitionBy("file").text(path)
+    files.write_json_arrays(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"), path)
     schema = T.StructType.fromDDL("c_custkey bigint, c_name string, c_mktsegment string")
     read = files.read_json_array(spark, path, schema).select("c_custkey", "c_name", "c_mktsegment")
     name = F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).otherwise(" ")

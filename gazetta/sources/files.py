@@ -73,6 +73,15 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, rows: int = 50_000) -> None:
+    """Files of one JSON array each, as many as leave them about ``rows`` rows, whatever the size of the table."""
+    number = -(-df.count() // rows) or 1
+    # by a random number: repeated rows do not meet in one file
+    dealt = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.floor(F.rand(42) * number).alias("file"))
+    arrays = dealt.groupBy("file").agg(F.to_json(F.collect_list("row")).alias("value"))
+    arrays.write.partitionBy("file").text(path)
+
+
 def append_jsonl(df: DataFrame, path: str) -> None:
     """Append-only JSON lines; values without a JSON form are written as text."""
     plain = (T.BinaryType, T.DayTimeIntervalType, T.YearMonthIntervalType)

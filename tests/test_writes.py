@@ -296,3 +296,15 @@ def test_process_pending(spark, tmp_path):
     keyed.process_pending(spark.range(5), done, ["id"], step)
     out = keyed.process_pending(spark.range(8), done, ["id"], step)
     assert calls == [5, 3] and out.count() == 8
+
+
+def test_json_arrays_are_dealt_to_files_by_row_count(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    rows = spark.range(1000).select("id", F.lit("same").alias("name"))
+    files.write_json_arrays(rows, str(tmp_path / "a"), rows=50)
+    found = [json.loads(p.read_text()) for p in (tmp_path / "a").rglob("part-*.txt")]
+    assert len(found) == 20 and max(map(len, found)) < 100
+    assert sorted(r["id"] for part in found for r in part) == list(range(1000))
+    assert files.read_json_array(spark, str(tmp_path / "a"), T.StructType.fromDDL("id bigint, name string")).count() == 1000
+    files.write_json_arrays(rows.limit(0), str(tmp_path / "none"))
