@@ -18,8 +18,14 @@ def read_csv_strings(
     """CSV with every column as text; lines with surplus fields are dropped.
 
     Empty fields, and those a short line lacks, are ``''``.  ``multi_line`` allows
-    line feeds in quoted fields; a file is then read by one task.
+    line feeds in quoted fields; a file is then read by one task.  Without it the
+    lines are looked through first, and files with an odd number of quotes in a line, as a
+    quoted line feed leaves it, are read that way all the same.
     """
+    if not multi_line:
+        lines = spark.read.text(path)
+        quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+        multi_line = not lines.where(quotes % 2 == 1).isEmpty()
     reader = (
         spark.read.option("header", True)
         .option("encoding", "UTF-8")

@@ -308,3 +308,10 @@ def test_json_arrays_are_dealt_to_files_by_row_count(spark, tmp_path):
     assert sorted(r["id"] for part in found for r in part) == list(range(1000))
     assert files.read_json_array(spark, str(tmp_path / "a"), T.StructType.fromDDL("id bigint, name string")).count() == 1000
     files.write_json_arrays(rows.limit(0), str(tmp_path / "none"))
+
+
+def test_csv_line_feed_in_a_quoted_field_is_one_row(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('id,address\n1,"1 High St\nTown, ""B"""\n2,plain\n3\n')
+    got = {tuple(r) for r in files.read_csv_strings(spark, str(path)).collect()}
+    assert got == {("1", '1 High St\nTown, "B"'), ("2", "plain"), ("3", "")}
