@@ -2,8 +2,8 @@
 
 The normaliser walks the text by longest prefixes through the model's compiled character map (a double-array trie with a pool of
 replacements) and records for every normalised byte which original bytes it came from. The pieces cover the normalised text without gaps,
-so the running sum of their lengths, looked up in that alignment, projects every piece to original byte spans. The merges
-themselves are the library's.
+so the running sum of their lengths, looked up in that alignment, projects every piece to original byte spans. The ids and the decoded
+text are the library's, out of its own normalisation of the raw text; this normaliser serves the spans alone.
 
 Nulls: a NULL text is empty (begin and end id alone). Repeated rows, ties and extra columns need nothing; an empty table gives an empty result;
 very long texts are one row each.
