@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gazetta.functions.values import let
 from gazetta.session import pin
 
 BLOCK = 1 << 17
@@ -75,21 +76,57 @@ def round_robin(
 
 
 def with_blocks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: int | None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: int | None, least: int = 1 << 15
 ) -> DataFrame:
     """Add ``_block``: consecutive pieces of each group in order.
 
     With ``block`` the (single, whole-number) order column is cut arithmetically:
     right for positions, running ids and times, not for hashed numbers, which
-    would give every row a block of its own.  Otherwise rows are range-partitioned on keys and order; that assignment
-    depends on sampled bounds, so it is pinned before anything is derived from it.
+    would give every row a block of its own.  Otherwise only groups of more rows than a block may hold are cut, at splitters
+    taken from their own rows.  Any splitters are right as long as they stay the same, so they alone are pinned, and a
+    row's block follows from its own values.  All groups together have at most ``8 * shuffle partitions``
+    splitters, whatever the size of the table.
     """
     if block:
         (col,) = order
         return df.withColumn("_block", F.floor(F.col(col) / F.lit(block)))
+    splitters = pin(_splitters(df, keys, order, least))
+    if splitters.isEmpty():
+        return df.withColumn("_block", F.lit(0).cast("bigint"))
+    own = [F.col(k).eqNullSafe(splitters[f"_k{i}"]) for i, k in enumerate(keys)]
+    joined = df.join(F.broadcast(splitters), reduce(lambda a, b: a & b, own, F.lit(True)), "left")
+    place = let(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]), lambda x: _below(F.col("_at"), x))
+    return joined.withColumn("_block", F.coalesce(place, F.lit(0)).cast("bigint")).drop("_at", *[f"_k{i}" for i in range(len(keys))])
+
+
+def _splitters(df: DataFrame, keys: Sequence[str], order: Sequence[str], least: int, sampled: int = 64) -> DataFrame:
+    """Per large group (``_k0``, ...) the sorted places ``_at`` where it is cut."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *[F.col(c) for c in [*keys, *order]])
-    return pin(ranged.withColumn("_block", F.spark_partition_id().cast("bigint")))
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    by = [f"_k{i}" for i in range(len(keys))]
+    counts = df.select(*named, F.lit(1).alias("_one")).groupBy(*by).agg(F.count("*").alias("_n"))
+    rows = counts.agg(F.sum("_n")).first()[0] or 0
+    size = max(least, -(-rows // (8 * parts)))
+    large = counts.where(F.col("_n") > size)
+    # a sample by the hash of the place: the same rows every time, and copies of a place are taken once
+    place = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    step = max(1, size // sampled)
+    picked = df.select(*named, place.alias("_p")).where(F.pmod(F.xxhash64("_p"), F.lit(step)) == 0).distinct()
+    match = [picked[k].eqNullSafe(large[k]) for k in by]
+    picked = picked.join(large, reduce(lambda a, b: a & b, match, F.lit(True)), "left_semi")
+    sample = picked.groupBy(*by).agg(F.sort_array(F.collect_list("_p")).alias("_s"))
+    every = F.filter("_s", lambda _, i: (i + 1) % sampled == 0)
+    return sample.select(*by, every.alias("_at")).where(F.size("_at") > 0)
+
+
+def _below(sorted_places: Column, place: Column) -> Column:
+    """Number of places that are not after the given one, by halving."""
+
+    def step(low: Column, reach: Column) -> Column:
+        fits = F.coalesce(F.get(sorted_places, low + reach - 1) <= place, F.lit(False))
+        return F.when(fits, low + reach).otherwise(low)
+
+    return F.when(sorted_places.isNotNull(), F.aggregate(F.array(*[F.lit(1 << k) for k in range(23, -1, -1)]), F.lit(0), step))
 
 
 def _grouped(blocked: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -170,6 +207,17 @@ def carry_forward(
     return joined.withColumn(out, F.coalesce("_run", "_carry")).drop("_run", "_carry", "_block", "_g")
 
 
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, block: int | None = None) -> DataFrame:
+    """Sum of ``value`` over the rows before each row of its group in order, 0 for the first, worked in blocks (see :func:`with_blocks`)."""
+    blocked = _grouped(with_blocks(df, keys, order, block), keys)
+    sums = blocked.groupBy("_g").agg(F.sum(value).alias("_sum"))
+    earlier = _over_blocks(keys).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_skip", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
+    inner = Window.partitionBy("_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    run = blocked.withColumn("_run", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    return run.join(sums, "_g").withColumn(out, F.col("_run") + F.col("_skip")).drop("_run", "_skip", "_block", "_g")
+
+
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],

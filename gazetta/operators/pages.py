@@ -17,7 +17,8 @@ from gazetta.functions import urls as ur
 from gazetta.functions import values as va
 from gazetta.functions.values import as_col, strip
 from gazetta.operators import gates
-from gazetta.operators.dedupe import top_k
+from gazetta.operators.dedupe import running_total, top_k
+from gazetta.session import pin
 
 # Parts of a page that hold no text or links: comments, and elements whose content is not shown.
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|noscript)\b.*?(?:</\1\s*>|\z)"
@@ -28,7 +29,8 @@ _TAG = rf"(?s)<{_INSIDE}"
 # The label runs to the next end or start tag of a link.
 _LINK = rf"({_START}.*?)(?=</a\s*>|<a\s|\z)"
 _HREF = r"""(?is)[\s"']href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
-_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# What an entity holds between '&' and the end of its ';'.
+_ENTITY = r"^(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 # Words that make a link worth following.
 WEEKEND_HINTS = (
     "things-to-do",
@@ -44,31 +46,42 @@ WEEKEND_HINTS = (
 )
 
 
-def _decoded(entity: Column) -> Column:
-    """Character of one entity; unknown ones stay as they are."""
-    body = F.substring(entity, 2, 40)
-    number = F.when(
-        F.lower(body).startswith("#x"), F.conv(F.regexp_extract(body, r"([0-9a-fA-F]+);$", 1), 16, 10)
-    ).when(body.startswith("#"), F.regexp_extract(body, r"([0-9]+);$", 1))
-    code = number.try_cast("int")
-    known = F.create_map(*[F.lit(x) for pair in name2codepoint.items() for x in (f"{pair[0]};", pair[1])])
-    code = F.coalesce(code, F.try_element_at(known, body), F.when(body == "apos;", F.lit(39)))
-    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    # a blank that does not break is a blank
-    return F.when(code == 160, F.lit(" ")).otherwise(F.coalesce(F.when(valid, char), entity))
+def _numbered(entity: Column) -> Column:
+    """Character of '#65;' or '#x41;'; NULL where the number is none."""
+    digits = F.when(F.lower(entity).startswith("#x"), F.conv(F.substring(entity, 3, 6), 16, 10)).otherwise(F.regexp_extract(entity, "([0-9]+)", 1))
+
+    def char(code: Column) -> Column:
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        # a blank that does not break is a blank
+        return F.when(code == 160, F.lit(" ")).when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    return va.let(F.regexp_replace(digits, ";", "").try_cast("int"), char)
+
+
+def _decoded(part: Column) -> Column:
+    """A text's part behind an '&': its entity as a character; unknown ones stay as they are."""
+    named = {f"{name};": " " if code == 160 else chr(code) for name, code in name2codepoint.items()} | {"apos;": "'"}
+    known = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+
+    def whole(entity: Column) -> Column:
+        char = F.when(entity.startswith("#"), _numbered(entity)).when(entity != "", F.try_element_at(known, entity))
+        rest = F.substr(part, F.length(entity) + 1)
+        return va.let(char, lambda c: F.when(c.isNotNull(), F.concat(c, rest)).otherwise(F.concat(F.lit("&"), part)))
+
+    return va.let(F.regexp_extract(part, _ENTITY, 0), whole)
 
 
 def unescape(value: Column | str) -> Column:
-    """Named and numeric entities to characters, in one pass, so nothing is decoded twice."""
-    text = as_col(value)
-    found = F.regexp_extract_all(text, F.lit(f"({_ENTITY})"), 1)
-    between = F.split(text, _ENTITY, -1)
-    whole = F.array_join(
-        F.transform(between, lambda part, i: F.concat(part, F.coalesce(_decoded(F.get(found, i)), F.lit("")))), ""
-    )
-    # most texts hold none: the plain search spares them the pattern
-    return F.when(text.contains("&"), whole).otherwise(text)
+    """Named and numeric entities to characters, in one pass, so nothing is decoded twice.
+
+    The text is cut once at every '&' and each part looks at its own beginning only: the cost grows with the text.
+    """
+
+    def decoded(text: Column) -> Column:
+        # most texts hold none: the plain search spares them the cutting
+        return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&", -1), lambda part, i: F.when(i == 0, part).otherwise(_decoded(part))), "")).otherwise(text)
+
+    return va.let(as_col(value), decoded)
 
 
 def squash(value: Column | str) -> Column:
@@ -100,8 +113,12 @@ def anchors(html: Column | str) -> Column:
 
 def _href(anchor: Column) -> Column:
     """Quoted or bare address of a link; '' without one."""
-    tag = F.regexp_extract(anchor, f"({_START})", 1)
-    return F.concat(*[F.regexp_extract(tag, _HREF, i) for i in (1, 2, 3)])
+
+    def address(found: Column) -> Column:
+        return F.concat(*[F.regexp_extract(found, _HREF, i) for i in (1, 2, 3)])
+
+    # the attribute alone is short, so telling its three forms apart costs little
+    return va.let(F.regexp_extract(F.regexp_extract(anchor, f"({_START})", 1), _HREF, 0), address)
 
 
 def page_text(pages: DataFrame, html: str = "html", limit: int | None = None) -> DataFrame:
@@ -347,3 +364,36 @@ def combine_docs(
     joined = F.array_join(F.transform(parts, lambda p: p["_chunk"]), sep)
     cut = joined if total_chars is None else F.substring(joined, 1, total_chars)
     return rows.groupBy(*keys).agg(cut.alias("combined"))
+
+
+def combine_parts(
+    docs: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    url: str,
+    body: str,
+    part_chars: int = 1 << 20,
+    sep: str = "\n\n-----\n\n",
+) -> DataFrame:
+    """The text of :func:`combine_docs` without cuts, as rows (keys, ``part_no``, ``text``) of at most ``part_chars`` characters.
+
+    Every document's place in its group is a running sum over blocks of the group, so a group of any size is spread over
+    tasks; documents are cut where a part ends. All parts but a group's last are full. Rows of equal order go by URL.
+    """
+    content = squash(F.coalesce(F.col(body), F.lit("")))
+    chunk = F.concat(F.lit("URL: "), F.coalesce(F.col(url), F.lit("")), F.lit("\nCONTENT:\n"), content)
+    rows = docs.select(*keys, F.col(order).alias("_o"), F.coalesce(F.col(url), F.lit("")).alias("_url"), chunk.alias("_chunk"))
+    # pages are read once; what follows needs lengths and texts in different steps
+    rows = pin(rows.withColumns({"_h": F.xxhash64("_chunk"), "_n": F.length("_chunk") + len(sep)}))
+    placed = running_total(rows, keys, ["_o", "_url", "_h"], "_n", "_before")
+    start = F.when(F.col("_before") > 0, F.col("_before") - len(sep)).otherwise(0)
+    piece = F.concat(F.when(F.col("_before") > 0, sep).otherwise(""), "_chunk")
+    placed = placed.select(*keys, start.alias("_start"), piece.alias("_piece"))
+    numbers = F.sequence(F.floor(F.col("_start") / part_chars), F.floor((F.col("_start") + F.length("_piece") - 1) / part_chars))
+    cut = placed.withColumn("part_no", F.explode(numbers))
+    first = F.greatest(F.col("part_no") * part_chars - F.col("_start"), F.lit(0))
+    last = F.least((F.col("part_no") + 1) * part_chars - F.col("_start"), F.length("_piece"))
+    own = F.substr("_piece", (first + 1).cast("int"), (last - first).cast("int"))
+    cut = cut.select(*keys, "part_no", F.struct((F.col("_start") + first).alias("at"), own.alias("text")).alias("_p"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list("_p")), lambda p: p["text"]), "")
+    return cut.groupBy(*keys, "part_no").agg(text.alias("text"))

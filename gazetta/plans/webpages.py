@@ -183,18 +183,26 @@ def combine_turns(spark: SparkSession, sf: str) -> DataFrame:
     return _digested(out, "conv_id")
 
 
+#: Characters of a part in the query: small, so that hosts of the test tables have several.
+PART_CHARS = 20_000
+_SEP = "chr(10) || chr(10) || '-----' || chr(10) || chr(10)"
+
+
 @query(
     "combine_docs",
-    combined_sql(
-        f"(SELECT page_id, url, {visible_sql('html')} AS body, regexp_replace({PAGE_HOST}, '^www\\.', '') AS host FROM pages)",
-        "host", "page_id", "url", "body",
-    ),
-)
+    rf"""WITH bodies AS (SELECT page_id, url, {visible_sql('html')} AS body, regexp_replace({PAGE_HOST}, '^www\.', '') AS host FROM pages),
+    whole AS (SELECT host, string_agg('URL: ' || url || chr(10) || 'CONTENT:' || chr(10) || trim(regexp_replace(body, '\s+', ' ', 'g')), {_SEP} ORDER BY page_id, url) AS text
+              FROM bodies GROUP BY host),
+    parts AS (SELECT host, text, unnest(range(0, CAST((length(text) - 1) // {PART_CHARS} AS BIGINT) + 1)) AS part_no FROM whole)
+    SELECT host, part_no, md5(substr(text, part_no * {PART_CHARS} + 1, {PART_CHARS})) AS digest,
+           CAST(length(substr(text, part_no * {PART_CHARS} + 1, {PART_CHARS})) AS BIGINT) AS chars FROM parts""",
+)
 def combine_docs(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select(
         "page_id", "url", ur.host_key("url").alias("host"), pg.visible_text("html").alias("body")
     )
-    return _digested(pg.combine_docs(pages, ["host"], "page_id", "url", "body"), "host")
+    parts = pg.combine_parts(pages, ["host"], "page_id", "url", "body", PART_CHARS)
+    return parts.select("host", "part_no", F.md5("text").alias("digest"), F.length("text").cast("bigint").alias("chars"))
 
 
 REASON = f"""CASE WHEN starts_with(lower(name), 'for council') OR starts_with(lower(name), 'council jobs') THEN 'junk_label'

@@ -293,3 +293,73 @@ def test_lists(one):
     assert one(None, pl.list_of) == []
     assert one("[1", pl.valid_json_text) is None and one(' {"a":1} ', pl.valid_json_text) == '{"a":1}'
     assert one("x", lambda c: F.array_join(pl.clean_list(F.array(c, F.lit(" "), F.lit(" y "))), "|")) == "x|y"
+
+
+def test_entities_cost_in_proportion_to_their_number(spark):
+    import time
+
+    def seconds(n):
+        html = "<p>" + " ".join(f"a&amp;b{i} &#{65 + i % 26}; &nosuch; &eacute;" for i in range(n // 4)) + "</p>"
+        df = spark.createDataFrame([(i, html) for i in range(4)], "page_id long, html string").repartition(4).cache()
+        df.count()
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            pg.page_text(df).write.format("noop").mode("overwrite").save()
+            best.append(time.perf_counter() - start)
+        row = pg.page_text(df).first()["body_text"]
+        assert row == " ".join(f"a&b{i} {chr(65 + i % 26)} &nosuch; é" for i in range(n // 4))
+        return min(best)
+
+    seconds(400)
+    few, many = seconds(400), seconds(4000)
+    assert many < 10 * few + 0.5
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [("&#65;&#x42;&#X43;", "ABC"), ("&#12345678;", "&#12345678;"), ("&#x1234567;", "&#x1234567;"), ("&amp", "&amp"), ("&;&&", "&;&&"), ("a&lt;b&amp;lt;", "a<b&lt;"), ("", ""), (None, None)],
+)
+def test_entities_at_any_place(one, raw, want):
+    assert one(raw, pg.unescape) == want
+
+
+def combined(docs, host, sep="\n\n-----\n\n"):
+    own = sorted((n, u or "", " ".join((b or "").split())) for h, n, u, b in docs if h == host)
+    return sep.join(f"URL: {u}\nCONTENT:\n{b}" for _, u, b in own)
+
+
+@pytest.mark.parametrize("size", [50, 700, 1 << 20])
+def test_parts_join_to_the_whole_text(spark, size):
+    rnd = random.Random(3)
+    docs = [("h", i, f"u{i}", "wörd 😀 " * rnd.randint(0, 40)) for i in range(60)]
+    docs += [("g", 1, "u", "  a  b "), (None, 1, None, None), (None, 2, "x", ""), ("h", 7, "again", "tie"), ("g", 1, "u", "  a  b ")]
+    df = spark.createDataFrame(docs, "host string, n int, u string, b string").repartition(5)
+    got = {}
+    for r in sorted(pg.combine_parts(df, ["host"], "n", "u", "b", size).collect(), key=lambda r: r["part_no"]):
+        got.setdefault(r["host"], []).append(r["text"])
+    assert {h: "".join(p) for h, p in got.items()} == {h: combined(docs, h) for h in ("h", "g", None)}
+    for parts in got.values():
+        assert all(len(p) == size for p in parts[:-1]) and 0 < len(parts[-1]) <= size
+
+
+def test_parts_of_a_host_with_most_pages_are_spread_and_bounded(spark, monkeypatch):
+    from gazetta.operators import dedupe as dd
+
+    docs = spark.range(20_000).selectExpr(
+        "if(id % 10 = 0, concat('h', id % 7), 'hot') AS host", "id AS n", "concat('u', id) AS u", "repeat(concat('w', id % 13, ' '), int(id % 50)) AS b"
+    )
+    blocks = dd.with_blocks(docs, ["host"], ["n", "u"], None, least=1000).where("host = 'hot'").groupBy("_block").count()
+    sizes = sorted(r["count"] for r in blocks.collect())
+    assert len(sizes) > 8 and sizes[-1] < 2500
+    monkeypatch.setattr(dd.with_blocks, "__defaults__", (1000,))
+    parts = pg.combine_parts(docs, ["host"], "n", "u", "b", 10_000)
+    got = parts.groupBy("host").agg({"part_no": "max", "text": "count"}).collect()
+    assert all(r["max(part_no)"] + 1 == r["count(text)"] for r in got)
+    assert max(len(r["text"]) for r in parts.collect()) == 10_000
+    hot = "".join(r["text"] for r in sorted(parts.where("host = 'hot'").collect(), key=lambda r: r["part_no"]))
+    assert hot == combined([tuple(r) for r in docs.where("host = 'hot'").collect()], "hot")
+
+
+def test_no_documents_give_no_parts(spark):
+    assert pg.combine_parts(spark.createDataFrame([], "host string, n int, u string, b string"), ["host"], "n", "u", "b").count() == 0
