@@ -90,8 +90,8 @@ def with_blocks(
     if block:
         (col,) = order
         return df.withColumn("_block", F.floor(F.col(col) / F.lit(block)))
-    splitters = pin(_splitters(df, keys, order, least))
-    if splitters.isEmpty():
+    splitters = _splitters(df, keys, order, least)
+    if splitters is None:
         return df.withColumn("_block", F.lit(0).cast("bigint"))
     own = [F.col(k).eqNullSafe(splitters[f"_k{i}"]) for i, k in enumerate(keys)]
     joined = df.join(F.broadcast(splitters), reduce(lambda a, b: a & b, own, F.lit(True)), "left")
@@ -99,14 +99,16 @@ def with_blocks(
     return joined.withColumn("_block", F.coalesce(place, F.lit(0)).cast("bigint")).drop("_at", *[f"_k{i}" for i in range(len(keys))])
 
 
-def _splitters(df: DataFrame, keys: Sequence[str], order: Sequence[str], least: int, sampled: int = 64) -> DataFrame:
-    """Per large group (``_k0``, ...) the sorted places ``_at`` where it is cut."""
+def _splitters(df: DataFrame, keys: Sequence[str], order: Sequence[str], least: int, sampled: int = 64) -> DataFrame | None:
+    """Per large group (``_k0``, ...) the sorted places ``_at`` where it is cut; None if no group is large."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     by = [f"_k{i}" for i in range(len(keys))]
     counts = df.select(*named, F.lit(1).alias("_one")).groupBy(*by).agg(F.count("*").alias("_n"))
-    rows = counts.agg(F.sum("_n")).first()[0] or 0
-    size = max(least, -(-rows // (8 * parts)))
+    rows, most = counts.agg(F.sum("_n"), F.max("_n")).first()
+    size = max(least, -(-(rows or 0) // (8 * parts)))
+    if (most or 0) <= size:
+        return None
     large = counts.where(F.col("_n") > size)
     # a sample by the hash of the place: the same rows every time, and copies of a place are taken once
     place = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
@@ -116,7 +118,7 @@ def _splitters(df: DataFrame, keys: Sequence[str], order: Sequence[str], least:
     picked = picked.join(large, reduce(lambda a, b: a & b, match, F.lit(True)), "left_semi")
     sample = picked.groupBy(*by).agg(F.sort_array(F.collect_list("_p")).alias("_s"))
     every = F.filter("_s", lambda _, i: (i + 1) % sampled == 0)
-    return sample.select(*by, every.alias("_at")).where(F.size("_at") > 0)
+    return pin(sample.select(*by, every.alias("_at")).where(F.size("_at") > 0))
 
 
 def _below(sorted_places: Column, place: Column) -> Column:

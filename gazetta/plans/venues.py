@@ -146,7 +146,7 @@ FLOOD_SOURCE = "Geoscience Australia National Flood Hazard"
 def flood_risk(venues: DataFrame, polygons: DataFrame | None, attributes: list[str], **search) -> DataFrame:
     """Worst flood category per venue; Unknown where there are no polygon data at all.
 
-    ``search`` goes to :func:`gazetta.operators.geo.points_in_polygons` (cell, margin, salts).
+    ``search`` goes to :func:`gazetta.operators.geo.points_in_polygons` (cell, salts).
     """
     if polygons is None:
         rated = venues.withColumn("category", F.lit("Unknown"))
