@@ -14,6 +14,7 @@ document of a length class may take any of its places. An empty table gives no p
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import pin_table, slices, texts
+from gazetta.llm.common import pin_table, slices
 from gazetta.llm.tokens import encoder
 
 UNITS = 128
@@ -263,9 +264,12 @@ def count_tokens(docs: DataFrame, tokenizer: str, end_id: int | None, capacity:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen, full = TaskContext.get().partitionId(), [0] * (UNITS + 1), 0
         step, small = 4 * capacity, 4 * unit
-        for batch in slices(batches):
+        for batch in slices(batches, 1024, 4 << 20):
             out: dict[str, list] = {k: [] for k in ("size", "rank", "full_rank", "doc_tokens", "full_crc32", "rest_crc32")}
-            for data in encoder(tokenizer).encode(texts(batch.column("text")), end_id):
+            ids, edges = encoder(tokenizer).encode(batch.column("text"), end_id)
+            held = memoryview(ids.astype("<u4")).cast("B")
+            for begin, stop in itertools.pairwise((4 * edges).tolist()):
+                data = held[begin:stop]
                 whole = len(data) // step
                 rest, crc, sums = data[whole * step :], 0, []
                 for at in range(0, len(rest), small):
@@ -382,9 +386,10 @@ def packed_ids(docs: DataFrame, pieces: DataFrame, tokenizer: str, end_id: int |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            coded = encoder(tokenizer).encode(texts(batch.column("text")), end_id)
+            ids, edges = encoder(tokenizer).encode(batch.column("text"), end_id)
+            coded = np.split(ids, edges[1:-1])
             own = batch.column("pieces").to_pylist()
-            rows = [(d, p["sequence_id"], p["offset"], np.frombuffer(c, "<u4")[p["start"] : p["start"] + p["length"]].tolist()) for d, c, ps in zip(batch.column("doc_id").to_pylist(), coded, own, strict=True) for p in ps]
+            rows = [(d, p["sequence_id"], p["offset"], c[p["start"] : p["start"] + p["length"]].tolist()) for d, c, ps in zip(batch.column("doc_id").to_pylist(), coded, own, strict=True) for p in ps]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())))], names=["doc_id", "sequence_id", "offset", "ids"])
 
     lists = pieces.groupBy("doc_id").agg(F.collect_list(F.struct("sequence_id", "offset", "start", "length")).alias("pieces"))

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import slices, texts
+from gazetta.llm.common import slices
 from gazetta.llm.tokens import encoder
 
 SCHEMA = "doc_id long, part int, start_in_part long, n_tokens long, ids array<int>"
@@ -31,11 +31,10 @@ def encode_rows(docs: DataFrame, tokenizer: str, end_id: int | None = 1) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
-        for batch in slices(batches):
-            coded = encoder(tokenizer).encode(texts(batch.column("text")), end_id)
-            sizes = np.array([len(x) // 4 for x in coded], np.int64)
-            edges = np.concatenate([[0], np.cumsum(sizes)])
-            ids = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.frombuffer(b"".join(coded), "<u4").astype(np.int32)))
+        for batch in slices(batches, 1024, 4 << 20):
+            coded, edges = encoder(tokenizer).encode(batch.column("text"), end_id)
+            sizes = np.diff(edges)
+            ids = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(coded.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.full(len(sizes), part, np.int32)), pa.array(start + edges[:-1]), pa.array(sizes), ids], schema=_ARROW
             )

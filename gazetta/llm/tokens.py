@@ -1,96 +1,135 @@
-"""Token ids of whole texts with the tokenizers library, one lookup per distinct word.
+"""Token ids of whole texts with the tokenizers library, one encoding per distinct word.
 
 A BPE tokenizer never merges over a pre-token's edge. Texts whose white space is single blanks and single line feeds are
-cut before each of them, each distinct word is encoded once per worker, and a document's ids are its words' ids in order.
-Other texts are encoded whole.
+cut before each of them and before punctuation that follows a letter, each distinct word is encoded once per worker, and a document's ids are its words' ids in order:
+a batch is cut and numbered by Arrow, and its ids are gathered from one array. New words are encoded many at a time, as one
+text of their own that is cut in the same places. Other texts are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from gazetta.llm.common import resident
 
-#: Latin letters whose lower case and composed form are one letter again (so not the dotted capital I).
-_LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
-_PARTS = re.compile(rf"[ \n]*[^\W_]+(?<=[0-9{_LATIN}])(?=[.,;:!?\s]|$)|[ \n]*[^ \n]+|[ \n]+").findall
-_OTHER_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]").search
-_WORD = re.compile(rf" ?[{_LATIN}]+").fullmatch
+#: White space other than single blanks and line feeds, and the sign that marks a cut without white space.
+_OTHER_SPACE = r"[\x01\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]"
+#: A pre-token of letters or digits ends before punctuation; letters are Latin ones.
+_BEFORE_SIGN = r"([0-9A-Za-zÀ-ÖØ-öø-įı-ɏ])([.,;:!?])"
 #: Words remembered per worker; beyond it the memory starts anew.
-REMEMBERED = 700_000
-
-
-def _byte_letters() -> dict[int, str]:
-    """The printable stand-ins that byte-level BPE uses for bytes: visible Latin-1 bytes stay, others follow from 256."""
-    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(visible)]
-    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+REMEMBERED = 1_000_000
+#: Characters of new words that are encoded as one text.
+_TOGETHER = 1 << 16
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes."""
+    """Ids of texts, put together from those of their distinct words."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.letters = _byte_letters()
-        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        # a Latin word is one pre-token: with its blank where the tokenizer keeps blanks, else without it and in lower case
-        probe = self.tokenizer.encode(" a", add_special_tokens=False).ids
-        self.keeps_blank = probe == self._direct(" a")
-        self.plain = self.keeps_blank or probe == self._direct("a")
-
-    def _direct(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-
-    def _learn(self, words: set[str]) -> None:
-        """Remember words: those of several parts by their parts, Latin words by the model, others by the whole chain.
-
-        A part that is a word of its own is remembered as that word, one without a blank before it behind a blank, which no word has.
-        """
-        known, packed, rest = self.known, self.packed, {}
-        several = []
-        for word in words:
-            own = _PARTS(word if word[:1] == "\n" else f" {word}")
-            keys = [p[1:] if p[0] == " " else p if p[0] == "\n" else f" {p}" for p in own]
-            if len(own) > 1:
-                several.append((word, keys))
-            for key, part in zip(keys, own, strict=True):
-                if key in known or key in rest:
-                    continue
-                if self.plain and _WORD(part):
-                    plain = part if self.keeps_blank else part.lstrip(" ").lower()
-                    spelled = plain.encode().decode("latin-1").translate(self.letters)
-                    known[key] = b"".join([packed[t.id] for t in self.model.tokenize(spelled)])
-                else:
-                    rest[key] = part
-        known.update(zip(rest, self._whole(list(rest.values())), strict=True))
-        for word, keys in several:
-            known[word] = b"".join([known[k] for k in keys])
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str], end: int | None = None) -> list[bytes]:
-        """Ids of each text, then the id ``end`` if given."""
-        tail = b"" if end is None else np.array([end], "<u4").tobytes()
-        cut = [None if _OTHER_SPACE(t) else t.replace("\n", " \n").split(" ") for t in texts]
-        known = self.known
-        new = {w for words in cut if words for w in words[1:] if w not in known}
-        if new and len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = {w for words in cut if words for w in words[1:]}
-        self._learn(new)
-        # what stands before the first blank has no blank of its own
-        heads = iter(self._whole([t if words is None else words[0] for t, words in zip(texts, cut, strict=True)]))
-        return [b"".join([next(heads), *([] if words is None else map(known.__getitem__, words[1:])), tail]) for words in cut]
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Numbers of keys; the ids of key n stand in ``held`` from ``ends[n]`` to ``ends[n + 1]``.
+        self.place: dict[str, int] = {}
+        self.held, self.ends = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
+
+    def _remember(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, start = len(self.place), int(self.ends[-1])
+        self.place.update(zip(keys, range(n, n + len(keys)), strict=True))
+        self.ends = np.concatenate([self.ends, start + np.cumsum(sizes)])
+        if len(self.held) < self.ends[-1]:
+            self.held = np.concatenate([self.held, np.zeros(max(len(self.held), len(ids)), np.uint32)])
+        self.held[start : start + len(ids)] = ids
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that are encoded one by one, and how many each has."""
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        return np.fromiter((i for ids in coded for i in ids), np.uint32, int(sizes.sum())), sizes
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember words by what they give behind other words: each with its blank or line feed in front, signs without."""
+        alone = [w for w in words if w in ("", "\n") or w[0] == "\x01"]
+        if alone:
+            self._remember(alone, *self._whole([w.removeprefix("\x01") or " " for w in alone]))
+        words, at = [w for w in words if w not in ("", "\n") and w[0] != "\x01"], 0
+        while at < len(words):
+            parts, size = [], 0
+            while at < len(words) and (not parts or size + len(words[at]) < _TOGETHER):
+                parts.append(words[at] if words[at][0] == "\n" else f" {words[at]}")
+                size += len(parts[-1])
+                at += 1
+            coded = self.tokenizer.encode("".join(parts), add_special_tokens=False)
+            starts = np.fromiter((a for a, _ in coded.offsets), np.int64, len(coded.ids))
+            edges = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+            sizes = np.bincount(np.searchsorted(edges, starts, "right"), minlength=len(parts))
+            self._remember(words[at - len(parts) : at], np.array(coded.ids, np.uint32), sizes)
+
+    def _places(self, words: list[str], heads: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of words, and of heads of texts; unknown ones are learnt first."""
+        if len(self.place) > REMEMBERED:
+            self._forget()
+        place = self.place
+        self._learn([w for w in words if w not in place])
+        # what stands before the first blank has no blank of its own; no other key holds two line feeds
+        keys = [f"\n\n{h}" for h in heads]
+        unknown = {k: h for k, h in zip(keys, heads, strict=True) if k not in place}
+        if unknown:
+            self._remember(list(unknown), *self._whole(list(unknown.values())))
+        return np.fromiter(map(place.__getitem__, words), np.int64, len(words)), np.fromiter(map(place.__getitem__, keys), np.int64, len(keys))
+
+    def _even(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that are cut at single blanks, and how many each has."""
+        signs = pc.replace_substring_regex(pc.replace_substring(text, "\n", " \n"), _BEFORE_SIGN, "\\1 \x01\\2")
+        cut = pc.split_pattern(signs, " ")
+        first = cut.offsets.to_numpy()
+        words = pc.dictionary_encode(cut.flatten())
+        is_head = np.zeros(len(words), bool)
+        is_head[first[:-1] - first[0]] = True
+        codes = words.indices.to_numpy(zero_copy_only=False)
+        # a word that only heads a text is not to be learnt as one behind a blank
+        used = np.zeros(len(words.dictionary), bool)
+        used[codes[~is_head]] = True
+        found, heads = self._places(words.dictionary.filter(pa.array(used)).to_pylist(), words.dictionary.take(pa.array(codes[is_head])).to_pylist())
+        of_word = np.zeros(len(used), np.int64)
+        of_word[used] = found
+        at = of_word[codes]
+        at[is_head] = heads
+        starts = self.ends[at]
+        sizes = self.ends[at + 1] - starts
+        before = np.cumsum(sizes) - sizes
+        ids = self.held[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+        return ids, np.add.reduceat(sizes, first[:-1] - first[0])
+
+    def encode(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each with the id ``end`` behind it if given, and the edges between texts. NULL is empty."""
+        text = pc.fill_null(column.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(text, _OTHER_SPACE).to_numpy(zero_copy_only=False)
+        more = end is not None
+        counts = np.zeros(len(text), np.int64)
+        even_ids = odd_ids = np.zeros(0, np.uint32)
+        if not odd.all():
+            even_ids, counts[~odd] = self._even(text.filter(pa.array(~odd)))
+        if odd.any():
+            odd_ids, counts[odd] = self._whole(text.filter(pa.array(odd)).to_pylist())
+        edges = np.concatenate([[0], np.cumsum(counts + more)])
+        ids = np.zeros(int(edges[-1]), np.uint32)
+        whole = np.repeat(odd, counts + more)
+        inner = np.ones(len(ids), bool)
+        if more:
+            inner[edges[1:] - 1] = False
+            ids[~inner] = end
+        ids[inner & ~whole] = even_ids
+        ids[inner & whole] = odd_ids
+        return ids, edges
 
 
 def encoder(path: str) -> Encoder:
