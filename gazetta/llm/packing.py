@@ -266,7 +266,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, end_id: int | None, capacity:
         step, small = 4 * capacity, 4 * unit
         for batch in slices(batches, 1024, 4 << 20):
             out: dict[str, list] = {k: [] for k in ("size", "rank", "full_rank", "doc_tokens", "full_crc32", "rest_crc32")}
-            ids, edges = encoder(tokenizer).encode(batch.column("text"), end_id)
+            ids, edges = encoder(tokenizer).encode_column(batch.column("text"), end_id)
             held = memoryview(ids.astype("<u4")).cast("B")
             for begin, stop in itertools.pairwise((4 * edges).tolist()):
                 data = held[begin:stop]
@@ -386,7 +386,7 @@ def packed_ids(docs: DataFrame, pieces: DataFrame, tokenizer: str, end_id: int |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            ids, edges = encoder(tokenizer).encode(batch.column("text"), end_id)
+            ids, edges = encoder(tokenizer).encode_column(batch.column("text"), end_id)
             coded = np.split(ids, edges[1:-1])
             own = batch.column("pieces").to_pylist()
             rows = [(d, p["sequence_id"], p["offset"], c[p["start"] : p["start"] + p["length"]].tolist()) for d, c, ps in zip(batch.column("doc_id").to_pylist(), coded, own, strict=True) for p in ps]

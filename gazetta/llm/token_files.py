@@ -32,7 +32,7 @@ def encode_rows(docs: DataFrame, tokenizer: str, end_id: int | None = 1) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
         for batch in slices(batches, 1024, 4 << 20):
-            coded, edges = encoder(tokenizer).encode(batch.column("text"), end_id)
+            coded, edges = encoder(tokenizer).encode_column(batch.column("text"), end_id)
             sizes = np.diff(edges)
             ids = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(coded.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(

@@ -109,7 +109,14 @@ class Encoder:
         ids = self.held[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
         return ids, np.add.reduceat(sizes, first[:-1] - first[0])
 
-    def encode(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str], end: int | None = None) -> list[bytes]:
+        """Ids of each text, as little-endian unsigned 32-bit bytes."""
+        if not texts:
+            return []
+        ids, edges = self.encode_column(pa.array(texts, pa.large_string()), end)
+        return [part.astype("<u4").tobytes() for part in np.split(ids, edges[1:-1])]
+
+    def encode_column(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each with the id ``end`` behind it if given, and the edges between texts. NULL is empty."""
         text = pc.fill_null(column.cast(pa.large_string()), "")
         odd = pc.match_substring_regex(text, _OTHER_SPACE).to_numpy(zero_copy_only=False)
