@@ -10,6 +10,7 @@ Python integers beyond.
 from __future__ import annotations
 
 import sys
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -108,13 +109,65 @@ def _longest_block(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def _suffixes(text: Sequence[int]) -> tuple[list[dict[int, int]], list[int], list[int], list[int]]:
+    """Suffix automaton: steps, suffix links, longest lengths and the first end of each state's strings."""
+    steps, links, lengths, ends, last = [{}], [-1], [0], [-1], 0
+    for at, char in enumerate(text):
+        new = len(steps)
+        steps.append({})
+        lengths.append(at + 1)
+        ends.append(at)
+        links.append(0)
+        state = last
+        while state >= 0 and char not in steps[state]:
+            steps[state][char] = new
+            state = links[state]
+        if state >= 0:
+            target = steps[state][char]
+            if lengths[target] == lengths[state] + 1:
+                links[new] = target
+            else:
+                copy = len(steps)
+                steps.append(dict(steps[target]))
+                lengths.append(lengths[state] + 1)
+                ends.append(ends[target])
+                links.append(links[target])
+                while state >= 0 and steps[state].get(char) == target:
+                    steps[state][char] = copy
+                    state = links[state]
+                links[target] = links[new] = copy
+        last = new
+    return steps, links, lengths, ends
+
+
+def _longest_by_suffixes(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+    """The same as :func:`_longest_block`, in time that grows with the two lengths."""
+    steps, links, lengths, ends = _suffixes(b.tolist())
+    best, state, n = (0, 0, 0), 0, 0
+    for i, char in enumerate(a.tolist()):
+        while state and char not in steps[state]:
+            state = links[state]
+            n = lengths[state]
+        if char in steps[state]:
+            state, n = steps[state][char], n + 1
+        else:
+            n = 0
+        if n > best[2]:
+            best = (i - n + 1, ends[state] - n + 1, n)
+    return best
+
+
+#: Products of lengths up to which comparing every pair of characters is faster.
+_FEW = 1 << 16
+
+
 def block_length(left: str, right: str) -> int:
     """Characters in common blocks: the longest one, then the same on both sides of it."""
     total, open_pairs = 0, [tuple(np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (left, right))]
     while open_pairs:
         a, b = open_pairs.pop()
         if len(a) and len(b):
-            i, j, n = _longest_block(a, b)
+            i, j, n = (_longest_block if len(a) * len(b) <= _FEW else _longest_by_suffixes)(a, b)
             if n:
                 total += n
                 open_pairs += [(a[:i], b[:j]), (a[i + n :], b[j + n :])]

@@ -116,30 +116,39 @@ def asof(
 
 # -- similar names ----------------------------------------------------------
 
-# Characters from the most to the least common in English text.
-COMMON_FIRST = " etaoinshrdlcumwfgypbvkjxqz"
 _LOOSE_BELOW = 40
+#: Candidate pairs of one signature that a task may get before the signature is split.
+_PAIRS = 1 << 20
 
 
-def _rarest_first(key: Column) -> Column:
-    """Character occurrences ('e1', 'e2', 'q1' ...) of a key in one global order, the most telling first.
+def _occurrences(key: Column) -> Column:
+    """Character occurrences of a key: 'e1', 'e2', 'q1' ..."""
 
-    Any fixed order is correct; this one estimates how likely a name is to have
-    the occurrence at all, so that the rare ones come first.
+    def of_char(ch: Column) -> Column:
+        n = F.length(key) - F.length(F.replace(key, ch, F.lit("")))
+        return F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(ch, i.cast("string")))
+
+    return F.flatten(F.transform(F.array_distinct(F.split(key, "")), of_char))
+
+
+def occurrence_order(left: DataFrame, right: DataFrame) -> tuple[dict[str, int], int]:
+    """Place of every character occurrence, the rarest among both sides' keys first, and the number of pairs of keys.
+
+    Keys hold letters, digits and blanks, so the occurrences are as many as the longest key has room for, not as the table has rows.
     """
-    place = len(COMMON_FIRST)
+    sides = left.select(F.col("lkey").alias("k"), F.lit(0).alias("side")).unionByName(right.select(F.col("rkey").alias("k"), F.lit(1).alias("side")))
+    tokens = sides.select("side", F.explode(F.concat(F.array(F.lit("")), _occurrences(F.col("k")))).alias("t"))
+    counts = tokens.groupBy("t").agg(F.count("*").alias("n"), F.count_if(F.col("side") == 0).alias("l")).collect()
+    rows = next(((r["l"], r["n"] - r["l"]) for r in counts if r["t"] == ""), (0, 0))
+    places = sorted((r["n"], r["t"]) for r in counts if r["t"] != "")
+    return {t: i for i, (_, t) in enumerate(places)}, rows[0] * rows[1]
 
-    def occurrences(ch: Column) -> Column:
-        n = F.length(key) - F.length(F.replace(key, ch, F.lit("")))
-        rank = F.instr(F.lit(COMMON_FIRST), ch)
-        likely = F.when(rank > 0, 0.9 - 0.85 * (rank - 1) / place).otherwise(0.04)
-        return F.transform(
-            F.sequence(F.lit(1), n),
-            lambda i: F.struct(F.pow(likely, i).alias("p"), F.concat(ch, i.cast("string")).alias("t")),
-        )
 
-    every = F.flatten(F.transform(F.array_distinct(F.split(key, "")), occurrences))
-    return F.transform(F.array_sort(every), lambda x: x["t"])
+def _rarest_first(key: Column, order: Mapping[str, int]) -> Column:
+    """Character occurrences of a key in one global order, the most telling first. Any fixed order is correct."""
+    places = F.create_map(*[F.lit(x) for pair in order.items() for x in pair]) if order else F.lit(None).cast("map<string,int>")
+    known = F.transform(_occurrences(key), lambda t: F.struct(F.try_element_at(places, t).alias("p"), t.alias("t")))
+    return F.transform(F.array_sort(known), lambda x: x["t"])
 
 
 def _combinations(tokens: Column, depth: Column, *salt: Column) -> Column:
@@ -174,7 +183,7 @@ def _common_and_depth(size: Column, other: Column, limit: float) -> tuple[Column
     return common, F.least(deep, common)
 
 
-def _signature_rows(df: DataFrame, key: str, score: int, block: Sequence[str], right: bool) -> DataFrame:
+def _signature_rows(df: DataFrame, key: str, score: int, block: Sequence[str], right: bool, order: Mapping[str, int]) -> DataFrame:
     """Hashes that two names scoring at least ``score`` must have in common.
 
     For two lengths the score needs a common subsequence of at least ``c``
@@ -190,7 +199,7 @@ def _signature_rows(df: DataFrame, key: str, score: int, block: Sequence[str], r
     limit = score - 0.5
     share = limit / (200.0 - limit)
     more = [c for c in df.columns if c not in (*block, key)]
-    base = df.select(*block, key, *more, F.length(key).alias("_len"), _rarest_first(F.col(key)).alias("_tok"))
+    base = df.select(*block, key, *more, F.length(key).alias("_len"), _rarest_first(F.col(key), order).alias("_tok"))
     if score < _LOOSE_BELOW:
         weakest = F.ceil(F.col("_len") * F.lit(share) - F.lit(1e-9)).cast("int")
         ready = base.withColumn("_pre", F.slice("_tok", F.lit(1), F.col("_len") - weakest + 1))
@@ -211,21 +220,49 @@ def _signature_rows(df: DataFrame, key: str, score: int, block: Sequence[str], r
     return ready.select(*block, key, *more, tokens, F.explode(hashes).alias("h"))
 
 
-def similar_keys(left: DataFrame, right: DataFrame, score: int, block: Sequence[str] = ()) -> DataFrame:
+def _split_signatures(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+    """Join of both sides' signatures; one that many names of both sides share is split, by pairs, over several tasks."""
+    met = a.groupBy(*on).agg(F.count("*").alias("_l")).join(b.groupBy(*on).agg(F.count("*").alias("_r")), on)
+    total, most = met.agg(F.sum(F.col("_l") * F.col("_r")), F.max(F.col("_l") * F.col("_r"))).first()
+    parts = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(_PAIRS, -(-(total or 0) // (4 * parts)))
+    if (most or 0) <= share:
+        return a.join(b, on)
+    # at most four signatures per partition are that heavy; both sides are cut into a grid of pieces
+    heavy = met.where(F.col("_l") * F.col("_r") > share)
+    grid = F.ceil(F.sqrt(F.col("_l") * F.col("_r") / share))
+    heavy = F.broadcast(pin(heavy.select(*on, F.least(grid, "_l").cast("int").alias("_nl"), F.least(grid, "_r").cast("int").alias("_nr"))))
+
+    def cut(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        dealt = F.pmod(F.xxhash64(key), F.coalesce(own, F.lit(1))).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
+        return df.join(heavy, on, "left").withColumn(f"_p{own}", dealt).withColumn(f"_p{other}", every).drop("_nl", "_nr")
+
+    pieces = ["_p_nl", "_p_nr"]
+    return cut(a, "lkey", "_nl", "_nr").join(cut(b, "rkey", "_nr", "_nl"), [*on, *pieces]).drop(*pieces)
+
+
+def similar_keys(
+    left: DataFrame, right: DataFrame, score: int, block: Sequence[str] = (), order: tuple[Mapping[str, int], int] | None = None
+) -> DataFrame:
     """All pairs of distinct keys (``lkey``, ``rkey``) scoring at least ``score``, with the score.
 
     Exact: the candidate filters never lose a pair.  A pair that shares several
     signatures counts only at the one of its first shared occurrences, and only
     where its shared occurrences are enough for the score, so the kernel sees
-    each pair once at most.  Other columns of ``right`` come along.
+    each pair once at most.  Other columns of ``right`` come along. ``order`` is that of
+    :func:`occurrence_order`, measured here if not given.
     """
     limit = score - 0.5
-    a = _signature_rows(left, "lkey", score, block, right=False)
-    b = _signature_rows(right, "rkey", score, block, right=True)
+    places, names = order or occurrence_order(left, right)
+    a = _signature_rows(left, "lkey", score, block, False, places)
+    b = _signature_rows(right, "rkey", score, block, True, places)
     la, lb = F.length("lkey"), F.length("rkey")
     near = F.lit(200.0) * F.least(la, lb) >= F.lit(limit) * (la + lb)
     shared = F.array_intersect(F.split("_ltok", "\t"), F.split("_rtok", "\t"))
-    pairs = a.join(b, [*block, "h"], "inner").filter(near).withColumn("_s", shared)
+    # few names cannot share a signature heavily
+    met = a.join(b, [*block, "h"]) if names <= _PAIRS else _split_signatures(a, b, [*block, "h"])
+    pairs = met.filter(near).withColumn("_s", shared)
     pairs = pairs.filter(F.lit(200.0) * F.size("_s") >= F.lit(limit) * (la + lb))
     s = [F.get("_s", F.lit(i)) for i in range(3)]
     if score < _LOOSE_BELOW:
@@ -263,8 +300,9 @@ def best_keys(
     )
     done = [same.select(*on, "lkey", "rkey", F.lit(100).alias("score"))]
     rest = left.join(same.select(*on, "lkey"), [*on, "lkey"], "left_anti")
+    order = occurrence_order(left, right)
     for score in [*stages, threshold]:
-        scored = similar_keys(rest, right, score, on)
+        scored = similar_keys(rest, right, score, on, order)
         rank = F.struct("score", (-F.col("first")).alias("o"))
         best = (
             scored.groupBy(*on, "lkey")

@@ -293,7 +293,26 @@ def token_sort_ratio(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("sequence_ratio")
+# The longest common block of two strings (the first in the left, then in the right), then the same on both sides of it.
+_BLOCK = """list_max(flatten([[{'n': n, 'back': -i} for n in range(1, length(a) - i + 2) if contains(b, substr(a, i, n))] for i in range(1, length(a) + 1)]))"""
+SPACED = r"trim(regexp_replace(lower({}), '[\t\n\r\f\x0B]', '', 'g'))"
+
+
+@query(
+    "sequence_ratio",
+    f"""WITH RECURSIVE named AS (SELECT p_partkey, {SPACED.format(EDITED)} AS l, {SPACED.format('p_name')} AS r FROM part),
+    parts(l, r, a, b, n) AS (
+        SELECT DISTINCT l, r, l, r, CAST(0 AS BIGINT) FROM named
+        UNION ALL
+        SELECT l, r, p.a, p.b, p.n FROM (
+            SELECT l, r, unnest([{{'a': substr(a, 1, i - 1), 'b': substr(b, 1, j - 1), 'n': n}}, {{'a': substr(a, i + n), 'b': substr(b, j + n), 'n': 0}}]) AS p
+            FROM (SELECT l, r, a, b, m.n AS n, -m.back AS i, instr(b, substr(a, -m.back, m.n)) AS j
+                  FROM (SELECT *, {_BLOCK} AS m FROM parts WHERE length(a) > 0 AND length(b) > 0) x WHERE m IS NOT NULL) y) z
+    ),
+    ratios AS (SELECT l, r, CASE WHEN length(l) > 0 AND length(r) > 0 THEN 2.0 * sum(n) / (length(l) + length(r)) ELSE 0.0 END AS ratio FROM parts GROUP BY l, r)
+    SELECT p_partkey, CAST(ratio AS DOUBLE) AS ratio, CASE WHEN ratio >= 0.72 THEN 'HIGH' ELSE 'MEDIUM' END AS confidence
+    FROM named JOIN ratios USING (l, r)""",
+)
 def sequence_ratio(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
     ratio = sim.sequence_ratio(tx.spaced_name(edited_name()), tx.spaced_name("p_name"))
@@ -301,6 +320,32 @@ def sequence_ratio(spark: SparkSession, sf: str) -> DataFrame:
     return scored.withColumn("confidence", va.name_confidence("ratio"))
 
 
+# Four words at the start of a text: many distinct names, where parts have few.
+_OPENING = "[^a-zA-Z0-9]*((?:[a-zA-Z0-9]+[^a-zA-Z0-9]+){0,3}[a-zA-Z0-9]+)"
+
+
+def _opening_sql(text: str) -> str:
+    return f"regexp_extract({text}, '^{_OPENING}', 1)"
+
+
+@query(
+    "fuzzy_openings",
+    f"""WITH named AS (SELECT doc_id, {sorted_key(_opening_sql('text'))} AS lk FROM documents),
+    items AS (SELECT {sorted_key(_opening_sql('text'))} AS rk, MIN(item_id) AS rid FROM benchmark GROUP BY 1),
+    pairs AS (SELECT l.lk, r.rk FROM (SELECT DISTINCT lk FROM named) l, items r WHERE l.lk <> '' AND r.rk <> ''
+              AND 200.0 * least(length(l.lk), length(r.rk)) / (length(l.lk) + length(r.rk)) >= 54.5),{LCS},
+    best AS (SELECT lk, arg_max(rid, (score, -rid)) AS rid, MAX(score) AS score FROM scores JOIN items USING (rk) WHERE score >= 55 GROUP BY 1)
+    SELECT n.doc_id, b.rid AS right_id, b.score FROM named n LEFT JOIN best b USING (lk)""",
+)
+def fuzzy_openings(spark: SparkSession, sf: str) -> DataFrame:
+    """The benchmark text whose opening is most like a document's, over all documents."""
+    opening = F.regexp_extract("text", f"^{_OPENING}", 1)
+    docs = table(spark, sf, "documents").select("doc_id", opening.alias("opening"))
+    items = table(spark, sf, "benchmark").select("item_id", opening.alias("item"))
+    out = link.fuzzy_link(docs, items, "doc_id", "opening", "item_id", "item", 55, stages=[70])
+    return out.select("doc_id", "right_id", F.col("score").cast("bigint").alias("score"))
+
+
 # -- containment ------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 import random
 from decimal import ROUND_HALF_EVEN, Decimal
+from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -200,3 +201,41 @@ def test_copies_of_a_name_are_matched_once(spark):
     left = spark.range(3000).select(F.col("id").alias("lid"), F.lit("jane smyth").alias("lname"))
     got = link.fuzzy_link(left, right, "lid", "lname", "rid", "rname", 85)
     assert got.filter("right_id = 0").count() == 3000
+
+
+def test_long_texts_have_their_blocks_found_in_both_ways():
+    import time
+
+    rnd = random.Random(11)
+    for n in (5, 40, 300, 700):
+        a = "".join(rnd.choice("abc ") for _ in range(n))
+        b = "".join(rnd.choice("abc ") for _ in range(n)) if n % 2 else a[n // 3 :] + a[: n // 2]
+        want = sum(m.size for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
+        assert sim.block_length(a, b) == want
+        codes = [np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (a, b)]
+        assert sim._longest_by_suffixes(*codes) == sim._longest_block(*codes)
+    words = [f"w{rnd.randrange(2000)}" for _ in range(2200)]
+    a = " ".join(words)
+    b = " ".join(w for w in words if rnd.random() > 0.05)
+    assert min(len(a), len(b)) > 10_000
+    start = time.perf_counter()
+    assert sim.block_length(a, b) > 0.9 * len(b)
+    assert time.perf_counter() - start < 20
+
+
+def test_order_of_occurrences_is_measured(spark):
+    left = spark.createDataFrame([("zz top",), ("za",)], "lkey string")
+    right = spark.createDataFrame([("zebra",), ("qa",)], "rkey string")
+    order, pairs = link.occurrence_order(left, right)
+    assert pairs == 4 and order["q1"] < order["z1"] and order["z2"] < order["a1"]
+    assert link.occurrence_order(left.limit(0), right.limit(0)) == ({}, 0)
+
+
+def test_a_signature_that_all_names_share_is_split(spark, monkeypatch):
+    monkeypatch.setattr(link, "_PAIRS", 500)
+    rnd = random.Random(9)
+    left = sorted({"common " + "".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(120)})
+    right = sorted({"common " + "".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(150)})
+    got = link.similar_keys(spark.createDataFrame([(k,) for k in left], "lkey string"), spark.createDataFrame([(k,) for k in right], "rkey string"), 80)
+    want = {(a, b, ratio(a, b)) for a in left for b in right if ratio(a, b) >= 80}
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 50

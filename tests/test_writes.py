@@ -315,3 +315,23 @@ def test_csv_line_feed_in_a_quoted_field_is_one_row(spark, tmp_path):
     path.write_text('id,address\n1,"1 High St\nTown, ""B"""\n2,plain\n3\n')
     got = {tuple(r) for r in files.read_csv_strings(spark, str(path)).collect()}
     assert got == {("1", '1 High St\nTown, "B"'), ("2", "plain"), ("3", "")}
+
+
+def test_an_older_event_in_a_later_batch_loses(spark, tmp_path):
+    folder, root, state = str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "state")
+    schema = "k string, v string, ts long"
+
+    def batch(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
+        keyed.stream_upsert(stream, ["k"], "ts", root, state).awaitTermination()
+        return as_set(keyed.read_upserted(spark, root, ["k"]))
+
+    assert batch("a", [("1", "ten", 10), ("2", "two", 2), (None, "nobody", 5)]) == {("1", "ten"), ("2", "two"), (None, "nobody")}
+    assert batch("b", [("1", "five", 5), ("2", "three", 3), (None, "older", 4)]) == {("1", "ten"), ("2", "three"), (None, "nobody")}
+    keyed.compact(spark, root, ["k"])
+    # against the compacted table as well, and equal orders go to the later batch
+    assert batch("c", [("1", "nine", 9), ("2", "again", 3), ("3", "new", 1)]) == {("1", "ten"), ("2", "again"), ("3", "new"), (None, "nobody")}
+    keyed.compact(spark, root, ["k"])
+    assert batch("d", [("1", "eleven", 11), ("3", "old", 0)]) == {("1", "eleven"), ("2", "again"), ("3", "new"), (None, "nobody")}
+    assert as_set(tables.read_table(spark, root)) == {("1", "ten"), ("2", "again"), ("3", "new"), (None, "nobody")}
