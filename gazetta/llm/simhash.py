@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import pin_table, slices, utf8
+from gazetta.llm.common import mix64, pin_table, slices, utf8
 
 BITS = 64
 #: Fingerprints of one variant that are compared pair by pair; more are visited breadth first.
@@ -35,23 +35,30 @@ def fingerprint(text: bytes, words: int = 4) -> int:
     return int(_fingerprints([text], words)[0])
 
 
-def _fingerprints(texts: list[bytes], words: int) -> np.ndarray:
+def _shingles(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Hashes of all shingles of the texts one after the other, how many each has, and the hash of each text's words."""
     hashes: list[int] = []
     sizes = np.zeros(len(texts), np.int64)
+    wholes = []
     hash_of = xxhash.xxh64_intdigest
     for i, text in enumerate(texts):
         found = text.lower().split()
         n = len(found)
+        joined = b" ".join(found)
+        wholes.append(hash_of(joined, 7))
         if not n:
             continue
-        joined = b" ".join(found)
         edges = list(itertools.accumulate(map(len, found), lambda a, b: a + b + 1))  # a word's end, so far
         starts = [0, *(e + 1 for e in edges[: max(n - words, 0)])]
         hashes.extend([hash_of(joined[a:b], 42) for a, b in zip(starts, edges[min(words, n) - 1 :], strict=True)])
         sizes[i] = max(1, n - words + 1)
-    result = np.zeros(len(texts), np.uint64)
+    return np.array(hashes, np.uint64), sizes, wholes
+
+
+def _majority(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per text the bits that are set in more than half of its hashes."""
+    result = np.zeros(len(sizes), np.uint64)
     rows = np.flatnonzero(sizes)
-    flat = np.array(hashes, np.uint64)
     weights = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
     edges = np.concatenate([[0], np.cumsum(sizes[rows])])
     for k, row in enumerate(rows.tolist()):
@@ -64,6 +71,11 @@ def _fingerprints(texts: list[bytes], words: int) -> np.ndarray:
     return result
 
 
+def _fingerprints(texts: list[bytes], words: int) -> np.ndarray:
+    flat, sizes, _ = _shingles(texts, words)
+    return _majority(flat, sizes)
+
+
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     """(doc_id, text_key, fp): xxhash64 of the text and the fingerprint's 64 bits as a long."""
 
@@ -76,17 +88,17 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     return own.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
-def segments(distance: int) -> list[tuple[int, int]]:
+def segments(distance: int, parts: int | None = None) -> list[tuple[int, int]]:
     """(first bit, bits) of as few segments as leave one with at most one differing bit: 2 * parts > distance."""
-    parts = distance // 2 + 1
+    parts = parts or distance // 2 + 1
     edges = [BITS * i // parts for i in range(parts + 1)]
     return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def variants(fps: DataFrame, distance: int) -> DataFrame:
+def variants(fps: DataFrame, distance: int, parts: int | None = None) -> DataFrame:
     """(variant, fp): each fingerprint under every segment with one bit blanked out."""
     rows = []
-    for start, size in segments(distance):
+    for start, size in segments(distance, parts):
         mask = ((1 << size) - 1) << start
         for bit in range(start, start + size):
             rows.append((bit, _signed(mask & ~(1 << bit))))
@@ -168,9 +180,12 @@ def _joiner(distance: int):
     return run
 
 
-def links(fps: DataFrame, distance: int = 4) -> DataFrame:
-    """(a, b): links between distinct fingerprints of at most ``distance`` differing bits, enough to span their components."""
-    indexed = variants(fps.select("fp").distinct(), distance).repartition("bit", "rest").sortWithinPartitions("bit", "rest")
+def links(fps: DataFrame, distance: int = 4, parts: int | None = None) -> DataFrame:
+    """(a, b): links between distinct fingerprints of at most ``distance`` differing bits, enough to span their components.
+
+    With fewer ``parts`` than the distance asks for, those links are found that leave a segment with at most one differing bit.
+    """
+    indexed = variants(fps.select("fp").distinct(), distance, parts).repartition("bit", "rest").sortWithinPartitions("bit", "rest")
     return indexed.mapInArrow(_joiner(distance), "a long, b long").distinct()
 
 
@@ -211,12 +226,100 @@ def fingerprint_rows(docs: DataFrame, words: int = 4, distance: int = 4) -> Data
     return with_components(docs, words, distance).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows with a (chosen_id, chosen_key), one of those that repeat it."""
+    held = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    kept = held.join(chosen, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("key") == F.col("chosen_key")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.xxhash64("row")))
+    return kept.withColumn("nth", nth).where("nth = 1").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def drop_near_copies(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
     """The table with one row of each component: that of its smallest id (NULL ids last), and one of rows that repeat it."""
     found = with_components(docs, words, distance)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key"))
     chosen = found.groupBy("root").agg(first.alias("c")).select(F.col("c.doc_id").alias("chosen_id"), F.col("c.text_key").alias("chosen_key"))
-    held = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
-    kept = held.join(chosen, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("key") == F.col("chosen_key")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.xxhash64("row")))
-    return kept.withColumn("nth", nth).where("nth = 1").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return _only(docs, chosen)
+
+
+# --- similar texts: several fingerprints, then the exact similarity ----------------------------------------------------------
+
+
+def _marked(docs: DataFrame, words: int, seeds: int) -> DataFrame:
+    """(doc_id, text_key, node, f0, f1, ...): node is the hash of a text's words, f0 ... fingerprints from differently mixed hashes."""
+    names = ["node", *(f"f{i}" for i in range(seeds))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            flat, sizes, wholes = _shingles(utf8(batch.column("text")), words)
+            fps = [_majority(mix64(flat + np.uint64(seed)) if seed else flat, sizes) for seed in range(seeds)]
+            values = [np.array(wholes, np.uint64), *fps]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *(pa.array(v.view(np.int64)) for v in values)], names=["doc_id", "text_key", *names])
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").alias("text"))
+    return own.mapInArrow(run, "doc_id long, text_key long, " + ", ".join(f"{n} long" for n in names))
+
+
+def _candidates(nodes: DataFrame, seeds: int, reach: int, parts: int) -> DataFrame:
+    """(a, b): pairs of texts with a near fingerprint, of which the smallest text stands for all with that fingerprint."""
+    pairs = []
+    for i in range(seeds):
+        own = nodes.select("node", F.col(f"f{i}").alias("fp"))
+        least = own.groupBy("fp").agg(F.min("node").alias("least"))
+        pairs.append(own.join(least, "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
+        near = links(own, reach, parts)
+        near = near.join(least.select(F.col("fp").alias("a"), F.col("least").alias("low_a")), "a")
+        near = near.join(least.select(F.col("fp").alias("b"), F.col("least").alias("low_b")), "b")
+        pairs.append(near.select(F.greatest("low_a", "low_b").alias("a"), F.least("low_a", "low_b").alias("b")))
+    both = pairs[0]
+    for more in pairs[1:]:
+        both = both.unionByName(more)
+    return both.where("a <> b").distinct()
+
+
+def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(node, held): the distinct shingle hashes of every text; a text without words has none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            flat, sizes, wholes = _shingles(utf8(batch.column("text")), words)
+            sets = [np.unique(x).view(np.int64) for x in np.split(flat, np.cumsum(sizes)[:-1])]
+            edges = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+            held = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(sets)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(wholes, np.uint64).view(np.int64)), held], names=["node", "held"])
+
+    return docs.select("text").mapInArrow(run, "node long, held array<long>")
+
+
+def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8, seeds: int = 4, reach: int = 18, parts: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_key, node, root) of every row, and the verified links (a, b) between texts.
+
+    One fingerprint is too coarse for texts that share four fifths of their shingles: they differ in about ten bits. So each text has
+    ``seeds`` fingerprints; texts that differ by at most one bit in a segment of one of them, and by at most ``reach`` bits in all, are
+    candidates, and a candidate pair is linked if its sets of shingles are as similar as asked (Jaccard), exactly.
+    Texts with equal words are one text. Fewer words than a shingle has are one shingle.
+    """
+    marked = pin_table(_marked(docs, words, seeds), "seeded-fingerprints")
+    fps = [f"f{i}" for i in range(seeds)]
+    nodes = marked.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")).alias("c"), *[F.min(f).alias(f) for f in fps])
+    pairs = pin_table(_candidates(nodes, seeds, reach, parts), "similar-candidates")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    rows = nodes.join(wanted, "node", "left_semi").select(F.col("c.doc_id").alias("chosen_id"), F.col("c.text_key").alias("chosen_key"))
+    held = docs.select("text", F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    texts = held.join(rows, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("key") == F.col("chosen_key")), "left_semi")
+    sets = pin_table(_shingle_sets(texts, words).dropDuplicates(["node"]), "shingle-sets")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("held").alias("of_a")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("held").alias("of_b")), "b")
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    linked = both.where(shared >= similarity * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
+    linked = pin_table(linked, "similar-links")
+    roots = pin_table(components(linked), "similar-roots")
+    return marked.join(roots, "node", "left").select("doc_id", "text_key", "node", F.coalesce("root", "node").alias("root")), linked
+
+
+def drop_similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The table with one row of each group of similar texts: that of its smallest id (NULL ids last), and one of rows that repeat it."""
+    found, _ = similar_components(docs, words, similarity)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key"))
+    chosen = found.groupBy("root").agg(first.alias("c")).select(F.col("c.doc_id").alias("chosen_id"), F.col("c.text_key").alias("chosen_key"))
+    return _only(docs, chosen)

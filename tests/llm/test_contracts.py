@@ -244,6 +244,11 @@ def test_op10_runs_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def shingle_set(text, words=5):
+    found = text.encode().lower().split()
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
+
+
 def test_pipeline_stages(spark, documents, toxic):
     import corpus_pipeline
 
@@ -266,7 +271,9 @@ def test_pipeline_stages(spark, documents, toxic):
     kept = kept_lines([{"doc_id": r["doc_id"], "text": r["text"] or ""} for r in out["language"]])
     assert {r["doc_id"]: r["text"] for r in out["line_dedup"]} == {i: "\n".join(x) for i, x in kept.items()}
     assert all(r["n_chars"] == len(r["text"]) for r in out["line_dedup"])
-    fps = {r["doc_id"]: simhash(r["text"]) for r in out["line_dedup"]}
-    roots = components(list(fps), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 4)
-    assert ids["near_dedup"] == set(roots.values())
+    sets = {r["doc_id"]: shingle_set(r["text"]) for r in out["line_dedup"]}
+    roots = components(list(sets), lambda a, b: sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    # nothing but near copies goes, and nearly all of them do
+    assert set(roots.values()) <= ids["near_dedup"]
+    assert len(ids["near_dedup"]) - len(set(roots.values())) <= 0.1 * (len(roots) - len(set(roots.values())))
     assert ids["packing"] == ids["near_dedup"]
