@@ -291,7 +291,7 @@ def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, held array<long>")
 
 
-def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8, seeds: int = 4, reach: int = 18, parts: int = 3) -> tuple[DataFrame, DataFrame]:
+def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8, seeds: int = 4, reach: int = 12, parts: int = 3) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_key, node, root) of every row, and the verified links (a, b) between texts.
 
     One fingerprint is too coarse for texts that share four fifths of their shingles: they differ in about ten bits. So each text has
@@ -304,10 +304,13 @@ def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     nodes = marked.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")).alias("c"), *[F.min(f).alias(f) for f in fps])
     pairs = pin_table(_candidates(nodes, seeds, reach, parts), "similar-candidates")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    rows = nodes.join(wanted, "node", "left_semi").select(F.col("c.doc_id").alias("chosen_id"), F.col("c.text_key").alias("chosen_key"))
-    held = docs.select("text", F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
-    texts = held.join(rows, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("key") == F.col("chosen_key")), "left_semi")
-    sets = pin_table(_shingle_sets(texts, words).dropDuplicates(["node"]), "shingle-sets")
+    # join and rows that repeat each other go by the same keys, so the texts are dealt once
+    by = ["id", "nameless", "key"]
+    rows = nodes.join(wanted, "node", "left_semi").select(F.coalesce("c.doc_id", F.lit(0)).alias("id"), "c.nameless", F.col("c.text_key").alias("key"))
+    own_id = F.col("doc_id").cast("long")
+    held = docs.select("text", F.coalesce(own_id, F.lit(0)).alias("id"), own_id.isNull().alias("nameless"), F.xxhash64("text").alias("key"))
+    texts = held.join(rows, by, "left_semi").dropDuplicates(by)
+    sets = pin_table(_shingle_sets(texts, words), "shingle-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("held").alias("of_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("held").alias("of_b")), "b")
     shared = F.size(F.array_intersect("of_a", "of_b"))
