@@ -234,8 +234,8 @@ def test_order_of_occurrences_is_measured(spark):
 def test_a_signature_that_all_names_share_is_split(spark, monkeypatch):
     monkeypatch.setattr(link, "_PAIRS", 500)
     rnd = random.Random(9)
-    left = sorted({"common " + "".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(120)})
-    right = sorted({"common " + "".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(150)})
+    left = sorted({key("common " + "".join(rnd.choice("abcdefgh") for _ in range(4))) for _ in range(120)})
+    right = sorted({key("common " + "".join(rnd.choice("abcdefgh") for _ in range(4))) for _ in range(150)})
     got = link.similar_keys(spark.createDataFrame([(k,) for k in left], "lkey string"), spark.createDataFrame([(k,) for k in right], "rkey string"), 80)
     want = {(a, b, ratio(a, b)) for a in left for b in right if ratio(a, b) >= 80}
     assert {tuple(r) for r in got.collect()} == want and len(want) > 50
