@@ -11,8 +11,9 @@ used for it have not seen.
 
 Counts cover every labelled training row, one row per 5-gram, and grow with the corpus. Neither they nor the model are ever held by one process: totals,
 continuation counts and probabilities are columns of DataFrames, and a 5-gram of the texts gets its ratio there. Documents are dealt to chunks
-by hashed id; a task receives the ratios of its chunk's own 5-grams, then the chunk's documents. Only the logistic regression uses a bounded
-sample (``sample`` rows with the smallest hashed ids).
+by hashed id; a task receives the ratios of its chunk's own 5-grams, then the chunk's documents. Features depend on a text's words and how often
+each stands in it, not on their order, so what is shuffled is that bag of words, compressed, never the text. Only the logistic regression
+uses a bounded sample (``sample`` rows with the smallest hashed ids).
 
 Nulls: a NULL text is empty; rows without a label or an id teach nothing. An empty text has the features of no words and gets the score of that point.
 Rows that repeat an id in the labels count once, toxic if one of them is. Without training rows of both classes every score is 0. Ties at the threshold are
@@ -28,8 +29,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gazetta.llm.common import id_remainder, mix64, pin_table, slices, texts
 
@@ -44,6 +47,38 @@ def words_of(text: str) -> list[str]:
     return _WORDS(text.lower())
 
 
+def _bag(text: str) -> bytes:
+    """Words and their numbers: a line for each number, which stands before the words that occur so often."""
+    by_number: dict[int, list[str]] = {}
+    for word, n in Counter(words_of(text)).items():
+        by_number.setdefault(n, []).append(word)
+    return "\n".join(f"{n} {' '.join(found)}" for n, found in by_number.items()).encode("utf-8", "surrogatepass")
+
+
+def _unbagged(bag: bytes) -> tuple[list[str], list[int]]:
+    """The distinct words of a bag, and how often each occurs."""
+    words: list[str] = []
+    numbers: list[int] = []
+    for line in bag.decode("utf-8", "surrogatepass").split("\n") if bag else []:
+        n, *found = line.split(" ")
+        words += found
+        numbers += [int(n)] * len(found)
+    return words, numbers
+
+
+def _bagged(docs: DataFrame) -> DataFrame:
+    """The rows with ``bag`` in place of ``text``; each where it is read, before any shuffle."""
+    keep = [c for c in docs.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches):
+            bags = [packer.compress(_bag(text)) for text in texts(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(bags, pa.binary())], names=[*keep, "bag"])
+
+    return docs.mapInArrow(run, T.StructType([*(T.StructField(c, docs.schema[c].dataType) for c in keep), T.StructField("bag", T.BinaryType())]))
+
+
 def _spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all 5-grams (one row per character and word end), and the word each belongs to."""
     pad = _START * (ORDER - 1)
@@ -137,26 +172,34 @@ class _Ratios:
         return np.bincount(owner, self.values[at], len(words))
 
 
-def _features(batch_texts: list[str], model: _Ratios, baseline: float = 0.0) -> np.ndarray:
+def _features(bags: list[tuple[list[str], list[int]]], model: _Ratios, baseline: float = 0.0) -> np.ndarray:
     """Rows of (mean evidence, mean of the three largest, log mean excess over 2, log share over 3) per word."""
-    found, known = [words_of(t) for t in batch_texts], model.known
-    new = list({w for words in found for w in words if w not in known})
+    known = model.known
+    new = list({w for words, _ in bags for w in words if w not in known})
     if len(known) + len(new) > REMEMBERED:
         known.clear()
-        new = list({w for words in found for w in words})
+        new = list({w for words, _ in bags for w in words})
     for at in range(0, len(new), 8_000):
         part = new[at : at + 8_000]
         known.update(zip(part, model.ratios(part).tolist(), strict=True))
-    rows = np.zeros((len(found), len(FEATURES)))
-    for i, words in enumerate(found):
-        n = len(words)
-        values = np.fromiter(map(known.__getitem__, words), float, n) - baseline
-        if n:
-            top = np.partition(values, n - 3)[-3:] if n > 3 else values
-            rows[i, :2] = values.mean(), top.mean()
-        # the constants stand for a short text's missing words
-        rows[i, 2] = np.log((np.maximum(values - 2, 0).sum() + 0.1) / (n + 20))
-        rows[i, 3] = np.log(((values > 3).sum() + 0.05) / (n + 20))
+    sizes = np.array([len(words) for words, _ in bags], np.int64)
+    owner = np.repeat(np.arange(len(bags)), sizes)
+    values = np.fromiter((known[w] for words, _ in bags for w in words), float, len(owner)) - baseline
+    times = np.fromiter((n for _, numbers in bags for n in numbers), float, len(owner))
+    per_text = lambda weights: np.bincount(owner, weights, len(bags))
+    n = per_text(times)
+    some = np.maximum(n, 1)
+    # the three largest: a text's words by falling value, each as often as there is room
+    order = np.lexsort((-values, owner))
+    before = np.cumsum(times[order]) - times[order]
+    first = np.repeat((np.cumsum(n) - n), sizes)
+    room = np.clip(3 - (before - first), 0, times[order])
+    rows = np.zeros((len(bags), len(FEATURES)))
+    rows[:, 0] = per_text(values * times) / some
+    rows[:, 1] = per_text(values[order] * room) / np.minimum(some, 3)
+    # the constants stand for a short text's missing words
+    rows[:, 2] = np.log((per_text(np.maximum(values - 2, 0) * times) + 0.1) / (n + 20))
+    rows[:, 3] = np.log((per_text((values > 3) * times) + 0.05) / (n + 20))
     return rows
 
 
@@ -189,59 +232,63 @@ _KINDS = ("n0", "n1", "m0", "m1")
 
 
 def _chunk(chunks: int) -> Column:
-    return F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))), F.lit(chunks)).cast("int").alias("chunk")
+    return F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("bag"))), F.lit(chunks)).cast("int").alias("chunk")
 
 
 def _gram_rows(docs: DataFrame, known: DataFrame | None, chunks: int) -> DataFrame:
-    """(chunk, gram, n0, n1, m0, m1) of every 5-gram of the documents (doc_id, text, part).
+    """(chunk, gram, n0, n1, m0, m1) of every 5-gram of the documents (doc_id, part, and text or bag).
 
     The counts are documents per occurrence (each word once per document): ordinary and toxic ones of the first fold (``part`` 1) and of
     the second (2). Other documents only name their 5-grams. A 5-gram may have several rows in a chunk.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter[tuple[str, int]] = Counter()
+        # words by kind, then those that are only named
+        words: list[Counter[str]] = [Counter() for _ in _KINDS]
         wanted: set[str] = set()
         labels: dict[int, int] = {}
         chunk = 0
+        open_bag = zstandard.ZstdDecompressor().decompress
 
         def flush() -> pa.RecordBatch:
-            names = sorted(wanted.union(w for w, _ in words))
+            names = sorted(wanted.union(*words))
             grams, owner = _spelled(names)
-            weight = np.array([[words.get((w, k), 0) for k in range(4)] for w in names], np.int64).reshape(-1, 4)
             _, one, group = np.unique(_hash(grams, 0, ORDER), return_index=True, return_inverse=True)
-            sums = [np.bincount(group, weight[owner, k], len(one)).astype(np.int64) for k in range(4)]
+            weights = (np.fromiter((counts.get(w, 0) for w in names), np.int64, len(names)) if counts else np.zeros(len(names), np.int64) for counts in words)
+            sums = [np.bincount(group, weight[owner], len(one)).astype(np.int64) for weight in weights]
             text = grams[one].astype("<u4").tobytes().decode("utf-32-le")
             strings = [text[ORDER * i : ORDER * (i + 1)] for i in range(len(one))]
-            words.clear()
+            for counts in words:
+                counts.clear()
             wanted.clear()
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(one), chunk, np.int32)), pa.array(strings, pa.string()), *map(pa.array, sums)], names=["chunk", "gram", *_KINDS])
 
-        for batch in slices(batches):
-            columns = [batch.column(c).to_pylist() for c in ("chunk", "doc_id", "part", "toxic")]
-            for own, doc_id, part, toxic, text in zip(*columns, texts(batch.column("text")), strict=True):
+        for batch in slices(batches, max_bytes=2 << 20):
+            columns = [batch.column(c).to_pylist() for c in ("chunk", "doc_id", "part", "toxic", "bag")]
+            for own, doc_id, part, toxic, bag in zip(*columns, strict=True):
                 if own != chunk:
-                    if words or wanted:
+                    if wanted or any(words):
                         yield flush()
                     chunk = own
                     labels.clear()
                 if part < 0:
                     labels[doc_id] = toxic
                     continue
-                found = set(words_of(text))
+                found, _ = _unbagged(open_bag(bag))
                 if part and doc_id in labels:
-                    kind = labels[doc_id] + 2 * (part - 1)
-                    words.update((w, kind) for w in found)
+                    words[labels[doc_id] + 2 * (part - 1)].update(found)
                 else:
-                    wanted |= found
-            if len(words) + len(wanted) > 200_000:
+                    wanted.update(found)
+            if sum(map(len, words)) + len(wanted) > 200_000:
                 yield flush()
-        if words or wanted:
+        if wanted or any(words):
             yield flush()
 
-    rows = docs.select(_chunk(chunks), F.col("doc_id").cast("long").alias("doc_id"), "part", F.lit(None).cast("int").alias("toxic"), "text")
+    if "bag" not in docs.columns:
+        docs = _bagged(docs.select("doc_id", "part", "text"))
+    rows = docs.select(_chunk(chunks), F.col("doc_id").cast("long").alias("doc_id"), "part", F.lit(None).cast("int").alias("toxic"), "bag")
     if known is not None:
-        held = known.select("doc_id", F.lit(-1).alias("part"), "toxic", F.lit(None).cast("string").alias("text"))
+        held = known.select("doc_id", F.lit(-1).alias("part"), "toxic", F.lit(None).cast("binary").alias("bag"))
         rows = rows.unionByName(held.select(_chunk(chunks), "*"))
     # a chunk's labels stand before its documents
     dealt = rows.repartition("chunk").sortWithinPartitions("chunk", F.col("part") >= 0)
@@ -288,7 +335,8 @@ def _gram_ratios(counts: DataFrame, trust: float = 50.0) -> DataFrame:
 
 
 def _chunks(docs: DataFrame) -> int:
-    return max(64, docs.count() // 8192)
+    # a chunk's 5-grams are sent to it once: the more documents it has, the fewer are sent twice
+    return max(24, docs.count() // 8192)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 20_000) -> Fitted:
@@ -316,7 +364,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 20_000)
     # ids alone meet the labels; labels grow with the documents and have no size to broadcast by
     named = keyed.select("doc_id", "key").join(known.hint("merge"), "doc_id")
     picked = named.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", "key").limit(sample).distinct()
-    sampled = pin_table(keyed.join(F.broadcast(picked), ["doc_id", "key"]), "sample")
+    sampled = pin_table(_bagged(keyed.join(F.broadcast(picked), ["doc_id", "key"])), "sample")
     few = 32
     grams = _gram_rows(sampled.withColumn("part", F.lit(0)), None, few).select("chunk", "gram")
     sampled_ratios = pin_table(grams.join(_gram_ratios(first), "gram"), "sample-ratios")
@@ -335,11 +383,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 20_000)
 
 
 def _measured(docs: DataFrame, ratios: DataFrame, chunks: int, keep: list[str], baseline: float) -> DataFrame:
-    """Columns to keep and the features of ``text``, by the ratios of the chunks' 5-grams."""
+    """Columns to keep and the features of ``bag``, by the ratios of the chunks' 5-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, grams, values, model = None, [], [], None
-        for batch in slices(batches):
+        open_bag = zstandard.ZstdDecompressor().decompress
+        for batch in slices(batches, rows=4096, max_bytes=2 << 20):
             own, is_doc = batch.column("chunk").to_numpy(), batch.column("is_doc").to_numpy(zero_copy_only=False)
             edges = [0, *(np.flatnonzero((own[1:] != own[:-1]) | (is_doc[1:] != is_doc[:-1])) + 1).tolist(), len(own)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
@@ -353,28 +402,28 @@ def _measured(docs: DataFrame, ratios: DataFrame, chunks: int, keep: list[str],
                 if model is None:
                     model = _Ratios(grams, values)
                     grams, values = [], []
-                rows = _features(texts(part.column("text")), model, baseline)
+                rows = _features([_unbagged(open_bag(bag)) for bag in part.column("bag").to_pylist()], model, baseline)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *map(pa.array, rows.T.copy())], names=[*keep, *FEATURES])
 
-    dealt = docs.select(_chunk(chunks), F.lit(True).alias("is_doc"), *keep, *({"text"} - {*keep}))
+    dealt = docs.select(_chunk(chunks), F.lit(True).alias("is_doc"), *keep, "bag")
     dealt = dealt.unionByName(ratios.select("chunk", F.lit(False).alias("is_doc"), "gram", "ratio"), allowMissingColumns=True)
     dealt = dealt.repartition("chunk").sortWithinPartitions("chunk", "is_doc")
     fields = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
     return dealt.mapInArrow(run, ", ".join([fields, *(f"{f} double" for f in FEATURES)]))
 
 
-def score_rows(docs: DataFrame, fitted: Fitted, threshold: float = 0.7) -> DataFrame:
-    """(row, score, predicted): every row as a struct, its score between 0 and 1, and 1 where that reaches the threshold.
+def score_rows(docs: DataFrame, fitted: Fitted, threshold: float = 0.7, columns: list[str] | None = None) -> DataFrame:
+    """(row, score, predicted): every row (its ``columns``, all if None) as a struct, its score between 0 and 1, and 1 where that reaches the threshold.
 
     ``docs`` are those ``fitted`` has seen: others may hold 5-grams without a ratio, which fails.
     """
-    held = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    held = docs.select(F.struct(*(columns or ["*"])).alias("row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
     if fitted.ratios is None:
         return held.select("row", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     z = F.lit(float(fitted.weights[0]))
     for weight, feature in zip(fitted.weights[1:], FEATURES, strict=True):
         z = z + F.lit(float(weight)) * F.col(feature)
-    scored = _measured(held, fitted.ratios, fitted.chunks, ["row"], fitted.baseline).select("row", (1 / (1 + F.exp(-z))).alias("score"))
+    scored = _measured(_bagged(held), fitted.ratios, fitted.chunks, ["row"], fitted.baseline).select("row", (1 / (1 + F.exp(-z))).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -385,7 +434,7 @@ def training_rows(docs_id: str = "doc_id") -> Column:
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
-    scored = score_rows(docs.select("doc_id", "text"), fit(docs, labels, training_rows()), threshold)
+    scored = score_rows(docs.select("doc_id", "text"), fit(docs, labels, training_rows()), threshold, ["doc_id"])
     held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
     return scored.select(F.col("row.doc_id").alias("doc_id"), "score", "predicted").select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
