@@ -26,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -175,17 +176,18 @@ class _Ratios:
 def _features(bags: list[tuple[list[str], list[int]]], model: _Ratios, baseline: float = 0.0) -> np.ndarray:
     """Rows of (mean evidence, mean of the three largest, log mean excess over 2, log share over 3) per word."""
     known = model.known
-    new = list({w for words, _ in bags for w in words if w not in known})
+    named = set().union(*(words for words, _ in bags))
+    new = list(named.difference(known))
     if len(known) + len(new) > REMEMBERED:
         known.clear()
-        new = list({w for words, _ in bags for w in words})
+        new = list(named)
     for at in range(0, len(new), 8_000):
         part = new[at : at + 8_000]
         known.update(zip(part, model.ratios(part).tolist(), strict=True))
     sizes = np.array([len(words) for words, _ in bags], np.int64)
     owner = np.repeat(np.arange(len(bags)), sizes)
-    values = np.fromiter((known[w] for words, _ in bags for w in words), float, len(owner)) - baseline
-    times = np.fromiter((n for _, numbers in bags for n in numbers), float, len(owner))
+    values = np.fromiter(map(known.__getitem__, chain.from_iterable(words for words, _ in bags)), float, len(owner)) - baseline
+    times = np.fromiter(chain.from_iterable(numbers for _, numbers in bags), float, len(owner))
     per_text = lambda weights: np.bincount(owner, weights, len(bags))
     n = per_text(times)
     some = np.maximum(n, 1)
@@ -251,10 +253,10 @@ def _gram_rows(docs: DataFrame, known: DataFrame | None, chunks: int) -> DataFra
         open_bag = zstandard.ZstdDecompressor().decompress
 
         def flush() -> pa.RecordBatch:
-            names = sorted(wanted.union(*words))
+            names = list(wanted.union(*words))
             grams, owner = _spelled(names)
             _, one, group = np.unique(_hash(grams, 0, ORDER), return_index=True, return_inverse=True)
-            weights = (np.fromiter((counts.get(w, 0) for w in names), np.int64, len(names)) if counts else np.zeros(len(names), np.int64) for counts in words)
+            weights = (np.fromiter(map(counts.get, names, repeat(0)), np.int64, len(names)) if counts else np.zeros(len(names), np.int64) for counts in words)
             sums = [np.bincount(group, weight[owner], len(one)).astype(np.int64) for weight in weights]
             text = grams[one].astype("<u4").tobytes().decode("utf-32-le")
             strings = [text[ORDER * i : ORDER * (i + 1)] for i in range(len(one))]
