@@ -77,11 +77,18 @@ INSURANCE_WORDS = (
 def source_rows(master: DataFrame, curated: DataFrame | None, order: str) -> DataFrame:
     """Typed source rows, one per URL key (first by ``order``)."""
     blanks = va.BLANKS["influencer"]
-    col = {f: va.nullify(va.pick_alias(master, names), blanks) for f, names in ALIASES.items()}
-    rows = master.select(
+    picked = {f: va.pick_alias(master, names) for f, names in ALIASES.items()}
+    # a projection of its own: the address is cleaned once and then used in several places
+    cleaned = master.select(
         F.col(order).alias("seen"),
+        *[(c if f == "is_active" else va.nullify(c, blanks)).alias(f) for f, c in picked.items()],
+    )
+    col = {f: F.col(f) for f in ALIASES}
+    rows = cleaned.select(
+        "seen",
         col["name"].alias("name"),
-        F.nullif(ur.norm_url(col["url"]), F.lit("")).alias("url"),
+        # bound once: filters on keys made of it are pushed down to here
+        va.let(ur.norm_url(col["url"]), lambda key: F.nullif(key, F.lit(""))).alias("url"),
         ur.root_domain(col["url"]).alias("root_domain"),
         col["source_type"].alias("source_type"),
         tx.code_list_text(col["states"]).alias("states"),
@@ -92,7 +99,7 @@ def source_rows(master: DataFrame, curated: DataFrame | None, order: str) -> Dat
         col["about_url"].alias("about_url"),
         col["blog_index_url"].alias("blog_index_url"),
         F.coalesce(col["notes"], col["summary"]).alias("notes"),
-        va.to_bool(va.pick_alias(master, ALIASES["is_active"]), "default", True).alias("is_active"),
+        va.to_bool(col["is_active"], "default", True).alias("is_active"),
         col["data_confidence"].alias("data_confidence"),
         col["last_verified"].alias("last_verified"),
     )
