@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.functions import values as va
 from gazetta.plans import celebrants, councils, destinations, influencers, venues
-from gazetta.plans.links import CUSTOMER_POINTS, ZONES_SQL, _spread, _zones
+from gazetta.plans.links import CUSTOMER_POINTS, PAIR_SCORES, ZONES_SQL, _spread, _zones, edited_name
 from gazetta.plans.registry import query, table
 
 V = va.VERIFY_REQUIRED
@@ -227,3 +227,75 @@ def flood_risk(spark: SparkSession, sf: str) -> DataFrame:
     rated = venues.flood_risk(points, _zones(table(spark, sf, "nation")), ["label"], salts=16)
     without = venues.flood_risk(points, None, ["label"]).select("id", F.col("flood_risk_category").alias("without_data"))
     return rated.select("id", "flood_risk_category").join(without, "id")
+
+
+def _found(name: Column, number: Column, rating: Column) -> Column:
+    """A place payload as a search returns it."""
+    return F.to_json(
+        F.struct(
+            F.concat(F.lit("places/P"), number).alias("name"),
+            F.struct(name.alias("text")).alias("displayName"),
+            F.concat(number, F.lit(" Main St, Town NSW 2000, Australia")).alias("formattedAddress"),
+            F.struct(F.lit(-33.5).alias("latitude"), F.lit(151.25).alias("longitude")).alias("location"),
+            rating.alias("rating"),
+            (rating * 3).alias("userRatingCount"),
+        )
+    )
+
+
+@query(
+    "patch_places",
+    f"""WITH {PAIR_SCORES},
+    own AS (SELECT n.p_partkey, n.p_size, s.score FROM named n LEFT JOIN scores s USING (lk, rk)),
+    best AS (SELECT *, CASE WHEN score >= 60 THEN 0 WHEN p_size > 40 THEN 1 END AS q, p_partkey % 5 + 1 AS rating FROM own)
+    SELECT 'C' || p_partkey AS celebrant_id, CASE WHEN q IS NULL THEN 'old' ELSE 'P' || p_partkey || '-' || q END AS google_place_id,
+           CASE WHEN q = 1 OR (q = 0 AND score >= 85) THEN 'HIGH' WHEN q = 0 AND score >= 70 THEN 'MEDIUM' WHEN q = 0 THEN 'LOW' END AS places_match_confidence,
+           CASE WHEN q IS NOT NULL THEN rating || '.0' END AS google_rating, CASE WHEN q IS NOT NULL THEN (rating * 3)::VARCHAR END AS google_review_count,
+           CASE WHEN q IS NOT NULL THEN 8 * rating + 44 + CASE WHEN p_size % 2 = 0 THEN 10 ELSE 0 END END AS celebrant_quality_score
+    FROM best""",
+)
+def patch_places(spark: SparkSession, sf: str) -> DataFrame:
+    """The first candidate at 60 in the order of the searches; without one the row stays as it is."""
+    part, key = table(spark, sf, "part"), F.col("p_partkey")
+    ident, rating = F.concat(F.lit("C"), key).alias("celebrant_id"), key % 5 + 1
+    rows = part.select(
+        ident,
+        F.col("p_name").alias("full_name"),
+        F.lit("old").alias("google_place_id"),
+        F.when(F.col("p_size") % 2 == 0, "yes").otherwise("no").alias("abia_winner"),
+        F.lit("4.0").alias("easy_weddings_rating"),
+        F.lit("3").alias("directory_listing_count"),
+    )
+
+    def search(number: int, name: Column) -> DataFrame:
+        payload = _found(name, F.concat(key, F.lit(f"-{number}")), rating)
+        return part.filter(F.lit(number == 0) | (F.col("p_size") > 40)).select(
+            ident, F.lit(number).alias("query_no"), name.alias("candidate_name"), payload.alias("payload")
+        )
+
+    out = celebrants.patch_places(rows, search(0, edited_name()).unionByName(search(1, F.col("p_name"))))
+    return out.select(
+        "celebrant_id", "google_place_id", "places_match_confidence", "google_rating", "google_review_count",
+        F.col("celebrant_quality_score").cast("bigint").alias("celebrant_quality_score"),
+    )
+
+
+@query(
+    "enrich_places",
+    f"""WITH {PAIR_SCORES}
+    SELECT n.p_partkey AS row_index, CASE WHEN p_size > 5 THEN 'P' || n.p_partkey END AS place_id, CASE WHEN p_size > 5 THEN s.score END AS fuzzy_match_score,
+           CASE WHEN p_size > 5 AND s.score >= 70 THEN n.p_partkey || ' Main St, Town NSW 2000, Australia' END AS formatted_address,
+           CASE WHEN p_size > 5 AND s.score >= 70 THEN (n.p_partkey % 5 + 1)::DOUBLE END AS google_rating,
+           CASE WHEN p_size <= 5 THEN 'NO_MATCH' WHEN s.score >= 70 THEN 'taken' ELSE 'LOW' END AS outcome
+    FROM named n LEFT JOIN scores s USING (lk, rk)""",
+)
+def enrich_places(spark: SparkSession, sf: str) -> DataFrame:
+    """Found places in full from a name score of 70, their safe part below, and rows that no search found."""
+    part, key = table(spark, sf, "part"), F.col("p_partkey")
+    rows = part.select(key.alias("row_index"), F.col("p_name").alias("NAME"), F.lit("stale").alias("formatted_address"))
+    found = part.filter("p_size > 5").select(key.alias("row_index"), _found(edited_name(), key, key % 5 + 1).alias("payload"))
+    confidence = F.col("places_match_confidence")
+    return venues.enrich_places(rows, found).select(
+        "row_index", "place_id", F.when(F.col("place_id").isNotNull(), F.col("fuzzy_match_score").cast("bigint")).alias("fuzzy_match_score"),
+        "formatted_address", "google_rating", F.when(confidence.isin("HIGH", "MEDIUM"), "taken").otherwise(confidence).alias("outcome"),
+    )
