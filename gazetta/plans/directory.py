@@ -299,3 +299,24 @@ def enrich_places(spark: SparkSession, sf: str) -> DataFrame:
         "row_index", "place_id", F.when(F.col("place_id").isNotNull(), F.col("fuzzy_match_score").cast("bigint")).alias("fuzzy_match_score"),
         "formatted_address", "google_rating", F.when(confidence.isin("HIGH", "MEDIUM"), "taken").otherwise(confidence).alias("outcome"),
     )
+
+
+@query(
+    "pick_destinations",
+    """SELECT c_custkey AS destination_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 40 ELSE 0 END + CASE WHEN c_nationkey % 3 = 0 THEN 12 ELSE 0 END
+              + CASE WHEN c_acctbal > 5000 THEN 15 ELSE 0 END AS score
+       FROM customer WHERE c_custkey % 10 <> 3 AND c_nationkey % 4 <> 0 ORDER BY score DESC, c_custkey LIMIT 40""",
+)
+def pick_destinations(spark: SparkSession, sf: str) -> DataFrame:
+    """The 40 best active ones; top-level regions fall below the cut-off, ties go to the smaller id."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    rows = table(spark, sf, "customer").select(
+        key.alias("destination_id"),
+        F.concat(F.when(nation % 3 == 0, "wine-valley-").otherwise("x-"), key).alias("destination_slug"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("QQQ Zzz "), key)).alias("destination_name"),
+        F.when(nation % 4 == 0, "1").otherwise("2").alias("hierarchy_level"),
+        F.when(F.col("c_acctbal") > 5000, True).alias("is_destination_wedding_location"),
+        (key % 10 != 3).alias("is_active"),
+    )
+    out = destinations.pick_destinations(rows, ["qqq zzz"])
+    return out.select("destination_id", F.col("score").cast("bigint").alias("score"))
