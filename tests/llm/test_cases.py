@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -225,6 +226,29 @@ def test_toxicity_keeps_more_grams_than_slots(spark):
     assert got == want
 
 
+def test_toxicity_features_of_bags_equal_those_of_the_words_in_order():
+    """Every occurrence counts; a bag gives a text's distinct words and their numbers back."""
+
+    class Known:
+        def __init__(self):
+            self.known = {}
+
+        def ratios(self, words):
+            return np.array([(sum(map(ord, w)) % 97) / 10 - 4 for w in words])
+
+    rng = random.Random(8)
+    words = ["aa", "b", "Çé", "中文", "zork", "ß", "word", "\ud800x"]
+    found = ["", "1 2 _", "b", "b b", "B b b b", *[" ".join(rng.choice(words) for _ in range(rng.randint(1, 40))) for _ in range(60)]]
+    bags = [toxicity._unbagged(toxicity._bag(t)) for t in found]
+    assert [dict(zip(*b, strict=True)) for b in bags] == [dict(Counter(toxicity.words_of(t))) for t in found]
+    for text, row in zip(found, toxicity._features(bags, Known(), 0.5), strict=True):
+        values = sorted(Known().ratios(toxicity.words_of(text)) - 0.5, reverse=True)
+        n = len(values)
+        want = [sum(values) / max(n, 1), sum(values[:3]) / max(min(n, 3), 1)]
+        want += [np.log((sum(max(v - 2, 0) for v in values) + 0.1) / (n + 20)), np.log((sum(v > 3 for v in values) + 0.05) / (n + 20))]
+        assert np.allclose(row, want)
+
+
 def test_toxicity_of_short_repeated_and_mostly_toxic_texts(spark):
     rng = random.Random(5)
     plain = ["table", "window", "garden", "river", "music", "paper", "letter", "winter", "summer", "bread"]
