@@ -57,6 +57,28 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += width
 
 
+def _message(fields: list[tuple[int, bytes | int]]) -> bytes:
+    """A protocol buffer message of bytes and whole numbers."""
+
+    def number(value: int) -> bytes:
+        out = bytearray()
+        while value > 127:
+            out.append(value & 127 | 128)
+            value >>= 7
+        return bytes(out) + bytes([value])
+
+    parts = []
+    for field, value in fields:
+        parts += [number(field << 3), number(value)] if isinstance(value, int) else [number(field << 3 | 2), number(len(value)), value]
+    return b"".join(parts)
+
+
+def without_normalizer(model: bytes) -> bytes:
+    """The model for texts that are normalised already: the same pieces, no character map, no white-space rules, no samples of its own."""
+    plain = _message([(1, b"identity"), (2, b""), (3, 0), (4, 0), (5, 0)])
+    return _message([(field, value) for field, value in _fields(model) if field not in (3, 4)] + [(3, plain)])
+
+
 def normalizer_spec(model: bytes) -> dict[str, object]:
     """Character map and white-space settings of a model file."""
     spec: dict[str, object] = {"charsmap": b"", "dummy_prefix": True, "remove_extra": True, "escape": True, "suffix": False}
@@ -161,12 +183,14 @@ class Normalizer:
         return data, places
 
 
+#: The blanks at a text's end, without and with the written sign; they are read from the end, in one step.
+_TRAILING = (re.compile(rb"\x20*+"), re.compile(rb"(?:\x20|" + SPACE.encode()[::-1] + rb")*+"))
+
+
 def _squeezed(data: bytes, places: np.ndarray, escape: bool) -> tuple[bytes, np.ndarray]:
     """Without blanks at both ends and after another blank; at the end a written sign for a blank goes, too."""
-    whole = len(data)
-    while data.endswith((b" ", SPACE.encode()) if escape else b" "):
-        data = data[: -1 if data.endswith(b" ") else -len(SPACE.encode())]
-    places = np.append(places[: len(data)], places[len(data) if len(data) < whole else whole])
+    end = len(data) - _TRAILING[escape].match(data[::-1]).end()
+    data, places = data[:end], places[: end + 1]
     blank = np.frombuffer(data, np.uint8) == 0x20
     keep = ~blank
     keep[1:] |= ~blank[:-1]
@@ -189,34 +213,35 @@ class PieceEncoder:
         with open(path, "rb") as file:
             model = file.read()
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.merger = sentencepiece.SentencePieceProcessor(model_proto=without_normalizer(model))
         self.normalizer = Normalizer(model)
         n = self.library.get_piece_size()
         names = [self.library.id_to_piece(i) for i in range(n)]
         self.lengths = np.array([1 if self.library.is_byte(i) else len(p.encode()) for i, p in enumerate(names)], np.int64)
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text with begin and end id."""
-        return self.library.encode(texts, num_threads=1, add_bos=True, add_eos=True)
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[tuple[np.ndarray, np.ndarray]]]:
+        """Ids of each text with begin and end id, and the first and end byte in the text of each piece."""
+        normalized = [self.normalizer(t) for t in texts]
+        ids = self.merger.encode([data for data, _ in normalized], num_threads=1, add_bos=True, add_eos=True)
+        return ids, [self._spans(t, *n, own) for t, n, own in zip(texts, normalized, ids, strict=True)]
 
-    def spans(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def _spans(self, text: str, data: bytes, places: np.ndarray, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """First and end byte in the text of each piece; begin and end id are empty spans at the text's ends.
 
         A byte of a replacement of several bytes stands for the whole original; where pieces meet inside one, the later piece's span is empty.
         """
-        data, places = self.normalizer(text)
-        sizes = self.lengths[np.array(ids[1:-1], np.int64)]
-        edges = np.concatenate([[0], np.cumsum(sizes)])
-        if len(places) == 0 or edges[-1] != len(data):
-            edges = self._edges_with_unknown(text, len(data))
+        edges = np.concatenate([[0], np.cumsum(self.lengths[np.array(ids[1:-1], np.int64)])])
+        if edges[-1] != len(data):
+            edges = self._edges_with_unknown(data)
         at = places[edges] if len(data) else np.zeros(len(edges), np.int64)
         last = len(text.encode())
         return np.concatenate([[0], at[:-1], [last]]), np.concatenate([[0], at[1:], [last]])
 
-    def _edges_with_unknown(self, text: str, total: int) -> np.ndarray:
+    def _edges_with_unknown(self, data: bytes) -> np.ndarray:
         """Edges where the model knows no bytes: an unknown piece covers its own text."""
-        sizes = [len(p.encode()) for p in self.library.encode(text, out_type=str)]
+        sizes = [len(p.encode()) for p in self.merger.encode(data.decode(), out_type=str)]
         edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        if edges[-1] != total:
+        if edges[-1] != len(data):
             raise ValueError("the pieces do not cover the normalised text")
         return edges
 
@@ -231,10 +256,9 @@ def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_encoder(model)
-        for batch in slices(batches, 128):
+        for batch in slices(batches, 128, 2 << 20):
             own = texts(batch.column("text"))
-            ids = pieces.ids(own)
-            spans = [pieces.spans(t, i) for t, i in zip(own, ids, strict=True)]
+            ids, spans = pieces.encode(own)
             edges = pa.array(np.concatenate([[0], np.cumsum([len(i) for i in ids])]), pa.int32())
             flat = [np.concatenate(x) if x else np.zeros(0) for x in (ids, [s[0] for s in spans], [s[1] for s in spans])]
             lists = [pa.ListArray.from_arrays(edges, pa.array(x.astype(np.int32))) for x in flat]
@@ -267,11 +291,11 @@ def piece_digests(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_encoder(model)
-        for batch in slices(batches, 128):
+        for batch in slices(batches, 128, 2 << 20):
             own = texts(batch.column("text"))
-            ids = pieces.ids(own)
+            ids, places = pieces.encode(own)
             decoded = [pieces.library.decode(x) for x in ids]
-            spans = [zlib.crc32(np.concatenate(pieces.spans(t, i)).astype("<u4").tobytes()) for t, i in zip(own, ids, strict=True)]
+            spans = [zlib.crc32(np.concatenate(x).astype("<u4").tobytes()) for x in places]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
