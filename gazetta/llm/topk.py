@@ -4,11 +4,12 @@ A vector's components are the postings of terms (dimension, sign). For a query a
 have its sign there and only takes from the others, so a term's score bound is the query's weight times the list's largest
 value. Per shard the query's terms are sorted by that bound; the terms whose bounds together stay below the k-th best score are not
 essential. Essential postings are traversed; what may still compete is probed in the others, dropped where its bound falls short, and
-scored exactly. Vectors are dealt to shards of a fixed size and queries to blocks, so a task holds one shard and one block; the shards' best k are merged at the end.
+scored exactly. Vectors are dealt to shards and queries to blocks of a set size, in rows and in bytes, so a task holds one shard and one block; the shards' best k
+are merged at the end. Every shard meets every block, so what is shuffled falls with their sizes.
 
 Nulls: vectors that are NULL, or hold NULL or non-finite components, take no part, nor do NULL ids. Ties go to the smaller id. Vectors
 of different lengths are compared as if padded with zeros. An id that repeats among the queries asks once (with its greatest vector);
-among the candidates each row counts. Fewer candidates than k give them all; empty tables give an empty result. Scores are 64-bit integers.
+among the candidates each row counts, but no row with the query's own id. Fewer candidates than k give them all; empty tables give an empty result. Scores are 64-bit integers.
 """
 
 from __future__ import annotations
@@ -40,7 +41,9 @@ class Shard:
         for d in range(matrix.shape[1]):
             for sign in (1, -1):
                 at = np.flatnonzero(sign * self.matrix[:, d] > 0)
-                self.lists[d, sign] = (at, sign * self.matrix[at, d])
+                values = sign * self.matrix[at, d]
+                if len(at):
+                    self.lists[d, sign] = (int(values.max()), at, values)
 
     def search(self, query: np.ndarray, own: int, k: int, first: int = 256) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best, ties to the smaller id."""
@@ -56,10 +59,11 @@ class Shard:
             return self.ids[best[0]], best[1]
         terms = []
         for d in np.flatnonzero(query).tolist():
-            at, values = self.lists[d, 1 if query[d] > 0 else -1]
-            if len(at):
+            held = self.lists.get((d, 1 if query[d] > 0 else -1))
+            if held is not None:
+                most, at, values = held
                 weight = abs(int(query[d]))
-                terms.append((weight * int(values.max()), d, weight, at, values))
+                terms.append((weight * most, d, weight, at, values))
         terms.sort(key=lambda t: (-t[0], t[1]))
         rest = sum(t[0] for t in terms)
         reached = np.zeros(len(self.ids), np.int64)
@@ -107,13 +111,23 @@ def _width(column: pa.ChunkedArray) -> int:
     return max((int(np.diff(c.offsets.to_numpy()).max()) for c in column.chunks if len(c)), default=0)
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, shard_rows: int = 8192, block_rows: int = 512) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best other rows of every query."""
+def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, shard_rows: int = 8192, block_rows: int = 65536, part_bytes: int = 16 << 20) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k best other rows of every query.
+
+    A shard and a block hold on average at most so many rows, and ``part_bytes`` at 8 bytes a component. Larger ones are copied less often;
+    a task keeps the postings of its shard, too, about three times its size.
+    """
     own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"), is_query.alias("q"))
     own = own.where(F.col("vec_id").isNotNull() & usable(F.col("v"))).select("vec_id", quantised(F.col("v"), scale).alias("v"), "q")
     asked = own.where("q").groupBy(F.col("vec_id").alias("query_id")).agg(F.max("v").alias("v"))
-    sizes = own.agg(F.count("*").alias("n"), F.count_if("q").alias("m")).first()
-    shards, blocks = max(1, -(-sizes["n"] // shard_rows)), max(1, -(-sizes["m"] // block_rows))
+    wide = F.size("v") * 8
+    own_size, asked_size = F.struct(F.count("*"), F.sum(wide)), F.struct(F.count_if("q"), F.sum(F.when(F.col("q"), wide)))
+    sizes = own.agg(own_size.alias("own"), asked_size.alias("asked")).first()
+
+    def parts(size: tuple[int, int | None], rows: int) -> int:
+        return max(1, -(-size[0] // rows), -(-(size[1] or 0) // part_bytes))
+
+    shards, blocks = parts(sizes["own"], shard_rows), parts(sizes["asked"], block_rows)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = ([], [], [])
