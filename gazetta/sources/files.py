@@ -19,34 +19,53 @@ def read_csv_strings(
 
     Empty fields, and those a short line lacks, are ``''``.  ``multi_line`` allows
     line feeds in quoted fields; a file is then read by one task.  Without it the
-    lines are looked through first, and files with an odd number of quotes in a line, as a
-    quoted line feed leaves it, are read that way all the same.
+    lines are looked through first, and only the files in which a quoted field is open at the end of a
+    line are read that way; a stray quote inside a field, such as an inch sign, costs nothing.
     """
-    if not multi_line:
-        lines = spark.read.text(path)
-        quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-        multi_line = not lines.where(quotes % 2 == 1).isEmpty()
+    whole = None if multi_line else files_with_open_quotes(spark, path, sep)
     reader = (
         spark.read.option("header", True)
         .option("encoding", "UTF-8")
-        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("sep", sep)
         # which lines have too many fields must not depend on the columns that are asked for
         .option("columnPruning", False)
         .options(**options)
     )
-    names = reader.csv(path).columns
+    names = reader.option("multiLine", whole != []).csv(path).columns
     odd = "_odd_line"
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, odd]])
-    df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", odd).schema(schema).csv(path)
     # the reader marks lines with too few fields, too: count the separators outside quotes
     bare = F.regexp_replace(F.col(odd), r'"(?:[^"]|"")*"', "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
     # the reader refuses to give the marked lines alone, so a value is always read along
     read_along = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
-    kept = df.filter(F.col(odd).isNull() | ((fields <= len(names)) & read_along))
-    return kept.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names])
+
+    def rows(by_file: bool, only: Column | None = None) -> DataFrame:
+        lenient = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", odd)
+        df = lenient.option("multiLine", by_file).schema(schema).csv(path)
+        if only is not None:
+            df = df.filter(only)
+        kept = df.filter(F.col(odd).isNull() | ((fields <= len(names)) & read_along))
+        return kept.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names])
+
+    if not whole:
+        return rows(whole is None)
+    # a filter on the file's name leaves the other files out of the scan
+    is_whole = F.col("_metadata.file_path").isin(whole)
+    return rows(False, ~is_whole).unionByName(rows(True, is_whole))
+
+
+def files_with_open_quotes(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
+    """The files in which some line ends inside a quoted field, by the name Spark gives them.
+
+    Doubled quotes stand for one inside a field and are left out; a quote opens a field only at its start.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    single = F.replace(F.col("value"), F.lit('""'), F.lit(""))
+    is_open = (quotes % 2 == 1) & single.rlike(f'(?:^|\\Q{sep}\\E)"[^"]*$')
+    return sorted(r["file"] for r in lines.where(is_open).select("file").distinct().collect())
 
 
 def conform(df: DataFrame, columns: Sequence[str], default: str = VERIFY_REQUIRED) -> DataFrame:

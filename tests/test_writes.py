@@ -310,6 +310,25 @@ def test_json_arrays_are_dealt_to_files_by_row_count(spark, tmp_path):
     files.write_json_arrays(rows.limit(0), str(tmp_path / "none"))
 
 
+def test_csv_only_files_with_an_open_quote_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "some files"
+    folder.mkdir()
+    (folder / "a.csv").write_text('id,name,size\n1,"one\ntwo",x\n2,"say ""hi"",\nagain",y\n')
+    (folder / "b.csv").write_text('id,name,size\n3,pipe 5" wide,z\n4,"a ""quoted"" word",5"\n5,"a,""",""\n6,short\n7,too,many,fields\n')
+    (folder / "c.csv").write_text('id,name,size\n8,plain,""""\n')
+    found = files.files_with_open_quotes(spark, str(folder))
+    assert [f.rsplit("/", 1)[1] for f in found] == ["a.csv"]
+    df = files.read_csv_strings(spark, str(folder))
+    assert sorted(tuple(r) for r in df.collect()) == [
+        ("1", "one\ntwo", "x"), ("2", 'say "hi",\nagain', "y"), ("3", 'pipe 5" wide', "z"), ("4", 'a "quoted" word', '5"'), ("5", 'a,"', ""), ("6", "short", ""),
+        ("8", "plain", '"'),
+    ]
+    assert df.count() == 7
+    # each file is read by one of the two scans
+    assert sorted(r["f"].rsplit("/", 1)[1] for r in df.select(F.input_file_name().alias("f")).distinct().collect()) == ["a.csv", "b.csv", "c.csv"]
+    assert files.files_with_open_quotes(spark, str(folder), ";") == []
+
+
 def test_csv_line_feed_in_a_quoted_field_is_one_row(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text('id,address\n1,"1 High St\nTown, ""B"""\n2,plain\n3\n')
