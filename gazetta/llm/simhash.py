@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import mix64, pin_table, slices, utf8
+from gazetta.llm.common import pin_table, slices, utf8
 
 BITS = 64
 #: Fingerprints of one variant that are compared pair by pair; more are visited breadth first.
@@ -242,39 +242,156 @@ def drop_near_copies(docs: DataFrame, words: int = 4, distance: int = 4) -> Data
     return _only(docs, chosen)
 
 
-# --- similar texts: several fingerprints, then the exact similarity ----------------------------------------------------------
+# --- similar texts: a common shingle among the rarest of both, then the exact similarity -----------------------------------------
 
+#: Texts of the sample that tells which shingles are frequent (at least; one in 32 of a large table), and shingles that it lists.
+_SAMPLE, _LISTED = 4096, 1 << 17
+#: Shingles beyond the list go by their hash, below this; those of the list come after them, by their frequency.
+_UNLISTED = 1 << 62
+#: Pairs that a task gathers before it drops those it has twice.
+_GATHERED = 1 << 21
 
-def _marked(docs: DataFrame, words: int, seeds: int) -> DataFrame:
-    """(doc_id, text_key, node, f0, f1, ...): node is the hash of a text's words, f0 ... fingerprints from differently mixed hashes."""
-    names = ["node", *(f"f{i}" for i in range(seeds))]
+
+def _frequent(docs: DataFrame, words: int) -> np.ndarray:
+    """Shingles that several texts of a sample have, the most frequent last. They order shingles, and any order is correct."""
+    share = max(1, min(32, docs.count() // _SAMPLE))
+    few = docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select("text").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            flat, sizes, _ = _shingles(utf8(batch.column("text")), words)
+            for x in np.split(flat, np.cumsum(sizes)[:-1]):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(x).view(np.int64))], names=["shingle"])
+
+    counts = few.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    top = counts.orderBy(F.desc("n"), "shingle").limit(_LISTED).toArrow()
+    return top.column("shingle").to_numpy()[::-1].view(np.uint64)
+
+
+def _marked(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(doc_id, text_key, node, size, prefix): node is the hash of a text's words, size the number of its distinct shingles, and prefix as
+    many of them, the rarest first, that a text as similar as asked has one of them in its own; NULL where the task had the node before."""
+    frequent = _frequent(docs, words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(frequent)
+        listed = frequent[order]
+        seen: set[int] = set()
         for batch in slices(batches):
             flat, sizes, wholes = _shingles(utf8(batch.column("text")), words)
-            fps = [_majority(mix64(flat + np.uint64(seed)) if seed else flat, sizes) for seed in range(seeds)]
-            values = [np.array(wholes, np.uint64), *fps]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *(pa.array(v.view(np.int64)) for v in values)], names=["doc_id", "text_key", *names])
+            codes = flat >> np.uint64(2)
+            if len(listed):
+                at = np.minimum(np.searchsorted(listed, flat), len(listed) - 1)
+                codes = np.where(listed[at] == flat, np.uint64(_UNLISTED) + order[at].astype(np.uint64), codes)
+            counts, prefixes = [], []
+            for own, whole in zip(np.split(codes.view(np.int64), np.cumsum(sizes)[:-1]), wholes, strict=True):
+                if whole in seen:
+                    counts.append(None)
+                    prefixes.append(None)
+                    continue
+                seen.add(whole)
+                own = np.unique(own)
+                counts.append(len(own))
+                prefixes.append(own[: len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1])
+            if len(seen) > 1 << 20:
+                seen.clear()
+            nodes = pa.array(np.array(wholes, np.uint64).view(np.int64))
+            values = [batch.column("doc_id"), batch.column("text_key"), nodes, pa.array(counts, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(values, names=["doc_id", "text_key", "node", "size", "prefix"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").alias("text"))
-    return own.mapInArrow(run, "doc_id long, text_key long, " + ", ".join(f"{n} long" for n in names))
-
-
-def _candidates(nodes: DataFrame, seeds: int, reach: int, parts: int) -> DataFrame:
-    """(a, b): pairs of texts with a near fingerprint, of which the smallest text stands for all with that fingerprint."""
-    pairs = []
-    for i in range(seeds):
-        own = nodes.select("node", F.col(f"f{i}").alias("fp"))
-        least = own.groupBy("fp").agg(F.min("node").alias("least"))
-        pairs.append(own.join(least, "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
-        near = links(own, reach, parts)
-        near = near.join(least.select(F.col("fp").alias("a"), F.col("least").alias("low_a")), "a")
-        near = near.join(least.select(F.col("fp").alias("b"), F.col("least").alias("low_b")), "b")
-        pairs.append(near.select(F.greatest("low_a", "low_b").alias("a"), F.least("low_a", "low_b").alias("b")))
-    both = pairs[0]
-    for more in pairs[1:]:
-        both = both.unionByName(more)
-    return both.where("a <> b").distinct()
+    return own.mapInArrow(run, "doc_id long, text_key long, node long, size int, prefix array<long>")
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of sorted batches, cut where the first column changes."""
+    kept: list[list[np.ndarray]] = []
+    for batch in batches:
+        own = [c.to_numpy() for c in batch.columns]
+        if not len(own[0]):
+            continue
+        kept.append(own)
+        differs = np.flatnonzero(own[0] != own[0][-1])
+        if len(differs):
+            whole = [np.concatenate(x) for x in zip(*kept, strict=True)]
+            end = len(whole[0]) - len(own[0]) + int(differs[-1]) + 1
+            kept = [[x[end:] for x in whole]]
+            yield [x[:end] for x in whole]
+    if kept:
+        yield [np.concatenate(x) for x in zip(*kept, strict=True)]
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by (code, size, node): those whose code another text has as well, each once."""
+    for code, node, size in _whole_runs(batches):
+        new = np.concatenate([[True], (code[1:] != code[:-1]) | (node[1:] != node[:-1])])
+        code, node, size = code[new], node[new], size[new]
+        same = np.concatenate([[False], code[1:] == code[:-1], [False]])
+        held = same[1:] | same[:-1]
+        yield pa.RecordBatch.from_arrays([pa.array(x[held]) for x in (code, node, size)], names=["code", "node", "size"])
+
+
+def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    both = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
+
+
+def _neighbours(similarity: float):
+    """Over rows sorted by (code, size, node): pairs that follow each other under a code and whose sizes are near enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, node, size in _whole_runs(batches):
+            near = (code[1:] == code[:-1]) & (size[:-1] >= similarity * size[1:] - 1e-9)
+            yield _pair_batch(node[:-1][near], node[1:][near])
+
+    return run
+
+
+def _apart(similarity: float):
+    """Over rows sorted by (code, size, node): all pairs under a code whose sizes are near enough and that are not joined yet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, node, size, root in _whole_runs(batches):
+            starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+            ends = np.append(starts[1:], len(code))
+            mixed = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
+            end = np.repeat(np.where(mixed, ends, starts), ends - starts)
+            first, gap, found, held = np.arange(len(code)), 0, [], 0
+            while True:
+                gap += 1
+                first = first[first + gap < end[first]]
+                # sizes grow along a code, so a row that found its last partner has no other
+                first = first[size[first] >= similarity * size[first + gap] - 1e-9]
+                if not len(first):
+                    break
+                apart = first[root[first] != root[first + gap]]
+                found.append((node[apart], node[apart + gap]))
+                held += len(apart)
+                if held > _GATHERED:
+                    yield _pair_batch(*map(np.concatenate, zip(*found, strict=True)))
+                    found, held = [], 0
+            if found:
+                yield _pair_batch(*map(np.concatenate, zip(*found, strict=True)))
+
+    return run
+
+
+def _by_code(rows: DataFrame) -> DataFrame:
+    return rows.repartition("code").sortWithinPartitions("code", "size", "node")
+
+
+def _possible(pairs: DataFrame, marked: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose prefixes do not rule the similarity out: up to where the shorter one ends, both texts' shingles are known."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    held = marked.where("size > 0").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    both = pairs
+    for x in ("a", "b"):
+        both = both.join(held.select(F.col("node").alias(x), F.col("size").alias(f"n_{x}"), F.col("prefix").alias(f"of_{x}")), x)
+    end = F.least(F.element_at("of_a", -1), F.element_at("of_b", -1))
+    known = [F.size(F.filter(c, lambda v: v <= F.col("end"))) for c in ("of_a", "of_b")]
+    differ = known[0] + known[1] - 2 * F.size(F.array_intersect("of_a", "of_b"))
+    allowed = (1 - similarity) / (1 + similarity) * (F.col("n_a") + F.col("n_b")) + 1e-6
+    return both.withColumn("end", end).where(differ <= allowed).select("a", "b")
 
 
 def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -291,22 +408,15 @@ def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, held array<long>")
 
 
-def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8, seeds: int = 4, reach: int = 12, parts: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text_key, node, root) of every row, and the verified links (a, b) between texts.
-
-    One fingerprint is too coarse for texts that share four fifths of their shingles: they differ in about ten bits. So each text has
-    ``seeds`` fingerprints; texts that differ by at most one bit in a segment of one of them, and by at most ``reach`` bits in all, are
-    candidates, and a candidate pair is linked if its sets of shingles are as similar as asked (Jaccard), exactly.
-    Texts with equal words are one text. Fewer words than a shingle has are one shingle.
-    """
-    marked = pin_table(_marked(docs, words, seeds), "seeded-fingerprints")
-    fps = [f"f{i}" for i in range(seeds)]
-    nodes = marked.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")).alias("c"), *[F.min(f).alias(f) for f in fps])
-    pairs = pin_table(_candidates(nodes, seeds, reach, parts), "similar-candidates")
+def _verified(docs: DataFrame, marked: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles are as similar as asked (Jaccard), exactly."""
+    pairs = pin_table(_possible(pairs, marked, similarity), "similar-candidates")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    named = marked.join(wanted, "node", "left_semi").groupBy("node")
+    rows = named.agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")).alias("c"))
     # join and rows that repeat each other go by the same keys, so the texts are dealt once
     by = ["id", "nameless", "key"]
-    rows = nodes.join(wanted, "node", "left_semi").select(F.coalesce("c.doc_id", F.lit(0)).alias("id"), "c.nameless", F.col("c.text_key").alias("key"))
+    rows = rows.select(F.coalesce("c.doc_id", F.lit(0)).alias("id"), "c.nameless", F.col("c.text_key").alias("key"))
     own_id = F.col("doc_id").cast("long")
     held = docs.select("text", F.coalesce(own_id, F.lit(0)).alias("id"), own_id.isNull().alias("nameless"), F.xxhash64("text").alias("key"))
     texts = held.join(rows, by, "left_semi").dropDuplicates(by)
@@ -315,7 +425,27 @@ def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     both = both.join(sets.select(F.col("node").alias("b"), F.col("held").alias("of_b")), "b")
     shared = F.size(F.array_intersect("of_a", "of_b"))
     linked = both.where(shared >= similarity * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
-    linked = pin_table(linked, "similar-links")
+    return pin_table(linked, "similar-links")
+
+
+def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_key, node, root) of every row, and verified links (a, b) between texts, enough to span their components.
+
+    Exact: two texts as similar as asked have a shingle in common among the rarest of each (prefix filter), in any fixed order of
+    shingles. Under each such shingle the texts that follow each other by size are compared first; then all that are not joined by
+    then, so that a crowd of near copies is not expanded into its pairs and no pair that would join two components is left out.
+    Texts with equal words are one text. Fewer words than a shingle has are one shingle.
+    """
+    marked = pin_table(_marked(docs, words, similarity), "rarest-shingles")
+    rows = marked.where("size > 0").select(F.explode("prefix").alias("code"), "node", "size")
+    shared = pin_table(_by_code(rows).mapInArrow(_shared, "code long, node long, size int"), "shared-shingles")
+    kind = "a long, b long"
+    first = pin_table(_by_code(shared).mapInArrow(_neighbours(similarity), kind).distinct(), "similar-neighbours")
+    linked = _verified(docs, marked, first, words, similarity)
+    roots = pin_table(components(linked), "similar-roots")
+    rooted = shared.join(roots, "node", "left").select("code", "node", "size", F.coalesce("root", "node").alias("root"))
+    rest = _by_code(rooted).mapInArrow(_apart(similarity), kind).distinct().join(first, ["a", "b"], "left_anti")
+    linked = linked.unionByName(_verified(docs, marked, pin_table(rest, "similar-rest"), words, similarity))
     roots = pin_table(components(linked), "similar-roots")
     return marked.join(roots, "node", "left").select("doc_id", "text_key", "node", F.coalesce("root", "node").alias("root")), linked
 

@@ -1,5 +1,6 @@
 """The chained stages on odd tables, and the recall of the near-copy stage against exact similarity."""
 
+import itertools
 import random
 
 import pytest
@@ -93,3 +94,49 @@ def test_near_copies_are_found_and_others_are_not(spark):
     assert len(found) >= 0.9 * len(near)
     assert not any(root[2 * k] == root[2 * k + 1] for k in far)
     assert len({root[2 * k] for k in range(250)}) == 250
+
+
+def brute_roots(texts, words=5, similarity=0.8):
+    sets = {}
+    for i, t in texts:
+        w = t.lower().split()
+        sets[i] = {tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(sets, 2):
+        if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    return {i: find(i) for i in sets}
+
+
+def test_no_similar_pair_of_a_crowd_is_left_out(spark):
+    """Texts around one text that are near it, near another of them only, or near none: each pair at the threshold counts."""
+    rnd = random.Random(21)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(2000)]
+    texts = []
+    for size in (8, 40, 120, *range(50, 60)):
+        base = [rnd.choice(words) for _ in range(size)]
+        for _ in range(30):
+            other = list(base)
+            for _ in range(max(1, int(size * rnd.choice([0.01, 0.03, 0.05])))):
+                other[rnd.randrange(size)] = rnd.choice(words)
+            texts.append(" ".join(other))
+    for size in range(50, 60):
+        for _ in range(10):
+            base = [rnd.choice(words) for _ in range(size)]
+            texts += [" ".join(base), " ".join([*base[:20], "new", *base[21:]])]
+    texts = list(enumerate(texts + texts[:5]))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    found, links = simhash.similar_components(docs)
+    got, want = {r["doc_id"]: r["root"] for r in found.collect()}, brute_roots(texts)
+    assert 100 < len(set(want.values())) < len(want) - 100
+    assert {tuple(sorted(i for i in got if got[i] == r)) for r in set(got.values())} == {
+        tuple(sorted(i for i in want if want[i] == r)) for r in set(want.values())
+    }
+    assert {r["doc_id"] for r in simhash.drop_similar(docs).collect()} == set(want.values())
