@@ -19,13 +19,25 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Rows that go to a worker at a time. Spark's own 10,000 whole texts are held several times on their way there and back.
+_ROWS = 2048
+
+
+def _small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= _ROWS:
+        spark.conf.set(name, str(_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def pin_table(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder as Parquet and read back: cuts lineage, keeps column pruning."""
     spark = df.sparkSession
+    _small_batches(spark)
     path = work_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,15 +186,16 @@ def identify_rows(docs: DataFrame, samples: DataFrame, together: int = TOGETHER)
     """(row, lang_pred, score): every row as a struct with the language of its ``text``."""
     names = sorted(r["lang"] for r in samples.select("lang").collect())
     groups = [names[at : at + together] for at in range(0, len(names), together)]
-    held = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    held = docs.select(F.struct("*").alias("row"))
     row = f"row {held.schema['row'].dataType.simpleString()}"
     if len(groups) > 1:
-        return _identify_by_groups(held, samples, groups)
+        return _identify_by_groups(held.withColumn("text", F.col("row").getField("text")), samples, groups)
     own = _collected(samples, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024, 4 << 20):
-            names, score = _parser(own).predict(texts(batch.column("text")))
+            # the text goes along in its row, once
+            names, score = _parser(own).predict(texts(pc.struct_field(batch.column("row"), "text")))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(names, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
 
     return held.mapInArrow(run, f"{row}, lang_pred string, score double")
