@@ -119,6 +119,11 @@ def test_numbers(one):
     assert one("no reviews", tx.counter) is None
 
 
+def test_a_street_number_is_no_postcode(one):
+    assert one("9500 Main St, Town NSW 10500, Australia", lambda c: tx.postcode(c, "last")) is None
+    assert one("9500 Main St, Town NSW 2650, Australia", lambda c: tx.postcode(c, "last")) == "2650"
+
+
 def test_contacts(one):
     cell = "Jane Doe\nm: 0412  345 678\nCivil Ceremonies\n1 High St\n1 High St\nTown NSW 2650\njane@x.org"
     assert one(cell, tx.labelled_phone) == "0412 345 678"
