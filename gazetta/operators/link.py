@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from gazetta.functions.containment import finder_of_runs
 from gazetta.functions.similarity import key_ratio
 from gazetta.functions.text import token_key
 from gazetta.operators.dedupe import carry_forward, not_known
@@ -420,45 +422,49 @@ def accept_or_partial(
 
 # -- containment ------------------------------------------------------------
 
-_GRAM = 3
+#: Least bytes of texts that meet a block's patterns at a time, and most bytes of patterns that a task holds.
+_PIECE, _SHARD = 1 << 20, 32 << 20
 
 
 def contained_in(
-    patterns: DataFrame, texts: DataFrame, block: Sequence[str], pattern: str, text: str
+    patterns: DataFrame, texts: DataFrame, block: Sequence[str], pattern: str, text: str, least: str | None = None
 ) -> DataFrame:
     """Distinct pairs where the pattern occurs in the text, within a block.
 
-    Every text emits its grams; every pattern looks up only its rarest one, so
-    the join touches texts that share it instead of all texts of the block.
+    No candidates are formed: a block's patterns go to every piece of its texts, where one pass over a text finds all
+    of them.  There are at most a quarter as many pieces as shuffle partitions, and one more per block, so what is
+    shuffled grows with the tables, not with the pairs; only where a block has more than ``_SHARD`` of patterns, its texts go
+    to several tasks.  With ``least`` the pairs have that column's least value among the text's rows in place of the text.
     """
     on = list(block)
-    pats = patterns.select(*on, pattern).filter(F.length(pattern) > 0).distinct()
-    txts = texts.select(*on, text).filter(F.length(text) > 0).distinct()
-    # texts may be long: the gram rows carry their digest, the candidates fetch the text
-    txts = txts.withColumn("_digest", F.unhex(F.sha2(text, 256)))
-
-    def grams(col: str, size: int) -> Column:
-        # a look-ahead matches at every position, so overlapping grams come out in one pass
-        return F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(rf"(?s)(?=(.{{{size}}}))"), 1))
-
-    # patterns shorter than a gram are looked up whole; only where there are some, texts emit such short grams
-    shortest = pats.agg(F.min(F.length(pattern))).first()[0] or _GRAM
-    sizes = range(min(shortest, _GRAM), _GRAM + 1)
-    whole = F.when(F.length(pattern) < _GRAM, F.array(F.col(pattern))).otherwise(grams(pattern, _GRAM))
-    own = pats.select(*on, pattern, F.explode(whole).alias("_gram"))
-    # of the texts' grams only those of some pattern are counted and looked up
-    every = F.concat(*[grams(text, n) for n in sizes])
-    text_grams = txts.select(*on, "_digest", F.explode(every).alias("_gram"))
-    text_grams = text_grams.join(own.select(*on, "_gram").distinct(), [*on, "_gram"], "left_semi")
-    counts = text_grams.groupBy(*on, "_gram").agg(F.count("*").alias("_n"))
-    anchors = (
-        own.join(counts, [*on, "_gram"], "inner")
-        .groupBy(*on, pattern)
-        .agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
-    )
-    found = anchors.join(text_grams, [*on, "_gram"], "inner").select(*on, pattern, "_digest")
-    hits = found.join(txts, [*on, "_digest"], "inner")
-    return hits.filter(F.col(text).contains(F.col(pattern))).select(*on, pattern, text)
+    same = {f"_k{i}": F.col(c).cast("string") for i, c in enumerate(on)} or {"_k0": F.lit("")}
+    keys = list(same)
+    pats = patterns.select(*on, pattern).filter(F.length(pattern) > 0).withColumns(same).dropna(subset=keys)
+    rows = texts.filter(F.length(text) > 0).withColumns(same).dropna(subset=keys)
+    by = rows.groupBy(*keys, text)
+    txts = by.agg(F.min(least).alias(least)) if least else by.agg(F.count("*")).select(*keys, text)
+    pats = pats.distinct()
+
+    # copies are counted as well: any size is right
+    text_bytes = rows.groupBy(*keys).agg(F.sum(F.octet_length(text)).alias("_nt"))
+    sizes = pin(text_bytes.join(pats.groupBy(*keys).agg(F.sum(F.octet_length(pattern)).alias("_np")), keys))
+    total = sizes.agg(F.sum("_nt")).first()[0] or 0
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    piece = max(_PIECE, -(-4 * total // parts))
+    cut = sizes.select(*keys, F.ceil(F.col("_nt") / piece).cast("int").alias("_nt"), F.ceil(F.col("_np") / _SHARD).cast("int").alias("_np"))
+    # so few blocks are that large
+    cut = F.broadcast(cut.filter("_nt > 1 OR _np > 1"))
+
+    def pieces(df: DataFrame, col: str, own: str, other: str) -> DataFrame:
+        dealt = F.pmod(F.xxhash64(col), F.coalesce(own, F.lit(1))).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
+        return df.join(cut, keys, "left").withColumn(f"_p{own}", dealt).withColumn(f"_p{other}", every).drop("_nt", "_np")
+
+    met = pieces(pats, pattern, "_np", "_nt").unionByName(pieces(txts, text, "_nt", "_np"), allowMissingColumns=True)
+    runs = [*keys, "_p_nt", "_p_np"]
+    ready = met.repartition(*runs).sortWithinPartitions(*runs, F.col(pattern).isNull())
+    schema = T.StructType([*pats.select(*on, pattern).schema, *txts.select(least or text).schema])
+    return ready.mapInArrow(finder_of_runs(runs, pattern, text, on, [least or text]), schema)
 
 
 def containment_pairs(

@@ -193,6 +193,36 @@ def test_containment_equals_brute_force(spark):
     assert {(r[0], r[1], r[2]) for r in got} == want
 
 
+def test_pairs_come_out_of_one_pass_over_the_texts(spark, monkeypatch, capsys):
+    """Blocks cut on both sides, patterns of all lengths: the pairs of brute force, and nothing is shuffled once they are found."""
+    monkeypatch.setattr(link, "_PIECE", 2000)
+    monkeypatch.setattr(link, "_SHARD", 400)
+    rnd = random.Random(5)
+    texts = sorted({" ".join(rnd.choice(["the", "thé", "on", "a"]) for _ in range(rnd.randint(1, 40))) for _ in range(200)})
+    pats = sorted({t[: rnd.randint(1, 60)] for t in texts} | {t[5:] for t in texts if len(t) > 40})
+    right = [(rnd.choice([1, 2, None]), t, i) for i, t in enumerate(texts)]
+    copies = [(b, t, i + 1000) for b, t, i in right[::3]]
+    left = [(rnd.choice([1, 2, 3, None]), p) for p in pats]
+    found = link.contained_in(
+        spark.createDataFrame(left, "b int, p string"), spark.createDataFrame(copies + right, "b int, t string, i long"), ["b"], "p", "t", "i"
+    )
+    got = [tuple(r) for r in found.collect()]
+    want = {(b, p, i) for b, p in left for b2, t, i in right if b is not None and b == b2 and p in t}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 500
+    capsys.readouterr()
+    found.explain()
+    above, below = capsys.readouterr().out.split("MapInArrow", 1)
+    assert "Exchange" not in above and "Exchange" in below
+
+
+def test_containment_without_blocks_and_of_nothing(spark):
+    left = spark.createDataFrame([("ab",), ("",), (None,)], "p string")
+    right = spark.createDataFrame([("cab",), ("a",), ("",), (None,)], "t string")
+    assert [tuple(r) for r in link.contained_in(left, right, [], "p", "t").collect()] == [("ab", "cab")]
+    assert link.contained_in(left.limit(0), right, [], "p", "t").isEmpty()
+    assert link.contained_in(left, right.limit(0), [], "p", "t").isEmpty()
+
+
 def test_copies_of_a_name_are_matched_once(spark):
     """A third of all rows under one name: the candidate join sees it once per side."""
     right = spark.range(3000).select(
