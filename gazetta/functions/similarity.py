@@ -2,9 +2,9 @@
 
 ``token_sort_ratio`` needs the longest common subsequence of two strings, which
 no Spark built-in offers.  The kernel below runs on Arrow batches: all pairs of
-a batch advance together, one character of the right string per step, with the
-bit-parallel recurrence on 64-bit words (strings up to 62 characters) and on
-Python integers beyond.
+a batch advance together, one character of the left string per step, with the
+bit-parallel recurrence on 64-bit words (strings up to 62 characters, masks once
+per distinct right string) and on Python integers beyond.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from gazetta.functions.values import as_col
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _WORD = 62
+#: Masks (distinct right strings times characters) that a batch may hold; beyond it is halved.
+_MASKS = 1 << 21
 
 
 def _codepoints(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -37,16 +39,28 @@ def _codepoints(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
 
 def _lcs_words(left: pd.Series, right: pd.Series) -> np.ndarray:
     a, a_len = _codepoints(left)
-    b, b_len = _codepoints(right)
-    full = (np.uint64(1) << a_len.astype(np.uint64)) - np.uint64(1)
-    weights = np.uint64(1) << np.arange(a.shape[1], dtype=np.uint64)
-    inside = np.arange(a.shape[1])[None, :] < a_len[:, None]
-    state = full.copy()
+    code, distinct = pd.factorize(right)
+    b, b_len = _codepoints(pd.Series(distinct))
+    chars, own = np.unique(b, return_inverse=True)
+    if len(distinct) * (len(chars) + 1) > _MASKS and len(left) > 1:
+        half = len(left) // 2
+        return np.concatenate([_lcs_words(left[:half], right[:half]), _lcs_words(left[half:], right[half:])])
+    # places of every character in every distinct right string; the last column is that of characters it has not
+    masks = np.zeros((len(distinct), len(chars) + 1), np.uint64)
+    own = own.reshape(b.shape)
     for j in range(b.shape[1]):
-        same = (a == b[:, j : j + 1]) & inside & (j < b_len)[:, None]
-        hits = state & (same * weights).sum(axis=1, dtype=np.uint64)
+        inside = np.flatnonzero(j < b_len)
+        masks[inside, own[inside, j]] |= np.uint64(1) << np.uint64(j)
+    place = np.minimum(np.searchsorted(chars, a), len(chars) - 1)
+    known = (chars[place] == a) & (np.arange(a.shape[1])[None, :] < a_len[:, None])
+    at = np.where(known, place, len(chars)) + code[:, None] * masks.shape[1]
+    masks, at = masks.ravel(), np.ascontiguousarray(at.T)
+    full = ((np.uint64(1) << b_len.astype(np.uint64)) - np.uint64(1))[code]
+    state = full.copy()
+    for j in range(a.shape[1]):
+        hits = state & masks[at[j]]
         state = ((state + hits) | (state - hits)) & full
-    return a_len - np.bitwise_count(state).astype(np.int64)
+    return b_len[code] - np.bitwise_count(state).astype(np.int64)
 
 
 def _lcs_long(a: str, b: str) -> int:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from math import ceil, comb, floor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,6 +122,8 @@ def asof(
 _LOOSE_BELOW = 40
 #: Candidate pairs of one signature that a task may get before the signature is split.
 _PAIRS = 1 << 20
+#: Right keys that are held by every task where all pairs are compared, and pairs that cost no more than one signature.
+_HELD, _PER_SIGNATURE = 1 << 12, 2
 
 
 def _occurrences(key: Column) -> Column:
@@ -279,6 +282,46 @@ def similar_keys(
     return scored.filter(F.col("score") >= score)
 
 
+def _lengths(left: DataFrame, right: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
+    """Number of keys by length, of both sides."""
+    sides = left.select(F.lit(0).alias("side"), F.length("lkey").alias("n")).unionByName(right.select(F.lit(1).alias("side"), F.length("rkey").alias("n")))
+    counts = sides.groupBy("side", "n").agg(F.count("*").alias("c")).collect()
+    return {r["n"]: r["c"] for r in counts if r["side"] == 0}, {r["n"]: r["c"] for r in counts if r["side"] == 1}
+
+
+def signature_count(lengths: Mapping[int, int], score: int) -> int:
+    """Rows that :func:`similar_keys` forms of one side's keys."""
+    limit = score - 0.5
+    share = limit / (200.0 - limit)
+
+    def of_pair(size: int, other: int) -> int:
+        common = ceil(limit * (size + other) / 200 - 1e-9)
+        gap = max(size, other) - common
+        depth = min(3 if gap <= 8 else 2 if gap <= 20 else 1, common)
+        return comb(max(min(size - common + depth, size), 0), depth)
+
+    def of_length(size: int) -> int:
+        shortest = ceil(size * share - 1e-9)
+        if score < _LOOSE_BELOW:
+            return size - shortest + 1
+        return sum(of_pair(size, other) for other in range(shortest, floor(size / share + 1e-9) + 1))
+
+    return sum(n * of_length(size) for size, n in lengths.items())
+
+
+def every_pair(left: DataFrame, right: DataFrame, score: int, block: Sequence[str], pairs: int) -> DataFrame:
+    """The same as :func:`similar_keys` by comparing every pair; for few right keys, which every task holds."""
+    la, lb = F.length("lkey"), F.length("rkey")
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = left.repartition(max(1, min(4 * parts, -(-pairs // _PAIRS))), "lkey")
+    held = F.broadcast(right)
+    met = dealt.join(held, list(block)) if block else dealt.crossJoin(held)
+    near = met.filter(F.lit(200.0) * F.least(la, lb) >= F.lit(score - 0.5) * (la + lb))
+    more = [c for c in right.columns if c not in (*block, "rkey")]
+    scored = near.select(*block, "lkey", "rkey", *more, key_ratio("lkey", "rkey").alias("score"))
+    return scored.filter(F.col("score") >= score)
+
+
 def best_keys(
     left: DataFrame,
     right: DataFrame,
@@ -292,6 +335,8 @@ def best_keys(
     row order) and block columns, both distinct.  Equal keys are settled by an
     equi join first.  ``stages`` adds higher thresholds to try before: each one
     settles its keys with a much sharper filter and only the rest moves on.
+    Where the filter's signatures alone would cost more than comparing all pairs
+    with few right keys, the rest is compared in one go.
     """
     on = list(block)
     if stages:
@@ -302,9 +347,16 @@ def best_keys(
     )
     done = [same.select(*on, "lkey", "rkey", F.lit(100).alias("score"))]
     rest = left.join(same.select(*on, "lkey"), [*on, "lkey"], "left_anti")
-    order = occurrence_order(left, right)
+    lefts, rights = _lengths(rest, right)
+    pairs, order = sum(lefts.values()) * sum(rights.values()), None
     for score in [*stages, threshold]:
-        scored = similar_keys(rest, right, score, on, order)
+        every = sum(rights.values()) <= _HELD and pairs <= _PER_SIGNATURE * sum(signature_count(n, score) for n in (lefts, rights))
+        if every:
+            score = threshold
+            scored = every_pair(rest, right, score, on, pairs)
+        else:
+            order = order or occurrence_order(left, right)
+            scored = similar_keys(rest, right, score, on, order)
         rank = F.struct("score", (-F.col("first")).alias("o"))
         best = (
             scored.groupBy(*on, "lkey")
@@ -315,7 +367,7 @@ def best_keys(
             best = pin(best)
             rest = pin(rest.join(best, [*on, "lkey"], "left_anti"))
         done.append(best)
-        if score != threshold and rest.isEmpty():
+        if score == threshold or rest.isEmpty():
             break
     return reduce(lambda x, y: x.unionByName(y), done)
 

@@ -177,6 +177,45 @@ def test_best_candidate_stops_at_first_good_one(spark):
     assert got == {"a": ("x", True), "b": ("y", False), "c": ("p", False)}
 
 
+@pytest.mark.parametrize("stages", [(), (70,)])
+def test_few_right_names_are_compared_with_all(spark, monkeypatch, stages):
+    """At a low threshold a name has thousands of signatures, more than there are right names."""
+    monkeypatch.setattr(link, "similar_keys", None)
+    rnd = random.Random(4)
+    names = random_names(300, 5)
+    right = [(i, n) for i, n in enumerate(names[:30] + names[:5])]
+    left = [(i, misspelt(n, rnd)) for i, n in enumerate(names)]
+    want = brute_best(left, right, 55)
+    got = link.fuzzy_link(
+        spark.createDataFrame(left, "lid long, lname string"), spark.createDataFrame(right, "rid long, rname string"),
+        "lid", "lname", "rid", "rname", 55, stages=stages,
+    )
+    assert {r["lid"]: (r["right_id"], r["score"]) for r in got.collect()} == {
+        i: (rid, score if rid is not None else None) for i, (rid, score) in want.items()
+    }
+
+
+@pytest.mark.parametrize("score", [90, 70, 55, 30])
+def test_signatures_are_counted_before_they_are_formed(spark, score):
+    keys = sorted({key(n) for n in random_names(40, 1)} - {""})
+    df = spark.createDataFrame([(k,) for k in keys], "lkey string")
+    order, _ = link.occurrence_order(df, df.withColumnRenamed("lkey", "rkey"))
+    lengths = {n: sum(len(k) == n for k in keys) for n in {len(k) for k in keys}}
+    assert link._signature_rows(df, "lkey", score, [], False, order).count() == link.signature_count(lengths, score)
+
+
+def test_subsequences_of_few_and_many_distinct_names(monkeypatch):
+    import pandas as pd
+
+    rnd = random.Random(3)
+    for masks in (1 << 21, 40):
+        monkeypatch.setattr(sim, "_MASKS", masks)
+        for letters in ("ab c", "aé€\U0001f600 b", "".join(map(chr, range(97, 400)))):
+            words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 62))) for _ in range(120)]
+            left, right = pd.Series(rnd.choices(words, k=300)), pd.Series(rnd.choices(words, k=300))
+            assert sim.lcs_lengths(left, right).tolist() == [sim._lcs_long(a, b) for a, b in zip(left, right, strict=True)]
+
+
 def test_containment_equals_brute_force(spark):
     rnd = random.Random(2)
     pats = sorted({"".join(rnd.choice("ab c") for _ in range(rnd.randint(1, 6))) for _ in range(60)})
