@@ -47,6 +47,21 @@ def orphans(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     return not_known(df, other, keys)
 
 
+def key_integrity(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: how many child rows have no partner (``violations``) and how many have one (``survivors``).
+
+    Both sides are counted by key on the map side and nothing is joined or sorted; a NULL key has no partner.
+    """
+    own = child.select(*keys, F.lit(1).alias("_n"), F.lit(False).alias("_known"))
+    known = parent.select(*keys, F.lit(0).alias("_n"), F.lit(True).alias("_known")).dropna(subset=list(keys))
+    each = own.unionByName(known).groupBy(*keys).agg(F.sum("_n").alias("_n"), F.max("_known").alias("_known"))
+
+    def rows(which: Column) -> Column:
+        return F.coalesce(F.sum(F.when(which, F.col("_n"))), F.lit(0))
+
+    return each.agg(rows(~F.col("_known")).alias("violations"), rows(F.col("_known")).alias("survivors"))
+
+
 def flag_members(df: DataFrame, other: DataFrame, key: Column, other_key: Column, out: str) -> DataFrame:
     """Membership as a flag, compared on computed keys; NULL keys are no members."""
     known = other.select(other_key.alias("_k")).distinct().withColumn("_hit", F.lit(True))

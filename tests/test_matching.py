@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gazetta.functions import similarity as sim
 from gazetta.operators import link
+from gazetta.plans import links
 
 
 def lcs(a, b):
@@ -216,6 +217,21 @@ def test_subsequences_of_few_and_many_distinct_names(monkeypatch):
             assert sim.lcs_lengths(left, right).tolist() == [sim._lcs_long(a, b) for a, b in zip(left, right, strict=True)]
 
 
+def test_key_integrity_joins_nothing(spark, capsys):
+    child = spark.createDataFrame([(1,), (1,), (2,), (7,), (None,)], "k int")
+    parent = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "k int")
+    got = link.key_integrity(child, parent, ["k"])
+    assert tuple(got.first()) == (2, 3)
+    assert (link.orphans(child, parent, ["k"]).count(), link.members(child, parent, ["k"]).count()) == (2, 3)
+    assert tuple(link.key_integrity(child.limit(0), parent, ["k"]).first()) == (0, 0)
+    two = spark.createDataFrame([(1, "a"), (1, None), (2, "b")], "k int, s string")
+    assert tuple(link.key_integrity(two, two.filter("k = 1"), ["k", "s"]).first()) == (2, 1)
+    capsys.readouterr()
+    links.foreign_keys(spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and "Sort" not in plan
+
+
 def test_containment_equals_brute_force(spark):
     rnd = random.Random(2)
     pats = sorted({"".join(rnd.choice("ab c") for _ in range(rnd.randint(1, 6))) for _ in range(60)})
