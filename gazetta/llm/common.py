@@ -72,6 +72,14 @@ def resident(name: object, build: Callable[[], T]) -> T:
     return _resident[name]
 
 
+def release() -> None:
+    """Let go what a worker keeps from an operator before; called by those that keep nothing themselves."""
+    if _resident:
+        _resident.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8; NULL counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

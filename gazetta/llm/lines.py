@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import pin_table, slices, utf8
+from gazetta.llm.common import pin_table, release, slices, utf8
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _KEY = ["doc_id", "text_key"]
@@ -38,6 +39,7 @@ def line_rows(docs: DataFrame, min_chars: int = 40) -> DataFrame:
     """(h1, h2, doc_id, text_key, positions): one row per document and distinct line of at least ``min_chars`` code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in slices(batches):
             hashes, owner, places = [], [], []
             for i, text in enumerate(utf8(batch.column("text"))):
@@ -158,44 +160,56 @@ def dropped(bitmap: bytes | None) -> np.ndarray:
     return np.flatnonzero(bits[: len(bits) - (8 - data[-1]) % 8] == 0)
 
 
-_CLEANED = "n_lines long, n_dropped long, kept string, kept_sha256 string"
+_CLEANED = "n_lines long, n_dropped long, kept_sha256 string"
 
 
-def with_kept_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """(row, n_lines, n_dropped, kept, kept_sha256): each row as a struct, and its text without the dropped lines."""
-    held = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").alias("text"))
-    joined = held.join(bitmaps, _KEY, "left").select("row", "text", "bitmap")
+def with_kept_lines(docs: DataFrame, bitmaps: DataFrame, whole: bool = True) -> DataFrame:
+    """(row, n_lines, n_dropped, kept_sha256): each row as a struct whose text is without the dropped lines, or without its text.
+
+    The text goes along in its row, once. A partition's bitmaps are far smaller than its texts: they are hashed, no text is sorted.
+    """
+    held = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"))
+    joined = held.join(bitmaps.hint("shuffle_hash"), _KEY, "left").select("row", "bitmap")
+    at = [c.lower() for c in docs.columns].index("text")
+    fields = [f"`{f.name.replace('`', '``')}`: {f.dataType.simpleString()}" for i, f in enumerate(docs.schema) if whole or i != at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in slices(batches):
+            row = batch.column("row")
+            columns = dict(enumerate(row.flatten()))
             n_lines, n_dropped, kept, digests = [], [], [], []
-            for text, bitmap in zip(utf8(batch.column("text")), batch.column("bitmap").to_pylist(), strict=True):
+            for text, bitmap in zip(utf8(columns[at]), batch.column("bitmap").to_pylist(), strict=True):
                 lines = text.split(b"\n")
                 drop = set(dropped(bitmap).tolist())
                 rest = b"\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else text
                 n_lines.append(len(lines))
                 n_dropped.append(len(drop))
-                kept.append(rest)
+                kept.append(rest if drop else None)
                 digests.append(hashlib.sha256(rest).hexdigest())
+            if whole:
+                columns[at] = pc.coalesce(pa.array(kept, pa.binary()).cast(columns[at].type), columns[at])
+            else:
+                del columns[at]
+            rows = pa.StructArray.from_arrays(list(columns.values()), fields=[row.type.field(i) for i in columns])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(digests)],
-                names=["row", "n_lines", "n_dropped", "kept", "kept_sha256"],
+                [rows, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(digests)], names=["row", "n_lines", "n_dropped", "kept_sha256"]
             )
 
-    return joined.mapInArrow(run, f"row {joined.schema['row'].dataType.simpleString()}, {_CLEANED}")
+    return joined.mapInArrow(run, f"row struct<{', '.join(fields)}>, {_CLEANED}")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """The table with repeated lines dropped from ``text``; other columns as they are (``n_chars``, if there, counted anew)."""
     cleaned = with_kept_lines(docs, keep_bitmaps(docs, min_chars, min_docs))
-    new = {"text": F.when(F.col("n_dropped") > 0, F.col("kept")).otherwise(F.col("row.text"))}
+    new = {}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+        new["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("row.text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
     return cleaned.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def line_digests(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256) of every row."""
     own = docs.select("doc_id", "text")
-    cleaned = with_kept_lines(own, keep_bitmaps(own, min_chars, min_docs))
+    cleaned = with_kept_lines(own, keep_bitmaps(own, min_chars, min_docs), whole=False)
     return cleaned.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import pin_table, slices, utf8
+from gazetta.llm.common import pin_table, release, slices, utf8
 
 BITS = 64
 #: Fingerprints of one variant that are compared pair by pair; more are visited breadth first.
@@ -258,6 +258,7 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
     few = docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select("text").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in slices(batches):
             flat, sizes, _ = _shingles(utf8(batch.column("text")), words)
             for x in np.split(flat, np.cumsum(sizes)[:-1]):
@@ -274,6 +275,7 @@ def _marked(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     frequent = _frequent(docs, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         order = np.argsort(frequent)
         listed = frequent[order]
         seen: set[int] = set()

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from gazetta.llm import fingerprints, language, lines, packing, pieces, simhash, token_files, topk, toxicity, urls
+from gazetta.llm import common, fingerprints, language, lines, packing, pieces, simhash, token_files, topk, toxicity, urls
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -527,6 +527,22 @@ def test_lines(spark, docs, none):
     assert lines.line_digests(none).count() == 0
 
 
+def test_texts_go_through_line_dedup_once_and_unsorted(spark, docs):
+    """A row's text is shuffled inside its row only and meets its bitmap without a sort; what a worker kept before is let go."""
+    bitmaps = spark.createDataFrame([], "doc_id long, text_key long, bitmap binary")
+    plan = lines.with_kept_lines(docs, bitmaps)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    shuffled = next(x for x in plan.splitlines() if "Project" in x and "struct(" in x)
+    assert shuffled.count("text#") == 2  # in the row, and for its hash
+    common.resident("kept", lambda: [0])
+    common.release()
+    assert not common._resident
+    odd = docs.withColumnsRenamed({"text": "Text"}).withColumn("a`b c", F.lit(1))
+    assert lines.dedup_lines(odd).columns == odd.columns
+    texts = {r["doc_id"]: (r["Text"], r["a`b c"]) for r in lines.dedup_lines(odd).collect()}
+    assert texts[10] == ("own line number 0\nend 0", 1)
+
+
 def test_a_line_that_most_documents_share(spark):
     rows = [(i, f"{LINE}\n{'rare ' * 10}{i % 300}\n{LINE}") for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
